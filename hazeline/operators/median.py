@@ -8,19 +8,23 @@ from pyspark.sql.window import Window
 
 # Cells per unit of value in each narrowing step. Powers of two, so that the
 # scaling is exact and cells keep the order of the values.
-CELL_SCALES = [1, 1024]
+CELL_SCALES = [64]
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """Median of the non-null values by keys, for few but very large groups.
+def count_values(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+    """Rows per distinct value, as ``n``; a missing value is counted too."""
+    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
-    Values are counted first, so equal values are one row. Each step then
-    counts cells of the value range and keeps only the cells that hold the
-    middle rows; just the values inside the last such cells are sorted. No
-    task sees more than the cells of one group, or the values of one cell.
+
+def exact_median(counted: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+    """Median of counted values by keys, for few but very large groups.
+
+    Equal values are one row by now. Each step counts cells of the value range
+    and keeps only the cells that hold the middle rows; just the values inside
+    the last such cells are sorted. No task sees more than the cells of one
+    group, or the values of one cell.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value)
-    counted = counted.agg(F.count(F.lit(1)).alias("_n"))
+    counted = counted.where(F.col(value).isNotNull()).withColumnRenamed("n", "_n")
     path = []
     for level, scale in enumerate(CELL_SCALES):
         path.append(f"_cell{level}")

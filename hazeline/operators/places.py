@@ -2,106 +2,86 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.operators.sizing import lookup_join
+from hazeline.operators.sizing import lookup_join, measured_bytes
 
 UNKNOWN = "Unknown"
 
 
 @dataclass(frozen=True)
 class Directory:
-    """One row per sensor id with its place.
+    """The lookups a place is found by, each unique by its id.
 
-    ``frame`` has sensor_id, location_id, state, city, is_fallback and, if
-    coordinates were given, latitude and longitude. ``parts`` are the frames it
-    is made of; the sum of their rows bounds its size.
+    ``sensor_map`` has sensor_id and location_id, ``locations`` location_id,
+    state and city, ``coords`` location_id, latitude and longitude.
     """
 
-    frame: DataFrame
-    parts: list[DataFrame] = field(default_factory=list)
+    sensor_map: DataFrame
+    locations: DataFrame
+    coords: DataFrame | None = None
 
-    @property
-    def has_coords(self) -> bool:
-        return "latitude" in self.frame.columns
+    def lookups(self, df: DataFrame) -> list[tuple[DataFrame, str]]:
+        """Lookups and their keys. Coordinates stored with the rows win."""
+        found = [
+            (self.sensor_map.select("sensor_id", "location_id"), "sensor_id"),
+            (self.locations.select("location_id", "state", "city"), "location_id"),
+        ]
+        if self.coords is not None and "latitude" not in df.columns:
+            coords = self.coords.select("location_id", "latitude", "longitude")
+            found.append((coords, "location_id"))
+        return found
 
 
-def directory(
-    sensor_map: DataFrame, locations: DataFrame, coords: DataFrame | None = None
-) -> Directory:
-    """Resolve both lookups once, on dimension-sized frames.
+def _attach(df: DataFrame, where: Directory, join) -> DataFrame:
+    """Join the lookups in turn and fill what they do not know.
 
-    All inputs must be unique by their id. A sensor without an entry in the
-    map is looked up by its own id as if that were a location, so each known
-    location that is no mapped sensor gets such a row too. Facts then need a
-    single join.
+    A sensor that is not in the map is looked up by its own id as if that were
+    a location.
     """
-    places = locations if coords is None else locations.join(coords, "location_id", "full")
-    attributes = [c for c in places.columns if c != "location_id"]
-    mapped = sensor_map.join(places, "location_id", "left").select(
-        "sensor_id", "location_id", *attributes, F.lit(False).alias("is_fallback")
-    )
-    taken = sensor_map.select(F.col("sensor_id").alias("location_id"))
-    by_own_id = places.join(taken, "location_id", "left_anti").select(
-        F.col("location_id").alias("sensor_id"),
-        "location_id",
-        *attributes,
-        F.lit(True).alias("is_fallback"),
-    )
-    parts = [f for f in (sensor_map, locations, coords) if f is not None]
-    return Directory(mapped.unionByName(by_own_id), parts)
-
-
-def place_names(df: DataFrame) -> DataFrame:
-    """Fill what the directory did not know and build the display name."""
-    location_id = F.coalesce(F.col("location_id"), F.col("sensor_id"))
+    for lookup, key in where.lookups(df):
+        df = join(df, lookup, key)
+        if key == "sensor_id":
+            unmapped = F.col("location_id").isNull()
+            location_id = F.coalesce(F.col("location_id"), F.col("sensor_id"))
+            df = df.withColumns({"is_fallback": unmapped, "location_id": location_id})
     state = F.coalesce(F.col("state"), F.lit(UNKNOWN))
-    city = F.coalesce(F.col("city"), F.concat(F.lit("Location "), location_id.cast("string")))
+    unnamed = F.concat(F.lit("Location "), F.col("location_id").cast("string"))
+    city = F.coalesce(F.col("city"), unnamed)
+    full = F.concat_ws(", ", city, state)
     return df.withColumns(
         {
-            "location_id": location_id,
             "state": state,
             "city": city,
-            "location_name": F.when(state != UNKNOWN, F.concat_ws(", ", city, state)).otherwise(
-                city
-            ),
-            "is_fallback": F.coalesce(F.col("is_fallback"), F.lit(True)),
+            "location_name": F.when(state != UNKNOWN, full).otherwise(city),
         }
     )
 
 
-def _without_coords_clash(df: DataFrame, frame: DataFrame) -> DataFrame:
-    """Coordinates stored with the rows win over the directory's."""
-    clash = [c for c in ("latitude", "longitude") if c in df.columns and c in frame.columns]
-    return frame.drop(*clash)
-
-
 def attach_to_sensors(df: DataFrame, where: Directory) -> DataFrame:
-    """Places for rows already reduced to about one per sensor.
+    """Places for rows already reduced to a few per sensor.
 
-    These come out of a group-by on sensor_id, so no key is hot and the
-    planner may choose the join.
+    These come out of a group-by on sensor_id, so there is little left to
+    move and no key is hot; the planner chooses the joins.
     """
-    return place_names(df.join(_without_coords_clash(df, where.frame), "sensor_id", "left"))
+    return _attach(df, where, lambda rows, lookup, key: rows.join(lookup, key, "left"))
 
 
 def enrich(df: DataFrame, where: Directory) -> DataFrame:
     """Places for every measurement row, and the UTC date.
 
-    The directory is broadcast if its measured size allows; if not, the rows
-    of each sensor are spread by time over salted copies.
+    A lookup is broadcast if its measured size allows; if not, the rows of
+    each key are spread by time over salted copies of it.
     """
-    joined = lookup_join(
-        df,
-        _without_coords_clash(df, where.frame),
-        "sensor_id",
-        spread_by=["datetime_utc"],
-        measured=where.parts or None,
-    )
-    return place_names(joined).withColumn("date", F.to_date("datetime_utc"))
+    sizes = iter(measured_bytes([lookup for lookup, _ in where.lookups(df)]))
+
+    def join(rows, lookup, key):
+        return lookup_join(rows, lookup, key, ["sensor_id", "datetime_utc"], next(sizes))
+
+    return _attach(df, where, join).withColumn("date", F.to_date("datetime_utc"))
 
 
 def coords_by_priority(*pairs: tuple[Column, Column]) -> tuple[Column, Column]:

@@ -13,20 +13,23 @@ SALTS = 32
 _SALT = "_salt"
 
 
-def measured_bytes(frames: list[DataFrame]) -> int:
-    """Bytes the rows of these frames take in memory, counted in one job.
+def measured_bytes(frames: list[DataFrame]) -> list[int]:
+    """Bytes the rows of each frame take in memory, counted in one job.
 
     The count is over real rows and real text lengths, not over file sizes,
     which say little about compressed columns.
     """
-    sizes = []
-    for frame in frames:
+    totals = []
+    for number, frame in enumerate(frames):
         texts = [f.name for f in frame.schema.fields if isinstance(f.dataType, T.StringType)]
-        fixed = 16 + 8 * len(frame.columns)
+        fixed = F.lit(16 + 8 * len(frame.columns))
         varying = sum((F.coalesce(F.octet_length(c), F.lit(0)) + 8 for c in texts), F.lit(0))
-        sizes.append(frame.select((varying + fixed).cast("long").alias("size")))
-    total = reduce(DataFrame.unionAll, sizes).agg(F.sum("size").alias("total")).first()
-    return total["total"] or 0
+        size = F.sum((varying + fixed).cast("long")).alias("size")
+        totals.append(frame.agg(size).select(F.lit(number).alias("number"), "size"))
+    # One row per frame.
+    rows = reduce(DataFrame.unionAll, totals).collect()
+    sizes = {row["number"]: row["size"] or 0 for row in rows}
+    return [sizes[number] for number in range(len(frames))]
 
 
 def lookup_join(
@@ -34,19 +37,19 @@ def lookup_join(
     lookup: DataFrame,
     key: str,
     spread_by: list[str],
-    measured: list[DataFrame] | None = None,
-    how: str = "left",
+    size: int | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join rows to a lookup that is unique by ``key``, whatever the skew.
+    """Left join of rows to a lookup that is unique by ``key``, whatever the skew.
 
-    ``measured`` are frames whose rows together bound the lookup's; they are
-    cheaper to count than the lookup itself. Beyond ``limit`` the lookup is
-    copied once per salt and each key's rows go to ``SALTS`` tasks, chosen by
-    a hash of the ``spread_by`` columns.
+    ``size`` is the lookup's, in bytes, if already measured. Beyond ``limit``
+    the lookup is copied once per salt and each key's rows go to ``SALTS``
+    tasks, chosen by a hash of the ``spread_by`` columns.
     """
-    if measured_bytes(measured or [lookup]) <= limit:
-        return df.join(F.broadcast(lookup), key, how)
+    if size is None:
+        [size] = measured_bytes([lookup])
+    if size <= limit:
+        return df.join(F.broadcast(lookup), key, "left")
     salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
     copies = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies.hint("shuffle_merge"), [key, _SALT], how).drop(_SALT)
+    return salted.join(copies.hint("merge"), [key, _SALT], "left").drop(_SALT)

@@ -73,7 +73,6 @@ def sensor_coords(sensors: DataFrame, coords: DataFrame | None) -> DataFrame:
 def with_coords(
     rows: DataFrame,
     sensors: DataFrame,
-    parts: list[DataFrame],
     flavour: str = SCHEDULED,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
@@ -83,7 +82,7 @@ def with_coords(
     backfill does not.
     """
     found = sensors.select("sensor_id", "lat", "lon", F.lit(True).alias("known"))
-    joined = lookup_join(rows, found, "sensor_id", spread_by or ARRIVAL, parts)
+    joined = lookup_join(rows, found, "sensor_id", spread_by or ARRIVAL)
     own = (F.col("lat"), F.col("lon"))
     if flavour == BACKFILL:
         lat, lon = own
@@ -111,8 +110,7 @@ def clean_pages(
     bad = F.col("status") == BAD
     rows = rows.where(bad | in_range(F.col("datetime_utc"), start, end))
     if sensors is not None:
-        parts = [sensors.select("sensor_id")] + ([] if coords is None else [coords])
-        rows = with_coords(rows, sensor_coords(sensors, coords), parts, flavour)
+        rows = with_coords(rows, sensor_coords(sensors, coords), flavour)
         rows = rows.where(bad | F.col("known")).drop("known")
     return rows.select(*FACT.names, "location_id", CORRUPT, *ARRIVAL, "status")
 

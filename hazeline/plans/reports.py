@@ -17,9 +17,9 @@ from pyspark.sql.window import Window
 
 from hazeline.functions import categories
 from hazeline.functions.dates import day_type, month_name
-from hazeline.functions.numbers import display, display_int, half_even, tooltip
+from hazeline.functions.numbers import display, display_int, half_even, mean_of, tooltip
 from hazeline.operators.filters import filter_threshold
-from hazeline.operators.median import exact_median
+from hazeline.operators.median import count_values, exact_median
 from hazeline.operators.partials import HIGH, LOW, ROWS, TOTAL, VALUES, mean, partials
 from hazeline.operators.places import Directory, attach_to_sensors
 from hazeline.plans.loading import Selection, filter_all, select_places, select_rows
@@ -183,10 +183,14 @@ def top_locations(scope: Scope, top_n: int = 10) -> DataFrame:
     )
 
 
+def _top_cities(placed: DataFrame) -> DataFrame:
+    cities = partials(placed, "city").select("city", mean().alias("avg_pm25"))
+    return cities.orderBy(F.col("avg_pm25").desc_nulls_last(), "city").limit(TREND_CITIES)
+
+
 def trend_cities(scope: Scope) -> DataFrame:
     """The cities the trend shows if none is selected."""
-    cities = partials(scope.by_sensor(), "city").select("city", mean().alias("avg_pm25"))
-    return cities.orderBy(F.col("avg_pm25").desc_nulls_last(), "city").limit(TREND_CITIES)
+    return _top_cities(scope.by_sensor())
 
 
 def trend_daily(scope: Scope, selected: Sequence[str] = ()) -> DataFrame:
@@ -199,8 +203,9 @@ def trend_daily(scope: Scope, selected: Sequence[str] = ()) -> DataFrame:
     if selected:
         shown = daily.where(F.col("city").isin(list(selected)[:TREND_CITIES]))
     else:
-        # TREND_CITIES rows at most.
-        shown = daily.join(F.broadcast(trend_cities(scope)), "city", "left_semi")
+        # Ranked from the same daily partials, so rows are read once. The
+        # broadcast has TREND_CITIES rows at most.
+        shown = daily.join(F.broadcast(_top_cities(daily)), "city", "left_semi")
     lines = partials(shown, "date", "location_name")
     return lines.select("date", "location_name", mean().alias("avg_pm25"))
 
@@ -272,15 +277,17 @@ def weekday_weekend(scope: Scope) -> DataFrame:
         # The median needs single values, so the rows themselves are selected.
         rows = filter_all(scope.df, scope.where, scope.selection)
         typed = rows.withColumn("day_type", DERIVED["day_type"]())
-    figures = scope.by("day_type").select(
-        "day_type",
-        mean().alias("mean"),
-        F.col(HIGH).alias("max"),
-        F.col(VALUES).alias("count"),
+    # Both branches read the same counts, which are shuffled once.
+    counted = count_values(typed, ["day_type"])
+    total = F.sum(F.col("value") * F.col("n"))
+    present = F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
+    figures = counted.groupBy("day_type").agg(
+        mean_of(total, present).alias("mean"),
+        F.max("value").alias("max"),
+        present.alias("count"),
     )
-    medians = exact_median(typed, ["day_type"])
     # Two rows on either side.
-    joined = figures.join(F.broadcast(medians), "day_type", "left")
+    joined = figures.join(F.broadcast(exact_median(counted, ["day_type"])), "day_type", "left")
     return joined.select("day_type", "mean", "median", "max", "count")
 
 

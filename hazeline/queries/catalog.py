@@ -247,9 +247,8 @@ def _coords_priority(spark, sf_dir) -> DataFrame:
         F.when(even, -20.5).alias("longitude"),
     )
     known = views.coords(spark, sf_dir)
-    parts = [sensors.select("sensor_id"), known]
     located = ingest.sensor_coords(sensors, known)
-    joined = ingest.with_coords(rows, located, parts, spread_by=["event_id"])
+    joined = ingest.with_coords(rows, located, spread_by=["event_id"])
     return joined.select("event_id", "sensor_id", "latitude", "longitude")
 
 

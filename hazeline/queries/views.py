@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.functions.text import is_pm25
-from hazeline.operators.places import Directory, directory
+from hazeline.operators.places import Directory
 from hazeline.session import tune
 
 ORDER = ["arrival"]
@@ -15,8 +15,26 @@ PAGE_RESULTS = 1000
 LOCATION_SENSORS = 100
 
 
+# The columns queries use; a declared schema saves a job per read.
+_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "orders": "o_orderkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+        " value double, props string"
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def parameter_of(event_type: Column) -> Column:
@@ -96,7 +114,7 @@ def coords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def places(spark: SparkSession, sf_dir: str) -> Directory:
-    return directory(
+    return Directory(
         sensor_map(spark, sf_dir), locations(spark, sf_dir), coords(spark, sf_dir)
     )
 
