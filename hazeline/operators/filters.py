@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazeline.functions.text import location_list
 from hazeline.operators.places import Directory, attach_to_sensors
 
 # The named report scenarios and their thresholds in µg/m³.
@@ -83,6 +84,13 @@ def filter_scenario(df: DataFrame, scenario: str) -> DataFrame:
     return filter_threshold(df, SCENARIO_THRESHOLDS[scenario])
 
 
+def requested_locations(spark: SparkSession, override: str | None, known: DataFrame) -> DataFrame:
+    """Location ids a job works on: the override list, else all known ones."""
+    if override:
+        return location_list(spark, override)
+    return known.select("location_id").distinct()
+
+
 def filter_locations(df: DataFrame, allowed: DataFrame, column: str = "location_id") -> DataFrame:
     """Only rows of listed locations."""
     listed = allowed.select(F.col("location_id").alias(column))

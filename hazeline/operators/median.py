@@ -24,11 +24,16 @@ def exact_median(counted: DataFrame, keys: list[str], value: str = "value") -> D
     the last such cells are sorted. No task sees more than the cells of one
     group, or the values of one cell.
     """
-    counted = counted.where(F.col(value).isNotNull()).withColumnRenamed("n", "_n")
+    # A missing value weighs nothing. It is not filtered out, as a filter would
+    # sink below the counts and keep other readers from sharing them.
+    weight = F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)
+    counted = counted.select(*keys, value, weight.alias("_n"))
     path = []
     for level, scale in enumerate(CELL_SCALES):
         path.append(f"_cell{level}")
-        counted = counted.withColumn(path[-1], F.floor(F.col(value) * scale))
+        counted = counted.withColumn(
+            path[-1], F.coalesce(F.floor(F.col(value) * scale), F.lit(0))
+        )
     path.append(value)
 
     cells = counted.groupBy(*keys, path[0]).agg(F.sum("_n").alias("_n"))

@@ -92,14 +92,22 @@ def latest_per_sensor(df: DataFrame) -> DataFrame:
     return df.groupBy("sensor_id").agg(F.max("datetime_utc").alias("last_data_datetime_utc"))
 
 
-def upsert_signal(stored: DataFrame, latest: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """New snapshot of the marks. A mark may also move backwards."""
+def upsert_signal(
+    stored: DataFrame, latest: DataFrame, as_of: dt.datetime, forward_only: bool = False
+) -> DataFrame:
+    """New snapshot of the marks.
+
+    A mark is overwritten even if it moves backwards, unless ``forward_only``.
+    """
     old, new = stored.alias("old"), latest.withColumn("in_batch", F.lit(True)).alias("new")
     updated = F.col("new.in_batch").isNotNull()
     mark = "last_data_datetime_utc"
+    old_mark, new_mark = F.col(f"old.{mark}"), F.col(f"new.{mark}")
+    if forward_only:
+        new_mark = F.greatest(new_mark, old_mark)
     return old.join(new, "sensor_id", "full").select(
         "sensor_id",
-        F.when(updated, F.col(f"new.{mark}")).otherwise(F.col(f"old.{mark}")).alias(mark),
+        F.when(updated, new_mark).otherwise(old_mark).alias(mark),
         F.when(updated, F.lit(as_of).cast("timestamp"))
         .otherwise(F.col("old.last_run_time"))
         .alias("last_run_time"),

@@ -54,11 +54,11 @@ def sensor_coords(sensors: DataFrame, coords: DataFrame | None) -> DataFrame:
     The lookup goes by location and, where it has the location, counts before
     the sensor's own coordinates.
     """
-    pairs = build_sensor_map(sensors)
-    own = sensors.groupBy("sensor_id").agg(
-        F.max("latitude").alias("own_latitude"), F.max("longitude").alias("own_longitude")
+    known = sensors.groupBy("sensor_id").agg(
+        F.max("location_id").alias("location_id"),
+        F.max("latitude").alias("own_latitude"),
+        F.max("longitude").alias("own_longitude"),
     )
-    known = pairs.join(own, "sensor_id")
     if coords is None:
         located = known.withColumnsRenamed({"own_latitude": "lat", "own_longitude": "lon"})
     else:
@@ -253,26 +253,17 @@ def run_summary(
     """
     asked = requested.select("location_id").distinct()
     found = sensors.select("location_id", "sensor_id").distinct()
-    found = found.join(asked, "location_id", "left_semi")
     with_rows = measured.select("sensor_id").distinct().withColumn("has_rows", F.lit(True))
-    by_location = (
-        asked.join(found, "location_id", "left")
-        .join(with_rows, "sensor_id", "left")
-        .groupBy("location_id")
-        .agg(
-            F.count("sensor_id").alias("sensors"),
-            F.count_if(F.col("has_rows")).alias("with_rows"),
-        )
-    )
-    row = by_location.agg(
-        F.sum("with_rows").alias("successful_sensors"),
-        F.sum(F.col("sensors") - F.col("with_rows")).alias("failed_sensors"),
-        F.count_if(F.col("sensors") == 0).alias("skipped_locations"),
-        F.count(F.lit(1)).alias("total_locations"),
+    # A location without a sensor is one row with a null sensor.
+    pairs = asked.join(found, "location_id", "left").join(with_rows, "sensor_id", "left")
+    matched, measured = F.col("sensor_id").isNotNull(), F.col("has_rows").isNotNull()
+    summary = pairs.agg(
+        F.count_if(measured).alias("successful_sensors"),
+        F.count_if(matched & ~measured).alias("failed_sensors"),
+        F.count_if(~matched).alias("skipped_locations"),
+        F.countDistinct("location_id").alias("total_locations"),
+        F.countDistinct("sensor_id").alias("sensor_mappings"),
     )
-    mappings = found.agg(F.countDistinct("sensor_id").alias("sensor_mappings"))
-    # One row on either side.
-    summary = row.join(F.broadcast(mappings), how="inner")
     if stats is None:
         return summary
     return summary.withColumns(

@@ -39,10 +39,14 @@ def export_counts(requested: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def build_sensor_map(sensors: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Sensor to location, one row per sensor, the last one listed."""
-    pairs = sensors.select("sensor_id", "location_id", *(order or []))
-    picked = last_per_key(pairs, ["sensor_id"], order or ["location_id"])
-    return picked.select("sensor_id", "location_id")
+    """Sensor to location, one row per sensor: the last one listed.
+
+    Without an order to go by, the largest location id stays.
+    """
+    if order is None:
+        return sensors.groupBy("sensor_id").agg(F.max("location_id").alias("location_id"))
+    pairs = sensors.select("sensor_id", "location_id", *order)
+    return last_per_key(pairs, ["sensor_id"], order).select("sensor_id", "location_id")
 
 
 def write_sensor_map(sensor_map: DataFrame, path: str, stored: DataFrame | None = None) -> None:

@@ -68,14 +68,8 @@ def start_signal(
     """
 
     def advance(batch: DataFrame, number: int) -> None:
-        stored = signal.read()
-        seen = latest_per_sensor(batch)
-        old = stored.select("sensor_id", F.col("last_data_datetime_utc").alias("old_mark"))
-        later = F.greatest("last_data_datetime_utc", "old_mark")
-        seen = seen.join(old, "sensor_id", "left").select(
-            "sensor_id", later.alias("last_data_datetime_utc")
-        )
-        signal.replace(upsert_signal(stored, seen, as_of))
+        latest = latest_per_sensor(batch)
+        signal.replace(upsert_signal(signal.read(), latest, as_of, forward_only=True))
 
     return _available(rows, checkpoint).foreachBatch(advance).start()
 
