@@ -7,34 +7,29 @@ from pyspark.sql import functions as F
 
 _MONTH_STEMS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MONTH_NAME = (
-    r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
-    r"|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+    r"(jan(uary)?|feb(ruary)?|mar(ch)?|apr(il)?|may|june?|july?|aug(ust)?"
+    r"|sept?(ember)?|oct(ober)?|nov(ember)?|dec(ember)?)"
 )
-_TIME = r"(?:[T ]+(\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?)?\s*(?:[+-]\d{2}:?\d{2}|UTC|GMT)?$"
-_YEAR_FIRST = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})" + _TIME
-_MONTH_FIRST = r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4})" + _TIME
-_NAME_FIRST = r"(?i)^" + _MONTH_NAME + r"\.?\s+(\d{1,2}),?\s+(\d{4})" + _TIME
-_DAY_NAME = r"(?i)^(\d{1,2})\s+" + _MONTH_NAME + r"\.?,?\s+(\d{4})" + _TIME
+# The date shapes that are read, with an optional time of day and zone.
+_TIME = r"([T ]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([+-]\d{2}:?\d{2}|UTC|GMT)?)?$"
+_SHAPES = [
+    r"\d{4}-\d{1,2}-\d{1,2}",
+    r"\d{4}/\d{1,2}/\d{1,2}",
+    r"\d{1,2}/\d{1,2}/\d{4}",
+    r"\d{1,2}-\d{1,2}-\d{4}",
+    _MONTH_NAME + r"\.? +\d{1,2},? +\d{4}",
+    r"\d{1,2} +" + _MONTH_NAME + r"\.?,? +\d{4}",
+]
+_READABLE = "(?i)^(" + "|".join(_SHAPES) + ")" + _TIME
+# Fractions of a second and the zone end a text and are dropped.
+_TAIL = r"(?<=:\d{2})(\.\d+)?\s*([+-]\d{2}:?\d{2}|UTC|GMT|utc|gmt)?$"
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
-def _group(text: Column, pattern: str, number: int) -> Column:
-    return F.regexp_extract(text, pattern, number)
-
-
-def _number(text: Column, pattern: str, number: int) -> Column:
-    return _group(text, pattern, number).try_cast("int")
-
-
-def _month_number(name: Column) -> Column:
-    found = F.position(F.lower(F.substring(name, 1, 3)), F.lit(_MONTH_STEMS))
-    return ((found - 1) / 3 + 1).cast("int")
-
-
-def _stamp(text: Column, pattern: str, year: Column, month: Column, day: Column) -> Column:
-    clock = [F.coalesce(_number(text, pattern, n), F.lit(0)) for n in (4, 5, 6)]
-    return F.try_make_timestamp_ntz(year, month, day, *clock)
+def _bind(value: Column, use) -> Column:
+    """Give ``use`` a value that is worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
 def parse_date_text(value: Column) -> Column:
@@ -44,49 +39,32 @@ def parse_date_text(value: Column) -> Column:
     offset is dropped, not applied: the clock reading is what counts.
     """
     text = F.trim(value)
-    first, second = _number(text, _MONTH_FIRST, 1), _number(text, _MONTH_FIRST, 2)
+    readable = F.when(text.rlike(_READABLE), F.regexp_replace(text, _TAIL, ""))
+    return _bind(F.split(readable, r"[-/,.: ]+|(?<=\d)T(?=\d)"), _from_parts)
+
+
+def _from_parts(parts: Column) -> Column:
+    def number(index):
+        return F.get(parts, F.lit(index)).try_cast("int")
+
+    def month(index):
+        stem = F.lower(F.substring(F.get(parts, F.lit(index)), 1, 3))
+        return ((F.position(stem, F.lit(_MONTH_STEMS)) - 1) / 3 + 1).cast("int")
+
+    first, second, third = number(0), number(1), number(2)
+    year_first = first > 31
     swap = (first > 12) & (second <= 12)
+    clock = [F.coalesce(number(index), F.lit(0)) for index in (3, 4, 5)]
+
+    def stamp(year, month_number, day):
+        return F.try_make_timestamp_ntz(year, month_number, day, *clock)
+
     return (
-        F.when(
-            text.rlike(_YEAR_FIRST),
-            _stamp(
-                text,
-                _YEAR_FIRST,
-                _number(text, _YEAR_FIRST, 1),
-                _number(text, _YEAR_FIRST, 2),
-                _number(text, _YEAR_FIRST, 3),
-            ),
-        )
-        .when(
-            text.rlike(_MONTH_FIRST),
-            _stamp(
-                text,
-                _MONTH_FIRST,
-                _number(text, _MONTH_FIRST, 3),
-                F.when(swap, second).otherwise(first),
-                F.when(swap, first).otherwise(second),
-            ),
-        )
-        .when(
-            text.rlike(_NAME_FIRST),
-            _stamp(
-                text,
-                _NAME_FIRST,
-                _number(text, _NAME_FIRST, 3),
-                _month_number(_group(text, _NAME_FIRST, 1)),
-                _number(text, _NAME_FIRST, 2),
-            ),
-        )
-        .when(
-            text.rlike(_DAY_NAME),
-            _stamp(
-                text,
-                _DAY_NAME,
-                _number(text, _DAY_NAME, 3),
-                _month_number(_group(text, _DAY_NAME, 2)),
-                _number(text, _DAY_NAME, 1),
-            ),
-        )
+        F.when(first.isNull(), stamp(third, month(0), second))
+        .when(second.isNull(), stamp(third, month(1), first))
+        .when(year_first, stamp(first, second, third))
+        .when(swap, stamp(third, second, first))
+        .otherwise(stamp(third, first, second))
     )
 
 

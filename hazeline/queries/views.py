@@ -178,7 +178,7 @@ def landed_results(events: DataFrame) -> DataFrame:
         ).alias("coordinates"),
     )
     return events.select(
-        "event_id", F.col("user_id").alias("sensor_id"), day.alias("day"), result.alias("result")
+        "run", "event_id", F.col("user_id").alias("sensor_id"), day.alias("day"), result.alias("result")
     )
 
 
@@ -186,17 +186,16 @@ def land_pages(events: DataFrame, path: str) -> None:
     """Measurement pages, days as folders, in the order of the events.
 
     A page holds results of one sensor and day out of one run of PAGE_RESULTS
-    events, so that no page grows with the data.
+    events, so that no page grows with the data. Runs are spread over tasks in
+    their order, and each lies in one task, which makes it the only shuffle.
     """
-    run = F.floor(F.col("event_id") / PAGE_RESULTS).alias("run")
-    pages = landed_results(events).groupBy("day", run, "sensor_id")
-    pages = pages.agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("event_id", "result"))), lambda r: r.result
-        ).alias("results")
-    )
+    run = F.floor(F.col("event_id") / PAGE_RESULTS)
+    spread = events.withColumn("run", run).repartitionByRange("run")
+    pages = landed_results(spread).groupBy("day", "run", "sensor_id")
+    listed = F.sort_array(F.collect_list(F.struct("event_id", "result")))
+    pages = pages.agg(F.transform(listed, lambda r: r.result).alias("results"))
     (
-        pages.orderBy("day", "run", "sensor_id")
+        pages.sortWithinPartitions("day", "run", "sensor_id")
         .select("day", "sensor_id", "results")
         .write.partitionBy("day")
         .json(path)
