@@ -36,11 +36,16 @@ def insert_ignore(stored: DataFrame, batch: DataFrame, arrival, keys=None) -> Da
 def ingest_stats(stored: DataFrame, batch: DataFrame, keys=None) -> DataFrame:
     """One row: attempted (after in-batch dedup), inserted, duplicates."""
     keys = keys or KEY
-    known = stored.select(*keys, F.lit(True).alias("known"))
-    marked = batch.select(*keys).distinct().join(known, keys, "left")
-    return marked.agg(
+    # One shuffle of keys, cut to one row per key and task beforehand.
+    sides = stored.select(*keys, F.lit(True).alias("stored")).unionByName(
+        batch.select(*keys, F.lit(False).alias("stored"))
+    )
+    by_key = sides.groupBy(*keys).agg(
+        F.max("stored").alias("known"), F.min("stored").alias("only_stored")
+    )
+    return by_key.where(~F.col("only_stored")).agg(
         F.count(F.lit(1)).alias("attempted"),
-        F.count_if(F.col("known").isNull()).alias("inserted"),
+        F.count_if(~F.col("known")).alias("inserted"),
         F.count_if(F.col("known")).alias("duplicates"),
     )
 

@@ -73,8 +73,8 @@ def attach_to_sensors(df: DataFrame, where: Directory) -> DataFrame:
 def enrich(df: DataFrame, where: Directory) -> DataFrame:
     """Places for every measurement row, and the UTC date.
 
-    A lookup is broadcast if its measured size allows; if not, the rows of
-    each key are spread by time over salted copies of it.
+    A lookup is broadcast if its measured size allows; if not, rows of
+    frequent sensors are spread by time.
     """
     sizes = iter(measured_bytes([lookup for lookup, _ in where.lookups(df)]))
 

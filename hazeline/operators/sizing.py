@@ -1,4 +1,4 @@
-"""Lookup joins: broadcast behind a measured size, salted shuffle beyond it."""
+"""Lookup joins: broadcast behind a measured size, skew-proof shuffle beyond it."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
-_SALT = "_salt"
+HOT_KEYS = 10_000
+_SALT, _HOT, _FOUND = "_salt", "_hot", "_found"
 
 
 def measured_bytes(frames: list[DataFrame]) -> list[int]:
@@ -43,13 +43,34 @@ def lookup_join(
     """Left join of rows to a lookup that is unique by ``key``, whatever the skew.
 
     ``size`` is the lookup's, in bytes, if already measured. Beyond ``limit``
-    the lookup is copied once per salt and each key's rows go to ``SALTS``
-    tasks, chosen by a hash of the ``spread_by`` columns.
+    the rows are shuffled, but no key may fill a task: the most frequent keys
+    find their lookup rows in a small broadcast, and their rows, like those
+    without a key, are spread by a hash of the ``spread_by`` columns. Only the
+    other rows meet the shuffled lookup.
     """
     if size is None:
         [size] = measured_bytes([lookup])
     if size <= limit:
         return df.join(F.broadcast(lookup), key, "left")
-    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
-    copies = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies.hint("merge"), [key, _SALT], "left").drop(_SALT)
+    columns = [c for c in lookup.columns if c != key]
+    frequent = _most_frequent(df, key)
+    # HOT_KEYS rows at most, by the limit, as the lookup is unique.
+    matches = lookup.join(F.broadcast(frequent), key, "left_semi")
+    found = F.struct(*columns).alias(_FOUND) if columns else F.lit(True).alias(_FOUND)
+    matches = matches.select(key, found)
+    hot = frequent.join(F.broadcast(matches), key, "left").withColumn(_HOT, F.lit(True))
+    marked = df.join(F.broadcast(hot), key, "left")
+    # The second join key follows the first, but for rows that were served.
+    by_key = F.xxhash64(key)
+    served = F.col(_HOT) | F.col(key).isNull()
+    marked = marked.withColumn(_SALT, F.when(served, F.xxhash64(*spread_by)).otherwise(by_key))
+    plain = lookup.withColumn(_SALT, by_key).hint("merge")
+    joined = marked.join(plain, [key, _SALT], "left")
+    picked = {c: F.when(F.col(_HOT), F.col(f"{_FOUND}.{c}")).otherwise(F.col(c)) for c in columns}
+    return joined.withColumns(picked).drop(_SALT, _HOT, _FOUND)
+
+
+def _most_frequent(df: DataFrame, key: str) -> DataFrame:
+    """The HOT_KEYS keys with most rows; any key left has a share below 1/HOT_KEYS."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.orderBy(F.col("_n").desc(), key).limit(HOT_KEYS).select(key)

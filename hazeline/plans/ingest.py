@@ -22,7 +22,7 @@ from hazeline.operators.filters import filter_locations
 from hazeline.operators.merge import accepted_rows
 from hazeline.operators.places import assign_region, coords_by_priority
 from hazeline.operators.sizing import lookup_join
-from hazeline.schemas import CORRUPT, FACT, KEY
+from hazeline.schemas import CORRUPT, FACT, KEY, STAGED
 from hazeline.sources.exports import build_sensor_map, write_sensor_map
 from hazeline.sources.landing import (
     ARRIVAL,
@@ -91,28 +91,16 @@ def with_coords(
     return joined.withColumns({"latitude": lat, "longitude": lon}).drop("lat", "lon")
 
 
-def clean_pages(
-    pages: DataFrame,
-    sensors: DataFrame | None = None,
-    coords: DataFrame | None = None,
-    flavour: str = SCHEDULED,
-    start=None,
-    end=None,
-) -> DataFrame:
+def clean_pages(pages: DataFrame, flavour: str = SCHEDULED, start=None, end=None) -> DataFrame:
     """Pages to typed rows with a ``status``; rows out of range are gone.
 
-    With ``sensors`` only their rows stay. Broken lines and rows without a key
-    get status bad, for the quarantine.
+    Broken lines and rows without a key get status bad, for the quarantine.
     """
     rows = prepare_measurements(flatten_pages(pages, flavour))
     bad = is_unstorable(rows) | F.col(CORRUPT).isNotNull()
     rows = rows.withColumn("status", F.when(bad, F.lit(BAD)).otherwise(F.lit(OK)))
-    bad = F.col("status") == BAD
-    rows = rows.where(bad | in_range(F.col("datetime_utc"), start, end))
-    if sensors is not None:
-        rows = with_coords(rows, sensor_coords(sensors, coords), flavour)
-        rows = rows.where(bad | F.col("known")).drop("known")
-    return rows.select(*FACT.names, "location_id", CORRUPT, *ARRIVAL, "status")
+    kept = (F.col("status") == BAD) | in_range(F.col("datetime_utc"), start, end)
+    return rows.where(kept).select(*FACT.names, "location_id", CORRUPT, *ARRIVAL, "status")
 
 
 def ingest_batch(
@@ -128,21 +116,22 @@ def ingest_batch(
     end=None,
     as_of: dt.datetime | None = None,
 ) -> IngestStats:
-    """Land to table: flatten, clean, dedup, insert-ignore.
+    """Land to table: flatten, clean, locate, dedup, insert-ignore.
 
     The cleaned batch is staged as a table first, one pass without a shuffle.
     From there on everything reads columns instead of JSON, and the months the
     batch touches are known: only stored keys of those months are read for the
     merge, none if there are none. Counts come from written tables, so they are
-    exact even if tasks ran twice. Running a batch again changes nothing. The
-    staged folder keeps the unusable rows under ``status=bad``.
+    exact even if tasks ran twice. Running a batch again changes nothing. With
+    ``sensors`` only their rows go in. The staged folder keeps the unusable
+    rows under ``status=bad``.
     """
-    staged = f"{stage}/batch={batch}"
-    cleaned = clean_pages(pages, sensors, coords, flavour, start, end)
-    cleaned.write.mode("overwrite").partitionBy("status").parquet(staged)
-    rows = spark.read.schema(cleaned.schema).parquet(staged)
-    quarantined = rows.where(F.col("status") == BAD).count()
-    good = rows.where(F.col("status") == OK)
+    cleaned = clean_pages(pages, flavour, start, end)
+    cleaned.write.mode("overwrite").partitionBy("status").parquet(f"{stage}/batch={batch}")
+    quarantined = staged_rows(spark, stage, batch, BAD).count()
+    good = staged_rows(spark, stage, batch)
+    if sensors is not None:
+        good = with_coords(good, sensor_coords(sensors, coords), flavour).where("known")
 
     month = F.date_format("datetime_utc", "yyyy-MM").alias("month")
     # One row per calendar month.
@@ -161,7 +150,7 @@ def ingest_batch(
 
 def staged_rows(spark: SparkSession, stage: str, batch: str, status: str = OK) -> DataFrame:
     """Cleaned rows of a batch as staged, before dedup."""
-    rows = spark.read.parquet(f"{stage}/batch={batch}")
+    rows = spark.read.schema(STAGED).parquet(f"{stage}/batch={batch}")
     return rows.where(F.col("status") == status)
 
 

@@ -133,6 +133,20 @@ STORED_FACT = T.StructType(
     ]
 )
 
+# Cleaned rows of one batch, with their arrival order.
+STAGED = T.StructType(
+    FACT.fields
+    + [
+        T.StructField("location_id", T.LongType()),
+        T.StructField(CORRUPT, T.StringType()),
+        T.StructField("arrival_file", T.StringType()),
+        T.StructField("arrival_block", T.LongType()),
+        T.StructField("arrival_line", T.LongType()),
+        T.StructField("arrival_pos", T.IntegerType()),
+        T.StructField("status", T.StringType()),
+    ]
+)
+
 SENSOR_METADATA = T.StructType(
     [
         T.StructField("sensor_id", T.LongType()),

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from hazeline.operators import filters
+from hazeline.operators import filters, sizing
 from hazeline.operators.places import Directory, assign_region, attach_to_sensors, enrich
 from hazeline.operators.sizing import lookup_join, measured_bytes
 from hazeline.plans.ingest import sensor_coords, with_coords
@@ -58,20 +58,26 @@ def test_stored_coordinates_win(spark, where):
     assert found == {1: 5.0, 8: None}
 
 
-def test_salted_lookup_equals_broadcast(spark, rows):
-    """A third of the rows share one key; the salted way gives the same rows."""
+def test_shuffled_lookup_equals_broadcast(spark, rows, monkeypatch):
+    """A third of the rows share one key, a tenth have none."""
+    monkeypatch.setattr(sizing, "HOT_KEYS", 5)
+    number = F.col("id")
     facts = spark.range(9000).select(
-        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("k"), "id"
+        F.when(number % 3 == 0, 1).when(number % 10 != 1, number % 50).alias("k"), "id"
     )
-    lookup = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    lookup = spark.range(40).select(number.alias("k"), (number * 10).alias("v"))
     small = lookup_join(facts, lookup, "k", ["id"])
-    salted = lookup_join(facts, lookup, "k", ["id"], limit=0)
-    assert "SortMergeJoin" in salted._jdf.queryExecution().executedPlan().toString()
-    assert rows(small, "id", "k", "v") == rows(salted, "id", "k", "v")
+    shuffled = lookup_join(facts, lookup, "k", ["id"], limit=0)
+    assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
+    assert small.columns == shuffled.columns
+    assert rows(small, "id", "k", "v") == rows(shuffled, "id", "k", "v")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    split = salted.where("k = 1").groupBy(F.spark_partition_id()).count().count()
+    placed = shuffled.withColumn("task", F.spark_partition_id())
+    counts = placed.groupBy("k", "task").count().collect()
+    for hot in (1, None):
+        split = [r["count"] for r in counts if r["k"] == hot]
+        assert max(split) < sum(split) * 0.4
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert split > 1
 
 
 def test_measured_bytes_follow_text(spark):
