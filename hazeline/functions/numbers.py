@@ -18,10 +18,12 @@ def no_nan(value: Column) -> Column:
 def to_number(text: Column) -> Column:
     """Text to double, anything unreadable to null.
 
-    The JVM also reads ``1.5f`` and ``1.5d`` as numbers; those are refused.
+    The JVM also reads ``1.5f``, ``1.5d`` and hexadecimal; those are refused.
     """
     trimmed = F.trim(text.cast("string"))
-    jvm_only = trimmed.rlike(r"(?i)^[+-]?[0-9.]+(e[+-]?[0-9]+)?[df]$|0x")
+    typed = F.lower(F.right(trimmed, F.lit(1))).isin("d", "f")
+    infinite = F.lower(F.right(trimmed, F.lit(3))) == "inf"
+    jvm_only = (typed & ~infinite) | F.lower(trimmed).contains("x")
     return no_nan(F.when(~jvm_only, trimmed.try_cast("double")))
 
 

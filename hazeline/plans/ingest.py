@@ -280,11 +280,12 @@ def daily_summary(readings: DataFrame, stamp: str = "datetime_utc") -> DataFrame
     )
     present = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
     day = Window.partitionBy(*keys)
+    upto = day.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Nulls sort first and count nothing, so they shift no rank.
     ranked = counted.withColumns(
         {
             "_n": present,
-            "_upto": F.sum(present).over(day.orderBy("value")),
+            "_upto": F.sum(present).over(upto),
             "_total": F.sum(present).over(day),
         }
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from hazeline.plans import reports
 from hazeline.plans.reports import Scope
 
+JOBS_AT_A_TIME = 4
+
 REPORTS = {
     "kpis": reports.kpis,
     "kpi_display": reports.kpi_display,
@@ -53,13 +56,16 @@ def run_suite(
     read the pruned columns of the table again.
     """
     scoped = with_cube(spark, scope, f"{out}/cube")
-    tables = {}
-    for name in names:
+
+    def write(name: str) -> None:
         report = REPORTS[name]
         if name == "trend_daily":
             frame = report(scoped, selected_cities or scope.selection.cities)
         else:
             frame = report(scoped)
         frame.write.mode("overwrite").parquet(f"{out}/{name}")
-        tables[name] = spark.read.parquet(f"{out}/{name}")
-    return tables
+
+    # The reports are small by now; a few jobs at a time fill the cluster.
+    with ThreadPoolExecutor(JOBS_AT_A_TIME) as pool:
+        list(pool.map(write, names))
+    return {name: spark.read.parquet(f"{out}/{name}") for name in names}

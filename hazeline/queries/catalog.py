@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.functions import categories
-from hazeline.functions.dates import to_iso_text
+from hazeline.functions.dates import local_clock, to_iso_text, utc_clock
 from hazeline.functions.numbers import to_number
 from hazeline.functions.text import (
     is_pm25,
@@ -23,6 +23,7 @@ from hazeline.operators.places import assign_region, attach_to_sensors, enrich
 from hazeline.plans import ingest, reports
 from hazeline.plans.loading import Selection, filter_all, load_measurements, sensor_metadata
 from hazeline.plans.reports import Scope
+from hazeline.plans.suite import run_suite, with_cube
 from hazeline.queries import views
 from hazeline.queries.views import DAILY_KEY, with_date
 from hazeline.schemas import FACT, SIGNAL
@@ -144,6 +145,18 @@ def _coerce_numeric(spark, sf_dir) -> DataFrame:
     return views.table(spark, sf_dir, "events").select("event_id", to_number(text).alias("value"))
 
 
+@query("coerce_times")
+def _coerce_times(spark, sf_dir) -> DataFrame:
+    """Times as text with an offset; every forty-first is no time at all."""
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00"))
+    text = F.when(F.col("event_id") % 41 == 0, "n/a").otherwise(text)
+    return views.table(spark, sf_dir, "events").select(
+        "event_id",
+        utc_clock(text).alias("datetime_utc"),
+        local_clock(text).alias("datetime_local"),
+    )
+
+
 @query("ingest_date_range")
 def _ingest_date_range(spark, sf_dir) -> DataFrame:
     rows = views.measurements(spark, sf_dir).select(*ROW)
@@ -322,6 +335,29 @@ def _report_cube(spark, sf_dir) -> DataFrame:
     return cube.withColumn("value_sum", F.round("value_sum", 4))
 
 
+@query("report_suite")
+def _report_suite(spark, sf_dir) -> DataFrame:
+    """All reports written over one selection; rows of each."""
+    scope = _scope(spark, sf_dir, Selection(start=dt.date(2024, 1, 5), threshold=35))
+    tables = run_suite(spark, scope, work_dir(spark, "suite"), selected_cities=SELECTED_CITIES)
+    counts = [
+        table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
+        for name, table in tables.items()
+    ]
+    return ingest.union_batches(counts)
+
+
+@query("distribution_from_cube")
+def _distribution_from_cube(spark, sf_dir) -> DataFrame:
+    scope = _scope(spark, sf_dir, SELECTION)
+    return reports.aqi_distribution(with_cube(spark, scope, work_dir(spark, "cube")))
+
+
+@query("map_from_cube")
+def _map_from_cube(spark, sf_dir) -> DataFrame:
+    return reports.map_sites(with_cube(spark, _scope(spark, sf_dir), work_dir(spark, "cube")))
+
+
 @query("filter_all")
 def _filter_everything(spark, sf_dir) -> DataFrame:
     rows = filter_all(views.pm25(spark, sf_dir), views.places(spark, sf_dir), SELECTION)

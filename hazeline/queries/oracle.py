@@ -166,6 +166,12 @@ FROM customer WHERE c_custkey % 5 <> 0""",
     "coerce_numeric": """
 SELECT event_id, TRY_CAST(CASE WHEN event_id % 41 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END
                           AS DOUBLE) AS value FROM events""",
+    "coerce_times": """
+SELECT event_id,
+       CASE WHEN event_id % 41 <> 0 THEN date_trunc('second', ts) + INTERVAL 5 HOUR END
+         AS datetime_utc,
+       CASE WHEN event_id % 41 <> 0 THEN date_trunc('second', ts) END AS datetime_local
+FROM events""",
     "ingest_date_range": f"""WITH {_M} SELECT {_ROW} FROM m
 WHERE datetime_utc >= TIMESTAMP '2024-01-10' AND datetime_utc <= TIMESTAMP '2024-01-16 12:00:00'""",
     "param_exact": f"WITH {_M} SELECT {_ROW} FROM m WHERE lower(parameter) = 'pm25'",
@@ -431,3 +437,34 @@ SELECT date, parameter, count(value) AS n, {_MEAN} AS mean, min(value) AS min, m
 FROM m GROUP BY date, parameter
 HAVING date + INTERVAL 1 DAY <= (SELECT max(datetime_utc) FROM m) - INTERVAL 2 DAY""",
 }
+ORACLE["distribution_from_cube"] = ORACLE["distribution_selected"]
+ORACLE["map_from_cube"] = ORACLE["map_agg"]
+
+
+def _suite_counts() -> str:
+    chosen = "date >= DATE '2024-01-05' AND value >= 35"
+    cities = "('NATION_7', 'NATION_1', 'Location 49', 'NATION_3', 'NATION_9')"
+    one_row = [
+        "kpis", "kpi_display", "map_center", "coord_coverage", "extreme_summary", "aqi_rollup",
+        "season_extremes",
+    ]
+    located = "(SELECT DISTINCT location_id, latitude, longitude FROM f WHERE latitude IS NOT NULL)"
+    day_types = "count(DISTINCT isodow(date) >= 6)"
+    counts = {
+        "map_sites": f"SELECT count(*) FROM {located}",
+        "map_display": f"SELECT count(*) FROM {located}",
+        "top_locations": f"SELECT least(10, count(*)) FROM {located}",
+        "extreme_top": "SELECT least(10, count(*)) FROM f WHERE value >= 150",
+        "trend_daily": "SELECT count(*) FROM (SELECT DISTINCT date, location_name FROM f"
+        f" WHERE city IN {cities})",
+        "aqi_distribution": f"SELECT count(DISTINCT {_band('value', _LONG, 'Unknown')}) FROM f",
+        "weekday_weekend": f"SELECT {day_types} FROM f",
+        "weekday_diff": f"SELECT CASE WHEN {day_types} = 2 THEN 1 ELSE 0 END FROM f",
+        "seasonal": "SELECT count(DISTINCT month(date)) FROM f",
+        **{name: "SELECT 1" for name in one_row},
+    }
+    parts = [f"SELECT '{k}' AS report, CAST(({q}) AS BIGINT) AS n" for k, q in counts.items()]
+    return f"{_E}, f AS (SELECT * FROM e WHERE {chosen})\n" + "\nUNION ALL ".join(parts)
+
+
+ORACLE["report_suite"] = _suite_counts()

@@ -7,15 +7,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_ON_DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Pin what results depend on: UTC clocks; adaptive plans for skew.
 
-    Shuffle partitions and broadcast limits stay as the cluster sets them.
+    Streaming state goes to local disk rather than the heap, so that it may
+    outgrow memory. Shuffle partitions and broadcast limits stay as the cluster
+    sets them.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ON_DISK_STATE)
     return spark
 
 

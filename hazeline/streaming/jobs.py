@@ -33,8 +33,12 @@ def start_ingest(
     start=None,
     end=None,
     as_of: dt.datetime | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Insert-ignore each micro-batch of pages, then stop.
+    """Insert-ignore each micro-batch of pages.
+
+    Without ``every`` it stops when all that has landed is in; with it, say
+    ``"10 minutes"``, it goes on looking.
 
     The micro-batch number names the stored batch, so one that runs again
     after a failure replaces itself.
@@ -55,7 +59,7 @@ def start_ingest(
             as_of,
         )
 
-    return _available(pages, checkpoint).foreachBatch(merge).start()
+    return _writer(pages, checkpoint, every).foreachBatch(merge).start()
 
 
 def start_signal(
@@ -71,7 +75,7 @@ def start_signal(
         latest = latest_per_sensor(batch)
         signal.replace(upsert_signal(signal.read(), latest, as_of, forward_only=True))
 
-    return _available(rows, checkpoint).foreachBatch(advance).start()
+    return _writer(rows, checkpoint).foreachBatch(advance).start()
 
 
 def with_event_time(rows: DataFrame, column: str = "datetime_utc") -> DataFrame:
@@ -113,11 +117,16 @@ def daily_stream(rows: DataFrame, delay: str = "2 days", keys=("sensor_id",)) ->
     )
 
 
-def start_to_parquet(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def start_to_parquet(
+    rows: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Append a stream to a Parquet folder; its sink log makes that exact."""
-    writer = _available(rows, checkpoint).format("parquet").outputMode("append")
+    writer = _writer(rows, checkpoint, every).format("parquet").outputMode("append")
     return writer.option("path", path).start()
 
 
-def _available(rows: DataFrame, checkpoint: str):
-    return rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+def _writer(rows: DataFrame, checkpoint: str, every: str | None = None):
+    writer = rows.writeStream.option("checkpointLocation", checkpoint)
+    if every is None:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=every)
