@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hazeline.functions.dates import utc_clock
-from hazeline.functions.numbers import no_nan
+from hazeline.functions.numbers import mean_of, millionths, no_nan, whole_part
 from hazeline.operators.cleaning import (
     dedup_first,
     in_range,
@@ -296,9 +296,10 @@ def daily_summary(readings: DataFrame, stamp: str = "datetime_utc") -> DataFrame
         inside = (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
         return F.max(F.when(inside, F.col("value")))
 
-    total = F.sum(F.col("value") * F.col("n"))
+    value, n = F.col("value"), F.col("n")
+    whole, rest = F.sum(whole_part(value) * n), F.sum(millionths(value) * n)
     grouped = ranked.groupBy(*keys).agg(
-        F.round(F.try_divide(total, F.sum("_n")), 6).alias("value"),
+        mean_of(whole, rest, F.sum("_n")).alias("value"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         ((at(first) + at(second)) / 2).alias("median"),

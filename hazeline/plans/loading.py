@@ -9,6 +9,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeline.functions.numbers import exact_mean
 from hazeline.operators import filters
 from hazeline.operators.places import Directory, attach_to_sensors, enrich
 from hazeline.sources.tables import scan_parameter
@@ -56,8 +57,8 @@ def filter_all(df: DataFrame, where: Directory, selection: Selection) -> DataFra
 def sensor_metadata(facts: DataFrame, where: Directory) -> DataFrame:
     """Mean position and last time by sensor and parameter, with the place."""
     grouped = facts.groupBy("sensor_id", "parameter").agg(
-        F.round(F.avg("latitude"), 6).alias("latitude"),
-        F.round(F.avg("longitude"), 6).alias("longitude"),
+        exact_mean(F.col("latitude")).alias("latitude"),
+        exact_mean(F.col("longitude")).alias("longitude"),
         F.max("datetime_utc").alias("last_seen"),
     )
     return attach_to_sensors(grouped, where).select(

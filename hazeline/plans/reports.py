@@ -17,10 +17,28 @@ from pyspark.sql.window import Window
 
 from hazeline.functions import categories
 from hazeline.functions.dates import day_type, month_name
-from hazeline.functions.numbers import display, display_int, half_even, mean_of, tooltip
+from hazeline.functions.numbers import (
+    display,
+    display_int,
+    exact_mean,
+    half_even,
+    mean_of,
+    millionths,
+    tooltip,
+    whole_part,
+)
 from hazeline.operators.filters import filter_threshold
 from hazeline.operators.median import count_values, exact_median
-from hazeline.operators.partials import HIGH, LOW, ROWS, TOTAL, VALUES, mean, partials
+from hazeline.operators.partials import (
+    HIGH,
+    LOW,
+    MILLIONTHS,
+    ROWS,
+    VALUES,
+    WHOLE,
+    mean,
+    partials,
+)
 from hazeline.operators.places import Directory, attach_to_sensors
 from hazeline.plans.loading import Selection, filter_all, select_places, select_rows
 
@@ -89,7 +107,8 @@ def kpis(scope: Scope) -> DataFrame:
         F.count("location_id").alias("locations"),
         F.sum(ROWS).alias(ROWS),
         F.sum(VALUES).alias(VALUES),
-        F.sum(TOTAL).alias(TOTAL),
+        F.sum(WHOLE).alias(WHOLE),
+        F.sum(MILLIONTHS).alias(MILLIONTHS),
         F.max(HIGH).alias("peak_pm25"),
     )
     return overall.select(
@@ -149,8 +168,8 @@ def map_center(scope: Scope) -> DataFrame:
     """Mean position over sites, each site counted once."""
     sites = _with_coords(_sites(scope))
     return sites.agg(
-        F.round(F.avg("latitude"), 6).alias("latitude"),
-        F.round(F.avg("longitude"), 6).alias("longitude"),
+        exact_mean(F.col("latitude")).alias("latitude"),
+        exact_mean(F.col("longitude")).alias("longitude"),
     )
 
 
@@ -279,10 +298,11 @@ def weekday_weekend(scope: Scope) -> DataFrame:
         typed = rows.withColumn("day_type", DERIVED["day_type"]())
     # Both branches read the same counts, which are shuffled once.
     counted = count_values(typed, ["day_type"])
-    total = F.sum(F.col("value") * F.col("n"))
-    present = F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
+    value, n = F.col("value"), F.col("n")
+    present = F.sum(F.when(value.isNotNull(), n).otherwise(0))
+    whole, rest = F.sum(whole_part(value) * n), F.sum(millionths(value) * n)
     figures = counted.groupBy("day_type").agg(
-        mean_of(total, present).alias("mean"),
+        mean_of(whole, rest, present).alias("mean"),
         F.max("value").alias("max"),
         present.alias("count"),
     )

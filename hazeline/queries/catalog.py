@@ -18,6 +18,7 @@ from hazeline.functions.text import (
 )
 from hazeline.operators import filters, merge
 from hazeline.operators.cleaning import dedup_first, filter_range, prepare_measurements
+from hazeline.operators.partials import mean
 from hazeline.operators.pick import last_per_key
 from hazeline.operators.places import assign_region, attach_to_sensors, enrich
 from hazeline.plans import ingest, reports
@@ -332,7 +333,7 @@ def _distribution_selected(spark, sf_dir) -> DataFrame:
 @query("report_cube")
 def _report_cube(spark, sf_dir) -> DataFrame:
     cube = _scope(spark, sf_dir).build_cube()
-    return cube.withColumn("value_sum", F.round("value_sum", 4))
+    return cube.withColumn("mean", mean()).drop("value_whole", "value_millionths")
 
 
 @query("report_suite")

@@ -49,7 +49,16 @@ _SELECTED = """
 
 _ROW = "arrival, sensor_id, parameter, datetime_utc, value"
 _PLACED = "arrival, sensor_id, location_id, state, city, value"
-_MEAN = "round(avg(value), 6)"
+
+
+def _mean(column: str, where: str = "") -> str:
+    """Mean to six places, rounded half up, from whole millionths."""
+    total = f"sum(CAST(round({column} * 1000000) AS HUGEINT)){where}"
+    n = f"count({column}){where}"
+    return f"CAST((2 * {total} + {n}) // (2 * {n}) AS DOUBLE) / 1000000"
+
+
+_MEAN = _mean("value")
 
 _SITES = f""", sites AS (
   SELECT location_id, location_name, latitude, longitude, {_MEAN} AS avg_pm25,
@@ -103,9 +112,9 @@ SELECT count(DISTINCT location_id) AS locations, {_MEAN} AS avg_pm25,
        max(value) AS peak_pm25, count(*) AS rows FROM e WHERE {where}"""
 
 
-_SEASONS = """WITH s AS (
+_SEASONS = f"""WITH s AS (
   SELECT month(l_shipdate) AS month, monthname(l_shipdate) AS month_name,
-         round(avg(l_quantity), 6) AS mean, min(l_quantity) AS min, max(l_quantity) AS max
+         {_mean("l_quantity")} AS mean, min(l_quantity) AS min, max(l_quantity) AS max
   FROM lineitem GROUP BY 1, 2)"""
 
 _FIRST_DAILY = "row_number() OVER (PARTITION BY sensor_id, parameter, date ORDER BY arrival)"
@@ -268,8 +277,8 @@ SELECT CASE WHEN round_even(value, 1) >= 200 THEN '🔴 SEVERE' ELSE '🟠 HIGH'
     "weekday_weekend": _weekdays(),
     "weekday_weekend_selected": _weekdays(_SELECTED),
     "weekday_diff": f"""{_E}, d AS (
-  SELECT round(avg(value) FILTER (isodow(date) < 6), 6) AS weekday_mean,
-         round(avg(value) FILTER (isodow(date) >= 6), 6) AS weekend_mean FROM e),
+  SELECT {_mean('value', ' FILTER (isodow(date) < 6)')} AS weekday_mean,
+         {_mean('value', ' FILTER (isodow(date) >= 6)')} AS weekend_mean FROM e),
 p AS (SELECT *, round((weekday_mean - weekend_mean) / weekend_mean * 100, 6) AS diff_pct FROM d)
 SELECT *, CASE WHEN abs(diff_pct) <= 5 THEN 'similar' WHEN diff_pct > 5 THEN 'weekday higher'
                WHEN diff_pct < -5 THEN 'weekend higher' END AS verdict FROM p""",
@@ -283,7 +292,7 @@ SELECT w.month_name AS worst_month, w.mean AS worst_mean, b.month_name AS best_m
 SELECT sensor_id, CAST(month(date) AS INTEGER) AS calendar_month,
        CASE WHEN isodow(date) >= 6 THEN 'Weekend' ELSE 'Weekday' END AS day_type,
        {_band('value', _LONG, 'Unknown')} AS category,
-       count(*) AS n_rows, count(value) AS n_values, round(sum(value), 4) AS value_sum,
+       count(*) AS n_rows, count(value) AS n_values, {_MEAN} AS mean,
        min(value) AS value_min, max(value) AS value_max
 FROM m WHERE lower(parameter) = 'pm25' GROUP BY 1, 2, 3, 4""",
     "filter_all": f"""{_E}

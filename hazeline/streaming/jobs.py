@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from hazeline.functions.numbers import exact_mean
 from hazeline.operators.filters import filter_threshold
 from hazeline.operators.merge import latest_per_sensor, upsert_signal
 from hazeline.plans.ingest import ingest_batch
@@ -106,7 +107,7 @@ def daily_stream(rows: DataFrame, delay: str = "2 days", keys=("sensor_id",)) ->
     watermarked = with_event_time(rows).withWatermark("event_time", delay)
     daily = watermarked.groupBy(day, *keys).agg(
         F.count("value").alias("n"),
-        F.round(F.avg("value"), 6).alias("mean"),
+        exact_mean(F.col("value")).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.percentile_approx("value", 0.5).alias("median_approx"),
