@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hazeline.functions.dates import utc_clock
+from hazeline.functions.dates import month_key, utc_clock
 from hazeline.functions.numbers import mean_of, millionths, no_nan, whole_part
 from hazeline.operators.cleaning import (
     dedup_first,
@@ -22,7 +22,7 @@ from hazeline.operators.filters import filter_locations
 from hazeline.operators.merge import accepted_rows
 from hazeline.operators.places import assign_region, coords_by_priority
 from hazeline.operators.sizing import lookup_join
-from hazeline.schemas import CORRUPT, FACT, KEY, STAGED
+from hazeline.schemas import CORRUPT, FACT, KEY, LOCATED_SENSOR, STAGED
 from hazeline.sources.exports import build_sensor_map, write_sensor_map
 from hazeline.sources.landing import (
     ARRIVAL,
@@ -123,19 +123,23 @@ def ingest_batch(
     batch touches are known: only stored keys of those months are read for the
     merge, none if there are none. Counts come from written tables, so they are
     exact even if tasks ran twice. Running a batch again changes nothing. With
-    ``sensors`` only their rows go in. The staged folder keeps the unusable
-    rows under ``status=bad``.
+    ``sensors`` only their rows go in; the sensors are staged too, as several
+    jobs read them. The staged folder keeps the unusable rows under
+    ``status=bad``.
     """
     cleaned = clean_pages(pages, flavour, start, end)
     cleaned.write.mode("overwrite").partitionBy("status").parquet(f"{stage}/batch={batch}")
     quarantined = staged_rows(spark, stage, batch, BAD).count()
     good = staged_rows(spark, stage, batch)
-    if sensors is not None:
-        good = with_coords(good, sensor_coords(sensors, coords), flavour).where("known")
-
-    month = F.date_format("datetime_utc", "yyyy-MM").alias("month")
+    month = month_key(F.col("datetime_utc")).alias("month")
     # One row per calendar month.
     touched = {r["month"] for r in good.select(month).distinct().collect()}
+
+    if sensors is not None:
+        located = f"{stage}/sensors/batch={batch}"
+        sensor_coords(sensors, coords).write.mode("overwrite").parquet(located)
+        known = spark.read.schema(LOCATED_SENSOR).parquet(located)
+        good = with_coords(good, known, flavour).where("known")
     if touched:
         overlap = sorted(touched & facts.months(skip_batch=batch))
         if overlap:

@@ -147,6 +147,16 @@ STAGED = T.StructType(
     ]
 )
 
+# A sensor of one run with the coordinates its rows get.
+LOCATED_SENSOR = T.StructType(
+    [
+        T.StructField("sensor_id", T.LongType()),
+        T.StructField("location_id", T.LongType()),
+        T.StructField("lat", T.DoubleType()),
+        T.StructField("lon", T.DoubleType()),
+    ]
+)
+
 SENSOR_METADATA = T.StructType(
     [
         T.StructField("sensor_id", T.LongType()),
