@@ -22,6 +22,7 @@ from hazeline.operators.partials import mean
 from hazeline.operators.pick import last_per_key
 from hazeline.operators.places import assign_region, attach_to_sensors, enrich
 from hazeline.plans import ingest, reports
+from hazeline.plans.daily import daily_summary
 from hazeline.plans.loading import Selection, filter_all, load_measurements, sensor_metadata
 from hazeline.plans.reports import Scope
 from hazeline.plans.suite import run_suite, with_cube
@@ -384,7 +385,7 @@ def _latest_per_sensor(spark, sf_dir) -> DataFrame:
 
 @query("daily_summary")
 def _daily_summary(spark, sf_dir) -> DataFrame:
-    return ingest.daily_summary(views.measurements(spark, sf_dir))
+    return daily_summary(views.measurements(spark, sf_dir))
 
 
 @query("aqi_category")

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from hazeline.operators.median import count_values, exact_median
 from hazeline.operators.places import Directory
-from hazeline.plans import reports
-from hazeline.plans.ingest import daily_summary
+from hazeline.plans import daily, reports
 from hazeline.plans.loading import Selection, sensor_metadata
 from hazeline.plans.reports import Scope
 from hazeline.plans.suite import REPORTS, run_suite, with_cube
@@ -235,11 +234,14 @@ def test_median_against_brute_force(spark, data):
     assert all(found[k] == pytest.approx(want[k], rel=1e-12) for k in want)
 
 
-def test_daily_summary_against_brute_force(spark):
+@pytest.mark.parametrize("heavy", [0, 10, 10**7])
+def test_daily_summary_against_brute_force(spark, monkeypatch, heavy):
+    """Whatever counts as a heavy day: all, some or none."""
+    monkeypatch.setattr(daily, "HEAVY_DAY", heavy)
     data = [(i % 3, at(1 + i % 2, hour=i % 5), None if i % 7 == 0 else float(i * i % 23))
             for i in range(60)]
     df = spark.createDataFrame(data, "sensor_id long, datetime_utc timestamp_ntz, value double")
-    found = daily_summary(df.withColumn("parameter", F.lit("pm25"))).collect()
+    found = daily.daily_summary(df.withColumn("parameter", F.lit("pm25"))).collect()
     assert len(found) == 6
     for r in found:
         group = [(t, v) for s, t, v in data if s == r["sensor_id"] and t.date() == r["date"]]
