@@ -57,12 +57,16 @@ DERIVED = {
 CUBE_KEYS = ["calendar_month", "day_type", "category"]
 
 
+PLACE = ["location_id", "location_name", "state", "city", "latitude", "longitude"]
+
+
 @dataclass(frozen=True)
 class Scope:
     """Measurements, the directory of places, and what to report on.
 
-    ``cube`` are partials of the selected rows by sensor and ``CUBE_KEYS``. If
-    it is there, reports that can be merged from it do not read rows again.
+    ``cube`` are partials of everything selected by place and ``CUBE_KEYS``. If
+    it is there, reports that can be merged from it read neither rows nor
+    lookups again.
     """
 
     df: DataFrame
@@ -75,34 +79,36 @@ class Scope:
         selected = select_rows(self.df, self.selection)
         return selected.withColumns({k: DERIVED[k]() for k in keys})
 
-    def _source(self, keys, at_least) -> DataFrame:
-        if self.cube is not None and at_least is None and set(keys) <= set(self.cube.columns):
-            return self.cube
-        return filter_threshold(self.rows(*keys), at_least)
+    def _in_cube(self, keys) -> bool:
+        return self.cube is not None and set(keys) <= set(self.cube.columns)
+
+    def by_place(self, *keys: str, at_least: float | None = None) -> DataFrame:
+        """Partials by keys and place, or finer, inside the selection.
 
-    def by_sensor(self, *keys: str, at_least: float | None = None) -> DataFrame:
-        """Partials by sensor and keys, with places, inside the selection."""
-        source = self._source(keys, at_least)
-        stored = [c for c in ("latitude", "longitude") if c in source.columns]
-        placed = attach_to_sensors(partials(source, "sensor_id", *stored, *keys), self.where)
+        From rows they are by sensor: places are joined after rows have shrunk.
+        """
+        if at_least is None and self._in_cube(keys):
+            return self.cube
+        rows = filter_threshold(self.rows(*keys), at_least)
+        stored = [c for c in ("latitude", "longitude") if c in rows.columns]
+        placed = attach_to_sensors(partials(rows, "sensor_id", *stored, *keys), self.where)
         return select_places(placed, self.selection)
 
     def by(self, *keys: str) -> DataFrame:
         """Partials by keys that need no place, places joined only to select."""
-        if not self.selection.by_place:
-            return partials(self._source(keys, None), *keys)
-        return partials(self.by_sensor(*keys), *keys)
+        if self.selection.by_place or self._in_cube(keys):
+            return partials(self.by_place(*keys), *keys)
+        return partials(self.rows(*keys), *keys)
 
     def build_cube(self) -> DataFrame:
-        """At most 2 x 12 x 6 rows per sensor, however many it measured."""
-        rows = self.rows(*CUBE_KEYS)
-        stored = [c for c in ("latitude", "longitude") if c in rows.columns]
-        return partials(rows, "sensor_id", *stored, *CUBE_KEYS)
+        """At most 2 x 12 x 6 rows per place, however much was measured."""
+        placed = self.by_place(*CUBE_KEYS)
+        return partials(placed, *[c for c in PLACE if c in placed.columns], *CUBE_KEYS)
 
 
 def kpis(scope: Scope) -> DataFrame:
     """One row: locations, mean, peak and number of rows, also as text."""
-    sites = partials(scope.by_sensor(), "location_id")
+    sites = partials(scope.by_place(), "location_id")
     overall = sites.agg(
         F.count("location_id").alias("locations"),
         F.sum(ROWS).alias(ROWS),
@@ -129,7 +135,7 @@ def kpi_display(scope: Scope) -> DataFrame:
 
 
 def _sites(scope: Scope) -> DataFrame:
-    sites = partials(scope.by_sensor(), *SITE)
+    sites = partials(scope.by_place(), *SITE)
     return sites.select(
         *SITE,
         mean().alias("avg_pm25"),
@@ -209,7 +215,7 @@ def _top_cities(placed: DataFrame) -> DataFrame:
 
 def trend_cities(scope: Scope) -> DataFrame:
     """The cities the trend shows if none is selected."""
-    return _top_cities(scope.by_sensor())
+    return _top_cities(scope.by_place())
 
 
 def trend_daily(scope: Scope, selected: Sequence[str] = ()) -> DataFrame:
@@ -218,7 +224,7 @@ def trend_daily(scope: Scope, selected: Sequence[str] = ()) -> DataFrame:
     Selected cities are taken in the order of selection. A city name found in
     two states gives two lines.
     """
-    daily = scope.by_sensor("date")
+    daily = scope.by_place("date")
     if selected:
         shown = daily.where(F.col("city").isin(list(selected)[:TREND_CITIES]))
     else:
@@ -257,7 +263,7 @@ def aqi_rollup(scope: Scope) -> DataFrame:
 
 def extreme_summary(scope: Scope, threshold: float = EXTREME_FROM) -> DataFrame:
     """How many locations and days reached the threshold, and the peak."""
-    events = partials(scope.by_sensor("date", at_least=threshold), "location_id", "date")
+    events = partials(scope.by_place("date", at_least=threshold), "location_id", "date")
     return events.agg(
         F.countDistinct("location_id").alias("num_locations"),
         F.countDistinct("date").alias("num_days"),

@@ -288,13 +288,14 @@ w AS (SELECT * FROM s ORDER BY mean DESC, month LIMIT 1),
 b AS (SELECT * FROM s ORDER BY mean, month LIMIT 1)
 SELECT w.month_name AS worst_month, w.mean AS worst_mean, b.month_name AS best_month,
        b.mean AS best_mean FROM w, b""",
-    "report_cube": f"""WITH {_M}
-SELECT sensor_id, CAST(month(date) AS INTEGER) AS calendar_month,
+    "report_cube": f"""{_E}
+SELECT location_id, location_name, state, city, latitude, longitude,
+       CAST(month(date) AS INTEGER) AS calendar_month,
        CASE WHEN isodow(date) >= 6 THEN 'Weekend' ELSE 'Weekday' END AS day_type,
        {_band('value', _LONG, 'Unknown')} AS category,
        count(*) AS n_rows, count(value) AS n_values, {_MEAN} AS mean,
        min(value) AS value_min, max(value) AS value_max
-FROM m WHERE lower(parameter) = 'pm25' GROUP BY 1, 2, 3, 4""",
+FROM e GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9""",
     "filter_all": f"""{_E}
 SELECT {_PLACED}, location_name, date FROM e WHERE {_SELECTED}""",
     "sensor_metadata": f"""{_E}
