@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hazeline.functions.text import location_list
 from hazeline.operators.places import Directory, attach_to_sensors
+from hazeline.operators.sizing import keep_listed
 
 # The named report scenarios and their thresholds in µg/m³.
 SCENARIO_THRESHOLDS = {
@@ -59,10 +60,10 @@ def chosen_dates(choice, default_start: dt.date, default_end: dt.date):
 def filter_in(df: DataFrame, column: str, chosen: Sequence | DataFrame | None) -> DataFrame:
     """Rows whose column is among the chosen values; no choice keeps all.
 
-    A list table is joined as a semi join; a Python list becomes IN.
+    A list table is looked up; a Python list becomes IN.
     """
     if isinstance(chosen, DataFrame):
-        return df.join(chosen.select(column), column, "left_semi")
+        return keep_listed(df, chosen, column)
     return df.where(F.col(column).isin(list(chosen))) if chosen else df
 
 
@@ -93,8 +94,7 @@ def requested_locations(spark: SparkSession, override: str | None, known: DataFr
 
 def filter_locations(df: DataFrame, allowed: DataFrame, column: str = "location_id") -> DataFrame:
     """Only rows of listed locations."""
-    listed = allowed.select(F.col("location_id").alias(column))
-    return df.join(listed, column, "left_semi")
+    return keep_listed(df, allowed.select(F.col("location_id").alias(column)), column)
 
 
 def date_bounds(df: DataFrame) -> DataFrame:

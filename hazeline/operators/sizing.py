@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 10_000
-_SALT, _HOT, _FOUND = "_salt", "_hot", "_found"
+_SALT, _HOT, _FOUND, _LISTED = "_salt", "_hot", "_found", "_listed"
 
 
 def measured_bytes(frames: list[DataFrame]) -> list[int]:
@@ -38,19 +38,19 @@ def lookup_join(
     key: str,
     spread_by: list[str],
     size: int | None = None,
-    limit: int = BROADCAST_BYTES,
+    limit: int | None = None,
 ) -> DataFrame:
     """Left join of rows to a lookup that is unique by ``key``, whatever the skew.
 
-    ``size`` is the lookup's, in bytes, if already measured. Beyond ``limit``
-    the rows are shuffled, but no key may fill a task: the most frequent keys
+    ``size`` is the lookup's, in bytes, if already measured. Beyond ``limit``,
+    BROADCAST_BYTES unless given, the rows are shuffled, but no key may fill a task: the most frequent keys
     find their lookup rows in a small broadcast, and their rows, like those
     without a key, are spread by a hash of the ``spread_by`` columns. Only the
     other rows meet the shuffled lookup.
     """
     if size is None:
         [size] = measured_bytes([lookup])
-    if size <= limit:
+    if size <= (BROADCAST_BYTES if limit is None else limit):
         return df.join(F.broadcast(lookup), key, "left")
     columns = [c for c in lookup.columns if c != key]
     frequent = _most_frequent(df, key)
@@ -70,6 +70,15 @@ def lookup_join(
     return joined.withColumns(picked).drop(_SALT, _HOT, _FOUND)
 
 
+def keep_listed(
+    df: DataFrame, listed: DataFrame, key: str, spread_by: list[str] | None = None
+) -> DataFrame:
+    """Rows whose key is in a list table: a semi join with the same care."""
+    flags = listed.select(key).distinct().withColumn(_LISTED, F.lit(True))
+    spread_by = spread_by or [c for c in df.columns if c != key]
+    return lookup_join(df, flags, key, spread_by).where(_LISTED).drop(_LISTED)
+
+
 def _most_frequent(df: DataFrame, key: str) -> DataFrame:
     """The HOT_KEYS keys with most rows; any key left has a share below 1/HOT_KEYS."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))

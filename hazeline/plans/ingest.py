@@ -20,7 +20,7 @@ from hazeline.operators.cleaning import (
 from hazeline.operators.filters import filter_locations
 from hazeline.operators.merge import accepted_rows
 from hazeline.operators.places import assign_region, coords_by_priority
-from hazeline.operators.sizing import lookup_join
+from hazeline.operators.sizing import keep_listed, lookup_join
 from hazeline.schemas import CORRUPT, FACT, KEY, LOCATED_SENSOR, STAGED
 from hazeline.sources.exports import build_sensor_map, write_sensor_map
 from hazeline.sources.landing import (
@@ -65,7 +65,8 @@ def sensor_coords(sensors: DataFrame, coords: DataFrame | None) -> DataFrame:
             (F.col("latitude"), F.col("longitude")),
             (F.col("own_latitude"), F.col("own_longitude")),
         )
-        located = known.join(coords, "location_id", "left").withColumns({"lat": lat, "lon": lon})
+        joined = lookup_join(known, coords, "location_id", ["sensor_id"])
+        located = joined.withColumns({"lat": lat, "lon": lon})
     return located.select("sensor_id", "location_id", "lat", "lon")
 
 
@@ -128,11 +129,13 @@ def ingest_batch(
     """
     cleaned = clean_pages(pages, flavour, start, end)
     cleaned.write.mode("overwrite").partitionBy("status").parquet(f"{stage}/batch={batch}")
-    quarantined = staged_rows(spark, stage, batch, BAD).count()
-    good = staged_rows(spark, stage, batch)
-    month = month_key(F.col("datetime_utc")).alias("month")
-    # One row per calendar month.
-    touched = {r["month"] for r in good.select(month).distinct().collect()}
+    rows = staged_rows(spark, stage, batch, None)
+    good = rows.where(F.col("status") == OK)
+    # One row per status and calendar month.
+    found = rows.groupBy("status", month_key(F.col("datetime_utc")).alias("month"))
+    counts = found.agg(F.count(F.lit(1)).alias("n")).collect()
+    quarantined = sum(row["n"] for row in counts if row["status"] == BAD)
+    touched = {row["month"] for row in counts if row["status"] == OK}
 
     if sensors is not None:
         located = f"{stage}/sensors/batch={batch}"
@@ -151,10 +154,12 @@ def ingest_batch(
     return IngestStats(attempted, inserted, attempted - inserted, quarantined)
 
 
-def staged_rows(spark: SparkSession, stage: str, batch: str, status: str = OK) -> DataFrame:
-    """Cleaned rows of a batch as staged, before dedup."""
+def staged_rows(
+    spark: SparkSession, stage: str, batch: str, status: str | None = OK
+) -> DataFrame:
+    """Cleaned rows of a batch as staged, before dedup; of any status if None."""
     rows = spark.read.schema(STAGED).parquet(f"{stage}/batch={batch}")
-    return rows.where(F.col("status") == status)
+    return rows if status is None else rows.where(F.col("status") == status)
 
 
 def scheduled_run(
@@ -245,17 +250,25 @@ def run_summary(
     """
     asked = requested.select("location_id").distinct()
     found = sensors.select("location_id", "sensor_id").distinct()
+    found = keep_listed(found, asked, "location_id")
     with_rows = measured.select("sensor_id").distinct().withColumn("has_rows", F.lit(True))
-    # A location without a sensor is one row with a null sensor.
-    pairs = asked.join(found, "location_id", "left").join(with_rows, "sensor_id", "left")
-    matched, measured = F.col("sensor_id").isNotNull(), F.col("has_rows").isNotNull()
-    summary = pairs.agg(
-        F.count_if(measured).alias("successful_sensors"),
-        F.count_if(matched & ~measured).alias("failed_sensors"),
-        F.count_if(~matched).alias("skipped_locations"),
-        F.countDistinct("location_id").alias("total_locations"),
+    has_rows = F.col("has_rows").isNotNull()
+    of_sensors = found.join(with_rows, "sensor_id", "left").agg(
+        F.count_if(has_rows).alias("successful_sensors"),
+        F.count_if(~has_rows).alias("failed_sensors"),
+        F.countDistinct("location_id").alias("located"),
         F.countDistinct("sensor_id").alias("sensor_mappings"),
     )
+    of_locations = asked.agg(F.count(F.lit(1)).alias("total_locations"))
+    # Two rows, each with the other's columns empty.
+    both = of_sensors.unionByName(of_locations, allowMissingColumns=True)
+    summary = both.agg(*[F.sum(c).alias(c) for c in both.columns]).select(
+        "successful_sensors",
+        "failed_sensors",
+        (F.col("total_locations") - F.col("located")).alias("skipped_locations"),
+        "total_locations",
+        "sensor_mappings",
+    )
     if stats is None:
         return summary
     return summary.withColumns(

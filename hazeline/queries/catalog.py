@@ -511,8 +511,9 @@ def _sensor_metadata_record(spark, sf_dir) -> DataFrame:
 def _union_batches(spark, sf_dir) -> DataFrame:
     """The table in two parts by time, so that each scan skips the other part."""
     rows = views.measurements(spark, sf_dir).select(*ROW)
-    parts = ["datetime_utc < timestamp_ntz'2024-01-16'", "datetime_utc >= timestamp_ntz'2024-01-16'"]
-    return ingest.union_batches([rows.where(part) for part in parts])
+    split = F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
+    early, late = F.col("datetime_utc") < split, F.col("datetime_utc") >= split
+    return ingest.union_batches([rows.where(early), rows.where(late)])
 
 
 @query("run_summary")

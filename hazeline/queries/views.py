@@ -206,8 +206,8 @@ def land_sensors(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Sensor records: customers, some without position, parameter or last time."""
     key = F.col("c_custkey")
     spot = F.struct((key % 60 + 0.5).alias("latitude"), (-key % 130 - 0.25).alias("longitude"))
-    last = F.date_format(F.make_timestamp_ntz(F.lit(2024), F.lit(1), (key % 28 + 1).cast("int"),
-                         F.lit(6), F.lit(0), F.lit(0)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    day = F.lpad((key % 28 + 1).cast("string"), 2, "0")
+    last = F.concat(F.lit("2024-01-"), day, F.lit("T06:00:00Z"))
     table(spark, sf_dir, "customer").select(
         key.alias("id"),
         F.col("c_name").alias("name"),

@@ -80,6 +80,23 @@ def test_shuffled_lookup_equals_broadcast(spark, rows, monkeypatch):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+@pytest.mark.parametrize("limit", [sizing.BROADCAST_BYTES, -1])
+def test_row_level_operators_either_way(spark, where, rows, monkeypatch, limit):
+    """The same rows whether lookups are broadcast or shuffled."""
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(sizing, "HOT_KEYS", 1)
+    sensors = [1] * 6 + [3, 7, 8, 9]
+    data = [(s, STAMP + dt.timedelta(hours=i), 1.0) for i, s in enumerate(sensors)]
+    df = spark.createDataFrame(data, "sensor_id long, datetime_utc timestamp_ntz, value double")
+    placed = enrich(df, where)
+    assert rows(placed.select("sensor_id", *COLUMNS).distinct()) == sorted(
+        ((s, *place) for s, place in PLACES.items()), key=lambda r: str(r[0])
+    )
+    assert placed.count() == len(data)
+    listed = spark.createDataFrame([("Ohio",), ("Utah",), ("Ohio",)], "state string")
+    assert filters.filter_state(placed, listed).count() == 7
+
+
 def test_measured_bytes_follow_text(spark):
     short = spark.createDataFrame([("a",)], "x string")
     long = spark.createDataFrame([("a" * 1000,)], "x string")
