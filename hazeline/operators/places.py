@@ -50,7 +50,8 @@ def _attach(df: DataFrame, where: Directory, join) -> DataFrame:
             df = df.withColumns({"is_fallback": unmapped, "location_id": location_id})
     state = F.coalesce(F.col("state"), F.lit(UNKNOWN))
     unnamed = F.concat(F.lit("Location "), F.col("location_id").cast("string"))
-    city = F.coalesce(F.col("city"), unnamed)
+    # Never null, so that joins on it put no filter below shared partials.
+    city = F.coalesce(F.col("city"), unnamed, F.lit(UNKNOWN))
     full = F.concat_ws(", ", city, state)
     return df.withColumns(
         {

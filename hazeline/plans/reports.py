@@ -49,7 +49,6 @@ SITE = ["location_id", "location_name", "latitude", "longitude"]
 
 # Columns reports group by, made from a measurement row.
 DERIVED = {
-    "date": lambda: F.to_date("datetime_utc"),
     "calendar_month": lambda: F.month("datetime_utc"),
     "day_type": lambda: day_type(F.to_date("datetime_utc")),
     "category": lambda: categories.long_label(F.col("value")),
@@ -82,14 +81,14 @@ class Scope:
     def _in_cube(self, keys) -> bool:
         return self.cube is not None and set(keys) <= set(self.cube.columns)
 
-    def by_place(self, *keys: str, at_least: float | None = None) -> DataFrame:
+    def by_place(self, *keys: str) -> DataFrame:
         """Partials by keys and place, or finer, inside the selection.
 
         From rows they are by sensor: places are joined after rows have shrunk.
         """
-        if at_least is None and self._in_cube(keys):
+        if self._in_cube(keys):
             return self.cube
-        rows = filter_threshold(self.rows(*keys), at_least)
+        rows = self.rows(*keys)
         stored = [c for c in ("latitude", "longitude") if c in rows.columns]
         placed = attach_to_sensors(partials(rows, "sensor_id", *stored, *keys), self.where)
         return select_places(placed, self.selection)
@@ -224,13 +223,16 @@ def trend_daily(scope: Scope, selected: Sequence[str] = ()) -> DataFrame:
     Selected cities are taken in the order of selection. A city name found in
     two states gives two lines.
     """
-    daily = scope.by_place("date")
+    # A sensor has about one row a day, so rows do not shrink by sensor and day.
+    # They meet the lookups first, and shrink to the days of a city's sites.
+    placed = filter_all(scope.df, scope.where, scope.selection)
+    daily = partials(placed, "city", "location_name", "date")
     if selected:
         shown = daily.where(F.col("city").isin(list(selected)[:TREND_CITIES]))
     else:
-        # Ranked from the same daily partials, so rows are read once. The
-        # broadcast has TREND_CITIES rows at most.
-        shown = daily.join(F.broadcast(_top_cities(daily)), "city", "left_semi")
+        # Ranked from the same daily partials, so rows are read once; a semi
+        # join would sink below them. TREND_CITIES rows at most, all different.
+        shown = daily.join(F.broadcast(_top_cities(daily).select("city")), "city")
     lines = partials(shown, "date", "location_name")
     return lines.select("date", "location_name", mean().alias("avg_pm25"))
 
@@ -263,7 +265,9 @@ def aqi_rollup(scope: Scope) -> DataFrame:
 
 def extreme_summary(scope: Scope, threshold: float = EXTREME_FROM) -> DataFrame:
     """How many locations and days reached the threshold, and the peak."""
-    events = partials(scope.by_place("date", at_least=threshold), "location_id", "date")
+    extreme = filter_threshold(scope.df, threshold)
+    placed = filter_all(extreme, scope.where, scope.selection)
+    events = partials(placed, "location_id", "date")
     return events.agg(
         F.countDistinct("location_id").alias("num_locations"),
         F.countDistinct("date").alias("num_days"),
