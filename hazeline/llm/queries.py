@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import curriculum, license_scan, quality_rules, sharding
+from hazeline.llm import (
+    curriculum,
+    decontaminate,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    pii,
+    quality_gbt,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+)
 from hazeline.llm.oracle import ORACLE
 from hazeline.llm.store import table
 
@@ -54,3 +65,57 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"))
+
+
+@register
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = quality_gbt.classify(docs, labels, keep=["doc_id"])
+    return found.select("doc_id", quality_gbt.held_out().alias("held_out"), "score", "predicted")
+
+
+@register
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.digests(docs, line_dedup.keep_bitmaps(docs))
+
+
+@register
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near",
+    )
+
+
+@register
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def joined(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return pii.find(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *[
+            F.size(F.array_remove(F.transform("base", lambda s: s["kind"] == F.lit(kind)), False)).cast("long").alias(f"n_{kind}")
+            for kind in pii.BASE
+        ],
+        F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
+@register
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_groups(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffix_dedup.digests(docs, suffix_dedup.repeated_spans(docs))
