@@ -108,7 +108,7 @@ def _fresh(classes: np.ndarray, seen: set[int]) -> list[int]:
 
 
 def class_table(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, n_shingles, cls for each row of ``docs``; and the rank of each cell of hashes.
+    """doc_id, row, n_shingles, cls for each row of ``docs``; and the rank of each cell of hashes.
 
     The ranks come from counts over all texts (copies within a task once): 0 at the
     level of chance, else the logarithm of what stands above it.
@@ -117,19 +117,20 @@ def class_table(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, np.ndarray]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.empty()
-        names = ["doc_id", "n_shingles", "cls", "part", "counts"]
+        names = ["doc_id", "row", "n_shingles", "cls", "part", "counts"]
         ids, seen = None, set()
         for batch in batches:
             ids = batch.column(0).type
-            for chunk in buffers.chunks(batch.column(1)):
+            for chunk in buffers.chunks(batch.column(2)):
                 sets, classes = shingle_sets(chunk, k)
                 new = [sets[i] for i in _fresh(classes, seen)]
                 if new:
-                    counts += np.bincount(sketch.cells_of(np.concatenate(new)), minlength=len(counts))
+                    sketch.count(counts, np.concatenate(new))
                 n = len(chunk)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(chunk.first, n),
+                        batch.column(1).slice(chunk.first, n),
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array(classes),
                         pa.nulls(n, pa.int32()),
@@ -142,26 +143,30 @@ def class_table(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, np.ndarray]
             packed = sketch.packed(counts)
             n = len(packed)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, ids), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+                [pa.nulls(n, ids), *[pa.nulls(n, pa.int64())] * 3,
                  pa.array(range(n), pa.int32()), pa.array(packed, pa.binary())],
                 names,
             )
 
     both = written(
-        docs.select("doc_id", "text").mapInArrow(
-            read, f"doc_id {kind}, n_shingles long, cls long, part int, counts binary"
+        docs.select("doc_id", F.xxhash64("doc_id", "text"), "text").mapInArrow(
+            read, f"doc_id {kind}, row long, n_shingles long, cls long, part int, counts binary"
         ),
         "classes",
     )
     counts = sketch.summed(both.where("part is not null"))
     ranks = np.ceil(np.log2(np.maximum(counts - counts.mean(), 2)))
-    ranks = np.where(sketch.above_chance(counts, 32), ranks, 0)
-    classes = both.where("part is null").select("doc_id", "n_shingles", "cls")
+    ranks = np.where(sketch.above_chance(counts, 16), ranks, 0)
+    classes = both.where("part is null").select("doc_id", "row", "n_shingles", "cls")
     return classes, np.minimum(ranks, (1 << _RANK_BITS) - 1).astype(np.uint8)
 
 
 def prefix_table(docs: DataFrame, ranks: np.ndarray, threshold: Fraction, k: int = WORDS) -> DataFrame:
-    """token, cls, n, place: the prefix shingles of each class that other classes have there too."""
+    """token, cls, n, place, met: the prefix shingles of each class that other classes have there too.
+
+    ``met`` are the classes of the token, or more than a pair bucket holds where the
+    token is so frequent that its rows are dealt out by class as well.
+    """
     packed = zlib.compress(ranks.tobytes())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +199,8 @@ def prefix_table(docs: DataFrame, ranks: np.ndarray, threshold: Fraction, k: int
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = tokens.repartition(parts, "token", "salt").dropDuplicates(["token", "salt", "cls"])
     met = F.count(F.lit(1)).over(Window.partitionBy("token", "salt"))
-    return dealt.withColumn("met", met).where((F.col("met") > 1) | (rank > _SALT_RANK)).drop("met", "salt")
+    met = F.when(rank > _SALT_RANK, F.lit(PAIR_BUCKET + 1)).otherwise(met)
+    return dealt.withColumn("met", met).where("met > 1").drop("salt")
 
 
 def _required(threshold: Fraction, a: Column, b: Column) -> Column:
@@ -204,7 +210,10 @@ def _required(threshold: Fraction, a: Column, b: Column) -> Column:
 
 
 def candidate_pairs(prefixes: DataFrame, threshold: Fraction) -> DataFrame:
-    """a, b, n_a, n_b: pairs that share a prefix shingle and whose sizes and places allow a link."""
+    """a, b, n_a, n_b: pairs that share a prefix shingle and whose sizes and places allow a link.
+
+    ``a`` is the smaller set, or of equal ones that of the smaller class.
+    """
     p, q = threshold.numerator, threshold.denominator
     member = F.struct("n", "cls", "place")
     groups = prefixes.groupBy("token").agg(F.sort_array(F.collect_list(member)).alias("g"))
@@ -218,10 +227,7 @@ def candidate_pairs(prefixes: DataFrame, threshold: Fraction) -> DataFrame:
         return F.transform(
             rest,
             lambda y: F.struct(
-                F.least(x["cls"], y["cls"]).alias("a"),
-                F.greatest(x["cls"], y["cls"]).alias("b"),
-                F.when(x["cls"] < y["cls"], x["n"]).otherwise(y["n"]).alias("n_a"),
-                F.when(x["cls"] < y["cls"], y["n"]).otherwise(x["n"]).alias("n_b"),
+                x["cls"].alias("a"), y["cls"].alias("b"), x["n"].alias("n_a"), y["n"].alias("n_b")
             ),
         )
 
@@ -246,7 +252,8 @@ def fragments(
 ) -> DataFrame:
     """cls, fragment, shingles of the given classes: the first fragment, the others, or (None) whole sets.
 
-    Fragments without shingles are left out; a whole set is fragment 0.
+    Fragments without shingles are left out; a whole set is fragment 0. A few other
+    classes may come too. Rows are partitioned by class and fragment.
     """
     packed, wanted = zlib.compress(ranks.tobytes()), _class_filter(classes)
     shift = _U(_HASH_BITS - (FRAGMENTS - 1).bit_length())
@@ -279,41 +286,35 @@ def fragments(
             seen.clear() if len(seen) > 1 << 20 else None
 
     found = docs.select("text").mapInArrow(read, "cls long, fragment int, shingles array<long>")
-    asked = found.join(classes.select(F.col("cls").alias("asked")), F.col("cls") == F.col("asked"), "left_semi")
-    return asked.dropDuplicates(["cls", "fragment"])
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return found.repartition(parts, "cls", "fragment").dropDuplicates(["cls", "fragment"])
 
 
-def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs with each fragment of ``a``, what ``b`` shares of it, and how much either has there."""
+def _overlaps(pairs: DataFrame, parts: DataFrame, which: list[int]) -> DataFrame:
+    """Of each pair and fragment that both have: what they share there, and how much either has."""
     left = parts.select(F.col("cls").alias("a"), "fragment", F.col("shingles").alias("x"))
     right = parts.select(F.col("cls").alias("b"), "fragment", F.col("shingles").alias("y"))
-    met = pairs.join(left, "a").join(right, ["b", "fragment"])
-    return met.select(
-        "a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("part"),
-        F.size("x").alias("in_a"), F.size("y").alias("in_b"),
-    )
+    asked = pairs.select("a", "b", F.explode(F.array(*map(F.lit, which))).alias("fragment"))
+    return asked.join(left, ["a", "fragment"]).join(right, ["b", "fragment"]).select(
+        "a", "b", F.size(F.array_intersect("x", "y")).alias("part"), F.size("x").alias("in_a"), F.size("y").alias("in_b")
+    )
 
 
 def verified(docs: DataFrame, pairs: DataFrame, ranks: np.ndarray, threshold: Fraction, k: int = WORDS) -> DataFrame:
     """a, b, shared of the pairs that are similar, by partial overlaps of fragments."""
 
     def both(df: DataFrame) -> DataFrame:
-        return df.select(F.col("a").alias("cls")).union(df.select("b")).distinct()
-
-    heads = written(fragments(docs, written(both(pairs), "asked"), ranks, True, k), "heads")
-    counts = heads.select("cls", F.size("shingles").alias("in_head"))
-    met = _overlaps(pairs, heads).select("a", "b", "part")
-    known = (
-        pairs.join(met, ["a", "b"], "left")
-        .join(counts.withColumnsRenamed({"cls": "a", "in_head": "in_a"}), "a", "left")
-        .join(counts.withColumnsRenamed({"cls": "b", "in_head": "in_b"}), "b", "left")
-        .na.fill(0, ["part", "in_a", "in_b"])
-        .withColumn("shared", F.col("part") + F.least(F.col("n_a") - F.col("in_a"), F.col("n_b") - F.col("in_b")))
-    )
+        return df.select(F.col("a").alias("cls")).union(df.select("b"))
+
+    met = _overlaps(pairs, fragments(docs, both(pairs), ranks, True, k), [0])
+    # what is outside the first fragment may all be shared
+    known = pairs.join(met, ["a", "b"], "left").na.fill(0, ["part", "in_a", "in_b"])
+    most = F.col("part") + F.least(F.col("n_a") - F.col("in_a"), F.col("n_b") - F.col("in_b"))
     possible = _required(threshold, F.col("n_a"), F.col("n_b"))
-    left = written(known.where(possible).select("a", "b", "n_a", "n_b", "part"), "left")
-    rest = fragments(docs, written(both(left), "asked"), ranks, False, k)
-    sums = _overlaps(left.drop("part"), written(rest, "rest")).groupBy("a", "b").agg(F.sum("part").alias("more"))
+    left = known.withColumn("shared", most).where(possible).select("a", "b", "n_a", "n_b", "part")
+    left = written(left, "left")
+    rest = _overlaps(left, fragments(docs, both(left), ranks, False, k), list(range(1, FRAGMENTS + 1)))
+    sums = rest.groupBy("a", "b").agg(F.sum("part").alias("more"))
     total = left.join(sums, ["a", "b"], "left").withColumn(
         "shared", F.col("part") + F.coalesce("more", F.lit(0))
     )
@@ -341,12 +342,20 @@ def block_links(
 ) -> DataFrame:
     """a, b: links among the classes of crowded prefix buckets, enough to connect what is similar there.
 
-    The classes of a shingle are dealt into blocks by hash; each pair of blocks is a
+    Shingles of one passage crowd the same classes. Each shingle is led by the smallest
+    crowded shingle that any of its classes has, and classes meet under their leaders.
+    The classes of a leader are dealt into blocks by hash; each pair of blocks is a
     group of its own, compared as matrices slice by slice of the global order.
     """
     p, q = threshold.numerator, threshold.denominator
+    least = crowded.groupBy("cls").agg(F.min("token").alias("least"))
+    leaders = crowded.join(least, "cls").groupBy("token").agg(F.min("least").alias("leader"))
+    crowded = (
+        crowded.join(leaders, "token").select(F.col("leader").alias("token"), "cls", "n").dropDuplicates(["token", "cls"])
+    )
+    crowded = written(crowded, "led")
     sizes = crowded.groupBy("token").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    sets = fragments(docs, crowded.select("cls").distinct(), ranks, None, k).select("cls", "shingles")
+    sets = fragments(docs, crowded.select("cls"), ranks, None, k).select("cls", "shingles")
     rows = (
         crowded.join(sizes, "token")
         .withColumn("x", F.pmod(F.xxhash64("cls", "token"), F.col("blocks")).cast("int"))
@@ -386,10 +395,11 @@ def block_links(
 
 
 def link_groups(docs: DataFrame, threshold: Fraction = THRESHOLD, k: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id, one row per row of ``docs``.
+    """doc_id, n_shingles, component_id, class_id, root, row, one row per row of ``docs``.
 
     ``component_id`` is the smallest doc_id among the rows that links reach, the row
-    itself included; ``class_id`` tells rows with equal sets. Rows without words,
+    itself included; ``class_id`` tells rows with equal sets, ``root`` components, and ``row`` is
+    a hash of id and text. Rows without words,
     null and empty texts, have 0 shingles, no class and link with nothing; a text
     of fewer than ``k`` words is one shingle. Null ids never name a component unless
     it has no other. Repeated rows link with each other; an empty table gives an
@@ -397,21 +407,38 @@ def link_groups(docs: DataFrame, threshold: Fraction = THRESHOLD, k: int = WORDS
     """
     rows, ranks = class_table(docs, k)
     prefixes = written(prefix_table(docs, ranks, threshold, k), "prefixes")
-    crowd = prefixes.groupBy("token").agg(F.count(F.lit(1)).alias("met"))
-    few = prefixes.join(crowd.where(F.col("met").between(2, PAIR_BUCKET)), "token", "left_semi")
-    many = prefixes.join(crowd.where(F.col("met") > PAIR_BUCKET), "token", "left_semi")
-    pairs = written(candidate_pairs(few, threshold), "pairs")
+    pairs = written(candidate_pairs(prefixes.where(F.col("met") <= PAIR_BUCKET), threshold), "pairs")
     links = verified(docs, pairs, ranks, threshold, k).select("a", "b")
-    crowded = written(many, "crowded")
+    crowded = prefixes.where(F.col("met") > PAIR_BUCKET)
     if not crowded.isEmpty():
         links = links.union(block_links(docs, crowded, ranks, threshold, k))
     roots = components(links).withColumnRenamed("node", "cls")
     rooted = rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    names = rooted.groupBy("root").agg(F.min("doc_id").alias("least"))
+    names = rooted.groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("least"))
     alone = F.col("n_shingles") == 0
-    return rooted.join(names, "root").select(
+    return rooted.join(names, F.col("root") == F.col("of")).select(
         "doc_id",
         "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
         F.when(~alone, F.col("cls")).alias("class_id"),
+        F.when(~alone, F.col("root")).alias("root"),
+        "row",
+    )
+
+
+def one_of_each(docs: DataFrame, threshold: Fraction = THRESHOLD, k: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` without all but one of each linked group.
+
+    The smallest id stays; among rows of that id, or without ids, one by a hash.
+    Rows without words all stay.
+    """
+    groups = written(link_groups(docs, threshold, k), "groups")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    best = groups.where("root is not null").groupBy("root").agg(F.min(first).alias("best"))
+    kept = best.select(F.col("best.row").alias("of"))
+    named = docs.withColumn("__row", F.xxhash64("doc_id", "text")).withColumn(
+        "__empty", ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     )
+    empty = named.where("__empty").select(*docs.columns)
+    rest = named.where("not __empty").dropDuplicates(["__row"])
+    return rest.join(kept, F.col("__row") == F.col("of"), "left_semi").select(*docs.columns).union(empty)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CELL_BITS, PART_BITS = 20, 14
+CELL_BITS, PART_BITS = 22, 16
 _U = np.uint64
 
 
@@ -18,12 +18,25 @@ def cells_of(hashes: np.ndarray) -> np.ndarray:
 
 
 def empty() -> np.ndarray:
-    return np.zeros(1 << CELL_BITS, np.int64)
+    return np.zeros(1 << CELL_BITS, np.int32)
+
+
+def count(counts: np.ndarray, hashes: np.ndarray) -> None:
+    """Add hashes to the cells."""
+    np.add.at(counts, cells_of(hashes), np.int32(1))
 
 
 def packed(counts: np.ndarray) -> list[bytes]:
     """The cells in parts, so that no task has to add up all of them."""
-    return [zlib.compress(x.tobytes(), 1) for x in counts.reshape(-1, 1 << PART_BITS)]
+    kind = np.uint8 if counts.max() < 256 else np.int32
+    return [
+        np.dtype(kind).char.encode() + zlib.compress(x.astype(kind).tobytes(), 1)
+        for x in counts.reshape(-1, 1 << PART_BITS)
+    ]
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data[1:]), data[:1].decode()).astype(np.int64)
 
 
 def summed(parts: DataFrame) -> np.ndarray:
@@ -33,17 +46,17 @@ def summed(parts: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for at, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = np.frombuffer(zlib.decompress(data.as_py()), np.int64)
+                found = _unpacked(data.as_py())
                 sums[at] = sums[at] + found if at in sums else found
-        blocks = [zlib.compress(x.tobytes(), 1) for x in sums.values()]
+        blocks = [b"l" + zlib.compress(x.tobytes(), 1) for x in sums.values()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int32()), pa.array(blocks, pa.binary())], ["part", "counts"]
         )
 
-    total = empty().reshape(-1, 1 << PART_BITS)
+    total = np.zeros((1 << (CELL_BITS - PART_BITS), 1 << PART_BITS), np.int64)
     dealt = parts.select("part", "counts").repartition(len(total), "part")
     for row in dealt.mapInArrow(add, "part int, counts binary").collect():
-        total[row["part"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+        total[row["part"]] = _unpacked(bytes(row["counts"]))
     return total.ravel()
 
 

@@ -112,7 +112,7 @@ def crowded_cells(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd
             for chunk in buffers.chunks(batch.column(0)):
                 *_, print_, context = choose(chunk, length, gram)
                 _, once = np.unique(context, return_index=True)
-                counts += np.bincount(sketch.cells_of(print_[once]), minlength=len(counts))
+                sketch.count(counts, print_[once])
         blocks = sketch.packed(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())], ["part", "counts"]
