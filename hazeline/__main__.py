@@ -13,21 +13,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.operators.filters import SCENARIO_THRESHOLDS, requested_locations
-from hazeline.operators.merge import latest_per_sensor, upsert_signal
+from hazeline.functions.numbers import to_id
+from hazeline.functions.text import region_overrides
+from hazeline.operators.merge import (
+    latest_per_sensor,
+    signal_windows,
+    upsert_metadata,
+    upsert_signal,
+)
 from hazeline.operators.places import Directory
 from hazeline.plans import ingest
 from hazeline.plans.loading import Selection
-from hazeline.plans.reports import Scope
+from hazeline.plans.reports import TREND_CITIES, Scope
 from hazeline.plans.suite import REPORTS, run_suite
-from hazeline.schemas import SIGNAL
+from hazeline.schemas import SENSOR_METADATA, SIGNAL
 from hazeline.session import tune
 from hazeline.sources.dimensions import read_coords, read_locations, read_sensor_map
 from hazeline.sources.exports import export_by_sensor, export_counts
-from hazeline.sources.landing import read_location_pages, read_page_stream
+from hazeline.sources.landing import (
+    broken_lines,
+    read_location_pages,
+    read_page_stream,
+    read_sensor_pages,
+)
 from hazeline.sources.tables import FactTable, SnapshotTable, ensure_tables, scan_parameter
 from hazeline.streaming import jobs
 
 
+# Where reading starts for a sensor without a mark.
+DEFAULT_MARK = dt.datetime(2024, 1, 1)
+
+
 def _date(text: str) -> dt.date:
     return dt.date.fromisoformat(text)
 
@@ -46,10 +62,15 @@ def _arguments() -> argparse.ArgumentParser:
         job.add_argument("--location-ids", help="comma-separated ids instead of the CSV's")
         job.add_argument("--start", default=ingest.DEFAULT_START)
         job.add_argument("--end")
-        if name != "stream":
+        job.add_argument("--merge-map", action="store_true", help="keep map entries of other sensors")
+        if name == "stream":
+            job.add_argument("--source", default="stream", help="name of the stream in the table")
+        else:
             job.add_argument("--batch", required=True, help="name; a rerun replaces itself")
     report = sub.add_parser("report", help="write all reports as small tables")
     report.add_argument("--out", required=True)
+    report.add_argument("--parameter", default="pm25")
+    report.add_argument("--cities", type=int, default=TREND_CITIES, help="cities in the trend")
     report.add_argument("--start", type=_date)
     report.add_argument("--end", type=_date)
     report.add_argument("--state", action="append", default=[])
@@ -57,6 +78,14 @@ def _arguments() -> argparse.ArgumentParser:
     report.add_argument("--scenario", choices=list(SCENARIO_THRESHOLDS))
     report.add_argument("--only", action="append", choices=list(REPORTS))
     sub.add_parser("signal", help="set each sensor's mark to its latest time")
+    windows = sub.add_parser("windows", help="where to start reading for each mapped sensor")
+    windows.add_argument("--out", required=True)
+    windows.add_argument("--default-start", type=dt.datetime.fromisoformat, default=DEFAULT_MARK)
+    metadata = sub.add_parser("metadata", help="update sensor metadata from landed records")
+    metadata.add_argument("--pages", required=True, help="landed sensor records")
+    metadata.add_argument("--regions", default="", help="overrides, as 3:North,8:South")
+    compact = sub.add_parser("compact", help="rewrite months of the fact table")
+    compact.add_argument("--month", action="append", required=True, help="yyyy-MM")
     export = sub.add_parser("export", help="CSV files by sensor")
     export.add_argument("--out", required=True)
     return parser
@@ -74,7 +103,7 @@ def _ingest(spark: SparkSession, args, facts: FactTable) -> DataFrame | None:
     known = read_locations(spark, args.locations) if args.locations else None
     pages = read_location_pages(spark, args.location_pages)
     if known is None:
-        known = pages.select(F.col("id").alias("location_id"))
+        known = pages.select(to_id(F.col("id")).alias("location_id")).dropna()
     requested = requested_locations(spark, args.location_ids, known)
     coords = read_coords(spark, args.coords) if args.coords else None
     if args.job == "stream":
@@ -84,6 +113,7 @@ def _ingest(spark: SparkSession, args, facts: FactTable) -> DataFrame | None:
             facts,
             f"{args.root}/stage",
             f"{args.root}/checkpoint",
+            args.source,
             ingest.requested_sensors(pages, requested),
             coords,
             start=args.start,
@@ -103,9 +133,25 @@ def _ingest(spark: SparkSession, args, facts: FactTable) -> DataFrame | None:
         args.start,
         args.end,
         f"{args.root}/sensor_map",
+        merge_map=args.merge_map,
     )
 
 
+def _update_metadata(spark: SparkSession, args) -> int:
+    """New snapshot of the metadata; returns the number of broken lines."""
+    pages = read_sensor_pages(spark, args.pages)
+    overrides = region_overrides(spark, args.regions)
+    records = ingest.sensor_metadata_records(pages, overrides)
+    table = SnapshotTable(spark, f"{args.root}/sensor_metadata", SENSOR_METADATA)
+    records = records.withColumn("arrival", F.monotonically_increasing_id())
+    table.replace(upsert_metadata(table.read(), records, _now(), arrival="arrival"))
+    return broken_lines(pages).count()
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
     spark = tune(SparkSession.builder.appName(f"hazeline {args.job}").getOrCreate())
@@ -118,14 +164,22 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "report":
         threshold = SCENARIO_THRESHOLDS[args.scenario] if args.scenario else None
         selection = Selection(args.start, args.end, args.state, args.city, threshold)
-        rows = scan_parameter(facts.read())
+        rows = scan_parameter(facts.read(), args.parameter)
         scope = Scope(rows, _directory(spark, args), selection)
-        run_suite(spark, scope, args.out, args.only or tuple(REPORTS))
+        run_suite(spark, scope, args.out, args.only or tuple(REPORTS), trend_cities=args.cities)
     elif args.job == "signal":
         signal = SnapshotTable(spark, f"{args.root}/signal_table", SIGNAL)
         latest = latest_per_sensor(facts.read())
-        now = dt.datetime.now(dt.timezone.utc)
-        signal.replace(upsert_signal(signal.read(), latest, now))
+        signal.replace(upsert_signal(signal.read(), latest, _now()))
+    elif args.job == "windows":
+        signal = SnapshotTable(spark, f"{args.root}/signal_table", SIGNAL)
+        sensors = read_sensor_map(spark, f"{args.root}/sensor_map")
+        starts = signal_windows(signal.read(), sensors, args.default_start)
+        starts.write.mode("overwrite").parquet(args.out)
+    elif args.job == "metadata":
+        print(f"broken lines: {_update_metadata(spark, args)}")
+    elif args.job == "compact":
+        facts.compact(args.month)
     elif args.job == "export":
         rows = facts.read().drop("created_at", "month", "batch")
         export_by_sensor(rows, args.out)

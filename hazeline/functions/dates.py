@@ -11,18 +11,20 @@ _MONTH_NAME = (
     r"|sept?(ember)?|oct(ober)?|nov(ember)?|dec(ember)?)"
 )
 # The date shapes that are read, with an optional time of day and zone.
-_TIME = r"([T ]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([+-]\d{2}:?\d{2}|UTC|GMT)?)?$"
+_TIME = r"([T ]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([ap]m)?\s*([+-]\d{2}:?\d{2}|UTC|GMT)?)?$"
 _SHAPES = [
     r"\d{4}-\d{1,2}-\d{1,2}",
     r"\d{4}/\d{1,2}/\d{1,2}",
-    r"\d{1,2}/\d{1,2}/\d{4}",
-    r"\d{1,2}-\d{1,2}-\d{4}",
+    r"\d{8}",
+    r"\d{1,2}/\d{1,2}/(\d{4}|\d{2})",
+    r"\d{1,2}-\d{1,2}-(\d{4}|\d{2})",
     _MONTH_NAME + r"\.? +\d{1,2},? +\d{4}",
     r"\d{1,2} +" + _MONTH_NAME + r"\.?,? +\d{4}",
 ]
 _READABLE = "(?i)^(" + "|".join(_SHAPES) + ")" + _TIME
 # Fractions of a second and the zone end a text and are dropped.
-_TAIL = r"(?<=:\d{2})(\.\d+)?\s*([+-]\d{2}:?\d{2}|UTC|GMT|utc|gmt)?$"
+_TAIL = r"(?i)(?<=:\d{2})(\.\d+)?\s*([ap]m)?\s*([+-]\d{2}:?\d{2}|UTC|GMT)?$"
+_HALF = r"(?i)\d\s*([ap])m\b"
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -35,15 +37,20 @@ def _bind(value: Column, use) -> Column:
 def parse_date_text(value: Column) -> Column:
     """Free-form date text to a timestamp without zone; null if unreadable.
 
-    Month comes before day unless that is impossible (``13/1/2020``). An
-    offset is dropped, not applied: the clock reading is what counts.
+    Month comes before day unless that is impossible (``13/1/2020``). A year of
+    two digits is the nearest one, up to 68 in this century. An offset is dropped,
+    not applied: the clock reading is what counts.
     """
     text = F.trim(value)
     readable = F.when(text.rlike(_READABLE), F.regexp_replace(text, _TAIL, ""))
-    return _bind(F.split(readable, r"[-/,.: ]+|(?<=\d)T(?=\d)"), _from_parts)
+    readable = F.regexp_replace(readable, r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3")
+    half = F.lower(F.regexp_extract(text, _HALF, 1))
+    return _bind(
+        F.split(readable, r"[-/,.: ]+|(?<=\d)T(?=\d)"), lambda parts: _from_parts(parts, half)
+    )
 
 
-def _from_parts(parts: Column) -> Column:
+def _from_parts(parts: Column, half: Column) -> Column:
     def number(index):
         return F.get(parts, F.lit(index)).try_cast("int")
 
@@ -54,9 +61,12 @@ def _from_parts(parts: Column) -> Column:
     first, second, third = number(0), number(1), number(2)
     year_first = first > 31
     swap = (first > 12) & (second <= 12)
-    clock = [F.coalesce(number(index), F.lit(0)) for index in (3, 4, 5)]
+    hour, *rest = [F.coalesce(number(index), F.lit(0)) for index in (3, 4, 5)]
+    twelve = (F.when(hour.between(1, 12), hour % 12)) + F.when(half == "p", 12).otherwise(0)
+    clock = [F.when(half.isin("a", "p"), twelve).otherwise(hour), *rest]
 
     def stamp(year, month_number, day):
+        year = F.when(year < 69, year + 2000).when(year < 100, year + 1900).otherwise(year)
         return F.try_make_timestamp_ntz(year, month_number, day, *clock)
 
     return (

@@ -1,16 +1,10 @@
-"""Numbers: coercion, stable means, half-even rounding, display text."""
+"""Numbers: coercion, means, half-even rounding, display text."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A sum of doubles depends on the order in which tasks finish. Values are summed
-# as whole numbers instead: units and millionths apart, so that neither sum can
-# overflow. A rerun, or a lost executor, then gives the same mean.
-MILLION = 1_000_000
-
-
 def no_nan(value: Column) -> Column:
     """NaN counts as missing: it would pass ``>=`` filters and poison means.
 
@@ -39,24 +33,12 @@ def to_id(text: Column) -> Column:
     return F.coalesce(trimmed.try_cast("bigint"), whole)
 
 
-def whole_part(value: Column) -> Column:
-    return F.floor(value)
-
-
-def millionths(value: Column) -> Column:
-    """What lies above the whole part, from 0 to a million."""
-    return F.floor((value - F.floor(value)) * MILLION + 0.5)
+def mean_of(total: Column, n: Column) -> Column:
+    """Mean from a sum of doubles and a count; null if there is no value.
 
-
-def mean_of(whole: Column, millionth: Column, n: Column) -> Column:
-    """Mean to six places from both sums; null if there is no value."""
-    total = whole.cast("decimal(20,0)") * F.lit(MILLION) + millionth.cast("decimal(20,0)")
-    return F.round(F.try_divide(total, n.cast("decimal(20,0)")), 0).cast("double") / MILLION
-
-
-def exact_mean(value: Column) -> Column:
-    """Aggregate: the mean of a column, the same in any order of its rows."""
-    return mean_of(F.sum(whole_part(value)), F.sum(millionths(value)), F.count(value))
+    It is not rounded: labels, bands and displayed digits follow from all of it.
+    """
+    return F.try_divide(total, n)
 
 
 def half_even(value: Column, places: int = 1) -> Column:

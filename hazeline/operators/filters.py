@@ -40,23 +40,6 @@ def filter_date(
     return df
 
 
-def chosen_dates(choice, default_start: dt.date, default_end: dt.date):
-    """Start and end from what a date control returned.
-
-    A pair is taken as it is, a pair still lacking its end runs to the last
-    day, one lone date means that day, nothing means all days.
-    """
-    if choice is None:
-        return default_start, default_end
-    if isinstance(choice, (tuple, list)):
-        if len(choice) == 2:
-            return choice[0], choice[1]
-        if len(choice) == 1:
-            return choice[0], default_end
-        return default_start, default_end
-    return choice, choice
-
-
 def filter_in(df: DataFrame, column: str, chosen: Sequence | DataFrame | None) -> DataFrame:
     """Rows whose column is among the chosen values; no choice keeps all.
 

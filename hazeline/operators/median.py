@@ -1,4 +1,4 @@
-"""Exact medians without gathering a group in one task."""
+"""Exact medians of a few very large groups."""
 
 from __future__ import annotations
 
@@ -6,66 +6,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Cells per unit of value in each narrowing step. Powers of two, so that the
-# scaling is exact and cells keep the order of the values.
-CELL_SCALES = [64]
+# One in so many rows is the error of the sketch that brackets the middle.
+ACCURACY = 100_000
 
 
-def count_values(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """Rows per distinct value, as ``n``; a missing value is counted too."""
-    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+def exact_median(rows: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+    """Median by keys, for few groups of any size and any distribution of values.
 
-
-def exact_median(counted: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """Median of counted values by keys, for few but very large groups.
-
-    Equal values are one row by now. Each step counts cells of the value range
-    and keeps only the cells that hold the middle rows; just the values inside
-    the last such cells are sorted. No task sees more than the cells of one
-    group, or the values of one cell.
+    A sketch of each group, merged from all tasks, gives two values that surely
+    enclose the middle. Rows below them are only counted; those between, about one
+    in ten thousand, and however many are equal, are counted by value and ranked.
+    So a second reading replaces a shuffle of the rows, and no task ranks more
+    than that small part of a group.
     """
-    # A missing value weighs nothing. It is not filtered out, as a filter would
-    # sink below the counts and keep other readers from sharing them.
-    weight = F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)
-    counted = counted.select(*keys, value, weight.alias("_n"))
-    path = []
-    for level, scale in enumerate(CELL_SCALES):
-        path.append(f"_cell{level}")
-        counted = counted.withColumn(
-            path[-1], F.coalesce(F.floor(F.col(value) * scale), F.lit(0))
-        )
-    path.append(value)
-
-    cells = counted.groupBy(*keys, path[0]).agg(F.sum("_n").alias("_n"))
-    group = Window.partitionBy(*keys)
-    total = F.sum("_n").over(group)
-    # 1-based ranks of the middle rows; one and the same if the count is odd.
-    ranked = cells.withColumn("_before", _count_before(group, path[0])).withColumn("_total", total)
-    middle = F.expr(
-        "filter(array_distinct(array((_total + 1) div 2, _total div 2 + 1)),"
-        " r -> r > _before and r <= _before + _n)"
+    slack = 5 / ACCURACY
+    present = rows.where(F.col(value).isNotNull())
+    sketched = present.groupBy(*keys).agg(
+        F.percentile_approx(value, [0.5 - slack, 0.5 + slack], ACCURACY).alias("_bracket"),
+        F.count(F.lit(1)).alias("_total"),
+    )
+    # One row per group, and groups are few.
+    near = present.join(F.broadcast(sketched), keys)
+    low, high = F.col("_bracket")[0], F.col("_bracket")[1]
+    near = near.where(F.col(value) <= high)
+    # All that lies below the bracket is one row, which sorts first.
+    counted = near.groupBy(*keys, "_total", F.when(F.col(value) >= low, F.col(value)).alias("_value"))
+    counted = counted.agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*keys).orderBy(F.col("_value").asc_nulls_first())
+    ranked = counted.withColumn(
+        "_upto", F.sum("_n").over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    wanted = ranked.select(*keys, path[0], F.explode(middle).alias("_rank"), "_before")
-
-    for depth in range(1, len(path)):
-        settled, finer = path[:depth], path[depth]
-        # At most two rows per group are wanted, so the broadcast is tiny.
-        inside = counted.join(F.broadcast(wanted), [*keys, *settled])
-        cells = inside.groupBy(*keys, *settled, finer, "_rank", "_before")
-        cells = cells.agg(F.sum("_n").alias("_n"))
-        cell = Window.partitionBy(*keys, *settled, "_rank")
-        lower = F.col("_before") + _count_before(cell, finer)
-        hit = (F.col("_rank") > F.col("_lower")) & (
-            F.col("_rank") <= F.col("_lower") + F.col("_n")
-        )
-        wanted = (
-            cells.withColumn("_lower", lower)
-            .where(hit)
-            .select(*keys, *settled, finer, "_rank", F.col("_lower").alias("_before"))
-        )
-    return wanted.groupBy(*keys).agg(F.avg(value).alias("median"))
 
+    def at(rank: str):
+        r = F.expr(rank)
+        return F.max(F.when((F.col("_upto") >= r) & (F.col("_upto") - F.col("_n") < r), F.col("_value")))
 
-def _count_before(window, order):
-    frame = window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum("_n").over(frame), F.lit(0))
+    middle = (at("(_total + 1) div 2") + at("_total div 2 + 1")) / 2
+    return ranked.groupBy(*keys).agg(middle.alias("median"))

@@ -28,6 +28,18 @@ def new_rows(stored: DataFrame, distinct_batch: DataFrame, keys=None) -> DataFra
     return distinct_batch.join(stored.select(*keys), keys, "left_anti")
 
 
+def marked_rows(stored: DataFrame, batch: DataFrame, arrival, keys=None) -> DataFrame:
+    """The first batch row of each key, with ``stored``: whether the table has the key.
+
+    The batch's keys are shuffled once, for the dedup and for the join.
+    """
+    keys = keys or KEY
+    require(stored, keys, "stored table")
+    known = stored.select(*keys).dropDuplicates(keys).withColumn("stored", F.lit(True))
+    marked = dedup_first(batch, arrival, keys).join(known, keys, "left")
+    return marked.withColumn("stored", F.col("stored").isNotNull())
+
+
 def insert_ignore(stored: DataFrame, batch: DataFrame, arrival, keys=None) -> DataFrame:
     """Stored rows and accepted rows. A stored row is never corrected."""
     return stored.unionByName(accepted_rows(stored, batch, arrival, keys).select(*stored.columns))

@@ -11,24 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.functions.numbers import mean_of, millionths, whole_part
+from hazeline.functions.numbers import mean_of
 
-ROWS, VALUES, LOW, HIGH = "n_rows", "n_values", "value_min", "value_max"
-WHOLE, MILLIONTHS = "value_whole", "value_millionths"
+ROWS, VALUES, TOTAL = "n_rows", "n_values", "value_total"
+LOW, HIGH = "value_min", "value_max"
 
 
 def partials(df: DataFrame, *keys: str) -> DataFrame:
     """Partial aggregates by keys, from measurements or from finer partials."""
-    if WHOLE in df.columns:
-        merged = [F.sum(c).alias(c) for c in (ROWS, VALUES, WHOLE, MILLIONTHS)]
+    if TOTAL in df.columns:
+        merged = [F.sum(c).alias(c) for c in (ROWS, VALUES, TOTAL)]
         merged += [F.min(LOW).alias(LOW), F.max(HIGH).alias(HIGH)]
     else:
         value = F.col("value")
         merged = [
             F.count(F.lit(1)).alias(ROWS),
             F.count(value).alias(VALUES),
-            F.sum(whole_part(value)).alias(WHOLE),
-            F.sum(millionths(value)).alias(MILLIONTHS),
+            F.sum(value).alias(TOTAL),
             F.min(value).alias(LOW),
             F.max(value).alias(HIGH),
         ]
@@ -37,4 +36,4 @@ def partials(df: DataFrame, *keys: str) -> DataFrame:
 
 def mean():
     """Mean of the values behind partials; null if there are none."""
-    return mean_of(F.col(WHOLE), F.col(MILLIONTHS), F.col(VALUES))
+    return mean_of(F.col(TOTAL), F.col(VALUES))

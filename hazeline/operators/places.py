@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.operators.sizing import lookup_join, measured_bytes
+from hazeline.operators.sizing import lookup_join
 
 UNKNOWN = "Unknown"
 
@@ -24,37 +24,40 @@ class Directory:
     locations: DataFrame
     coords: DataFrame | None = None
 
-    def lookups(self, df: DataFrame) -> list[tuple[DataFrame, str]]:
-        """Lookups and their keys. Coordinates stored with the rows win."""
-        found = [
-            (self.sensor_map.select("sensor_id", "location_id"), "sensor_id"),
-            (self.locations.select("location_id", "state", "city"), "location_id"),
-        ]
-        if self.coords is not None and "latitude" not in df.columns:
-            coords = self.coords.select("location_id", "latitude", "longitude")
-            found.append((coords, "location_id"))
-        return found
+    def by_sensor(self, stored_coords: bool) -> DataFrame:
+        """One row per sensor id that is in the map, or stands for a location itself.
+
+        The lookups meet here, where rows are few, so that measurement rows meet one
+        table. A sensor that is not in the map is looked up by its own id as if that
+        were a location. Coordinates stored with the rows win, and then none come.
+        """
+        mapped = self.sensor_map.select("sensor_id", "location_id", F.lit(False).alias("is_fallback"))
+        named = self.locations.select("location_id", "state", "city")
+        ids = named.select("location_id")
+        spots = None
+        if self.coords is not None and not stored_coords:
+            spots = self.coords.select("location_id", "latitude", "longitude")
+            ids = ids.union(spots.select("location_id"))
+        own = ids.distinct().select(
+            F.col("location_id").alias("sensor_id"), "location_id", F.lit(True).alias("is_fallback")
+        )
+        found = mapped.union(own.join(mapped, "sensor_id", "left_anti")).join(named, "location_id", "left")
+        return found if spots is None else found.join(spots, "location_id", "left")
 
 
 def _attach(df: DataFrame, where: Directory, join) -> DataFrame:
-    """Join the lookups in turn and fill what they do not know.
-
-    A sensor that is not in the map is looked up by its own id as if that were
-    a location.
-    """
-    for lookup, key in where.lookups(df):
-        df = join(df, lookup, key)
-        if key == "sensor_id":
-            unmapped = F.col("location_id").isNull()
-            location_id = F.coalesce(F.col("location_id"), F.col("sensor_id"))
-            df = df.withColumns({"is_fallback": unmapped, "location_id": location_id})
+    """Join the directory and fill what it does not know."""
+    df = join(df, where.by_sensor("latitude" in df.columns))
     state = F.coalesce(F.col("state"), F.lit(UNKNOWN))
-    unnamed = F.concat(F.lit("Location "), F.col("location_id").cast("string"))
+    location_id = F.coalesce(F.col("location_id"), F.col("sensor_id"))
+    unnamed = F.concat(F.lit("Location "), location_id.cast("string"))
     # Never null, so that joins on it put no filter below shared partials.
     city = F.coalesce(F.col("city"), unnamed, F.lit(UNKNOWN))
     full = F.concat_ws(", ", city, state)
     return df.withColumns(
         {
+            "is_fallback": F.coalesce("is_fallback", F.lit(True)),
+            "location_id": location_id,
             "state": state,
             "city": city,
             "location_name": F.when(state != UNKNOWN, full).otherwise(city),
@@ -66,21 +69,20 @@ def attach_to_sensors(df: DataFrame, where: Directory) -> DataFrame:
     """Places for rows already reduced to a few per sensor.
 
     These come out of a group-by on sensor_id, so there is little left to
-    move and no key is hot; the planner chooses the joins.
+    move and no key is hot; the planner chooses the join.
     """
-    return _attach(df, where, lambda rows, lookup, key: rows.join(lookup, key, "left"))
+    return _attach(df, where, lambda rows, directory: rows.join(directory, "sensor_id", "left"))
 
 
 def enrich(df: DataFrame, where: Directory) -> DataFrame:
-    """Places for every measurement row, and the UTC date.
+    """Places for every measurement row, and the UTC date, by one join.
 
-    A lookup is broadcast if its measured size allows; if not, rows of
+    The directory is broadcast if its measured size allows; if not, rows of
     frequent sensors are spread by time.
     """
-    sizes = iter(measured_bytes([lookup for lookup, _ in where.lookups(df)]))
 
-    def join(rows, lookup, key):
-        return lookup_join(rows, lookup, key, ["sensor_id", "datetime_utc"], next(sizes))
+    def join(rows, directory):
+        return lookup_join(rows, directory, "sensor_id", ["sensor_id", "datetime_utc"])
 
     return _attach(df, where, join).withColumn("date", F.to_date("datetime_utc"))
 
@@ -92,6 +94,7 @@ def coords_by_priority(*pairs: tuple[Column, Column]) -> tuple[Column, Column]:
 
 def region_of(longitude: Column, override: Column) -> Column:
     """Region by longitude; an override wins even where longitude is missing."""
+    # Where regions begin.
     by_longitude = (
         F.when(longitude.isNull(), F.lit(UNKNOWN))
         .when(longitude <= -105, F.lit("West"))

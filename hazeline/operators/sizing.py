@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 10_000
+# A key with more rows than one task should get.
+HOT_ROWS = 500_000
 _SALT, _HOT, _FOUND, _LISTED = "_salt", "_hot", "_found", "_listed"
 
 
-def measured_bytes(frames: list[DataFrame]) -> list[int]:
-    """Bytes the rows of each frame take in memory, counted in one job.
+def measured(frames: list[DataFrame]) -> list[tuple[int, int]]:
+    """Bytes in memory and rows of each frame, counted in one job.
 
     The count is over real rows and real text lengths, not over file sizes,
     which say little about compressed columns.
@@ -25,36 +26,34 @@ def measured_bytes(frames: list[DataFrame]) -> list[int]:
         fixed = F.lit(16 + 8 * len(frame.columns))
         varying = sum((F.coalesce(F.octet_length(c), F.lit(0)) + 8 for c in texts), F.lit(0))
         size = F.sum((varying + fixed).cast("long")).alias("size")
-        totals.append(frame.agg(size).select(F.lit(number).alias("number"), "size"))
+        counted = frame.agg(size, F.count(F.lit(1)).alias("rows"))
+        totals.append(counted.select(F.lit(number).alias("number"), "size", "rows"))
     # One row per frame.
     rows = reduce(DataFrame.unionAll, totals).collect()
-    sizes = {row["number"]: row["size"] or 0 for row in rows}
+    sizes = {row["number"]: (row["size"] or 0, row["rows"]) for row in rows}
     return [sizes[number] for number in range(len(frames))]
 
 
 def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    spread_by: list[str],
-    size: int | None = None,
-    limit: int | None = None,
+    df: DataFrame, lookup: DataFrame, key: str, spread_by: list[str], limit: int | None = None
 ) -> DataFrame:
     """Left join of rows to a lookup that is unique by ``key``, whatever the skew.
 
-    ``size`` is the lookup's, in bytes, if already measured. Beyond ``limit``,
-    BROADCAST_BYTES unless given, the rows are shuffled, but no key may fill a task: the most frequent keys
-    find their lookup rows in a small broadcast, and their rows, like those
-    without a key, are spread by a hash of the ``spread_by`` columns. Only the
-    other rows meet the shuffled lookup.
+    Beyond ``limit`` bytes, BROADCAST_BYTES unless given, the rows are shuffled, but
+    no key may fill a task: keys with more than HOT_ROWS rows find their lookup rows
+    in a broadcast, and their rows, like those without a key, are spread by a hash of
+    the ``spread_by`` columns. Only the other rows meet the shuffled lookup. The
+    broadcast takes the most frequent of these keys that the limit has room for, so a
+    key left out has fewer rows than all rows divided by that many keys.
     """
-    if size is None:
-        [size] = measured_bytes([lookup])
-    if size <= (BROADCAST_BYTES if limit is None else limit):
+    limit = BROADCAST_BYTES if limit is None else limit
+    [(size, rows)] = measured([lookup])
+    if size <= limit:
         return df.join(F.broadcast(lookup), key, "left")
     columns = [c for c in lookup.columns if c != key]
-    frequent = _most_frequent(df, key)
-    # HOT_KEYS rows at most, by the limit, as the lookup is unique.
+    room = max(1, limit * rows // size)
+    frequent = _most_frequent(df, key, room)
+    # ``room`` rows at most, as the lookup is unique.
     matches = lookup.join(F.broadcast(frequent), key, "left_semi")
     found = F.struct(*columns).alias(_FOUND) if columns else F.lit(True).alias(_FOUND)
     matches = matches.select(key, found)
@@ -79,7 +78,7 @@ def keep_listed(
     return lookup_join(df, flags, key, spread_by).where(_LISTED).drop(_LISTED)
 
 
-def _most_frequent(df: DataFrame, key: str) -> DataFrame:
-    """The HOT_KEYS keys with most rows; any key left has a share below 1/HOT_KEYS."""
+def _most_frequent(df: DataFrame, key: str, room: int) -> DataFrame:
+    """The keys with more than HOT_ROWS rows, the ``room`` most frequent of them."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.orderBy(F.col("_n").desc(), key).limit(HOT_KEYS).select(key)
+    return counts.where(F.col("_n") > HOT_ROWS).orderBy(F.col("_n").desc(), key).limit(room).select(key)

@@ -1,93 +1,29 @@
-"""Readings to daily figures by sensor, with an exact median at any skew."""
+"""Readings to daily figures by sensor."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-from hazeline.functions.numbers import mean_of, millionths, whole_part
-from hazeline.operators.median import exact_median
 
 KEYS = ["sensor_id", "parameter", "date"]
 
-# A sensor's day with more readings than this does not go to one task.
-HEAVY_DAY = 10_000_000
-
 
 def daily_summary(readings: DataFrame, stamp: str = "datetime_utc") -> DataFrame:
-    """Readings to one row per sensor, parameter and day.
+    """Readings to one row per sensor, parameter and day, in one shuffle.
 
-    Readings are counted by value first, so a sensor with a huge share of the
-    rows sends each of its values once per task. Days of ordinary size are then
-    ranked in value order, which sorts and spills instead of holding a group in
-    memory. Heavy days, if a first job over the keys finds any, have their
-    median found by narrowing cells. Coverage is the share of the day's hours
-    with a reading.
+    The median is exact: its state is the count of each distinct value of one
+    sensor's day, combined in the reading tasks first, so that a sensor with a
+    large share of all rows sends each value of a day once per task. Missing keys
+    form groups like others. Coverage is the share of the day's hours with a
+    reading.
     """
     dated = readings.withColumn("date", F.to_date(stamp))
-    # A heavy day needs a heavy sensor, and of those there are few.
-    sensors = _heavy(dated, ["sensor_id"])
-    heavy = _heavy(dated.join(F.broadcast(sensors), "sensor_id", "left_semi"), KEYS)
-    if heavy.isEmpty():
-        return _by_rank(_counted(dated, stamp))
-    marked = dated.join(F.broadcast(heavy.withColumn("heavy", F.lit(True))), KEYS, "left")
-    ordinary = _by_rank(_counted(marked.where("heavy is null"), stamp))
-    return ordinary.unionByName(_by_cells(_counted(marked.where("heavy"), stamp)))
-
-
-def _heavy(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys with more than HEAVY_DAY rows, so one per HEAVY_DAY rows at most."""
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("readings"))
-    return sizes.where(F.col("readings") > HEAVY_DAY).select(*keys)
-
-
-def _counted(dated: DataFrame, stamp: str) -> DataFrame:
-    return dated.groupBy(*KEYS, "value").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bit_or(F.expr(f"shiftleft(1, hour({stamp}))")).alias("hours"),
+    hours = F.bit_count(F.bit_or(F.expr(f"shiftleft(1, hour({stamp}))")))
+    return dated.groupBy(*KEYS).agg(
+        F.avg("value").alias("value"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.round(hours * 100 / 24, 6).alias("coverage_percent"),
+        F.count("value").alias("n"),
+        F.median("value").alias("median"),
     )
-
-
-def _figures() -> dict[str, Column]:
-    value, n = F.col("value"), F.col("n")
-    present = F.sum(F.when(value.isNotNull(), n).otherwise(0))
-    whole, rest = F.sum(whole_part(value) * n), F.sum(millionths(value) * n)
-    return {
-        "value": mean_of(whole, rest, present),
-        "min": F.min("value"),
-        "max": F.max("value"),
-        "coverage_percent": F.round(F.bit_count(F.bit_or("hours")) * 100 / 24, 6),
-        "n": present,
-    }
-
-
-def _named(columns: dict[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in columns.items()]
-
-
-def _by_rank(counted: DataFrame) -> DataFrame:
-    present = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
-    day = Window.partitionBy(*KEYS)
-    upto = day.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Nulls sort first and count nothing, so they shift no rank.
-    ranked = counted.withColumns(
-        {
-            "_n": present,
-            "_upto": F.sum(present).over(upto),
-            "_total": F.sum(present).over(day),
-        }
-    )
-
-    def at(rank: Column) -> Column:
-        inside = (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
-        return F.max(F.when(inside, F.col("value")))
-
-    middle = (at(F.expr("(_total + 1) div 2")) + at(F.expr("_total div 2 + 1"))) / 2
-    return ranked.groupBy(*KEYS).agg(*_named({**_figures(), "median": middle}))
-
-
-def _by_cells(counted: DataFrame) -> DataFrame:
-    figures = counted.groupBy(*KEYS).agg(*_named(_figures()))
-    medians = exact_median(counted.select(*KEYS, "value", "n"), KEYS)
-    return figures.join(medians, KEYS, "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,18 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.functions.dates import month_key, utc_clock
-from hazeline.functions.numbers import no_nan
-from hazeline.operators.cleaning import (
-    dedup_first,
-    in_range,
-    is_unstorable,
-    prepare_measurements,
-)
+from hazeline.functions.numbers import to_id, to_number
+from hazeline.operators.cleaning import in_range, is_unstorable, prepare_measurements
 from hazeline.operators.filters import filter_locations
-from hazeline.operators.merge import accepted_rows
+from hazeline.operators.merge import marked_rows
 from hazeline.operators.places import assign_region, coords_by_priority
 from hazeline.operators.sizing import keep_listed, lookup_join
-from hazeline.schemas import CORRUPT, FACT, KEY, LOCATED_SENSOR, STAGED
+from hazeline.schemas import CORRUPT, FACT, LOCATED_SENSOR, STAGED, require
 from hazeline.sources.exports import build_sensor_map, write_sensor_map
 from hazeline.sources.landing import (
     ARRIVAL,
@@ -47,17 +43,21 @@ class IngestStats:
     quarantined: int
 
 
-def sensor_coords(sensors: DataFrame, coords: DataFrame | None) -> DataFrame:
+def sensor_coords(
+    sensors: DataFrame, coords: DataFrame | None, order: list[str] = ARRIVAL
+) -> DataFrame:
     """One row per sensor with the coordinates its measurements get.
 
-    The lookup goes by location and, where it has the location, counts before
-    the sensor's own coordinates.
+    Location and own coordinates are those of the record listed last, taken
+    together. The lookup goes by location and, where it has the location, counts
+    before the sensor's own coordinates.
     """
-    known = sensors.groupBy("sensor_id").agg(
-        F.max("location_id").alias("location_id"),
-        F.max("latitude").alias("own_latitude"),
-        F.max("longitude").alias("own_longitude"),
+    require(sensors, order, "listed sensors")
+    listed = F.struct(
+        "location_id", F.col("latitude").alias("own_latitude"), F.col("longitude").alias("own_longitude")
     )
+    known = sensors.groupBy("sensor_id").agg(F.max_by(listed, F.struct(*order)).alias("last"))
+    known = known.select("sensor_id", "last.*")
     if coords is None:
         located = known.withColumnsRenamed({"own_latitude": "lat", "own_longitude": "lon"})
     else:
@@ -119,39 +119,55 @@ def ingest_batch(
     """Land to table: flatten, clean, locate, dedup, insert-ignore.
 
     The cleaned batch is staged as a table first, one pass without a shuffle.
-    From there on everything reads columns instead of JSON, and the months the
-    batch touches are known: only stored keys of those months are read for the
-    merge, none if there are none. Counts come from written tables, so they are
-    exact even if tasks ran twice. Running a batch again changes nothing. With
-    ``sensors`` only their rows go in; the sensors are staged too, as several
-    jobs read them. The staged folder keeps the unusable rows under
-    ``status=bad``.
+    From there on everything reads columns instead of JSON, and the months and
+    times the batch touches are known: only stored keys between them are read
+    for the merge. The first row of each key is written with a mark whether the
+    table has the key; counts and accepted rows come from there, so they are
+    exact even if tasks ran twice. A batch is known by the files it was made of:
+    running it again replaces what it put in, and other files under its name are
+    refused before anything is written. With ``sensors`` only their rows go in;
+    the sensors are staged too, as several jobs read them. The staged folder
+    keeps the unusable rows under ``status=bad``.
     """
+    source = source_of(pages)
+    facts.claim(batch, source)
     cleaned = clean_pages(pages, flavour, start, end)
     cleaned.write.mode("overwrite").partitionBy("status").parquet(f"{stage}/batch={batch}")
     rows = staged_rows(spark, stage, batch, None)
     good = rows.where(F.col("status") == OK)
     # One row per status and calendar month.
     found = rows.groupBy("status", month_key(F.col("datetime_utc")).alias("month"))
-    counts = found.agg(F.count(F.lit(1)).alias("n")).collect()
+    stamp = F.col("datetime_utc")
+    counts = found.agg(
+        F.count(F.lit(1)).alias("n"), F.min(stamp).alias("low"), F.max(stamp).alias("high")
+    ).collect()
     quarantined = sum(row["n"] for row in counts if row["status"] == BAD)
-    touched = {row["month"] for row in counts if row["status"] == OK}
+    touched = {r["month"]: (r["low"], r["high"]) for r in counts if r["status"] == OK}
 
     if sensors is not None:
         located = f"{stage}/sensors/batch={batch}"
         sensor_coords(sensors, coords).write.mode("overwrite").parquet(located)
         known = spark.read.schema(LOCATED_SENSOR).parquet(located)
         good = with_coords(good, known, flavour).where("known")
-    if touched:
-        overlap = sorted(touched & facts.months(skip_batch=batch))
-        if overlap:
-            accepted = accepted_rows(facts.read(overlap, skip_batch=batch), good, ARRIVAL)
-        else:
-            accepted = dedup_first(good, ARRIVAL)
-        facts.append(accepted, batch, as_of)
-    attempted = good.select(*KEY).distinct().count()
-    inserted = facts.rows_in_batch(batch)
-    return IngestStats(attempted, inserted, attempted - inserted, quarantined)
+    stored = facts.read(touched, skip_batch=batch)
+    merged = f"{stage}/merged/batch={batch}"
+    marked = marked_rows(stored, good, ARRIVAL).select(*FACT.names, "stored")
+    marked.write.mode("overwrite").parquet(merged)
+    marked = spark.read.schema(marked.schema).parquet(merged)
+    duplicates = marked.where("stored").count()
+    inserted = facts.append(marked.where("not stored"), batch, source, as_of)
+    return IngestStats(inserted + duplicates, inserted, duplicates, quarantined)
+
+
+def source_of(pages: DataFrame) -> str:
+    """A digest of the names of the files that pages were read from.
+
+    Spark knows them without a job, but for a micro-batch, whose files are few.
+    """
+    files = pages.inputFiles()
+    if not files and "arrival_file" in pages.columns:
+        files = [row["arrival_file"] for row in pages.select("arrival_file").distinct().collect()]
+    return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()
 
 
 def staged_rows(
@@ -175,11 +191,12 @@ def scheduled_run(
     end=None,
     map_path: str | None = None,
     as_of: dt.datetime | None = None,
+    merge_map: bool = False,
 ) -> IngestStats:
     """The daily job: everything landed for the requested locations."""
     sensors = requested_sensors(locations, requested)
     if map_path is not None:
-        write_sensor_map(build_sensor_map(sensors), map_path)
+        write_sensor_map(build_sensor_map(sensors), map_path, merge_map)
     pages = read_pages(spark, landing)
     return ingest_batch(
         spark, pages, facts, batch, stage, sensors, coords, SCHEDULED, start, end, as_of
@@ -199,11 +216,12 @@ def backfill_run(
     end=None,
     map_path: str | None = None,
     as_of: dt.datetime | None = None,
+    merge_map: bool = False,
 ) -> DataFrame:
     """The manual job over a date range; returns its summary row."""
     sensors = requested_sensors(locations, requested)
     if map_path is not None:
-        write_sensor_map(build_sensor_map(sensors), map_path)
+        write_sensor_map(build_sensor_map(sensors), map_path, merge_map)
     pages = read_pages(spark, landing)
     stats = ingest_batch(
         spark, pages, facts, batch, stage, sensors, coords, BACKFILL, start, end, as_of
@@ -217,15 +235,18 @@ def requested_sensors(locations: DataFrame, requested: DataFrame) -> DataFrame:
 
 
 def sensor_metadata_records(pages: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Sensor records to metadata rows, with region."""
+    """Sensor records to metadata rows, with region; broken lines are left out.
+
+    ``landing.broken_lines`` has those.
+    """
     rows = pages.select(
-        F.col("id").alias("sensor_id"),
+        to_id(F.col("id")).alias("sensor_id"),
         F.col("name").alias("sensor_name"),
         F.col("parameter.name").alias("parameter"),
-        no_nan(F.col("latest.coordinates.latitude")).alias("latitude"),
-        no_nan(F.col("latest.coordinates.longitude")).alias("longitude"),
+        to_number(F.col("latest.coordinates.latitude")).alias("latitude"),
+        to_number(F.col("latest.coordinates.longitude")).alias("longitude"),
         utc_clock(F.col("datetime_last.utc")).alias("last_seen"),
-    )
+    ).where("sensor_id is not null")
     return assign_region(rows, overrides).select(
         "sensor_id", "sensor_name", "parameter", "latitude", "longitude", "region", "last_seen"
     )

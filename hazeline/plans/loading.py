@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.functions.numbers import exact_mean
 from hazeline.operators import filters
 from hazeline.operators.places import Directory, attach_to_sensors, enrich
 from hazeline.sources.tables import scan_parameter
@@ -29,9 +28,6 @@ class Selection:
     def by_place(self) -> bool:
         return bool(self.states or self.cities)
 
-    def without_places(self) -> Selection:
-        return replace(self, states=(), cities=())
-
 
 def load_measurements(facts: DataFrame, where: Directory, parameter: str = "pm25") -> DataFrame:
     """Measurements of one parameter with date and place."""
@@ -57,8 +53,8 @@ def filter_all(df: DataFrame, where: Directory, selection: Selection) -> DataFra
 def sensor_metadata(facts: DataFrame, where: Directory) -> DataFrame:
     """Mean position and last time by sensor and parameter, with the place."""
     grouped = facts.groupBy("sensor_id", "parameter").agg(
-        exact_mean(F.col("latitude")).alias("latitude"),
-        exact_mean(F.col("longitude")).alias("longitude"),
+        F.avg("latitude").alias("latitude"),
+        F.avg("longitude").alias("longitude"),
         F.max("datetime_utc").alias("last_seen"),
     )
     return attach_to_sensors(grouped, where).select(

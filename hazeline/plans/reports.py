@@ -17,31 +17,15 @@ from pyspark.sql.window import Window
 
 from hazeline.functions import categories
 from hazeline.functions.dates import day_type, month_name
-from hazeline.functions.numbers import (
-    display,
-    display_int,
-    exact_mean,
-    half_even,
-    mean_of,
-    millionths,
-    tooltip,
-    whole_part,
-)
+from hazeline.functions.numbers import display, display_int, half_even, tooltip
 from hazeline.operators.filters import filter_threshold
-from hazeline.operators.median import count_values, exact_median
-from hazeline.operators.partials import (
-    HIGH,
-    LOW,
-    MILLIONTHS,
-    ROWS,
-    VALUES,
-    WHOLE,
-    mean,
-    partials,
-)
+from hazeline.operators.median import exact_median
+from hazeline.operators.partials import HIGH, LOW, ROWS, TOTAL, VALUES, mean, partials
 from hazeline.operators.places import Directory, attach_to_sensors
 from hazeline.plans.loading import Selection, filter_all, select_places, select_rows
 
+# From where a reading is an extreme event, and how many cities
+# the trend shows unless told otherwise.
 EXTREME_FROM = 150
 TREND_CITIES = 5
 SITE = ["location_id", "location_name", "latitude", "longitude"]
@@ -112,8 +96,7 @@ def kpis(scope: Scope) -> DataFrame:
         F.count("location_id").alias("locations"),
         F.sum(ROWS).alias(ROWS),
         F.sum(VALUES).alias(VALUES),
-        F.sum(WHOLE).alias(WHOLE),
-        F.sum(MILLIONTHS).alias(MILLIONTHS),
+        F.sum(TOTAL).alias(TOTAL),
         F.max(HIGH).alias("peak_pm25"),
     )
     return overall.select(
@@ -173,8 +156,8 @@ def map_center(scope: Scope) -> DataFrame:
     """Mean position over sites, each site counted once."""
     sites = _with_coords(_sites(scope))
     return sites.agg(
-        exact_mean(F.col("latitude")).alias("latitude"),
-        exact_mean(F.col("longitude")).alias("longitude"),
+        F.avg("latitude").alias("latitude"),
+        F.avg("longitude").alias("longitude"),
     )
 
 
@@ -207,20 +190,24 @@ def top_locations(scope: Scope, top_n: int = 10) -> DataFrame:
     )
 
 
-def _top_cities(placed: DataFrame) -> DataFrame:
-    cities = partials(placed, "city").select("city", mean().alias("avg_pm25"))
-    return cities.orderBy(F.col("avg_pm25").desc_nulls_last(), "city").limit(TREND_CITIES)
+def _top_cities(placed: DataFrame, cities: int | None) -> DataFrame:
+    ranked = partials(placed, "city").select("city", mean().alias("avg_pm25"))
+    ranked = ranked.orderBy(F.col("avg_pm25").desc_nulls_last(), "city")
+    return ranked if cities is None else ranked.limit(cities)
 
 
-def trend_cities(scope: Scope) -> DataFrame:
-    """The cities the trend shows if none is selected."""
-    return _top_cities(scope.by_place())
+def trend_cities(scope: Scope, cities: int | None = TREND_CITIES) -> DataFrame:
+    """The cities the trend shows if none is selected, the most polluted first."""
+    return _top_cities(scope.by_place(), cities)
 
 
-def trend_daily(scope: Scope, selected: Sequence[str] = ()) -> DataFrame:
-    """Daily means by location name, for at most five cities.
+def trend_daily(
+    scope: Scope, selected: Sequence[str] = (), cities: int | None = TREND_CITIES
+) -> DataFrame:
+    """Daily means by location name.
 
-    Selected cities are taken in the order of selection. A city name found in
+    ``cities`` is how many cities are shown: the first of the selected ones, or
+    without a selection the most polluted. None shows all. A city name found in
     two states gives two lines.
     """
     # A sensor has about one row a day, so rows do not shrink by sensor and day.
@@ -228,11 +215,13 @@ def trend_daily(scope: Scope, selected: Sequence[str] = ()) -> DataFrame:
     placed = filter_all(scope.df, scope.where, scope.selection)
     daily = partials(placed, "city", "location_name", "date")
     if selected:
-        shown = daily.where(F.col("city").isin(list(selected)[:TREND_CITIES]))
+        shown = daily.where(F.col("city").isin(list(selected)[:cities]))
+    elif cities is None:
+        shown = daily
     else:
         # Ranked from the same daily partials, so rows are read once; a semi
-        # join would sink below them. TREND_CITIES rows at most, all different.
-        shown = daily.join(F.broadcast(_top_cities(daily).select("city")), "city")
+        # join would sink below them. ``cities`` rows at most, all different.
+        shown = daily.join(F.broadcast(_top_cities(daily, cities).select("city")), "city")
     lines = partials(shown, "date", "location_name")
     return lines.select("date", "location_name", mean().alias("avg_pm25"))
 
@@ -306,18 +295,11 @@ def weekday_weekend(scope: Scope) -> DataFrame:
         # The median needs single values, so the rows themselves are selected.
         rows = filter_all(scope.df, scope.where, scope.selection)
         typed = rows.withColumn("day_type", DERIVED["day_type"]())
-    # Both branches read the same counts, which are shuffled once.
-    counted = count_values(typed, ["day_type"])
-    value, n = F.col("value"), F.col("n")
-    present = F.sum(F.when(value.isNotNull(), n).otherwise(0))
-    whole, rest = F.sum(whole_part(value) * n), F.sum(millionths(value) * n)
-    figures = counted.groupBy("day_type").agg(
-        mean_of(whole, rest, present).alias("mean"),
-        F.max("value").alias("max"),
-        present.alias("count"),
+    figures = typed.groupBy("day_type").agg(
+        F.avg("value").alias("mean"), F.max("value").alias("max"), F.count("value").alias("count")
     )
     # Two rows on either side.
-    joined = figures.join(F.broadcast(exact_median(counted, ["day_type"])), "day_type", "left")
+    joined = figures.join(F.broadcast(exact_median(typed, ["day_type"])), "day_type", "left")
     return joined.select("day_type", "mean", "median", "max", "count")
 
 
@@ -334,7 +316,7 @@ def weekday_diff(scope: Scope) -> DataFrame:
         F.count(F.lit(1)).alias("kinds"),
     ).where("kinds = 2")
     weekday, weekend = F.col("weekday_mean"), F.col("weekend_mean")
-    diff = F.round(F.try_divide(weekday - weekend, weekend) * 100, 6)
+    diff = F.try_divide(weekday - weekend, weekend) * 100
     pair = pair.select("weekday_mean", "weekend_mean", diff.alias("diff_pct"))
     diff = F.col("diff_pct")
     verdict = (

@@ -49,6 +49,7 @@ def run_suite(
     out: str,
     names: Sequence[str] = tuple(REPORTS),
     selected_cities: Sequence[str] = (),
+    trend_cities: int | None = reports.TREND_CITIES,
 ) -> dict[str, DataFrame]:
     """Write each report below ``out`` and return the written tables.
 
@@ -60,7 +61,7 @@ def run_suite(
     def write(name: str) -> None:
         report = REPORTS[name]
         if name == "trend_daily":
-            frame = report(scoped, selected_cities or scope.selection.cities)
+            frame = report(scoped, selected_cities or scope.selection.cities, trend_cities)
         else:
             frame = report(scoped)
         frame.write.mode("overwrite").parquet(f"{out}/{name}")

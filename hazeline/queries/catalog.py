@@ -19,7 +19,6 @@ from hazeline.functions.text import (
 from hazeline.operators import filters, merge
 from hazeline.operators.cleaning import dedup_first, filter_range, prepare_measurements
 from hazeline.operators.partials import mean
-from hazeline.operators.pick import last_per_key
 from hazeline.operators.places import assign_region, attach_to_sensors, enrich
 from hazeline.plans import ingest, reports
 from hazeline.plans.daily import daily_summary
@@ -30,8 +29,13 @@ from hazeline.queries import views
 from hazeline.queries.views import DAILY_KEY, with_date
 from hazeline.schemas import FACT, SIGNAL
 from hazeline.session import work_dir
-from hazeline.sources.dimensions import unique_dimension
-from hazeline.sources.exports import build_sensor_map, export_counts
+from hazeline.sources.dimensions import read_coords, read_locations, read_sensor_map
+from hazeline.sources.exports import (
+    build_sensor_map,
+    export_by_sensor,
+    export_counts,
+    write_sensor_map,
+)
 from hazeline.sources.landing import (
     BACKFILL,
     location_sensors,
@@ -67,6 +71,11 @@ def query(name):
     return register
 
 
+def _six(df: DataFrame, *names: str) -> DataFrame:
+    """Means to six places, as the last digits hang on the order of a sum."""
+    return df.withColumns({name: F.round(name, 6) for name in names})
+
+
 def _scope(spark: SparkSession, sf_dir: str, selection: Selection | None = None) -> Scope:
     return Scope(
         views.pm25(spark, sf_dir), views.places(spark, sf_dir), selection or Selection()
@@ -84,6 +93,7 @@ def _shipment_scope(spark: SparkSession, sf_dir: str) -> Scope:
 def _ingest_flatten(spark, sf_dir) -> DataFrame:
     landing = work_dir(spark, "landing")
     views.land_pages(views.table(spark, sf_dir, "events"), landing)
+    views.land_broken(spark, f"{landing}/day=2024-01-01")
     rows = read_measurement_pages(spark, landing, BACKFILL)
     return prepare_measurements(rows).select(*FACT.names)
 
@@ -97,19 +107,23 @@ def _json_props_extract(spark, sf_dir) -> DataFrame:
 
 @query("dim_location_last_wins")
 def _dim_location_last_wins(spark, sf_dir) -> DataFrame:
-    keys, order = ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"]
-    rows = views.table(spark, sf_dir, "lineitem").select(*keys, *order)
-    return last_per_key(rows, keys, order)
+    landing = work_dir(spark, "places-csv")
+    views.land_location_csv(spark, sf_dir, landing)
+    return read_locations(spark, landing)
 
 
 @query("dim_sensor_map")
 def _dim_sensor_map(spark, sf_dir) -> DataFrame:
-    return unique_dimension(views.sensor_map(spark, sf_dir), "sensor_id", [])
+    landing = work_dir(spark, "map-csv")
+    views.land_map_csv(spark, sf_dir, landing)
+    return read_sensor_map(spark, landing)
 
 
 @query("dim_coords_nonnull")
 def _dim_coords_nonnull(spark, sf_dir) -> DataFrame:
-    return unique_dimension(views.raw_coords(spark, sf_dir), "location_id", [])
+    landing = work_dir(spark, "coords-csv")
+    views.land_coords_csv(spark, sf_dir, landing)
+    return read_coords(spark, landing)
 
 
 @query("scan_parameter")
@@ -119,23 +133,32 @@ def _scan_parameter_pm25(spark, sf_dir) -> DataFrame:
 
 @query("export_counts")
 def _export_counts_by_sensor(spark, sf_dir) -> DataFrame:
-    return export_counts(views.sensor_map(spark, sf_dir), views.pm25(spark, sf_dir))
+    """Counted over the files of the export."""
+    out = work_dir(spark, "export")
+    export_by_sensor(views.pm25(spark, sf_dir), out)
+    exported = spark.read.option("header", True).option("basePath", out).csv(out)
+    exported = exported.select(F.col("sensor_id").cast("long").alias("sensor_id"))
+    return export_counts(views.sensor_map(spark, sf_dir), exported)
 
 
-def _landed_sensors(spark, sf_dir) -> DataFrame:
+def _landed_sensors(spark, sf_dir, only_pm25: bool = True) -> DataFrame:
     landing = work_dir(spark, "locations")
     views.land_locations(spark, sf_dir, landing)
-    return location_sensors(read_location_pages(spark, landing))
+    return location_sensors(read_location_pages(spark, landing), only_pm25)
 
 
 @query("sensor_map_build")
 def _sensor_map_build(spark, sf_dir) -> DataFrame:
-    return build_sensor_map(_landed_sensors(spark, sf_dir))
+    """The map as its file has it."""
+    out = work_dir(spark, "map")
+    write_sensor_map(build_sensor_map(_landed_sensors(spark, sf_dir)), out)
+    return read_sensor_map(spark, out)
 
 
 @query("unnest_sensors")
 def _unnest_sensors(spark, sf_dir) -> DataFrame:
-    return _landed_sensors(spark, sf_dir)
+    columns = ["location_id", "sensor_id", "sensor_name", "parameter", "latitude", "longitude"]
+    return _landed_sensors(spark, sf_dir).select(*columns)
 
 
 # Projections and filters
@@ -247,14 +270,9 @@ def _load_parameter_enriched(spark, sf_dir) -> DataFrame:
 
 @query("coords_priority")
 def _coords_priority(spark, sf_dir) -> DataFrame:
-    key, even = F.col("c_custkey"), F.col("event_id") % 2 == 0
-    own = key % 7 != 0
-    sensors = views.table(spark, sf_dir, "customer").select(
-        key.alias("sensor_id"),
-        F.col("c_nationkey").cast("long").alias("location_id"),
-        F.when(own, key % 50 + 0.5).alias("latitude"),
-        F.when(own, -key % 100 - 0.25).alias("longitude"),
-    )
+    """Sensors as landed, some listed twice with other places."""
+    even = F.col("event_id") % 2 == 0
+    sensors = _landed_sensors(spark, sf_dir, only_pm25=False)
     rows = views.table(spark, sf_dir, "events").select(
         "event_id",
         F.col("user_id").alias("sensor_id"),
@@ -284,30 +302,32 @@ def _region_by_sensor(spark, sf_dir) -> DataFrame:
 # Reports
 
 
-def _report(name, make, scope=_scope):
-    REGISTRY[name] = lambda spark, sf_dir: make(scope(spark, sf_dir))
+def _report(name, make, scope=_scope, means=()):
+    REGISTRY[name] = lambda spark, sf_dir: _six(make(scope(spark, sf_dir)), *means)
 
 
-_report("kpi", reports.kpis)
+_report("kpi", reports.kpis, means=["avg_pm25"])
 _report("kpi_display", reports.kpi_display)
-_report("map_agg", reports.map_sites)
-_report("map_center", reports.map_center)
+_report("map_agg", reports.map_sites, means=["avg_pm25", "radius"])
+_report("map_center", reports.map_center, means=["latitude", "longitude"])
 _report("top_locations", reports.top_locations)
-_report("trend_top_cities", reports.trend_cities)
-_report("trend_daily", reports.trend_daily)
+_report("trend_top_cities", reports.trend_cities, means=["avg_pm25"])
+_report("trend_daily", reports.trend_daily, means=["avg_pm25"])
 _report("aqi_distribution", reports.aqi_distribution)
 _report("aqi_rollup", reports.aqi_rollup)
 _report("extreme_summary", reports.extreme_summary)
 _report("extreme_top10", reports.extreme_top)
-_report("weekday_weekend", reports.weekday_weekend)
-_report("weekday_diff", reports.weekday_diff)
-_report("seasonal", reports.seasonal, _shipment_scope)
-_report("season_extremes", reports.season_extremes, _shipment_scope)
+_report("weekday_weekend", reports.weekday_weekend, means=["mean"])
+_report(
+    "weekday_diff", reports.weekday_diff, means=["weekday_mean", "weekend_mean", "diff_pct"]
+)
+_report("seasonal", reports.seasonal, _shipment_scope, ["mean"])
+_report("season_extremes", reports.season_extremes, _shipment_scope, ["worst_mean", "best_mean"])
 
 
 @query("trend_daily_selected")
 def _trend_daily_selected(spark, sf_dir) -> DataFrame:
-    return reports.trend_daily(_scope(spark, sf_dir), SELECTED_CITIES)
+    return _six(reports.trend_daily(_scope(spark, sf_dir), SELECTED_CITIES), "avg_pm25")
 
 
 @query("map_display")
@@ -318,12 +338,12 @@ def _map_display(spark, sf_dir) -> DataFrame:
 
 @query("kpi_selected")
 def _kpi_selected(spark, sf_dir) -> DataFrame:
-    return reports.kpis(_scope(spark, sf_dir, SELECTION))
+    return _six(reports.kpis(_scope(spark, sf_dir, SELECTION)), "avg_pm25")
 
 
 @query("weekday_weekend_selected")
 def _weekday_weekend_selected(spark, sf_dir) -> DataFrame:
-    return reports.weekday_weekend(_scope(spark, sf_dir, SELECTION))
+    return _six(reports.weekday_weekend(_scope(spark, sf_dir, SELECTION)), "mean")
 
 
 @query("distribution_selected")
@@ -334,19 +354,37 @@ def _distribution_selected(spark, sf_dir) -> DataFrame:
 @query("report_cube")
 def _report_cube(spark, sf_dir) -> DataFrame:
     cube = _scope(spark, sf_dir).build_cube()
-    return cube.withColumn("mean", mean()).drop("value_whole", "value_millionths")
+    return _six(cube.withColumn("mean", mean()).drop("value_total"), "mean")
 
 
 @query("report_suite")
 def _report_suite(spark, sf_dir) -> DataFrame:
-    """All reports written over one selection; rows of each."""
+    """All reports written over one selection; what each column of each adds up to."""
     scope = _scope(spark, sf_dir, Selection(start=dt.date(2024, 1, 5), threshold=35))
     tables = run_suite(spark, scope, work_dir(spark, "suite"), selected_cities=SELECTED_CITIES)
-    counts = [
-        table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
-        for name, table in tables.items()
-    ]
-    return ingest.union_batches(counts)
+    return ingest.union_batches([_column_totals(name, table) for name, table in tables.items()])
+
+
+def _column_totals(name: str, table: DataFrame) -> DataFrame:
+    """One row per column: rows, the sum of numbers, the least and the highest text."""
+    rows, found = F.count(F.lit(1)).alias("n"), []
+    for field in table.schema.fields:
+        if field.dataType.simpleString() == "array<int>":
+            continue
+        column = F.col(field.name)
+        text = field.dataType.simpleString() in ("string", "date")
+        total = F.lit(None) if text else F.round(F.sum(F.round(column.cast("double"), 6)), 4)
+        low, high = (f(column.cast("string")) if text else F.lit(None) for f in (F.min, F.max))
+        found.append(
+            F.struct(
+                F.lit(field.name).alias("column"),
+                total.cast("double").alias("total"),
+                low.cast("string").alias("low"),
+                high.cast("string").alias("high"),
+            )
+        )
+    listed = table.agg(rows, F.array(*found).alias("columns"))
+    return listed.select(F.lit(name).alias("report"), "n", F.inline("columns"))
 
 
 @query("distribution_from_cube")
@@ -357,7 +395,8 @@ def _distribution_from_cube(spark, sf_dir) -> DataFrame:
 
 @query("map_from_cube")
 def _map_from_cube(spark, sf_dir) -> DataFrame:
-    return reports.map_sites(with_cube(spark, _scope(spark, sf_dir), work_dir(spark, "cube")))
+    sites = reports.map_sites(with_cube(spark, _scope(spark, sf_dir), work_dir(spark, "cube")))
+    return _six(sites, "avg_pm25", "radius")
 
 
 @query("filter_all")
@@ -375,7 +414,7 @@ def _sensor_metadata_report(spark, sf_dir) -> DataFrame:
             "longitude": -(F.col("sensor_id") % 50) - shift,
         }
     )
-    return sensor_metadata(facts, views.places(spark, sf_dir))
+    return _six(sensor_metadata(facts, views.places(spark, sf_dir)), "latitude", "longitude")
 
 
 @query("latest_per_sensor")
@@ -385,7 +424,7 @@ def _latest_per_sensor(spark, sf_dir) -> DataFrame:
 
 @query("daily_summary")
 def _daily_summary(spark, sf_dir) -> DataFrame:
-    return daily_summary(views.measurements(spark, sf_dir))
+    return _six(daily_summary(views.measurements(spark, sf_dir)), "value")
 
 
 @query("aqi_category")
@@ -494,8 +533,7 @@ def _signal_upsert(spark, sf_dir) -> DataFrame:
 
 @query("signal_windows")
 def _signal_windows(spark, sf_dir) -> DataFrame:
-    early = views.pm25(spark, sf_dir).where("datetime_utc < timestamp_ntz'2024-01-03'")
-    signal = merge.latest_per_sensor(early)
+    signal = merge.latest_per_sensor(views.pm25(spark, sf_dir))
     return merge.signal_windows(signal, views.sensor_map(spark, sf_dir), dt.datetime(2024, 1, 1))
 
 
@@ -519,8 +557,7 @@ def _union_batches(spark, sf_dir) -> DataFrame:
 @query("run_summary")
 def _run_summary(spark, sf_dir) -> DataFrame:
     requested = views.raw_coords(spark, sf_dir).select("location_id")
-    measured = filters.filter_date(views.pm25(spark, sf_dir), end=dt.date(2024, 1, 2))
-    return ingest.run_summary(requested, views.sensor_map(spark, sf_dir), measured)
+    return ingest.run_summary(requested, views.sensor_map(spark, sf_dir), views.pm25(spark, sf_dir))
 
 
 # Whole ingest jobs
@@ -554,9 +591,8 @@ def _ingest_batch(spark, sf_dir) -> DataFrame:
     return facts.read().select(*FACT.names)
 
 
-@query("ingest_backfill")
-def _ingest_backfill(spark, sf_dir) -> DataFrame:
-    """A backfill over a date range on top of a first one; its summary."""
+def _backfilled(spark, sf_dir) -> tuple[DataFrame, FactTable]:
+    """A backfill over a date range on top of a first one: its summary, and the table."""
     base = work_dir(spark, "backfill")
     _land_all(spark, sf_dir, base)
     facts = FactTable(spark, f"{base}/facts")
@@ -574,7 +610,17 @@ def _ingest_backfill(spark, sf_dir) -> DataFrame:
             "January 20, 2024",
             as_of=AS_OF,
         )
-    return summary
+    return summary, facts
+
+
+@query("ingest_backfill")
+def _ingest_backfill(spark, sf_dir) -> DataFrame:
+    return _backfilled(spark, sf_dir)[0]
+
+
+@query("backfill_facts")
+def _backfill_facts(spark, sf_dir) -> DataFrame:
+    return _backfilled(spark, sf_dir)[1].read().select(*FACT.names)
 
 
 # Streams
@@ -582,16 +628,17 @@ def _ingest_backfill(spark, sf_dir) -> DataFrame:
 
 @query("stream_ingest")
 def _stream_ingest(spark, sf_dir) -> DataFrame:
-    """Two runs of the stream over one landing folder that grew in between."""
+    """Two streams with landings and checkpoints of their own feed one table."""
     base = work_dir(spark, "stream")
     events = views.table(spark, sf_dir, "events")
     facts = FactTable(spark, f"{base}/facts")
-    parts = ["ts < timestamp_ntz'2024-01-16'", "ts >= timestamp_ntz'2024-01-10'"]
-    for number, part in enumerate(parts):
-        views.land_pages(events.where(part), f"{base}/landing/run={number}")
-        pages = read_page_stream(spark, f"{base}/landing")
+    parts = {"early": "ts < timestamp_ntz'2024-01-16'", "late": "ts >= timestamp_ntz'2024-01-10'"}
+    for source, part in parts.items():
+        views.land_pages(events.where(part), f"{base}/landing-{source}")
+        pages = read_page_stream(spark, f"{base}/landing-{source}")
+        checkpoint = f"{base}/checkpoint-{source}"
         jobs.start_ingest(
-            spark, pages, facts, f"{base}/stage", f"{base}/checkpoint", as_of=AS_OF
+            spark, pages, facts, f"{base}/stage", checkpoint, source, as_of=AS_OF
         ).awaitTermination()
     return facts.read().select(*FACT.names)
 
@@ -627,9 +674,8 @@ def _stream_alerts(spark, sf_dir) -> DataFrame:
 
 @query("stream_daily")
 def _stream_daily(spark, sf_dir) -> DataFrame:
-    """Days the watermark has passed by the end of the table."""
+    """All days of the table, as the stream has them in the end."""
     base = work_dir(spark, "daily")
-    rows = jobs.daily_stream(views.event_stream(spark, sf_dir), keys=("parameter",))
-    out = rows.select("date", "parameter", "n", "mean", "min", "max")
-    jobs.start_to_parquet(out, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    rows = views.event_stream(spark, sf_dir)
+    jobs.start_daily(rows, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return _six(jobs.read_daily(spark, f"{base}/out"), "mean")

@@ -51,17 +51,11 @@ _ROW = "arrival, sensor_id, parameter, datetime_utc, value"
 _PLACED = "arrival, sensor_id, location_id, state, city, value"
 
 
-def _mean(column: str, where: str = "") -> str:
-    """Mean to six places, rounded half up, from whole millionths."""
-    total = f"sum(CAST(round({column} * 1000000) AS HUGEINT)){where}"
-    n = f"count({column}){where}"
-    return f"CAST((2 * {total} + {n}) // (2 * {n}) AS DOUBLE) / 1000000"
-
-
-_MEAN = _mean("value")
+# Results show means to six places; what is derived from a mean uses all of it.
+_MEAN = "round(avg(value), 6)"
 
 _SITES = f""", sites AS (
-  SELECT location_id, location_name, latitude, longitude, {_MEAN} AS avg_pm25,
+  SELECT location_id, location_name, latitude, longitude, avg(value) AS avg_pm25,
          max(value) AS max_pm25, count(value) AS measurements, count(*) AS n_rows
   FROM e GROUP BY ALL),
 located AS (SELECT * FROM sites WHERE latitude IS NOT NULL AND longitude IS NOT NULL)"""
@@ -73,6 +67,7 @@ def _band(value: str, labels: list[str], missing: str) -> str:
     return f"CASE WHEN {value} IS NULL THEN '{missing}' {cases} ELSE '{labels[-1]}' END"
 
 
+# Labels, limits and colours of the concentration bands.
 _SHORT = [
     "🟢 Good",
     "🟡 Moderate",
@@ -106,21 +101,33 @@ SELECT CASE WHEN isodow(date) >= 6 THEN 'Weekend' ELSE 'Weekday' END AS day_type
 FROM e WHERE {where} GROUP BY 1"""
 
 
-def _kpis(where: str = "true") -> str:
+def _kpis(where: str = "true", average: str = _MEAN) -> str:
     return f"""{_E}
-SELECT count(DISTINCT location_id) AS locations, {_MEAN} AS avg_pm25,
+SELECT count(DISTINCT location_id) AS locations, {average} AS avg_pm25,
        max(value) AS peak_pm25, count(*) AS rows FROM e WHERE {where}"""
 
 
 _SEASONS = f"""WITH s AS (
   SELECT month(l_shipdate) AS month, monthname(l_shipdate) AS month_name,
-         {_mean("l_quantity")} AS mean, min(l_quantity) AS min, max(l_quantity) AS max
+         avg(l_quantity) AS mean, min(l_quantity) AS min, max(l_quantity) AS max
   FROM lineitem GROUP BY 1, 2)"""
 
 _FIRST_DAILY = "row_number() OVER (PARTITION BY sensor_id, parameter, date ORDER BY arrival)"
 
+# Sensors as both listings of the landing have them.
+_LISTED = """listed AS (
+  SELECT 1 AS listing, c_custkey AS sensor_id, CAST((c_nationkey + 1) % 25 AS BIGINT) AS location_id,
+         CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 7 + 10.5 AS DOUBLE) END AS lat,
+         CASE WHEN c_custkey % 7 <> 0 THEN CAST(-(c_custkey % 9) - 0.5 AS DOUBLE) END AS lon
+  FROM customer WHERE c_custkey % 3 <> 1
+  UNION ALL
+  SELECT 2, c_custkey, CAST(c_nationkey AS BIGINT),
+         CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 50 + 0.5 AS DOUBLE) END,
+         CASE WHEN c_custkey % 7 <> 0 THEN CAST(-(c_custkey % 100) - 0.25 AS DOUBLE) END
+  FROM customer WHERE c_custkey % 3 <> 0)"""
+
 # Rows as the JSON landing gives them; fallback coordinates as the jobs do.
-_LANDED = f"""{_M}, {_PLACES},
+_LANDED = f"""{_M}, {_PLACES}, {_LISTED},
 landed AS (
   SELECT event_id, user_id AS sensor_id, m.parameter, m.date,
          CAST(m.date AS TIMESTAMP) AS datetime_utc, CAST(m.date AS TIMESTAMP) AS datetime_local,
@@ -132,11 +139,8 @@ landed AS (
          CASE WHEN event_id % 2 = 0 THEN 10.5::DOUBLE END AS latitude,
          CASE WHEN event_id % 2 = 0 THEN -20.5::DOUBLE END AS longitude
   FROM events JOIN m ON m.arrival = events.event_id),
-own AS (
-  SELECT c_custkey AS sensor_id, CAST(c_nationkey AS BIGINT) AS location_id,
-         CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 50 + 0.5 AS DOUBLE) END AS lat,
-         CASE WHEN c_custkey % 7 <> 0 THEN CAST(-(c_custkey % 100) - 0.25 AS DOUBLE) END AS lon
-  FROM customer)"""
+own AS (SELECT * EXCLUDE (listing) FROM listed
+        QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY listing DESC) = 1)"""
 
 _FACT = """sensor_id, parameter, datetime_utc, datetime_local, value, units,
        coverage_percent, min, max, median, latitude, longitude"""
@@ -146,14 +150,20 @@ ORACLE = {
     "json_props_extract": """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
     "dim_location_last_wins": """
-SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-           ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn
-  FROM lineitem) WHERE rn = 1""",
+SELECT c_custkey AS location_id, 'State ' || c_nationkey AS state,
+       CASE WHEN c_custkey % 3 = 0 OR c_custkey % 13 = 0 THEN 'Old' ELSE c_name END AS city
+FROM customer WHERE c_custkey % 11 <> 0 AND NOT (c_custkey % 3 = 1 AND c_custkey % 13 = 0)""",
     "dim_sensor_map": """
-SELECT c_custkey AS sensor_id, CAST(c_nationkey AS BIGINT) AS location_id
-FROM customer WHERE c_custkey % 7 <> 0""",
-    "dim_coords_nonnull": f"WITH {_PLACES} SELECT * FROM xy",
+SELECT c_custkey AS sensor_id,
+       CAST(CASE WHEN c_custkey % 3 = 0 OR c_custkey % 13 = 0 THEN 99 ELSE c_nationkey END AS BIGINT)
+         AS location_id
+FROM customer WHERE c_custkey % 11 <> 0 AND NOT (c_custkey % 3 = 1 AND c_custkey % 13 = 0)""",
+    "dim_coords_nonnull": """
+WITH c AS (SELECT c_custkey AS k, c_custkey % 7 = 0 OR c_custkey % 5 = 0 AS bad FROM customer)
+SELECT k AS location_id,
+       CASE WHEN k % 3 = 0 OR bad THEN 0.5 ELSE CAST(k % 50 + 0.5 AS DOUBLE) END AS latitude,
+       CASE WHEN k % 3 = 0 OR bad THEN 0.25 ELSE CAST(-(k % 90) - 0.25 AS DOUBLE) END AS longitude
+FROM c WHERE NOT (k % 3 = 1 AND bad)""",
     "scan_parameter": f"""WITH {_M}
 SELECT sensor_id, parameter, datetime_utc, value FROM m WHERE parameter = 'pm25'""",
     "export_counts": f"""WITH {_M}, {_PLACES},
@@ -161,17 +171,13 @@ seen AS (SELECT DISTINCT sensor_id FROM m WHERE lower(parameter) = 'pm25')
 SELECT count(seen.sensor_id) AS successful, count(*) - count(seen.sensor_id) AS failed,
        count(*) AS total
 FROM smap LEFT JOIN seen USING (sensor_id)""",
-    "sensor_map_build": """
-SELECT c_custkey AS sensor_id, CAST(c_nationkey AS BIGINT) AS location_id
-FROM customer WHERE c_custkey % 5 <> 0""",
-    "unnest_sensors": """
-SELECT CAST(c_nationkey AS BIGINT) AS location_id, c_custkey AS sensor_id,
-       'sensor ' || c_custkey AS sensor_name,
-       CASE WHEN c_custkey % 5 = 1 THEN 'PM25' ELSE 'pm25' END AS parameter,
-       CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 50 + 0.5 AS DOUBLE) END AS latitude,
-       CASE WHEN c_custkey % 7 <> 0 THEN CAST(-(c_custkey % 100) - 0.25 AS DOUBLE) END
-         AS longitude
-FROM customer WHERE c_custkey % 5 <> 0""",
+    "sensor_map_build": f"""WITH {_LANDED}
+SELECT sensor_id, location_id FROM own WHERE sensor_id % 5 <> 0""",
+    "unnest_sensors": f"""WITH {_LISTED}
+SELECT location_id, sensor_id, 'sensor ' || sensor_id AS sensor_name,
+       CASE WHEN sensor_id % 5 = 1 THEN 'PM25' ELSE 'pm25' END AS parameter,
+       lat AS latitude, lon AS longitude
+FROM listed WHERE sensor_id % 5 <> 0""",
     "coerce_numeric": """
 SELECT event_id, TRY_CAST(CASE WHEN event_id % 41 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END
                           AS DOUBLE) AS value FROM events""",
@@ -224,14 +230,15 @@ SELECT sensor_id, longitude,
 FROM s""",
     "kpi": _kpis(),
     "kpi_selected": _kpis(_SELECTED),
-    "kpi_display": f"""WITH k AS ({_kpis()})
+    "kpi_display": f"""WITH k AS ({_kpis(average="avg(value)")})
 SELECT coalesce(format('{{:,}}', locations), '—') AS locations,
        coalesce(format('{{:,.1f}}', avg_pm25), '—') AS avg_pm25,
        coalesce(format('{{:,.1f}}', peak_pm25), '—') AS peak_pm25,
        coalesce(format('{{:,}}', rows), '—') AS rows FROM k""",
     "map_agg": f"""{_E}{_SITES}
-SELECT location_id, location_name, latitude, longitude, avg_pm25, max_pm25, measurements,
-       CASE WHEN avg_pm25 < 5 THEN 5.0 ELSE avg_pm25 END * 2000 AS radius FROM located""",
+SELECT location_id, location_name, latitude, longitude, round(avg_pm25, 6) AS avg_pm25, max_pm25,
+       measurements, round(CASE WHEN avg_pm25 < 5 THEN 5.0 ELSE avg_pm25 END * 2000, 6) AS radius
+FROM located""",
     "map_display": f"""{_E}{_SITES}
 SELECT location_id, location_name, latitude, longitude,
        coalesce(format('{{:.1f}}', avg_pm25), 'N/A') AS avg_pm25_display,
@@ -249,10 +256,9 @@ SELECT CAST(rank AS INTEGER) AS rank, location_id, location_name,
 FROM ranked WHERE rank <= 10""",
     "trend_top_cities": f"""{_E}
 SELECT city, {_MEAN} AS avg_pm25 FROM e GROUP BY city
-ORDER BY avg_pm25 DESC NULLS LAST, city LIMIT 5""",
+ORDER BY avg(value) DESC NULLS LAST, city LIMIT 5""",
     "trend_daily": f"""{_E}, top AS (
-  SELECT city, {_MEAN} AS avg_pm25 FROM e GROUP BY city
-  ORDER BY avg_pm25 DESC NULLS LAST, city LIMIT 5)
+  SELECT city FROM e GROUP BY city ORDER BY avg(value) DESC NULLS LAST, city LIMIT 5)
 SELECT date, location_name, {_MEAN} AS avg_pm25 FROM e
 WHERE city IN (SELECT city FROM top) GROUP BY 1, 2""",
     "trend_daily_selected": f"""{_E}
@@ -277,17 +283,20 @@ SELECT CASE WHEN round_even(value, 1) >= 200 THEN '🔴 SEVERE' ELSE '🟠 HIGH'
     "weekday_weekend": _weekdays(),
     "weekday_weekend_selected": _weekdays(_SELECTED),
     "weekday_diff": f"""{_E}, d AS (
-  SELECT {_mean('value', ' FILTER (isodow(date) < 6)')} AS weekday_mean,
-         {_mean('value', ' FILTER (isodow(date) >= 6)')} AS weekend_mean FROM e),
-p AS (SELECT *, round((weekday_mean - weekend_mean) / weekend_mean * 100, 6) AS diff_pct FROM d)
-SELECT *, CASE WHEN abs(diff_pct) <= 5 THEN 'similar' WHEN diff_pct > 5 THEN 'weekday higher'
+  SELECT avg(value) FILTER (isodow(date) < 6) AS weekday_mean,
+         avg(value) FILTER (isodow(date) >= 6) AS weekend_mean FROM e),
+p AS (SELECT *, (weekday_mean - weekend_mean) / weekend_mean * 100 AS diff_pct FROM d)
+SELECT round(weekday_mean, 6) AS weekday_mean, round(weekend_mean, 6) AS weekend_mean,
+       round(diff_pct, 6) AS diff_pct,
+       CASE WHEN abs(diff_pct) <= 5 THEN 'similar' WHEN diff_pct > 5 THEN 'weekday higher'
                WHEN diff_pct < -5 THEN 'weekend higher' END AS verdict FROM p""",
-    "seasonal": f"{_SEASONS} SELECT CAST(month AS INTEGER) AS month, * EXCLUDE (month) FROM s",
+    "seasonal": f"""{_SEASONS}
+SELECT CAST(month AS INTEGER) AS month, round(mean, 6) AS mean, * EXCLUDE (month, mean) FROM s""",
     "season_extremes": f"""{_SEASONS},
 w AS (SELECT * FROM s ORDER BY mean DESC, month LIMIT 1),
 b AS (SELECT * FROM s ORDER BY mean, month LIMIT 1)
-SELECT w.month_name AS worst_month, w.mean AS worst_mean, b.month_name AS best_month,
-       b.mean AS best_mean FROM w, b""",
+SELECT w.month_name AS worst_month, round(w.mean, 6) AS worst_mean, b.month_name AS best_month,
+       round(b.mean, 6) AS best_mean FROM w, b""",
     "report_cube": f"""{_E}
 SELECT location_id, location_name, state, city, latitude, longitude,
        CAST(month(date) AS INTEGER) AS calendar_month,
@@ -378,7 +387,7 @@ SELECT coalesce(b.sensor_id, s_suppkey) AS sensor_id,
 FROM b FULL JOIN supplier ON b.sensor_id = s_suppkey""",
     "signal_windows": f"""WITH {_M}, {_PLACES},
 marks AS (SELECT sensor_id, max(datetime_utc) AS mark FROM m
-          WHERE lower(parameter) = 'pm25' AND datetime_utc < TIMESTAMP '2024-01-03' GROUP BY 1)
+          WHERE lower(parameter) = 'pm25' GROUP BY 1)
 SELECT smap.sensor_id, coalesce(mark, TIMESTAMP '2024-01-01') AS start
 FROM smap LEFT JOIN marks USING (sensor_id)""",
     "sensor_metadata_record": """
@@ -398,8 +407,7 @@ SELECT *, CASE WHEN sensor_id = 3 THEN 'Coast' WHEN sensor_id = 8 THEN 'South'
 FROM s""",
     "union_batches": f"WITH {_M} SELECT {_ROW} FROM m",
     "run_summary": f"""WITH {_M}, {_PLACES},
-seen AS (SELECT DISTINCT sensor_id FROM m
-         WHERE lower(parameter) = 'pm25' AND date <= DATE '2024-01-02')
+seen AS (SELECT DISTINCT sensor_id FROM m WHERE lower(parameter) = 'pm25')
 SELECT (SELECT count(*) FROM smap WHERE sensor_id IN (FROM seen)) AS successful_sensors,
        (SELECT count(*) FROM smap WHERE sensor_id NOT IN (FROM seen)) AS failed_sensors,
        (SELECT count(*) FROM nation WHERE n_nationkey NOT IN (SELECT location_id FROM smap))
@@ -417,21 +425,31 @@ FROM firsts JOIN own USING (sensor_id) LEFT JOIN xy USING (location_id)
 WHERE rn = 1 AND sensor_id % 5 <> 0""",
     "ingest_backfill": f"""WITH {_LANDED},
 asked AS (SELECT * FROM generate_series(0, 29) t(location_id)),
-found AS (SELECT * FROM own WHERE sensor_id % 5 <> 0 AND location_id IN (FROM asked)),
-first AS (SELECT DISTINCT sensor_id, parameter, date FROM landed JOIN found USING (sensor_id)
+found AS (SELECT DISTINCT location_id, sensor_id FROM listed WHERE sensor_id % 5 <> 0),
+known AS (SELECT DISTINCT sensor_id FROM found),
+first AS (SELECT DISTINCT sensor_id, parameter, date FROM landed JOIN known USING (sensor_id)
           WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-15'),
-second AS (SELECT DISTINCT sensor_id, parameter, date FROM landed JOIN found USING (sensor_id)
+second AS (SELECT DISTINCT sensor_id, parameter, date FROM landed JOIN known USING (sensor_id)
            WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'),
 seen AS (SELECT DISTINCT sensor_id FROM second)
-SELECT (SELECT count(*) FROM seen) AS successful_sensors,
-       (SELECT count(*) FROM found) - (SELECT count(*) FROM seen) AS failed_sensors,
+SELECT (SELECT count(*) FROM found WHERE sensor_id IN (FROM seen)) AS successful_sensors,
+       (SELECT count(*) FROM found WHERE sensor_id NOT IN (FROM seen)) AS failed_sensors,
        (SELECT count(*) FROM asked WHERE location_id NOT IN (SELECT location_id FROM found))
          AS skipped_locations,
        (SELECT count(*) FROM asked) AS total_locations,
-       (SELECT count(*) FROM found) AS sensor_mappings,
+       (SELECT count(*) FROM known) AS sensor_mappings,
        (SELECT count(*) FROM second) AS total_rows_attempted,
        (SELECT count(*) FROM (FROM second EXCEPT FROM first)) AS total_rows_inserted,
        (SELECT count(*) FROM (FROM second INTERSECT FROM first)) AS total_duplicates""",
+    "backfill_facts": f"""WITH {_LANDED},
+firsts AS (
+  SELECT *, row_number() OVER (PARTITION BY sensor_id, parameter, date ORDER BY event_id) AS rn
+  FROM landed WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20')
+SELECT sensor_id, parameter, datetime_utc, datetime_local, value, units,
+       coverage_percent, min, max, median,
+       coalesce(xy.latitude, lat) AS latitude, coalesce(xy.longitude, lon) AS longitude
+FROM firsts JOIN own USING (sensor_id) LEFT JOIN xy USING (location_id)
+WHERE rn = 1 AND sensor_id % 5 <> 0""",
     "stream_ingest": f"""WITH {_LANDED},
 firsts AS (
   SELECT *, row_number() OVER (PARTITION BY sensor_id, date ORDER BY event_id) AS rn FROM landed)
@@ -443,38 +461,71 @@ FROM firsts WHERE rn = 1""",
 SELECT user_id AS sensor_id, max(ts) AS last_data_datetime_utc FROM events GROUP BY 1""",
     "stream_alerts": f"WITH {_M} SELECT {_ROW} FROM m WHERE value >= 150",
     "stream_daily": f"""WITH {_M}
-SELECT date, parameter, count(value) AS n, {_MEAN} AS mean, min(value) AS min, max(value) AS max
-FROM m GROUP BY date, parameter
-HAVING date + INTERVAL 1 DAY <= (SELECT max(datetime_utc) FROM m) - INTERVAL 2 DAY""",
+SELECT date, sensor_id, parameter, count(value) AS n, {_MEAN} AS mean, min(value) AS min,
+       max(value) AS max, quantile_disc(value, 0.5) AS median_approx
+FROM m GROUP BY date, sensor_id, parameter""",
 }
 ORACLE["distribution_from_cube"] = ORACLE["distribution_selected"]
 ORACLE["map_from_cube"] = ORACLE["map_agg"]
 
 
-def _suite_counts() -> str:
-    chosen = "date >= DATE '2024-01-05' AND value >= 35"
-    cities = "('NATION_7', 'NATION_1', 'Location 49', 'NATION_3', 'NATION_9')"
-    one_row = [
-        "kpis", "kpi_display", "map_center", "coord_coverage", "extreme_summary", "aqi_rollup",
-        "season_extremes",
-    ]
-    located = "(SELECT DISTINCT location_id, latitude, longitude FROM f WHERE latitude IS NOT NULL)"
-    day_types = "count(DISTINCT isodow(date) >= 6)"
-    counts = {
-        "map_sites": f"SELECT count(*) FROM {located}",
-        "map_display": f"SELECT count(*) FROM {located}",
-        "top_locations": f"SELECT least(10, count(*)) FROM {located}",
-        "extreme_top": "SELECT least(10, count(*)) FROM f WHERE value >= 150",
-        "trend_daily": "SELECT count(*) FROM (SELECT DISTINCT date, location_name FROM f"
-        f" WHERE city IN {cities})",
-        "aqi_distribution": f"SELECT count(DISTINCT {_band('value', _LONG, 'Unknown')}) FROM f",
-        "weekday_weekend": f"SELECT {day_types} FROM f",
-        "weekday_diff": f"SELECT CASE WHEN {day_types} = 2 THEN 1 ELSE 0 END FROM f",
-        "seasonal": "SELECT count(DISTINCT month(date)) FROM f",
-        **{name: "SELECT 1" for name in one_row},
-    }
-    parts = [f"SELECT '{k}' AS report, CAST(({q}) AS BIGINT) AS n" for k, q in counts.items()]
-    return f"{_E}, f AS (SELECT * FROM e WHERE {chosen})\n" + "\nUNION ALL ".join(parts)
-
-
-ORACLE["report_suite"] = _suite_counts()
+# Reports of the suite: their SQL, the columns that are numbers, and those that are text.
+_SUITE = {
+    "kpis": ("kpi", "locations avg_pm25 peak_pm25 rows", ""),
+    "kpi_display": ("kpi_display", "", "locations avg_pm25 peak_pm25 rows"),
+    "map_sites": (
+        "map_agg",
+        "location_id latitude longitude avg_pm25 max_pm25 measurements radius",
+        "location_name",
+    ),
+    "map_display": (
+        "map_display",
+        "location_id latitude longitude",
+        "location_name avg_pm25_display max_pm25_display",
+    ),
+    "map_center": ("map_center", "latitude longitude", ""),
+    "coord_coverage": ("coord_coverage", "rows rows_with_coords groups groups_with_coords", ""),
+    "extreme_summary": ("extreme_summary", "num_locations num_days max_value", ""),
+    "extreme_top": ("extreme_top10", "value latitude longitude", "severity date location_name"),
+    "top_locations": (
+        "top_locations",
+        "rank location_id avg_pm25 max_pm25 measurements",
+        "location_name category",
+    ),
+    "trend_daily": ("trend_daily_selected", "avg_pm25", "date location_name"),
+    "aqi_distribution": ("aqi_distribution", "n percentage", "category"),
+    "aqi_rollup": ("aqi_rollup", "good_pct moderate_pct unhealthy_pct", ""),
+    "weekday_weekend": ("weekday_weekend", "mean median max count", "day_type"),
+    "weekday_diff": ("weekday_diff", "weekday_mean weekend_mean diff_pct", "verdict"),
+    "seasonal": ("", "month mean min max", "month_name"),
+    "season_extremes": ("", "worst_mean best_mean", "worst_month best_month"),
+}
+
+
+def _suite() -> str:
+    """What each column of each report adds up to, over the suite's selection."""
+    chosen = _E.replace(
+        "FROM allrows WHERE", "FROM allrows WHERE date >= DATE '2024-01-05' AND value >= 35 AND"
+    )
+    months = f"""{chosen}, s AS (
+  SELECT month(date) AS month, monthname(date) AS month_name, avg(value) AS mean,
+         min(value) AS min, max(value) AS max FROM e GROUP BY 1, 2)"""
+    made, parts = [], []
+    for report, (name, numbers, texts) in _SUITE.items():
+        sql = ORACLE[name or report].replace(_SEASONS, months).replace(_E, chosen)
+        made.append(f"r_{report} AS ({sql})")
+        for column in numbers.split():
+            parts.append(
+                f"SELECT '{report}' AS report, '{column}' AS column, count(*) AS n,"
+                f" round(sum(round(CAST({column} AS DOUBLE), 6)), 4) AS total,"
+                f" CAST(NULL AS VARCHAR) AS low, CAST(NULL AS VARCHAR) AS high FROM r_{report}"
+            )
+        for column in texts.split():
+            value = f"CAST({column} AS VARCHAR)"
+            parts.append(
+                f"SELECT '{report}', '{column}', count(*), NULL, min({value}), max({value}) FROM r_{report}"
+            )
+    return "WITH " + ",\n".join(made) + "\n" + "\nUNION ALL ".join(parts)
+
+
+ORACLE["report_suite"] = _suite()

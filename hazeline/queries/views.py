@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from hazeline.functions.text import is_pm25
 from hazeline.operators.places import Directory
-from hazeline.session import tune
 
 ORDER = ["arrival"]
 DAILY_KEY = ["sensor_id", "parameter", "date"]
@@ -34,7 +33,7 @@ _SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def parameter_of(event_type: Column) -> Column:
@@ -120,24 +119,41 @@ def places(spark: SparkSession, sf_dir: str) -> Directory:
 
 
 def land_locations(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Location pages: customers are sensors at their nation.
+    """Location pages in two listings: customers are sensors at their nation.
 
     Every fifth sensor measures something else, every seventh has no
-    coordinates. A page lists at most LOCATION_SENSORS sensors.
+    coordinates. A page lists at most LOCATION_SENSORS sensors. The first listing
+    leaves out a third of them and has the others at the next nation, with other
+    coordinates; the second leaves out another third. Ids are text, and the second
+    listing has a broken line.
     """
     key = F.col("c_custkey")
-    name = F.when(key % 5 == 0, "o3").when(key % 5 == 1, "PM25").otherwise("pm25")
+    other = F.struct((key % 7 + 10.5).alias("latitude"), (-key % 9 - 0.5).alias("longitude"))
     own = F.struct((key % 50 + 0.5).alias("latitude"), (-key % 100 - 0.25).alias("longitude"))
+    customers = table(spark, sf_dir, "customer")
+    home = F.col("c_nationkey")
+    _land_listing(customers.where("c_custkey % 3 <> 1"), (home + 1) % 25, other, f"{path}/listing=1")
+    _land_listing(customers.where("c_custkey % 3 <> 0"), home, own, f"{path}/listing=2")
+    land_broken(spark, f"{path}/listing=2")
+
+
+def land_broken(spark: SparkSession, path: str) -> None:
+    """One more file, with half a line of JSON."""
+    spark.range(1).select(F.lit('{"id": 1, "sens')).coalesce(1).write.mode("append").text(path)
+
+
+def _land_listing(customers: DataFrame, location: Column, spot: Column, path: str) -> None:
+    key = F.col("c_custkey")
+    name = F.when(key % 5 == 0, "o3").when(key % 5 == 1, "PM25").otherwise("pm25")
     sensor = F.struct(
         key.alias("id"),
         F.concat(F.lit("sensor "), key.cast("string")).alias("name"),
         F.struct(name.alias("name")).alias("parameter"),
-        F.when(key % 7 != 0, own).alias("coordinates"),
+        F.when(key % 7 != 0, spot).alias("coordinates"),
     )
     page = F.floor(key / LOCATION_SENSORS)
     (
-        table(spark, sf_dir, "customer")
-        .groupBy(F.col("c_nationkey").cast("long").alias("id"), page.alias("page"))
+        customers.groupBy(location.cast("string").alias("id"), page.alias("page"))
         .agg(F.collect_list(sensor).alias("sensors"))
         .drop("page")
         .write.json(path)
@@ -196,7 +212,7 @@ def land_pages(events: DataFrame, path: str) -> None:
     pages = pages.agg(F.transform(listed, lambda r: r.result).alias("results"))
     (
         pages.sortWithinPartitions("day", "run", "sensor_id")
-        .select("day", "sensor_id", "results")
+        .select("day", "sensor_id", F.lit("17").alias("location_id"), "results")
         .write.partitionBy("day")
         .json(path)
     )
@@ -224,3 +240,43 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     schema = table(spark, sf_dir, "events").schema
     return as_measurements(spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events}}.parquet"))
+
+
+def _land_csv(rows: DataFrame, path: str, listing: int) -> None:
+    rows.write.option("header", True).csv(f"{path}/listing={listing}")
+
+
+def land_location_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``State,Code,City`` in two listings: customers as locations.
+
+    Some codes are no numbers, some are written as decimals, some cities are
+    missing, and the second listing names a third of the first one's anew.
+    """
+    key, rows = F.col("c_custkey"), table(spark, sf_dir, "customer")
+    state = F.concat(F.lit("State "), F.col("c_nationkey").cast("string")).alias("State")
+    code = F.when(key % 11 == 0, "n/a").when(key % 4 == 0, F.concat(key.cast("string"), F.lit(".0")))
+    code = F.coalesce(code, key.cast("string")).alias("Code")
+    city = F.when(key % 13 != 0, F.col("c_name")).alias("City")
+    _land_csv(rows.where("c_custkey % 3 <> 1").select(state, code, F.lit("Old").alias("City")), path, 1)
+    _land_csv(rows.where("c_custkey % 3 <> 0").select(state, code, city), path, 2)
+
+
+def land_map_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``sensor_id,location_id`` in two listings, some ids bad or missing."""
+    key, home = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    rows = table(spark, sf_dir, "customer")
+    sensor = F.when(key % 11 == 0, "none").otherwise(key.cast("string")).alias("sensor_id")
+    location = F.when(key % 13 != 0, home).alias("location_id")
+    _land_csv(rows.where("c_custkey % 3 <> 1").select(sensor, F.lit("99").alias("location_id")), path, 1)
+    _land_csv(rows.where("c_custkey % 3 <> 0").select(sensor, location), path, 2)
+
+
+def land_coords_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``location_id,latitude,longitude`` and one more column, in two listings, some parts bad."""
+    key, rows = F.col("c_custkey"), table(spark, sf_dir, "customer")
+    north = F.when(key % 7 == 0, "nan").otherwise((key % 50 + 0.5).cast("string")).alias("latitude")
+    west = F.when(key % 5 != 0, (-key % 90 - 0.25).cast("string")).alias("longitude")
+    zero = [F.lit("0.5").alias("latitude"), F.lit("0.25").alias("longitude")]
+    more = F.lit("x").alias("note")
+    _land_csv(rows.where("c_custkey % 3 <> 1").select(key.alias("location_id"), *zero, more), path, 1)
+    _land_csv(rows.where("c_custkey % 3 <> 0").select(key.alias("location_id"), north, west, more), path, 2)

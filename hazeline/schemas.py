@@ -5,13 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-_COORDINATES = T.StructType(
-    [
-        T.StructField("latitude", T.DoubleType()),
-        T.StructField("longitude", T.DoubleType()),
-    ]
-)
-
 # Numbers arrive as text so that a bad one becomes a null, not a lost page.
 _COORDINATES_TEXT = T.StructType(
     [
@@ -67,7 +60,7 @@ CORRUPT = "corrupt_line"
 MEASUREMENT_PAGE = T.StructType(
     [
         T.StructField("sensor_id", T.StringType()),
-        T.StructField("location_id", T.LongType()),
+        T.StructField("location_id", T.StringType()),
         T.StructField("results", T.ArrayType(_RESULT)),
         T.StructField(CORRUPT, T.StringType()),
     ]
@@ -75,35 +68,38 @@ MEASUREMENT_PAGE = T.StructType(
 
 LOCATION_PAGE = T.StructType(
     [
-        T.StructField("id", T.LongType()),
+        T.StructField("id", T.StringType()),
         T.StructField(
             "sensors",
             T.ArrayType(
                 T.StructType(
                     [
-                        T.StructField("id", T.LongType()),
+                        T.StructField("id", T.StringType()),
                         T.StructField("name", T.StringType()),
                         T.StructField(
                             "parameter", T.StructType([T.StructField("name", T.StringType())])
                         ),
-                        T.StructField("coordinates", _COORDINATES),
+                        T.StructField("coordinates", _COORDINATES_TEXT),
                     ]
                 )
             ),
         ),
+        T.StructField(CORRUPT, T.StringType()),
     ]
 )
 
 SENSOR_PAGE = T.StructType(
     [
-        T.StructField("id", T.LongType()),
+        T.StructField("id", T.StringType()),
         T.StructField("name", T.StringType()),
         T.StructField("parameter", T.StructType([T.StructField("name", T.StringType())])),
-        T.StructField("latest", T.StructType([T.StructField("coordinates", _COORDINATES)])),
+        T.StructField("latest", T.StructType([T.StructField("coordinates", _COORDINATES_TEXT)])),
         T.StructField("datetime_last", T.StructType([T.StructField("utc", T.StringType())])),
+        T.StructField(CORRUPT, T.StringType()),
     ]
 )
 
+# Names and order of the columns of the stored tables.
 KEY = ["sensor_id", "parameter", "datetime_utc"]
 
 FACT = T.StructType(
@@ -123,13 +119,28 @@ FACT = T.StructType(
     ]
 )
 
-# As stored: the insert time, then the two partition columns.
+# As stored: the insert time, the batch, and the month, which is a folder.
 STORED_FACT = T.StructType(
     FACT.fields
     + [
         T.StructField("created_at", T.TimestampType()),
+        T.StructField("batch", T.StringType()),
         T.StructField("month", T.StringType()),
+    ]
+)
+
+# What the fact table holds: a row per batch, write and month. A batch without
+# rows has one row without folder.
+MANIFEST = T.StructType(
+    [
         T.StructField("batch", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("attempt", T.StringType()),
+        T.StructField("month", T.StringType()),
+        T.StructField("low", T.TimestampNTZType()),
+        T.StructField("high", T.TimestampNTZType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("compacted", T.BooleanType()),
     ]
 )
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from hazeline.functions.numbers import to_id, to_number
 from hazeline.operators.pick import last_per_key
 from hazeline.schemas import COORDS, LOCATION, LOCATION_CSV, SENSOR_MAP, SENSOR_MAP_CSV
-from hazeline.sources.files import exists
+from hazeline.sources.files import exists, last_version
 
 _ORDER = ["_file", "_block", "_line"]
 
@@ -53,6 +53,9 @@ def read_locations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sensor_map(spark: SparkSession, path: str) -> DataFrame:
+    """A map file, or the last version of a written map."""
+    version = last_version(spark, path)
+    path = f"{path}/v={version}" if version else path
     columns = {
         "sensor_id": to_id(F.col("sensor_id")),
         "location_id": to_id(F.col("location_id")),

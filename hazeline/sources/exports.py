@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.operators.pick import last_per_key
+from hazeline.schemas import require
+from hazeline.sources.dimensions import read_sensor_map
+from hazeline.sources.files import last_version
+from hazeline.sources.landing import ARRIVAL
 
 # Most rows in one exported file; a larger sensor gets several.
 ROWS_PER_FILE = 5_000_000
@@ -38,24 +42,25 @@ def export_counts(requested: DataFrame, df: DataFrame) -> DataFrame:
     )
 
 
-def build_sensor_map(sensors: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Sensor to location, one row per sensor: the last one listed.
-
-    Without an order to go by, the largest location id stays.
-    """
-    if order is None:
-        return sensors.groupBy("sensor_id").agg(F.max("location_id").alias("location_id"))
+def build_sensor_map(sensors: DataFrame, order: list[str] = ARRIVAL) -> DataFrame:
+    """Sensor to location, one row per sensor: the last one listed."""
+    require(sensors, order, "listed sensors")
     pairs = sensors.select("sensor_id", "location_id", *order)
     return last_per_key(pairs, ["sensor_id"], order).select("sensor_id", "location_id")
 
 
-def write_sensor_map(sensor_map: DataFrame, path: str, stored: DataFrame | None = None) -> None:
-    """Sorted CSV that replaces what was there.
+def write_sensor_map(sensor_map: DataFrame, path: str, merge: bool = False) -> None:
+    """Sorted CSV in the next version folder below ``path``; ``read_sensor_map`` reads the last.
 
-    With ``stored``, entries this run does not know are kept; ``stored`` must
-    not be read from the folder being replaced.
+    With ``merge``, entries of sensors this run does not list are kept. A run that
+    dies while writing leaves the previous version in force.
     """
-    if stored is not None:
+    spark = sensor_map.sparkSession
+    current = last_version(spark, path)
+    if merge and current:
+        stored = read_sensor_map(spark, path)
         kept = stored.join(sensor_map.select("sensor_id"), "sensor_id", "left_anti")
         sensor_map = sensor_map.unionByName(kept)
-    sensor_map.orderBy("sensor_id").write.mode("overwrite").option("header", True).csv(path)
+    target = f"{path}/v={current + 1}"
+    sensor_map.orderBy("sensor_id").write.mode("overwrite").option("header", True).csv(target)
+

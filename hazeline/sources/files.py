@@ -15,6 +15,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def last_version(spark: SparkSession, path: str) -> int:
+    """The largest n of folders ``v=n`` below a path with a commit marker; 0 without any."""
+    names = [n for n in child_names(spark, path) if n.startswith("v=")]
+    for number in sorted((int(n.removeprefix("v=")) for n in names), reverse=True):
+        if exists(spark, f"{path}/v={number}/_SUCCESS"):
+            return number
+    return 0
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, target = _file_system(spark, path)
     if not fs.exists(target):

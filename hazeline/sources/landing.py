@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazeline.functions.numbers import to_id, to_number
 from hazeline.functions.text import is_pm25
 from hazeline.schemas import CORRUPT, FACT, LOCATION_PAGE, MEASUREMENT_PAGE, SENSOR_PAGE, require
 
@@ -67,7 +68,7 @@ def flatten_pages(pages: DataFrame, flavour: str = SCHEDULED) -> DataFrame:
         F.col("r.summary.median").alias("median"),
         F.col("r.coordinates.latitude").alias("latitude"),
         F.col("r.coordinates.longitude").alias("longitude"),
-        "location_id",
+        to_id(F.col("location_id")).alias("location_id"),
         CORRUPT,
         *ARRIVAL,
     )
@@ -79,23 +80,48 @@ def read_measurement_pages(spark: SparkSession, path: str, flavour: str = SCHEDU
     return rows.where(F.col(CORRUPT).isNull()).select(*FACT.names, "location_id", *ARRIVAL)
 
 
+def _read_json(spark: SparkSession, path: str, schema) -> DataFrame:
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+    return _with_origin(reader.option("mode", "PERMISSIVE").json(path))
+
+
 def read_location_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LOCATION_PAGE).json(path)
+    """Location pages, one JSON object per line; a broken line stays as text."""
+    return _read_json(spark, path, LOCATION_PAGE)
+
+
+def read_sensor_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Sensor records, one JSON object per line; a broken line stays as text."""
+    return _read_json(spark, path, SENSOR_PAGE)
+
+
+def broken_lines(pages: DataFrame) -> DataFrame:
+    """The lines of location or sensor pages that could not be read, or have no id."""
+    unread = F.col(CORRUPT).isNotNull() | to_id(F.col("id")).isNull()
+    return pages.where(unread).select(*[c for c in ARRIVAL if c in pages.columns], "id", CORRUPT)
 
 
 def location_sensors(locations: DataFrame, only_pm25: bool = True) -> DataFrame:
-    """One row per sensor of each location; locations without sensors vanish."""
-    rows = locations.select(F.col("id").alias("location_id"), F.explode("sensors").alias("s"))
+    """One row per sensor of each location, with its arrival order.
+
+    Locations without sensors vanish, and so do broken lines, which
+    ``broken_lines`` has.
+    """
+    lines = locations.withColumn("arrival_line", F.monotonically_increasing_id())
+    order = [c for c in ARRIVAL[:3] if c in lines.columns]
+    rows = lines.select(
+        to_id(F.col("id")).alias("location_id"),
+        *order,
+        F.posexplode("sensors").alias("arrival_pos", "s"),
+    )
     rows = rows.select(
         "location_id",
-        F.col("s.id").alias("sensor_id"),
+        to_id(F.col("s.id")).alias("sensor_id"),
         F.col("s.name").alias("sensor_name"),
         F.col("s.parameter.name").alias("parameter"),
-        F.col("s.coordinates.latitude").alias("latitude"),
-        F.col("s.coordinates.longitude").alias("longitude"),
-    )
+        to_number(F.col("s.coordinates.latitude")).alias("latitude"),
+        to_number(F.col("s.coordinates.longitude")).alias("longitude"),
+        *order,
+        "arrival_pos",
+    ).where("location_id is not null and sensor_id is not null")
     return rows.where(is_pm25(F.col("parameter"))) if only_pm25 else rows
-
-
-def read_sensor_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SENSOR_PAGE).json(path)

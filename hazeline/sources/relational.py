@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazeline.operators.merge import accepted_rows
+from hazeline.operators.cleaning import dedup_first
 from hazeline.schemas import FACT, KEY
 
 
@@ -46,20 +46,33 @@ def read_table(
     )
 
 
+def insert_statement(table: str, side: str) -> str:
+    """Moves staged rows into the table; rows it has already are left as they are."""
+    columns = ", ".join(f'"{name}"' for name in FACT.names)
+    keys = ", ".join(f'"{name}"' for name in KEY)
+    return f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {side} ON CONFLICT ({keys}) DO NOTHING"
+
+
 def append_new(
     spark: SparkSession,
     options: dict[str, str],
     table: str,
     batch: DataFrame,
     arrival: list[str],
-    months: list[str],
+    side: str,
 ) -> None:
     """Insert-ignore into a database table.
 
-    Stored keys of the batch's months are read and excluded first; the table's
-    own unique constraint still guards against a concurrent writer.
+    The batch's first rows go to a side table, which a retried task or job may
+    write again, and one statement moves them over. The table's unique constraint
+    decides what is new, also against concurrent writers.
     """
-    stored = read_table(spark, options, table, months).select(*KEY)
-    rows = accepted_rows(stored, batch, arrival).select(*FACT.names)
+    rows = dedup_first(batch, arrival).select(*FACT.names)
     properties = {k: v for k, v in options.items() if k != "url"}
-    rows.write.jdbc(options["url"], table, mode="append", properties=properties)
+    rows.write.jdbc(options["url"], side, mode="overwrite", properties=properties)
+    manager = spark._jvm.java.sql.DriverManager
+    link = manager.getConnection(options["url"], options["user"], options["password"])
+    try:
+        link.createStatement().executeUpdate(insert_statement(table, side))
+    finally:
+        link.close()

@@ -3,25 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazeline.functions.dates import month_key
 from hazeline.functions.numbers import no_nan
-from hazeline.schemas import FACT, SENSOR_METADATA, SIGNAL, STORED_FACT, require
-from hazeline.sources.files import child_names, exists
+from hazeline.schemas import FACT, MANIFEST, SENSOR_METADATA, SIGNAL, STORED_FACT, require
+from hazeline.sources.files import last_version
 
+# The measurement columns that reports need.
 _REPORT_COLUMNS = [
-    "sensor_id",
-    "parameter",
-    "datetime_local",
-    "datetime_utc",
-    "value",
-    "units",
-    "latitude",
-    "longitude",
+    c for c in FACT.names if c not in ("coverage_percent", "min", "max", "median")
 ]
 
 
@@ -37,61 +33,6 @@ def scan_parameter(facts: DataFrame, parameter: str = "pm25") -> DataFrame:
     return rows.withColumns({name: no_nan(F.col(name)) for name in doubles})
 
 
-class FactTable:
-    """Measurements under ``path/month=…/batch=…``.
-
-    Each batch writes folders of its own, put in place when its job commits,
-    and a batch written again replaces just those. So a retry adds nothing
-    twice, and a job that died leaves nothing readers see.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def read(self, months: list[str] | None = None, skip_batch: str | None = None) -> DataFrame:
-        if not exists(self.spark, self.path):
-            return self.spark.createDataFrame([], STORED_FACT)
-        rows = self.spark.read.schema(STORED_FACT).parquet(self.path)
-        if months is not None:
-            rows = rows.where(F.col("month").isin(months))
-        return rows if skip_batch is None else rows.where(F.col("batch") != skip_batch)
-
-    def months(self, skip_batch: str | None = None) -> set[str]:
-        """Months that hold rows, by folder names alone."""
-        found = set()
-        for folder in child_names(self.spark, self.path):
-            if folder.startswith("month="):
-                batches = set(child_names(self.spark, f"{self.path}/{folder}"))
-                if batches - {f"batch={skip_batch}"}:
-                    found.add(folder.removeprefix("month="))
-        return found
-
-    def append(self, rows: DataFrame, batch: str, as_of: dt.datetime | None = None) -> None:
-        """Write accepted rows as one batch.
-
-        The rebalance gives each month files of a fair size: a huge month is
-        split over tasks, small ones share a task.
-        """
-        require(rows, FACT.names, "accepted rows")
-        created = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-        stored = rows.select(
-            *FACT.names,
-            created.alias("created_at"),
-            month_key(F.col("datetime_utc")).alias("month"),
-            F.lit(batch).alias("batch"),
-        )
-        (
-            stored.hint("rebalance", F.col("month"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("month", "batch")
-            .parquet(self.path)
-        )
-
-    def rows_in_batch(self, batch: str) -> int:
-        return self.read().where(F.col("batch") == batch).count()
-
-
 class SnapshotTable:
     """A small table replaced as a whole, in folders ``v=1``, ``v=2``, …
 
@@ -103,11 +44,7 @@ class SnapshotTable:
         self.spark, self.path, self.schema = spark, path, schema
 
     def version(self) -> int:
-        names = [n for n in child_names(self.spark, self.path) if n.startswith("v=")]
-        for number in sorted((int(n.removeprefix("v=")) for n in names), reverse=True):
-            if exists(self.spark, f"{self.path}/v={number}/_SUCCESS"):
-                return number
-        return 0
+        return last_version(self.spark, self.path)
 
     def read(self) -> DataFrame:
         current = self.version()
@@ -121,9 +58,146 @@ class SnapshotTable:
         rows.select(*self.schema.names).write.mode("overwrite").parquet(target)
 
 
+class UsedBatchName(ValueError):
+    """A batch name that stands for other input already."""
+
+
+class FactTable:
+    """Measurements below ``path/data``, in folders that ``path/manifest`` lists.
+
+    Each write of a batch goes to a folder of its own, ``attempt=…/month=…``. Only
+    the next manifest makes it count, and takes the batch's earlier folders out, so
+    a retry adds nothing twice, a shorter rerun leaves no month behind, and a job
+    that died leaves nothing readers see. A batch also keeps what its input was:
+    its name cannot be used for other input.
+
+    The manifest has one row per batch, attempt and month with the range of times,
+    so that a reader opens the folders it needs and lists no others. One writer at
+    a time may write.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.data = spark, path, f"{path}/data"
+        self.manifest = SnapshotTable(spark, f"{path}/manifest", MANIFEST)
+
+    def read(
+        self,
+        ranges: dict[str, tuple[dt.datetime, dt.datetime]] | None = None,
+        skip_batch: str | None = None,
+    ) -> DataFrame:
+        """Stored rows; with ``ranges``, by month, only those between two times."""
+        listed = self.manifest.read()
+        if skip_batch is not None:
+            listed = listed.where(F.col("batch") != skip_batch)
+        if ranges is not None:
+            inside = [
+                (F.col("month") == month) & (F.col("high") >= F.lit(low)) & (F.col("low") <= F.lit(high))
+                for month, (low, high) in ranges.items()
+            ]
+            listed = listed.where(reduce(Column.__or__, inside, F.lit(False)))
+        # One row per folder that is needed.
+        attempts = [row["attempt"] for row in listed.select("attempt").distinct().collect()]
+        if not attempts:
+            return self.spark.createDataFrame([], STORED_FACT)
+        folders = [f"{self.data}/attempt={attempt}" for attempt in sorted(attempts)]
+        reader = self.spark.read.schema(_WITH_ATTEMPT).option("basePath", self.data)
+        rows = reader.parquet(*folders).drop("attempt")
+        if skip_batch is not None:
+            rows = rows.where(F.col("batch") != skip_batch)
+        if ranges is not None:
+            stamp = F.col("datetime_utc")
+            inside = [
+                (F.col("month") == month)
+                & stamp.between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz"))
+                for month, (low, high) in ranges.items()
+            ]
+            lows, highs = zip(*ranges.values(), strict=True)
+            # The overall range is one that file statistics can answer.
+            rows = rows.where(
+                (stamp >= F.lit(min(lows)).cast("timestamp_ntz"))
+                & (stamp <= F.lit(max(highs)).cast("timestamp_ntz"))
+                & reduce(Column.__or__, inside)
+            )
+        return rows
+
+    def claim(self, batch: str, source: str) -> None:
+        """Refuse a batch name that stands for other input, or whose rows were compacted."""
+        held = self.manifest.read().where(F.col("batch") == batch)
+        # A few rows per batch.
+        rows = held.select("source", "compacted").distinct().collect()
+        if any(row["source"] != source for row in rows):
+            raise UsedBatchName(f"batch {batch!r} holds other input already")
+        if any(row["compacted"] for row in rows):
+            raise UsedBatchName(f"batch {batch!r} is compacted and cannot be replaced")
+
+    def append(
+        self, rows: DataFrame, batch: str, source: str = "", as_of: dt.datetime | None = None
+    ) -> int:
+        """Write accepted rows as one batch, in place of what it held; returns their number.
+
+        ``source`` tells what the rows were made of. The rebalance gives each month
+        files of a fair size: a huge month is split over tasks, small ones share one.
+        """
+        require(rows, FACT.names, "accepted rows")
+        self.claim(batch, source)
+        created = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+        stored = rows.select(
+            *FACT.names,
+            created.alias("created_at"),
+            F.lit(batch).alias("batch"),
+            month_key(F.col("datetime_utc")).alias("month"),
+        )
+        entries = self._write(stored).withColumns(
+            {"source": F.lit(source), "compacted": F.lit(False)}
+        )
+        kept = self.manifest.read().where(F.col("batch") != batch)
+        self.manifest.replace(_with_mark(kept.unionByName(entries.select(*MANIFEST.names)), batch, source))
+        return self.rows_in_batch(batch)
+
+    def _write(self, stored: DataFrame) -> DataFrame:
+        """Write rows to a new folder and list it: one row per batch and month."""
+        attempt = uuid.uuid4().hex
+        folder = f"{self.data}/attempt={attempt}"
+        stored.hint("rebalance", F.col("month")).write.partitionBy("month").parquet(folder)
+        written = self.spark.read.schema(_WITH_ATTEMPT).option("basePath", self.data).parquet(folder)
+        return written.groupBy("batch", "attempt", "month").agg(
+            F.min("datetime_utc").alias("low"),
+            F.max("datetime_utc").alias("high"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+
+    def compact(self, months: list[str]) -> None:
+        """Rewrite the named months into one folder.
+
+        Their batches can no longer be replaced, but their names stay taken.
+        """
+        listed = self.manifest.read()
+        inside = F.col("month").isin(months)
+        rows = self.read().where(inside).select(*_WITH_ATTEMPT.names[:-1])
+        sources = listed.where(inside).select("batch", "source").distinct()
+        entries = self._write(rows).join(sources, "batch").withColumn("compacted", F.lit(True))
+        kept = listed.where(~inside | F.col("month").isNull())
+        self.manifest.replace(kept.unionByName(entries.select(*MANIFEST.names)))
+
+    def rows_in_batch(self, batch: str) -> int:
+        held = self.manifest.read().where(F.col("batch") == batch)
+        return held.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
+
+def _with_mark(entries: DataFrame, batch: str, source: str) -> DataFrame:
+    """The entries, and for a batch without rows one that keeps its name and input."""
+    spark = entries.sparkSession
+    mark = spark.createDataFrame([(batch, source, None, None, None, None, 0, False)], MANIFEST)
+    missing = mark.join(entries.where(F.col("batch") == batch).select("batch").limit(1), "batch", "left_anti")
+    return entries.unionByName(missing.select(*MANIFEST.names))
+
+
+# As the files have them, with both folder columns.
+_WITH_ATTEMPT = T.StructType([*STORED_FACT.fields, T.StructField("attempt", T.StringType())])
+
 # Table name, its columns, its partition columns.
 _TABLES = {
-    "sensor_data": (STORED_FACT, ["month", "batch"]),
+    "sensor_data/data": (_WITH_ATTEMPT, ["attempt", "month"]),
     "sensor_metadata": (SENSOR_METADATA, []),
     "signal_table": (SIGNAL, []),
 }
@@ -134,14 +208,18 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def ensure_tables(spark: SparkSession, root: str, database: str = "default") -> list[str]:
-    """Create the catalog tables that are not there yet; returns all names."""
+    """Create the catalog tables that are not there yet; returns all names.
+
+    The catalog's fact table shows all folders; ``FactTable`` those that count.
+    """
     names = []
-    for table, (schema, partitions) in _TABLES.items():
+    for folder, (schema, partitions) in _TABLES.items():
+        table = folder.split("/")[0]
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         split = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet{split}"
-            f" LOCATION '{root}/{table}'"
+            f" LOCATION '{root}/{folder}'"
         )
         names.append(f"{database}.{table}")
     return names

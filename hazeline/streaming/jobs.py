@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hazeline.functions.numbers import exact_mean
 from hazeline.operators.filters import filter_threshold
 from hazeline.operators.merge import latest_per_sensor, upsert_signal
 from hazeline.plans.ingest import ingest_batch
@@ -28,6 +27,7 @@ def start_ingest(
     facts: FactTable,
     stage: str,
     checkpoint: str,
+    source: str,
     sensors: DataFrame | None = None,
     coords: DataFrame | None = None,
     flavour: str = SCHEDULED,
@@ -41,8 +41,10 @@ def start_ingest(
     Without ``every`` it stops when all that has landed is in; with it, say
     ``"10 minutes"``, it goes on looking.
 
-    The micro-batch number names the stored batch, so one that runs again
-    after a failure replaces itself.
+    ``source`` and the micro-batch number name the stored batch, so one that
+    runs again after a failure replaces itself. Streams into one table need
+    names of their own; a name that goes with a new checkpoint is refused by
+    the table, as its batches held other files.
     """
 
     def merge(batch_pages: DataFrame, number: int) -> None:
@@ -50,7 +52,7 @@ def start_ingest(
             spark,
             batch_pages,
             facts,
-            f"stream-{number:010d}",
+            f"{source}-{number:010d}",
             stage,
             sensors,
             coords,
@@ -98,8 +100,11 @@ def alerts(rows: DataFrame, threshold: float = EXTREME_FROM) -> DataFrame:
     return filter_threshold(rows, threshold)
 
 
-def daily_stream(rows: DataFrame, delay: str = "2 days", keys=("sensor_id",)) -> DataFrame:
-    """Daily figures by key, given out once the watermark has passed the day.
+DAILY_KEYS = ("sensor_id", "parameter")
+
+
+def daily_stream(rows: DataFrame, delay: str = "2 days", keys=DAILY_KEYS) -> DataFrame:
+    """Daily figures by key. Rows later than ``delay`` are left out.
 
     The median is the approximate one, whose state is bounded.
     """
@@ -107,7 +112,7 @@ def daily_stream(rows: DataFrame, delay: str = "2 days", keys=("sensor_id",)) ->
     watermarked = with_event_time(rows).withWatermark("event_time", delay)
     daily = watermarked.groupBy(day, *keys).agg(
         F.count("value").alias("n"),
-        exact_mean(F.col("value")).alias("mean"),
+        F.avg("value").alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.percentile_approx("value", 0.5).alias("median_approx"),
@@ -118,6 +123,47 @@ def daily_stream(rows: DataFrame, delay: str = "2 days", keys=("sensor_id",)) ->
     )
 
 
+def start_daily(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    delay: str = "2 days",
+    keys=DAILY_KEYS,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Keep the daily figures below ``path`` up to date, open days included.
+
+    Each micro-batch writes the days it changed to a folder of its own, and
+    again the same if it runs again. ``read_daily`` has the last state of each.
+    """
+    figures = daily_stream(rows, delay, keys)
+
+    def update(changed: DataFrame, number: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/update={number}")
+
+    return _writer(figures, checkpoint, every).outputMode("update").foreachBatch(update).start()
+
+
+def read_daily(spark: SparkSession, path: str, keys=DAILY_KEYS) -> DataFrame:
+    """The figures of each key and day as last updated."""
+    updates = spark.read.option("basePath", path).parquet(f"{path}/update=*")
+    figures = [c for c in updates.columns if c not in ("date", "update", *keys)]
+    last = updates.groupBy("date", *keys).agg(F.max_by(F.struct(*figures), "update").alias("last"))
+    return last.select("date", *keys, *[f"last.{c}" for c in figures])
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a finished run left out as later than the watermark allows.
+
+    Rows of one key and task that come together count once.
+    """
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
 def start_to_parquet(
     rows: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:

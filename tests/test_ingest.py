@@ -177,10 +177,57 @@ def test_stream_equals_batch(spark, landed):
             facts,
             f"{landed}/stage-stream",
             f"{landed}/checkpoint",
+            "stream",
         ).awaitTermination()
     assert stored(facts) == stored(batch) and len(stored(facts)) == 5
 
 
+def test_two_streams_feed_one_table(spark, landed):
+    facts = FactTable(spark, f"{landed}/facts")
+
+    def run(source, name):
+        jobs.start_ingest(
+            spark,
+            read_page_stream(spark, f"{landed}/{name}"),
+            facts,
+            f"{landed}/stage",
+            f"{landed}/checkpoint-{source}-{name}",
+            source,
+        ).awaitTermination()
+
+    run("north", "first")
+    run("south", "second")
+    both = stored(facts)
+    assert len(both) == 5
+    # A new checkpoint under a used name would start again at batch 0.
+    with pytest.raises(Exception, match="holds other input"):
+        run("north", "second")
+    assert stored(facts) == both
+
+
+def test_a_used_batch_name_with_other_files_is_refused(spark, landed, asked):
+    facts = FactTable(spark, f"{landed}/facts")
+    run_scheduled(spark, landed, asked, facts, "first")
+    before = stored(facts)
+    with pytest.raises(ValueError, match="holds other input"):
+        ingest.ingest_batch(
+            spark, read_pages(spark, f"{landed}/second"), facts, "first", f"{landed}/stage"
+        )
+    assert stored(facts) == before
+
+
+def test_a_shorter_rerun_leaves_no_month(spark, landed):
+    facts = FactTable(spark, f"{landed}/facts")
+
+    def run(end):
+        pages = read_pages(spark, f"{landed}/second")
+        return ingest.ingest_batch(spark, pages, facts, "x", f"{landed}/stage", end=end)
+
+    assert run(None).inserted == 3 and len(stored(facts)) == 3
+    stats = run("2024-01-20")
+    assert stats == ingest.IngestStats(1, 1, 0, 0) and stored(facts) == [(1, 1, 2, 12.0)]
+
+
 def event_files(spark, folder, days):
     """One file per call, as a stream source would see them arrive."""
     rows = [
@@ -210,6 +257,18 @@ def test_daily_stream_drops_late_rows(spark, folder):
     assert days[1] == 2 and set(days) == {1, 2, 3, 7} and all(n == 2 for n in days.values())
 
 
+def test_daily_stream_has_open_days_and_counts_late_rows(spark, folder):
+    stream, late = event_files(spark, folder, [1, 2, 3]), 0
+    for days in (None, [7, 8], [1, 9]):
+        if days:
+            event_files(spark, folder, days)
+        query = jobs.start_daily(stream, f"{folder}/days", f"{folder}/checkpoint", "1 day")
+        query.awaitTermination()
+        late += jobs.late_rows(query)
+    found = {r["date"].day: r["n"] for r in jobs.read_daily(spark, f"{folder}/days").collect()}
+    assert found == {1: 2, 2: 2, 3: 2, 7: 2, 8: 2, 9: 2} and late >= 1
+
+
 def test_dedup_stream_keeps_real_rows(spark, folder):
     stream = event_files(spark, folder, [1, 2])
     event_files(spark, folder, [2, 3])

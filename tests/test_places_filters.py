@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hazeline.operators import filters, sizing
 from hazeline.operators.places import Directory, assign_region, attach_to_sensors, enrich
-from hazeline.operators.sizing import lookup_join, measured_bytes
+from hazeline.operators.sizing import lookup_join
 from hazeline.plans.ingest import sensor_coords, with_coords
 
 STAMP = dt.datetime(2024, 1, 6, 23, 30)
@@ -60,7 +60,7 @@ def test_stored_coordinates_win(spark, where):
 
 def test_shuffled_lookup_equals_broadcast(spark, rows, monkeypatch):
     """A third of the rows share one key, a tenth have none."""
-    monkeypatch.setattr(sizing, "HOT_KEYS", 5)
+    monkeypatch.setattr(sizing, "HOT_ROWS", 500)
     number = F.col("id")
     facts = spark.range(9000).select(
         F.when(number % 3 == 0, 1).when(number % 10 != 1, number % 50).alias("k"), "id"
@@ -84,7 +84,7 @@ def test_shuffled_lookup_equals_broadcast(spark, rows, monkeypatch):
 def test_row_level_operators_either_way(spark, where, rows, monkeypatch, limit):
     """The same rows whether lookups are broadcast or shuffled."""
     monkeypatch.setattr(sizing, "BROADCAST_BYTES", limit)
-    monkeypatch.setattr(sizing, "HOT_KEYS", 1)
+    monkeypatch.setattr(sizing, "HOT_ROWS", 3)
     sensors = [1] * 6 + [3, 7, 8, 9]
     data = [(s, STAMP + dt.timedelta(hours=i), 1.0) for i, s in enumerate(sensors)]
     df = spark.createDataFrame(data, "sensor_id long, datetime_utc timestamp_ntz, value double")
@@ -98,11 +98,13 @@ def test_row_level_operators_either_way(spark, where, rows, monkeypatch, limit):
 
 
 def test_measured_bytes_follow_text(spark):
+    from hazeline.operators.sizing import measured
+
     short = spark.createDataFrame([("a",)], "x string")
     long = spark.createDataFrame([("a" * 1000,)], "x string")
     empty = short.where("false")
-    sizes = measured_bytes([short, long, empty])
-    assert sizes[1] - sizes[0] == 999 and sizes[2] == 0
+    sizes = measured([short, long, empty])
+    assert sizes[1][0] - sizes[0][0] == 999 and sizes[2] == (0, 0) and sizes[0][1] == 1
 
 
 def test_region(spark):
@@ -119,8 +121,9 @@ def test_region(spark):
 
 def test_coordinate_priority(spark):
     sensors = spark.createDataFrame(
-        [(1, 100, 1.0, 1.5), (2, 200, 2.0, 2.5), (3, 300, None, None)],
-        "sensor_id long, location_id long, latitude double, longitude double",
+        # the last listing counts, with its own coordinates, were they smaller
+        [(1, 100, 1.0, 1.5, 0), (2, 999, 20.0, -90.0, 0), (2, 200, 2.0, 2.5, 1), (3, 300, None, None, 0)],
+        "sensor_id long, location_id long, latitude double, longitude double, n int",
     )
     coords = spark.createDataFrame(
         [(100, 9.0, 9.5)], "location_id long, latitude double, longitude double"
@@ -128,7 +131,7 @@ def test_coordinate_priority(spark):
     rows = spark.createDataFrame(
         [(s, 7.0, 7.5) for s in (1, 2, 3, 4)], "sensor_id long, latitude double, longitude double"
     )
-    located = sensor_coords(sensors, coords)
+    located = sensor_coords(sensors, coords, ["n"])
     for flavour, third in (("scheduled", 7.0), ("backfill", None)):
         joined = with_coords(rows, located, flavour, spread_by=["sensor_id"])
         found = {r["sensor_id"]: (r["latitude"], r["known"]) for r in joined.collect()}
@@ -153,15 +156,6 @@ def test_dates_are_inclusive(measured):
     assert ids() == [0, 1, 2, 3]
 
 
-def test_chosen_dates():
-    lo, hi, day = dt.date(2024, 1, 1), dt.date(2024, 12, 31), dt.date(2024, 5, 5)
-    assert filters.chosen_dates((day, hi), lo, hi) == (day, hi)
-    assert filters.chosen_dates((day,), lo, hi) == (day, hi)
-    assert filters.chosen_dates(day, lo, hi) == (day, day)
-    assert filters.chosen_dates(None, lo, hi) == (lo, hi)
-    assert filters.chosen_dates((), lo, hi) == (lo, hi)
-
-
 def test_threshold_never_takes_missing(spark, measured):
     from hazeline.functions.numbers import no_nan
 

@@ -19,6 +19,7 @@ from hazeline.sources.exports import (
 )
 from hazeline.sources.landing import (
     BACKFILL,
+    broken_lines,
     flatten_pages,
     location_sensors,
     read_location_pages,
@@ -27,6 +28,7 @@ from hazeline.sources.landing import (
 )
 from hazeline.sources.tables import (
     FactTable,
+    UsedBatchName,
     SnapshotTable,
     ensure_tables,
     scan_parameter,
@@ -123,19 +125,34 @@ def facts(spark, data):
 
 def test_fact_table(spark, folder, rows):
     table = FactTable(spark, f"{folder}/facts")
-    assert table.read().count() == 0 and table.months() == set()
+    assert table.read().count() == 0
     jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
     table.append(facts(spark, [(1, jan, 1.0), (2, feb, 2.0)]), "a")
-    table.append(facts(spark, [(3, feb, 3.0)]), "b")
-    table.append(facts(spark, [(3, feb, 3.0)]), "b")
+    table.append(facts(spark, [(3, feb, 3.0)]), "b", "two files")
+    assert table.append(facts(spark, [(3, feb, 3.0)]), "b", "two files") == 1
+    with pytest.raises(UsedBatchName, match="other input"):
+        table.append(facts(spark, [(4, feb, 3.0)]), "b", "another file")
     assert rows(table.read(), "sensor_id", "month", "batch") == [
         (1, "2024-01", "a"), (2, "2024-02", "a"), (3, "2024-02", "b")
     ]
-    assert table.months() == {"2024-01", "2024-02"} and table.rows_in_batch("a") == 2
-    assert table.months(skip_batch="a") == {"2024-02"}
-    pruned = table.read(["2024-01"])
+    assert table.rows_in_batch("a") == 2 and table.rows_in_batch("b") == 1
+    pruned = table.read({"2024-02": (feb, feb)}, skip_batch="a")
+    assert rows(pruned, "sensor_id") == [(3,)]
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^]]*month", plan)
+    assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(datetime_utc", plan)
+    # A shorter rerun leaves no month behind.
+    table.append(facts(spark, [(1, jan, 1.0)]), "a")
+    assert rows(table.read(), "sensor_id", "batch") == [(1, "a"), (3, "b")]
+    assert table.read({"2024-02": (feb, feb)}, skip_batch="b").count() == 0
+    table.compact(["2024-02"])
+    assert rows(table.read(), "sensor_id", "batch") == [(1, "a"), (3, "b")]
+    assert table.rows_in_batch("b") == 1
+    with pytest.raises(UsedBatchName, match="compacted"):
+        table.append(facts(spark, [(3, feb, 3.0)]), "b", "two files")
+    table.append(facts(spark, []), "empty", "no rows")
+    with pytest.raises(UsedBatchName):
+        table.append(facts(spark, []), "empty", "other rows")
     with pytest.raises(ValueError, match="lacks columns"):
         table.append(facts(spark, []).drop("units"), "c")
 
@@ -186,9 +203,32 @@ def test_sensor_map_sink(spark, folder, rows):
     write_sensor_map(build_sensor_map(listed, ["n"]), f"{folder}/map")
     assert rows(read_sensor_map(spark, f"{folder}/map")) == [(1, 10), (2, 21)]
     fresh = spark.createDataFrame([(3, 30), (1, 11)], "sensor_id long, location_id long")
-    stored = read_sensor_map(spark, f"{folder}/map")
-    write_sensor_map(fresh, f"{folder}/map2", stored)
-    assert rows(read_sensor_map(spark, f"{folder}/map2")) == [(1, 11), (2, 21), (3, 30)]
+    write_sensor_map(fresh, f"{folder}/map", merge=True)
+    assert rows(read_sensor_map(spark, f"{folder}/map")) == [(1, 11), (2, 21), (3, 30)]
+    write_sensor_map(fresh, f"{folder}/map")
+    assert rows(read_sensor_map(spark, f"{folder}/map")) == [(1, 11), (3, 30)]
+
+
+def test_last_listed_location_wins(spark, folder, rows):
+    """Two pages list sensor 7, the second at the smaller location; a line is broken."""
+    page = '{{"id": "{}", "sensors": [{{"id": 7, "parameter": {{"name": "pm25"}}}}]}}\n'
+    path = os.path.dirname(write(f"{folder}/loc/p.json", page.format(9) + page.format(2) + '{"id": 3, "se\n'))
+    pages = read_location_pages(spark, path)
+    assert rows(build_sensor_map(location_sensors(pages))) == [(7, 2)]
+    assert broken_lines(pages).count() == 1
+
+
+def test_quoted_location_id_keeps_the_page(spark, folder):
+    text = '{"sensor_id": 1, "location_id": "17", "results": [{"value": 5}]}\n'
+    path = os.path.dirname(write(f"{folder}/m/p.json", text))
+    row = read_measurement_pages(spark, path).first()
+    assert (row["location_id"], row["value"]) == (17, "5")
+
+
+def test_database_ignores_known_rows():
+    text = relational.insert_statement("sensor_data", "incoming")
+    assert text.startswith('INSERT INTO sensor_data ("sensor_id", "parameter", "datetime_utc"')
+    assert text.endswith('ON CONFLICT ("sensor_id", "parameter", "datetime_utc") DO NOTHING')
 
 
 def test_relational_options():
