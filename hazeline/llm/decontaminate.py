@@ -1,12 +1,12 @@
 """Benchmark decontamination through a positional inverted index.
 
 Windows of consecutive benchmark words are searched in the training texts. Terms
-are counted over the whole corpus first. For each window the rarest terms are
-looked up: their postings (row, place) are stored, shifted back by the term's
-offset in the window, and intersected, so that only places where all rare terms
-stand at the right distances remain. Those few places are checked word by word.
-Rare terms that come together within a little slack, but not exactly, are
-reported as proximity matches.
+are counted over the whole corpus first. The postings (row, place) of each window's
+rarest terms are stored. Those of the rarest one, shifted back by its offset in the
+window, are the places where the window may begin; they are intersected with the
+postings of the next rarest, shifted alike, and so on. What remains is checked word
+by word. Places where the rare terms come together within a little slack, but not
+exactly, are proximity matches.
 
 Only built-in functions are used. Lists of benchmark terms and windows are
 broadcast after their rows are counted; longer lists are joined by shuffle.
@@ -27,7 +27,7 @@ SLACK = 5
 #: Longer lists of terms or windows are not broadcast.
 BROADCAST_ROWS = 500_000
 
-_WORD = r"[0-9a-z[^\x00-\x7F]]+"
+_WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -73,48 +73,63 @@ def _tokens(docs: DataFrame) -> DataFrame:
 
 
 def rarest_terms(docs: DataFrame, windows: DataFrame, rarest: int = RAREST) -> DataFrame:
-    """window, offset, term, needed: for each window its rarest terms by their count in ``docs``.
+    """id, window, rare: for each window its rarest terms by their count in ``docs``, the rarest first.
 
-    Windows with a term that no document has are left out.
+    ``rare`` holds structs of term and offset. Windows with a term that no document
+    has are left out.
     """
-    placed = windows.select(
-        "window", F.size("words").alias("length"), F.posexplode("words").alias("offset", "word")
-    ).withColumn("term", F.lower("word"))
+    placed = windows.select("window", F.posexplode("words").alias("offset", "word")).withColumn(
+        "term", F.lower("word")
+    )
     terms = written(placed.select("term").distinct(), "terms")
     counts = _tokens(docs).join(_bounded(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    known = placed.join(counts, "term")
-    whole = Window.partitionBy("window")
-    rank = F.row_number().over(whole.orderBy("df", "offset"))
-    ranked = known.withColumn("rank", rank).withColumn("present", F.count(F.lit(1)).over(whole))
-    return ranked.where((F.col("present") == F.col("length")) & (F.col("rank") <= rarest)).select(
-        "window", "offset", "term", F.least("length", F.lit(rarest)).alias("needed")
+    member = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "term")
+    ranked = placed.join(counts, "term", "left").groupBy("window").agg(F.sort_array(F.collect_list(member)).alias("all"))
+    return ranked.where(F.col("all")[0]["df"] > 0).select(
+        F.xxhash64("window").alias("id"),
+        "window",
+        F.transform(F.slice("all", 1, rarest), lambda m: F.struct(m["term"], m["offset"])).alias("rare"),
     )
 
 
-def rare_starts(docs: DataFrame, picks: DataFrame) -> DataFrame:
-    """row, window, offset, needed, start: where a window would begin, by each posting of its rare terms."""
-    terms = picks.select("term").distinct()
-    postings = written(_tokens(docs).join(_bounded(terms), "term"), "postings")
-    return postings.join(_bounded(picks), "term").select(
-        "row", "window", "offset", "needed", (F.col("place") - F.col("offset")).alias("start")
-    )
-
+def store_postings(docs: DataFrame, picks: DataFrame) -> DataFrame:
+    """row, term, place of every rare term in ``docs``, written."""
+    terms = picks.select(F.explode("rare").alias("r")).select("r.term").distinct()
+    return written(_tokens(docs).join(_bounded(terms), "term").select("row", "term", "place"), "postings")
 
-def _intersected(starts: DataFrame) -> DataFrame:
-    """row, window, start where all rare terms of the window agree on the start."""
-    return (
-        starts.groupBy("row", "window", "start", "needed")
-        .agg(F.count_distinct("offset").alias("agree"))
-        .where(F.col("agree") == F.col("needed"))
-        .select("row", "window", "start")
-    )
 
+def intersect(postings: DataFrame, picks: DataFrame, rarest: int = RAREST, slack: int = SLACK) -> DataFrame:
+    """row, id, start, exact: where all rare terms of a window stand near their places, or just there.
 
-def _near(starts: DataFrame, slack: int) -> DataFrame:
-    """row, window where all rare terms come within ``slack`` words of their places."""
-    ahead = Window.partitionBy("row", "window").orderBy("start").rangeBetween(0, slack)
-    met = F.size(F.collect_set("offset").over(ahead)) == F.col("needed")
-    return starts.withColumn("met", met).where("met").select("row", "window").distinct()
+    Lists are intersected term by term from the rarest on. Postings meet in cells of
+    places, so that a start meets those around it alone, however long the text.
+    """
+    picks = _bounded(picks.select("id", "rare"))
+    width = 2 * slack + 1
+    cells = postings.select("row", "term", "place", F.floor(F.col("place") / width).alias("cell"))
+    first = picks.select("id", F.col("rare")[0]["term"].alias("term"), F.col("rare")[0]["offset"].alias("offset"))
+    found = postings.join(first, "term").select(
+        "row", "id", (F.col("place") - F.col("offset")).alias("start"), F.lit(True).alias("exact")
+    )
+    for nth in range(1, rarest):
+        rows = found.join(picks, "id").withColumn("next", F.get("rare", F.lit(nth)))
+        due = F.col("start") + F.col("next.offset")
+        asked = rows.where("next is not null").select(
+            "row",
+            "id",
+            "start",
+            "exact",
+            F.col("next.term").alias("term"),
+            due.alias("due"),
+            F.explode(F.array_distinct(F.array(F.floor((due - slack) / width), F.floor((due + slack) / width)))).alias(
+                "cell"
+            ),
+        )
+        near = asked.join(cells, ["row", "term", "cell"]).where(F.abs(F.col("place") - F.col("due")) <= slack)
+        met = near.groupBy("row", "id", "start", "exact").agg(F.max(F.col("place") == F.col("due")).alias("there"))
+        met = met.select("row", "id", "start", (F.col("exact") & F.col("there")).alias("exact"))
+        found = met.union(rows.where("next is null").select("row", "id", "start", "exact"))
+    return found
 
 
 def _covered(spans: Column) -> Column:
@@ -129,44 +144,28 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, begin, step, lambda state: state["n"])
 
 
-def scan(
-    docs: DataFrame,
-    items: DataFrame,
-    size: int = WINDOW,
-    rarest: int = RAREST,
-    slack: int = SLACK,
-    keep: list[str] | None = None,
-) -> DataFrame:
-    """One row per row of ``docs``: the columns ``keep`` (doc_id), n_words, hits, n_hit, items, n_near.
-
-    ``hits`` are the exact places (start, length, items) of benchmark windows, sorted;
-    ``n_hit`` the words inside any; ``items`` the ids, as text and sorted, of the
-    items found; ``n_near`` the windows whose rare terms come together within
-    ``slack`` words although the window does not occur there or elsewhere in the text.
-    Null and empty texts have no words and no hits; items without words have no
-    windows; with no items nothing is hit; equal rows get equal results; an empty
-    table gives an empty table.
-    """
-    keep = keep or ["doc_id"]
+def _search(docs: DataFrame, items: DataFrame, size: int, rarest: int, slack: int) -> DataFrame:
+    """All columns of ``docs`` as kept_0, kept_1, ... and the columns that ``scan`` adds."""
     windows = written(benchmark_windows(items, size), "windows")
-    starts = written(rare_starts(docs, written(rarest_terms(docs, windows, rarest), "picks")), "starts")
-    places = _intersected(starts).join(windows, "window")
+    picks = written(rarest_terms(docs, windows, rarest), "picks")
+    found = intersect(store_postings(docs, picks), picks, rarest, slack)
+    named = _bounded(picks.select("id", "window")).join(windows, "window")
+    place = F.struct("start", F.size("words").alias("length"), "words", "items", "window")
     found = (
-        places.groupBy("row")
+        found.join(_bounded(named), "id")
+        .groupBy(F.col("row").alias("of"))
         .agg(
-            F.collect_list(
-                F.struct("start", F.size("words").alias("length"), "words", "items", "window")
-            ).alias("places")
-        )
-        .join(
-            _near(starts, slack).groupBy("row").agg(F.collect_set("window").alias("near")), "row", "full"
+            F.collect_list(F.when(F.col("exact"), place)).alias("places"),
+            F.collect_set("window").alias("near"),
         )
-        .withColumnRenamed("row", "of")
     )
-    rows = docs.select(*[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)], "text",
-                       F.xxhash64("doc_id", "text").alias("row"))
+    rows = docs.select(
+        *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(docs.columns)],
+        F.xxhash64("doc_id", "text").alias("row"),
+    )
+    text = F.col(f"kept_{docs.columns.index('text')}")
     rows = rows.join(found, F.col("row") == F.col("of"), "left").withColumn(
-        "words", F.when(F.col("places").isNotNull(), exact_words(F.col("text")))
+        "words", F.when(F.size("places") > 0, exact_words(text))
     )
     none = F.array().cast("array<struct<start:int,length:int,items:array<string>,window:string>>")
     checked = F.transform(
@@ -178,10 +177,33 @@ def scan(
     )
     exact = F.transform("hits", lambda h: h["window"])
     return rows.select(
-        *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)],
-        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[0-9A-Za-z[^\x00-\x7F]]+")).cast("long").alias("n_words"),
+        *[f"kept_{i}" for i in range(len(docs.columns))],
+        F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[0-9A-Za-z\x80-\x{10FFFF}]+")).cast("long").alias("n_words"),
         "hits",
         _covered(F.col("hits")).cast("long").alias("n_hit"),
         F.sort_array(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))).alias("items"),
         F.coalesce(F.size(F.array_except("near", exact)), F.lit(0)).cast("long").alias("n_near"),
     )
+
+
+def scan(
+    docs: DataFrame, items: DataFrame, size: int = WINDOW, rarest: int = RAREST, slack: int = SLACK
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_words, hits, n_hit, items, n_near.
+
+    ``hits`` are the exact places (start, length, items) of benchmark windows, sorted;
+    ``n_hit`` the words inside any; ``items`` the ids, as text and sorted, of the
+    items found; ``n_near`` the windows whose rare terms come together within
+    ``slack`` words although the window does not occur there or elsewhere in the text.
+    Null and empty texts have no words and no hits; items without words have no
+    windows; with no items nothing is hit; equal rows get equal results; an empty
+    table gives an empty table.
+    """
+    found = _search(docs.select("doc_id", "text"), items, size, rarest, slack)
+    return found.select(F.col("kept_0").alias("doc_id"), "n_words", "hits", "n_hit", "items", "n_near")
+
+
+def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` without any benchmark window."""
+    found = _search(docs, items, size, RAREST, SLACK).where("n_hit = 0")
+    return found.select(*[F.col(f"kept_{i}").alias(c) for i, c in enumerate(docs.columns)])
