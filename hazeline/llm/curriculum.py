@@ -31,11 +31,15 @@ ROWS_PER_CELL = 20_000
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
+def row_key() -> Column:
+    """A hash that rows with equal id and text share."""
+    return F.xxhash64("doc_id", "text")
+
+
 def with_size(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size: the words of the whole text, 0 for null."""
-    return docs.select(
-        "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size")
-    )
+    """doc_id, source, row, size: the words of the whole text, 0 for null."""
+    size = F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
+    return docs.select("doc_id", "source", row_key().alias("row"), size.alias("size"))
 
 
 def source_targets(
@@ -83,13 +87,13 @@ def source_targets(
 def line_up(sizes: DataFrame, targets: DataFrame, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
     """Add the targets' columns and ``start``: the words of the source that come before.
 
-    Documents of a source stand in the order of a hash of their id, so that reruns
-    agree; equal ids and sizes may swap without a visible change.
+    Documents of a source stand in the order of a digest of their id, so that reruns agree.
     """
     cells = F.ceil(F.col("rows") / rows_per_cell)
-    mark = F.xxhash64("doc_id").alias("mark")
-    spread = (F.shiftrightunsigned("mark", 33) % 1_000_003) / 1_000_003
-    rows = sizes.select("doc_id", "source", "size", mark).join(
+    text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    mark = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long").alias("mark")
+    spread = F.col("mark") / 16.0**15  # grows with the mark, so cells are in the marks' order
+    rows = sizes.select("doc_id", "source", "row", "size", mark).join(
         targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left"
     )
     rows = rows.drop("of").withColumn("cell", F.floor(spread * cells))
@@ -100,7 +104,7 @@ def line_up(sizes: DataFrame, targets: DataFrame, rows_per_cell: int = ROWS_PER_
     )
     in_cell = (
         Window.partitionBy("rank", "cell")
-        .orderBy("mark", "doc_id", "size")
+        .orderBy("mark", "doc_id", "size", "row")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
@@ -134,13 +138,13 @@ def mix(
     max_repeats: int = MAX_REPEATS,
     rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, position, one row per row of ``docs``.
+    """doc_id, source, size, source_size, target, taken, position, row, one row per row of ``docs``.
 
     ``taken`` are the words the mix takes, repeats counted: the overlap of the
     document's place in the source's line with the first ``target`` words, the
     line starting again when it ends. ``position`` is the number of words that all
     sources have asked for when the document first comes up; null if it never
-    does. Rows are range-sorted by position. Null texts and empty texts have size
+    does; ``row`` is ``row_key``. Rows are range-sorted by position. Null texts and empty texts have size
     0 and take nothing; a null source is a source of its own, the last; repeated
     rows are documents of their own; an empty table gives an empty table. Slopes
     lie above -1 and below 1.
@@ -172,4 +176,19 @@ def mix(
         "target",
         "taken",
         F.when(F.col("taken") > 0, moment).alias("position"),
+        "row",
     ).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+
+
+def mixed(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` takes them, to the nearest whole number.
+
+    A document of which less than half is taken goes. Equal rows are read as often
+    as all of them together.
+    """
+    copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
+    taken = mix(docs, **settings).groupBy(F.col("row").alias("of")).agg(F.sum(copies).cast("int").alias("copies"))
+    once = docs.withColumn("__row", row_key()).dropDuplicates(["__row"])
+    rows = once.join(taken.where("copies > 0"), F.col("__row") == F.col("of"))
+    again = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return rows.withColumn("__copy", again).select(*docs.columns)

@@ -222,25 +222,31 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -
     return fit_trees(x, np.array([r["y"] for r in found], float))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all by default) of each row and ``score``, 0 to 1.
+def score(docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """The columns ``keep`` (all by default) of each row and ``score``, 0 to 1, under ``name``.
 
-    A column that already has the name ``score`` gives way. Null and empty texts are
+    A column that already has that name gives way. Null and empty texts are
     scored on zeros; equal texts get equal scores; an empty table gives an empty table.
     """
-    keep = [c for c in (keep or docs.columns) if c != "score"]
+    keep = [c for c in (keep or docs.columns) if c != name]
     rows = docs.select(*keep, F.col("text").alias("__scored_text"))
-    schema = T.StructType([rows.schema[c] for c in keep]).add("score", "double")
+    schema = T.StructType([rows.schema[c] for c in keep]).add(name, "double")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = pa.array(model.score(_features_of(batch.column("__scored_text"))), pa.float64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), found], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), found], [*keep, name])
 
     return rows.mapInArrow(walk, schema)
 
 
-def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Fit on the labels and add ``score`` and ``predicted`` (1 where the score reaches the threshold)."""
-    rows = score(docs.drop("predicted"), fit(docs, labels), keep)
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, score and predicted (1 where the score reaches the threshold) for each row of ``docs``."""
+    rows = score(docs.select("doc_id", "text"), fit(docs, labels), ["doc_id"])
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold."""
+    rows = score(docs, fit(docs, labels), name="__score")
+    return rows.where(F.col("__score") >= threshold).select(*docs.columns)

@@ -40,7 +40,8 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curriculum.mix(table(spark, sf_dir, "documents"))
+    found = curriculum.mix(table(spark, sf_dir, "documents")).drop("row")
+    return found.withColumn("target", F.round("target", 6)).withColumn("position", F.round("position", 3))
 
 
 @register
@@ -70,7 +71,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    found = quality_gbt.classify(docs, labels, keep=["doc_id"])
+    found = quality_gbt.classify(docs, labels)
     return found.select("doc_id", quality_gbt.held_out().alias("held_out"), "score", "predicted")
 
 
@@ -112,7 +113,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.link_groups(table(spark, sf_dir, "documents"))
+    found = ngram_join.link_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @register
