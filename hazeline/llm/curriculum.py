@@ -187,8 +187,9 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
     as all of them together.
     """
     copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    taken = mix(docs, **settings).groupBy(F.col("row").alias("of")).agg(F.sum(copies).cast("int").alias("copies"))
+    taken = mix(docs, **settings).groupBy(F.col("row").alias("__row"))
+    taken = taken.agg(F.sum(copies).cast("int").alias("__copies")).where("__copies > 0")
     once = docs.withColumn("__row", row_key()).dropDuplicates(["__row"])
-    rows = once.join(taken.where("copies > 0"), F.col("__row") == F.col("of"))
-    again = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    rows = once.join(taken, "__row")
+    again = F.explode(F.sequence(F.lit(1), F.col("__copies")))
     return rows.withColumn("__copy", again).select(*docs.columns)
