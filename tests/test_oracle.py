@@ -17,7 +17,7 @@ def oracle():
     return open_oracle(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_sql(spark, oracle, name):
     assert difference(queries()[name](spark, SMALL), oracle, oracle_sql()[name]) is None
 
