@@ -95,14 +95,14 @@ class FactTable:
                 for month, (low, high) in ranges.items()
             ]
             listed = listed.where(reduce(Column.__or__, inside, F.lit(False)))
-        # One row per folder that is needed.
-        attempts = [row["attempt"] for row in listed.select("attempt").distinct().collect()]
-        if not attempts:
+        # One row per folder that is needed; of a write, a month may count and another not.
+        held = listed.where("attempt is not null").select("attempt", "month").distinct().collect()
+        if not held:
             return self.spark.createDataFrame([], STORED_FACT)
-        folders = [f"{self.data}/attempt={attempt}" for attempt in sorted(attempts)]
+        folders = [f"{self.data}/attempt={a}/month={m}" for a, m in sorted(map(tuple, held))]
         reader = self.spark.read.schema(_WITH_ATTEMPT).option("basePath", self.data)
         rows = reader.parquet(*folders).drop("attempt")
-        if skip_batch is not None:
+        if skip_batch is not None:  # a compacted folder has rows of several batches
             rows = rows.where(F.col("batch") != skip_batch)
         if ranges is not None:
             stamp = F.col("datetime_utc")

@@ -45,6 +45,25 @@ def test_date_text(spark, text, iso):
     assert column(spark, [text], "string", to_iso_text) == [iso]
 
 
+@pytest.mark.parametrize(
+    "text, iso",
+    [
+        ("20240115", "2024-01-15T00:00:00Z"),
+        ("20240115 06:30", "2024-01-15T06:30:00Z"),
+        ("1/5/2024 3:00 PM", "2024-01-05T15:00:00Z"),
+        ("1/5/2024 12:05 am", "2024-01-05T00:05:00Z"),
+        ("1/5/2024 12:05:30 pm", "2024-01-05T12:05:30Z"),
+        ("1/5/24", "2024-01-05T00:00:00Z"),
+        ("13/1/99", "1999-01-13T00:00:00Z"),
+        ("20241315", None),
+        ("1/5/2024 13:00 PM", None),
+        ("123456789", None),
+    ],
+)
+def test_short_date_text(spark, text, iso):
+    assert column(spark, [text], "string", to_iso_text) == [iso]
+
+
 def test_clocks(spark):
     utc = column(
         spark,

@@ -7,7 +7,8 @@ from test_ingest import FIRST, LOCATIONS, SECOND, land, stored
 
 from hazeline.__main__ import main
 from hazeline.plans.suite import REPORTS
-from hazeline.schemas import SIGNAL
+from hazeline.schemas import SENSOR_METADATA, SIGNAL
+from hazeline.sources.dimensions import read_sensor_map
 from hazeline.sources.tables import FactTable, SnapshotTable
 
 CSV = "State,Code,City\nMaine,100,Portland\nOhio,200,Dayton\nUtah,300,Provo\n"
@@ -50,11 +51,48 @@ def test_jobs(spark, base, capsys):
     job(base, "report", "--out", f"{base}/some", "--only", "kpis", "--only", "seasonal")
     assert set(os.listdir(f"{base}/some")) == {"cube", "kpis", "seasonal"}
 
+    job(base, "report", "--out", f"{base}/ozone", "--only", "kpis", "--parameter", "o3")
+    assert spark.read.parquet(f"{base}/ozone/kpis").first()["rows"] == 0
+
+    job(base, "windows", "--out", f"{base}/windows")
+    starts = {r["sensor_id"]: r["start"].month for r in spark.read.parquet(f"{base}/windows").collect()}
+    assert starts == {1: 2}
+    job(base, "compact", "--month", "2024-01")
+    assert len(stored(facts)) == 4
+
     job(base, "export", "--out", f"{base}/csv")
     assert "'successful': 1" in capsys.readouterr().out
     assert "sensor_id=1" in os.listdir(f"{base}/csv")
 
 
+def test_map_keeps_other_sensors_if_asked(spark, base):
+    pages = ["--location-pages", f"{base}/locations"]
+    job(base, "scheduled", "--pages", f"{base}/first", *pages, "--batch", "a")
+    path = f"{base}/root/sensor_map"
+    few = ["--pages", f"{base}/second", *pages, "--location-ids", "100"]
+    job(base, "backfill", *few, "--batch", "b", "--merge-map")
+    assert {r["sensor_id"] for r in read_sensor_map(spark, path).collect()} == {1, 3}
+    job(base, "backfill", *few, "--batch", "c")
+    assert {r["sensor_id"] for r in read_sensor_map(spark, path).collect()} == {1}
+
+
+def test_metadata_job(spark, base, capsys):
+    records = [
+        {"id": 1, "name": "a", "parameter": {"name": "pm25"},
+         "latest": {"coordinates": {"latitude": 1.5, "longitude": -110.0}},
+         "datetime_last": {"utc": "2024-01-02T00:00:00Z"}},
+        {"id": "2", "name": "b", "latest": {"coordinates": {"latitude": "x", "longitude": -80}}},
+        '{"id": 3, "na',
+    ]
+    land(f"{base}/records", records)
+    for _ in range(2):
+        job(base, "metadata", "--pages", f"{base}/records", "--regions", "2:Coast")
+    assert "broken lines: 1" in capsys.readouterr().out
+    table = SnapshotTable(spark, f"{base}/root/sensor_metadata", SENSOR_METADATA).read()
+    found = {r["sensor_id"]: (r["latitude"], r["region"]) for r in table.collect()}
+    assert found == {1: (1.5, "West"), 2: (None, "Coast")}
+
+
 def test_stream_job(spark, base):
     pages = ["--location-pages", f"{base}/locations"]
     for _ in range(2):
