@@ -413,10 +413,14 @@ def link_groups(docs: DataFrame, threshold: Fraction = THRESHOLD, k: int = WORDS
     if not crowded.isEmpty():
         links = links.union(block_links(docs, crowded, ranks, threshold, k))
     roots = components(links).withColumnRenamed("node", "cls")
-    rooted = rows.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    names = rooted.groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("least"))
+    # Names are found by class, so that the rows of a large class or group meet one small
+    # table in a join of their own, whose large partitions Spark splits.
+    least = rows.groupBy("cls").agg(F.min("doc_id").alias("least"))
+    rooted = least.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    names = rooted.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("least"))
+    named = rooted.drop("least").join(names, F.col("root") == F.col("of")).select("cls", "root", "least")
     alone = F.col("n_shingles") == 0
-    return rooted.join(names, F.col("root") == F.col("of")).select(
+    return rows.join(written(named, "names"), "cls").select(
         "doc_id",
         "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
@@ -435,10 +439,10 @@ def one_of_each(docs: DataFrame, threshold: Fraction = THRESHOLD, k: int = WORDS
     groups = written(link_groups(docs, threshold, k), "groups")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     best = groups.where("root is not null").groupBy("root").agg(F.min(first).alias("best"))
-    kept = best.select(F.col("best.row").alias("of"))
+    kept = best.select(F.col("best.row").alias("__row"))
     named = docs.withColumn("__row", F.xxhash64("doc_id", "text")).withColumn(
         "__empty", ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     )
     empty = named.where("__empty").select(*docs.columns)
     rest = named.where("not __empty").dropDuplicates(["__row"])
-    return rest.join(kept, F.col("__row") == F.col("of"), "left_semi").select(*docs.columns).union(empty)
+    return rest.join(kept, "__row", "left_semi").select(*docs.columns).union(empty)
