@@ -1,8 +1,8 @@
 """Texts of an Arrow batch as one array of bytes, and hashes over it.
 
 Everything here works on a whole chunk of texts at once with numpy. A chunk holds
-a few megabytes, or one text if that is longer, so memory does not depend on how
-many rows a batch has.
+a megabyte, or one text if that is longer, so memory does not depend on how many
+rows a batch has; a dozen arrays of eight bytes for each byte may live at a time.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
