@@ -39,7 +39,7 @@ GRAM = 32
 #: Above so many occurrences, beyond chance, windows are dealt one by one.
 CROWD = 50_000
 #: Bytes of context that one suffix array holds about.
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 1 << 20
 
 _U = np.uint64
 #: Null ids form one document after all others.
