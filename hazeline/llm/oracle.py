@@ -347,8 +347,8 @@ means AS (
 ),
 judged AS (
     SELECT s.*,
-           CASE WHEN n_words >= {quality_rules.MIN_WORDS_CLASSES} THEN {_distance("p", "q", _BINS)} END AS a,
-           CASE WHEN n_words >= {quality_rules.MIN_WORDS_COMMON} AND len(common) > 0
+           CASE WHEN n_words >= {quality_rules.MIN_WORDS_CLASSES} AND q IS NOT NULL THEN {_distance("p", "q", _BINS)} END AS a,
+           CASE WHEN n_words >= {quality_rules.MIN_WORDS_COMMON} AND len(common) > 0 AND v IS NOT NULL
                 THEN {_distance("u", "v", _SLOTS)} END AS b
     FROM shares s LEFT JOIN means m ON s.lang IS NOT DISTINCT FROM m.lang
 )

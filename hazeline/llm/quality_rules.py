@@ -25,8 +25,8 @@ MIN_WORDS_COMMON = 200
 #: Languages with fewer good documents have no reference, and their documents are not judged.
 MIN_REFERENCE = 20
 #: Largest distances (0 to 1) that still pass.
-MAX_CLASS_DISTANCE = 0.3
-MAX_COMMON_DISTANCE = 0.25
+MAX_CLASS_DISTANCE = 0.32
+MAX_COMMON_DISTANCE = 0.27
 
 _WORD = r"[^\x20\x09-\x0D]+"
 #: Character classes, of which whitespace and lower-case ASCII are the rest.
