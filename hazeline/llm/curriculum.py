@@ -26,7 +26,7 @@ WEIGHTS = (1, 2, 3)
 #: How much a source's weight rises (or falls) from the start to the end of training.
 SLOPES = (-0.5, 0.0, 0.5)
 #: Rows that one ordered sum should hold about; cells follow from it.
-ROWS_PER_CELL = 20_000
+ROWS_PER_CELL = 5_000
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
