@@ -417,10 +417,12 @@ def link_groups(docs: DataFrame, threshold: Fraction = THRESHOLD, k: int = WORDS
     # table in a join of their own, whose large partitions Spark splits.
     least = rows.groupBy("cls").agg(F.min("doc_id").alias("least"))
     rooted = least.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    rooted = written(rooted, "rooted")
     names = rooted.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("least"))
+    names = written(names, "names")
     named = rooted.drop("least").join(names, F.col("root") == F.col("of")).select("cls", "root", "least")
     alone = F.col("n_shingles") == 0
-    return rows.join(written(named, "names"), "cls").select(
+    return rows.join(written(named, "named"), "cls").select(
         "doc_id",
         "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
