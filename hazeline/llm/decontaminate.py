@@ -101,6 +101,7 @@ def store_postings(docs: DataFrame, picks: DataFrame) -> DataFrame:
 def intersect(postings: DataFrame, picks: DataFrame, rarest: int = RAREST, slack: int = SLACK) -> DataFrame:
     """row, id, start, exact: where all rare terms of a window stand near their places, or just there.
 
+    Starts before the text are never exact, as the window's first words are missing there.
     Lists are intersected term by term from the rarest on. Postings meet in cells of
     places, so that a start meets those around it alone, however long the text.
     """
@@ -108,9 +109,8 @@ def intersect(postings: DataFrame, picks: DataFrame, rarest: int = RAREST, slack
     width = 2 * slack + 1
     cells = postings.select("row", "term", "place", F.floor(F.col("place") / width).alias("cell"))
     first = picks.select("id", F.col("rare")[0]["term"].alias("term"), F.col("rare")[0]["offset"].alias("offset"))
-    found = postings.join(first, "term").select(
-        "row", "id", (F.col("place") - F.col("offset")).alias("start"), F.lit(True).alias("exact")
-    )
+    start = F.col("place") - F.col("offset")
+    found = postings.join(first, "term").select("row", "id", start.alias("start"), (start >= 0).alias("exact"))
     for nth in range(1, rarest):
         rows = found.join(picks, "id").withColumn("next", F.get("rare", F.lit(nth)))
         due = F.col("start") + F.col("next.offset")

@@ -190,6 +190,19 @@ def test_windows_of_common_words_only(spark):
     ]
 
 
+def test_texts_that_begin_inside_a_window(spark):
+    rng = random.Random(4)
+    long, short = words(rng, 14).split(), words(rng, 4).split()
+    docs = [(1, " ".join(long[1:10])), (2, " ".join(short[1:])), (3, " ".join(long[1:])), (4, " ".join(short))]
+    # each first word is frequent, so it is not among the rarest
+    docs += [(10 + i, f"{long[0]} {short[0]}") for i in range(9)]
+    items = [(1, " ".join(long)), (2, " ".join(short))]
+    found = decontaminate.scan(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    found = {r["doc_id"]: (r["n_words"], r["n_hit"], len(r["items"]), r["n_near"]) for r in found.collect()}
+    assert sorted((d, *r[:3]) for d, r in found.items()) == [r[:4] for r in brute.decontaminate(docs, items)]
+    assert [found[d][3] > 0 for d in (1, 2, 4)] == [True, True, False]
+
+
 @pytest.mark.parametrize("module", [decontaminate, license_scan, quality_rules, pii])
 def test_native_operators_use_no_python(module):
     text = open(module.__file__).read()
