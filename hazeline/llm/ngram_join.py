@@ -43,8 +43,12 @@ THRESHOLD = Fraction(80, 100)
 PAIR_BUCKET = 64
 #: Shingles that one block holds about.
 BLOCK_SHINGLES = 1 << 18
+#: Classes that one block holds about, however small their sets.
+BLOCK_CLASSES = 4096
 #: Columns of the matrix slice that a block comparison holds.
 SLICE = 2048
+#: Rows of the matrix that a block comparison holds, besides a bit map of the links.
+BAND = 512
 #: Shingles that are not frequent are cut into so many fragments; frequent ones are one more.
 FRAGMENTS = 4
 
@@ -322,21 +326,84 @@ def verified(docs: DataFrame, pairs: DataFrame, ranks: np.ndarray, threshold: Fr
 
 
 def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Links of a matrix that suffice to connect what it connects."""
-    out, rest = [], np.ones(len(linked), bool)
-    for root in range(len(linked)):
-        if not rest[root]:
+    """Links (row, column) of a matrix that suffice to connect the rows and columns it connects."""
+    out, rows, columns = [], np.ones(linked.shape[0], bool), np.ones(linked.shape[1], bool)
+    for root in np.flatnonzero(linked.any(axis=1)).tolist():
+        if not rows[root]:
             continue
-        rest[root], front = False, np.array([root])
+        rows[root], front = False, np.array([root])
         while len(front):
-            reach = linked[front][:, rest]
-            new = np.flatnonzero(rest)[reach.any(axis=0)]
-            by = front[reach.argmax(axis=0)[reach.any(axis=0)]]
-            out += zip(by.tolist(), new.tolist(), strict=True)
-            rest[new], front = False, new
+            reach = linked[front][:, columns]
+            met = reach.any(axis=0)
+            new = np.flatnonzero(columns)[met]
+            out += zip(front[reach.argmax(axis=0)[met]].tolist(), new.tolist(), strict=True)
+            columns[new] = False
+            reach = linked[rows][:, new]
+            met = reach.any(axis=1)
+            front = np.flatnonzero(rows)[met]
+            if len(new):
+                out += zip(front.tolist(), new[reach.argmax(axis=1)[met]].tolist(), strict=True)
+            rows[front] = False
     return out
 
 
+def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of sets, and all their shingles with the place of the set of each."""
+    size = np.array([len(x) for x in sets], np.int64)
+    return size, np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+
+
+def _similar(left: list[np.ndarray], right: list[np.ndarray], p: int, q: int) -> np.ndarray:
+    """Which sets of the left and of the right (rows and columns) are similar, band by band of rows.
+
+    Besides the result, a band and a slice of shingles of either side are all that is held.
+    """
+    (n_left, x, row), (n_right, y, column) = _flat(left), _flat(right)
+    both = np.intersect1d(x, y)  # only these add to an overlap
+    keep = np.isin(y, both)
+    y, column = np.searchsorted(both, y[keep]), column[keep]
+    order = np.argsort(y, kind="stable")
+    y, column = y[order], column[order]
+    linked = np.zeros((len(left), len(right)), bool)
+    bounds = np.append(0, np.cumsum(n_left))
+    for top in range(0, len(left), BAND):
+        end = min(top + BAND, len(left))
+        a, r = x[bounds[top] : bounds[end]], row[bounds[top] : bounds[end]] - top
+        keep = np.isin(a, both)
+        a, r = np.searchsorted(both, a[keep]), r[keep]
+        used = np.unique(a)  # the slices go over the shingles of this band
+        a = np.searchsorted(used, a)
+        order = np.argsort(a, kind="stable")
+        a, r = a[order], r[order]
+        keep = np.isin(y, used)
+        b, c = np.searchsorted(used, y[keep]), column[keep]
+        overlap = np.zeros((end - top, len(right)), np.float32)
+        for low in range(0, len(used), SLICE):
+            width = min(SLICE, len(used) - low)
+            part = np.zeros((end - top, width), np.float32)
+            other = np.zeros((len(right), width), np.float32)
+            i, j = np.searchsorted(a, (low, low + width))
+            part[r[i:j], a[i:j] - low] = 1
+            i, j = np.searchsorted(b, (low, low + width))
+            other[c[i:j], b[i:j] - low] = 1
+            overlap += part @ other.T
+        sums = n_left[top:end, None] + n_right[None, :]
+        linked[top:end] = overlap.astype(np.int64) * (p + q) >= p * sums
+    return linked
+
+
+def _blocks(crowded: DataFrame) -> DataFrame:
+    """token, cls, i, j, x: the classes of each token for each pair of blocks, i <= j; x is the own block."""
+    count = F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_CLASSES)
+    sizes = crowded.groupBy("token").agg(F.ceil(count).cast("int").alias("blocks"))
+    return (
+        crowded.join(sizes, "token")
+        .withColumn("x", F.pmod(F.xxhash64("cls", "token"), F.col("blocks")).cast("int"))
+        .withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("token", "cls", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x")
+    )
+
+
 def block_links(
     docs: DataFrame, crowded: DataFrame, ranks: np.ndarray, threshold: Fraction, k: int = WORDS
 ) -> DataFrame:
@@ -344,8 +411,9 @@ def block_links(
 
     Shingles of one passage crowd the same classes. Each shingle is led by the smallest
     crowded shingle that any of its classes has, and classes meet under their leaders.
-    The classes of a leader are dealt into blocks by hash; each pair of blocks is a
-    group of its own, compared as matrices slice by slice of the global order.
+    The classes of a leader are dealt into blocks by hash, so that a block is bounded
+    in shingles and in classes; each pair of blocks is a group of its own, compared
+    as matrices band by band of classes and slice by slice of the global order.
     """
     p, q = threshold.numerator, threshold.denominator
     least = crowded.groupBy("cls").agg(F.min("token").alias("least"))
@@ -354,42 +422,18 @@ def block_links(
         crowded.join(leaders, "token").select(F.col("leader").alias("token"), "cls", "n").dropDuplicates(["token", "cls"])
     )
     crowded = written(crowded, "led")
-    sizes = crowded.groupBy("token").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     sets = fragments(docs, crowded.select("cls"), ranks, None, k).select("cls", "shingles")
-    rows = (
-        crowded.join(sizes, "token")
-        .withColumn("x", F.pmod(F.xxhash64("cls", "token"), F.col("blocks")).cast("int"))
-        .withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("token", "cls", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x")
-        .join(sets, "cls")
-    )
+    rows = _blocks(crowded).join(sets, "cls")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("cls")
-        same = group["i"].iloc[0] == group["j"].iloc[0]
-        side = (group["x"] == group["i"]).to_numpy()
-        size = group["shingles"].map(len).to_numpy()
-        owner = np.repeat(np.arange(len(group)), size)
-        values, column, counts = np.unique(
-            np.concatenate(group["shingles"].to_list()), return_inverse=True, return_counts=True
-        )
-        shared = np.cumsum(counts > 1) - 1  # shingles of one class alone add to no overlap
-        owner, column = owner[counts[column] > 1], shared[column[counts[column] > 1]]
-        order = np.argsort(column, kind="stable")
-        owner, column = owner[order], column[order]
-        overlap = np.zeros((len(group), len(group)), np.float32)
-        for low in range(0, int(column[-1]) + 1 if len(column) else 0, SLICE):
-            a, b = np.searchsorted(column, (low, low + SLICE))
-            part = np.zeros((len(group), SLICE), np.float32)
-            part[owner[a:b], column[a:b] - low] = 1
-            overlap += part @ part.T
-        linked = overlap * (p + q) >= p * (size[:, None] + size[None, :])
-        if not same:
-            linked &= side[:, None] != side[None, :]
-        np.fill_diagonal(linked, False)
-        cls = group["cls"].to_numpy()
-        found = _forest(linked)
-        return pd.DataFrame({"a": [cls[i] for i, _ in found], "b": [cls[j] for _, j in found]}, dtype="int64")
+        left, right = (group[group["x"] == group[side].iloc[0]] for side in ("i", "j"))
+        a, b = left["cls"].to_numpy(), right["cls"].to_numpy()
+        found = []
+        if len(a) and len(b):
+            found = _forest(_similar(left["shingles"].to_list(), right["shingles"].to_list(), p, q))
+        links = [(a[i], b[j]) for i, j in found if a[i] != b[j]]
+        return pd.DataFrame({"a": [x for x, _ in links], "b": [y for _, y in links]}, dtype="int64")
 
     return rows.groupBy("token", "i", "j").applyInPandas(compare, "a long, b long")
 

@@ -137,6 +137,41 @@ def test_join_by_pairs_and_by_blocks(spark, rows, monkeypatch, bucket, block):
     )
 
 
+def test_blocks_of_many_short_near_copies(spark):
+    """Sets so small that a block's shingles do not bound its classes."""
+    rng = random.Random(9)
+    base, count = words(rng, 19), 10_000
+    docs = [(i, f"{base} e{i}") for i in range(count)] + [(count, words(rng, 20))]
+    found = ngram_join.link_groups(frame(spark, docs)).select("n_shingles", "component_id").distinct().collect()
+    assert sorted(tuple(r) for r in found) == [(16, 0), (16, count)]
+    crowded = spark.range(count).select(F.lit(1).alias("token"), F.col("id").alias("cls"), F.lit(16).alias("n"))
+    groups = ngram_join._blocks(crowded).groupBy("i", "j").count().collect()
+    assert len(groups) == 6 and max(r["count"] for r in groups) < 2 * 1.1 * ngram_join.BLOCK_CLASSES
+
+
+def test_rectangles_of_blocks(monkeypatch):
+    monkeypatch.setattr(ngram_join, "BAND", 7)
+    monkeypatch.setattr(ngram_join, "SLICE", 5)
+    rng = np.random.default_rng(4)
+    sets = [np.sort(rng.choice(12, rng.integers(1, 12), replace=False)) for _ in range(60)]
+    for left, right in ((sets, sets), (sets[:25], sets[25:])):
+        linked = ngram_join._similar(left, right, 4, 5)
+        want = [[9 * len(np.intersect1d(a, b)) >= 4 * (len(a) + len(b)) for b in right] for a in left]
+        assert linked.tolist() == want
+        forest = ngram_join._forest(linked)
+        assert all(linked[i, j] for i, j in forest)
+        kept = np.zeros_like(linked)
+        kept[tuple(zip(*forest, strict=True))] = True
+
+        def reach(m):
+            out = m.astype(int)
+            for _ in range(8):
+                out = np.minimum(out + out @ out.T @ out, 1)
+            return out.tolist()
+
+        assert reach(kept) == reach(linked)
+
+
 def test_join_at_other_thresholds(spark):
     docs = family(5, 30)
     groups = {}
