@@ -8,7 +8,9 @@ contexts of one fingerprint, and only these need to meet.
 
 1. Texts become rows of fingerprint, hash of the context and place. Contexts that
    repeat an earlier context whole are repeated strings themselves and are settled
-   at once: in a task before the shuffle, or after it by sorted order.
+   at once: in a task before the shuffle, or after it by sorted order. Several texts of
+   one document (null ids above all) may have the same context at the same place, where
+   neither is earlier: one of them goes on, and the others take over its spans.
 2. Contexts left that share a fingerprint with other contexts are cut from the texts
    and dealt by fingerprint. Tasks lay them end to end in shards, build the suffix
    array by induced sorting, compute common prefixes, and find the windows that
@@ -44,16 +46,16 @@ SHARD_BYTES = 1 << 20
 _U = np.uint64
 #: Null ids form one document after all others.
 _NO_ID = (1 << 63) - 1
-_TAG_BITS, _COUNT_BITS = 24, 7
+_COUNT_BITS = 7
 
 
 def _doc(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))
 
 
-def _tag() -> Column:
-    """Tells rows of one id apart."""
-    return F.pmod(F.xxhash64("text"), F.lit(1 << _TAG_BITS))
+def _row() -> Column:
+    """A name of a row; rows with equal id and text share it, and their spans."""
+    return F.xxhash64("doc_id", "text")
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -130,19 +132,19 @@ def _spans(start: np.ndarray, end: np.ndarray, owner: np.ndarray) -> np.ndarray:
 
 
 def occurrences(docs: DataFrame, crowded: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """print, context, doc, place: one row per chosen fingerprint, and settled spans.
+    """print, context, doc, place, row: one row per chosen fingerprint, and settled spans.
 
-    ``place`` packs start, tag of the text and number of windows. Contexts that a
+    ``place`` packs start and number of windows; ``row`` names the text. Contexts that a
     chunk of texts has already had, earlier in the order of documents, are merged
     into spans: rows with a negative place, whose context is the end.
     """
-    asked = docs.select(_doc().alias("doc"), _tag().alias("tag"), "text")
+    asked = docs.select(_doc().alias("doc"), _row().alias("row"), "text")
     packed = np.packbits(crowded).tobytes()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
         for batch in batches:
-            doc, tag = (batch.column(i).to_numpy() for i in (0, 1))
+            doc, row = (batch.column(i).to_numpy() for i in (0, 1))
             for chunk in buffers.chunks(batch.column(2)):
                 text, start, count, print_, context = choose(chunk, length, gram)
                 crowd = hot[sketch.cells_of(print_)]
@@ -154,7 +156,8 @@ def occurrences(docs: DataFrame, crowded: np.ndarray, length: int = LENGTH, gram
                     count = np.append(count[~crowd], np.ones(len(one), np.int64))
                     print_, context = np.append(print_[~crowd], a), np.append(context[~crowd], b)
                 id_, local = doc[chunk.first + text], start - chunk.bounds[text]
-                place = (local << (_TAG_BITS + _COUNT_BITS)) | (tag[chunk.first + text] << _COUNT_BITS) | count
+                named = row[chunk.first + text]
+                place = (local << _COUNT_BITS) | count
                 order = np.lexsort((local, id_, context, print_))
                 same = np.zeros(len(order), bool)
                 p, c = print_[order], context[order]
@@ -171,34 +174,38 @@ def occurrences(docs: DataFrame, crowded: np.ndarray, length: int = LENGTH, gram
                     at = _spans(begin, end, text[settled])
                     end = np.maximum.reduceat(end, at)
                     settled, begin = settled[at], begin[at]
-                owner = id_[settled]
-                mark = -1 - ((begin << (_TAG_BITS + _COUNT_BITS)) | (tag[chunk.first + text[settled]] << _COUNT_BITS))
+                owner = named[settled]
+                mark = -1 - (begin << _COUNT_BITS)
                 spread = buffers.mix(owner.astype(np.uint64) + begin.astype(np.uint64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.append(print_[~again], spread).view(np.int64)),
                         pa.array(np.append(context[~again].view(np.int64), end)),
-                        pa.array(np.append(id_[~again], owner)),
+                        pa.array(np.append(id_[~again], id_[settled])),
                         pa.array(np.append(place[~again], mark)),
+                        pa.array(np.append(named[~again], owner)),
                     ],
-                    ["print", "context", "doc", "place"],
+                    ["print", "context", "doc", "place", "row"],
                 )
 
-    return asked.mapInArrow(read, "print long, context long, doc long, place long")
+    return asked.mapInArrow(read, "print long, context long, doc long, place long, row long")
 
 
 class _Meeting:
     """Walks rows sorted by print, context, doc and place, batch after batch."""
 
     def __init__(self):
-        self.last = None  # print, context, doc, start of the context's first row
-        self.waiting = None  # the only context so far of the last print: doc, place
+        self.last = None  # print, context, doc, start, name of the context's first row
+        self.waiting = None  # the only context so far of the last print: doc, place, name
         self.several = False
 
-    def take(self, print_: np.ndarray, context: np.ndarray, doc: np.ndarray, place: np.ndarray):
-        """Rows that repeat a whole context, and rows (with waiting ones) whose print has several contexts."""
+    def take(self, print_: np.ndarray, context: np.ndarray, doc: np.ndarray, place: np.ndarray, row: np.ndarray):
+        """Rows that repeat a whole context, and rows (with waiting ones) whose print has several contexts.
+
+        Also rows of other texts with the context at the first one's place, and the name of the first for each row.
+        """
         n = len(print_)
-        start = place >> (_TAG_BITS + _COUNT_BITS)
+        start = place >> _COUNT_BITS
         goes_on = self.last is not None and self.last[0] == print_[0]
         same_context = goes_on and self.last[1] == context[0]
         new_print = np.ones(n, bool)
@@ -210,7 +217,9 @@ class _Meeting:
         at = np.maximum.accumulate(np.where(head, np.arange(n), -1))
         first_doc = np.where(at >= 0, doc[at], self.last[2] if goes_on else 0)
         first_start = np.where(at >= 0, start[at], self.last[3] if goes_on else 0)
+        first_row = np.where(at >= 0, row[at], self.last[4] if goes_on else 0)
         again = ~head & ((doc != first_doc) | (start != first_start))
+        beside = ~head & ~again & (row != first_row)
         group = np.cumsum(new_print) - new_print[0]
         heads = np.bincount(group, head)
         if goes_on:
@@ -224,59 +233,59 @@ class _Meeting:
         tail = int(heads[-1])
         if tail == 1 and not (goes_on and group[-1] == 0):
             i = int(np.flatnonzero(last & head)[0])
-            self.waiting = (int(doc[i]), int(place[i]))
+            self.waiting = (int(doc[i]), int(place[i]), int(row[i]))
         self.several = tail > 1
-        self.last = (int(print_[-1]), int(context[-1]), int(first_doc[-1]), int(first_start[-1]))
-        return again, meets, released
+        self.last = (int(print_[-1]), int(context[-1]), int(first_doc[-1]), int(first_start[-1]), int(first_row[-1]))
+        return again, meets, released, beside, first_row
 
 
 def meet(rows: DataFrame, length: int = LENGTH) -> DataFrame:
-    """print, doc, tag, start, size: spans to remove (print null), and contexts to compare."""
+    """print, row, start, size, first: spans to remove (print null), and contexts to compare.
+
+    With ``first``, a context that is the same as that of the row so named at the same place
+    of the same document, and has the spans that are found there.
+    """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["print", "context", "doc", "place"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = _Meeting()
 
-        def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            start, rest = place >> (_TAG_BITS + _COUNT_BITS), place & ((1 << (_TAG_BITS + _COUNT_BITS)) - 1)
-            return start, (rest >> _COUNT_BITS).astype(np.int32), rest & ((1 << _COUNT_BITS) - 1)
+        def sized(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return place >> _COUNT_BITS, (place & ((1 << _COUNT_BITS) - 1)) + length - 1
+
+        def made(print_, row, start, size, first) -> pa.RecordBatch:
+            none = pa.nulls(len(row), pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [none if x is None else pa.array(x.astype(np.int64)) for x in (print_, row, start, size, first)],
+                ["print", "row", "start", "size", "first"],
+            )
 
         for batch in batches:
-            print_, context, doc, place = (batch.column(i).to_numpy() for i in range(4))
+            print_, context, doc, place, row = (batch.column(i).to_numpy() for i in range(5))
             span = place < 0
-            start, tag, _ = unpack(-1 - place[span])
-            out = [(doc[span], tag, start, context[span] - start)]
-            keys = []
+            start = (-1 - place[span]) >> _COUNT_BITS
+            yield made(None, row[span], start, context[span] - start, None)
             plain = ~span
             if plain.any():
-                print_, context, doc, place = (x[plain] for x in (print_, context, doc, place))
-                again, meets, released = state.take(print_, context, doc, place)
-                start, tag, count = unpack(place[again])
-                out.append((doc[again], tag, start, count + length - 1))
-                keys = print_[meets]
+                print_, context, doc, place, row = (x[plain] for x in (print_, context, doc, place, row))
+                again, meets, released, beside, first = state.take(print_, context, doc, place, row)
+                yield made(None, row[again], *sized(place[again]), None)
+                yield made(print_[beside], row[beside], *sized(place[beside]), first[beside])
+                yield made(print_[meets], row[meets], *sized(place[meets]), None)
                 if released:
-                    keys = np.append(keys, released[0])
-                    doc, place, meets = np.append(doc, released[1]), np.append(place, released[2]), np.append(meets, True)
-                start, tag, count = unpack(place[meets])
-                out.append((doc[meets], tag, start, count + length - 1))
-            doc, tag, start, size = (np.concatenate(x) for x in zip(*out, strict=True))
-            n = len(doc) - len(keys)
-            prints = pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(keys, pa.int64())])
-            yield pa.RecordBatch.from_arrays(
-                [prints, pa.array(doc), pa.array(tag, pa.int32()), pa.array(start.astype(np.int64)), pa.array(size.astype(np.int64))],
-                ["print", "doc", "tag", "start", "size"],
-            )
+                    print_, _, place, row = (np.array([x], np.int64) for x in released)
+                    yield made(print_, row, *sized(place), None)
 
     dealt = rows.repartition(parts, "print").sortWithinPartitions(*order)
-    return dealt.mapInArrow(read, "print long, doc long, tag int, start long, size long")
+    return dealt.mapInArrow(read, "print long, row long, start long, size long, first long")
 
 
 def cut_contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """print, doc, tag, start, bytes of the contexts in ``wanted``."""
-    asked = wanted.groupBy("doc", "tag").agg(F.collect_list(F.struct("print", "start", "size")).alias("cuts"))
-    texts = docs.select(_doc().alias("doc"), _tag().cast("int").alias("tag"), F.col("text").cast("binary").alias("text"))
-    rows = texts.join(asked, ["doc", "tag"]).select("doc", "tag", "text", "cuts")
+    """print, doc, row, start, bytes of the contexts in ``wanted``."""
+    asked = wanted.groupBy("row").agg(F.collect_list(F.struct("print", "start", "size")).alias("cuts"))
+    texts = docs.select(_doc().alias("doc"), _row().alias("row"), F.col("text").cast("binary").alias("text"))
+    rows = texts.join(asked, "row").select("doc", "row", "text", "cuts")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,21 +299,21 @@ def cut_contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 piece, inner = buffers.within(size[low:high])
                 data = chunk.data[at[piece] + inner]
                 offsets = np.append(0, np.cumsum(size[low:high])).astype(np.int32)
-                row = pa.array(chunk.first + owner)
+                at_row = pa.array(chunk.first + owner)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(print_[low:high]),
-                        batch.column(0).take(row),
-                        batch.column(1).take(row),
+                        batch.column(0).take(at_row),
+                        batch.column(1).take(at_row),
                         pa.array(start[low:high]),
                         pa.BinaryArray.from_buffers(
                             pa.binary(), len(owner), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
                         ),
                     ],
-                    ["print", "doc", "tag", "start", "bytes"],
+                    ["print", "doc", "row", "start", "bytes"],
                 )
 
-    return rows.mapInArrow(read, "print long, doc long, tag int, start long, bytes binary")
+    return rows.mapInArrow(read, "print long, doc long, row long, start long, bytes binary")
 
 
 def repeated_windows(
@@ -332,7 +341,10 @@ def repeated_windows(
 
 
 def compare_contexts(contexts: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """doc, tag, start, size of spans that the contexts of a fingerprint have earlier elsewhere."""
+    """print, row, place, start, size of spans that the contexts of a fingerprint have earlier elsewhere.
+
+    ``place`` is where the context begins.
+    """
     parts = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = contexts.repartition(parts, "print").sortWithinPartitions("print")
 
@@ -340,7 +352,7 @@ def compare_contexts(contexts: DataFrame, length: int = LENGTH, shard_bytes: int
         batch = batch.combine_chunks()
         column = batch.column("bytes").combine_chunks()
         chunk = next(buffers.chunks(column, 1 << 31))
-        doc, tag, start = (batch.column(c).to_numpy() for c in ("doc", "tag", "start"))
+        print_, doc, row, start = (batch.column(c).to_numpy() for c in ("print", "doc", "row", "start"))
         again = repeated_windows(chunk.data, chunk.bounds, doc, start, length)
         hit = np.flatnonzero(again)
         owner = np.searchsorted(chunk.bounds, hit, "right") - 1
@@ -349,12 +361,13 @@ def compare_contexts(contexts: DataFrame, length: int = LENGTH, shard_bytes: int
         owner = owner[at]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(doc[owner]),
-                pa.array(tag[owner]),
+                pa.array(print_[owner]),
+                pa.array(row[owner]),
+                pa.array(start[owner]),
                 pa.array(start[owner] + first - chunk.bounds[owner]),
                 pa.array(last - first + length),
             ],
-            ["doc", "tag", "start", "size"],
+            ["print", "row", "place", "start", "size"],
         )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,15 +391,15 @@ def compare_contexts(contexts: DataFrame, length: int = LENGTH, shard_bytes: int
         if held:
             yield solve(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(read, "doc long, tag int, start long, size long")
+    return dealt.mapInArrow(read, "print long, row long, place long, start long, size long")
 
 
 def repeated_spans(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
-    """doc, tag, spans: for each text with repeats the spans (start, size) to remove, in bytes, unmerged.
+    """row, spans: for each text with repeats the spans (start, size) to remove, in bytes, unmerged.
 
-    ``doc`` and ``tag`` name rows as in ``cut_out``. A byte goes when a string of
+    ``row`` is a hash of id and text. A byte goes when a string of
     ``length`` bytes that covers it also starts earlier: in a document with a smaller
     id, or earlier in its own. Spans never cross documents, and strings are judged on
     the input. Rows with one id are one document of which only earlier starts count;
@@ -394,10 +407,12 @@ def repeated_spans(
     """
     rows = occurrences(docs, crowded_cells(docs, length, gram, crowd), length, gram)
     met = written(meet(rows, length), "met")
-    settled = met.where("print is null").select("doc", "tag", "start", "size")
-    contexts = cut_contexts(docs, met.where("print is not null"))
+    settled = met.where("print is null").select("row", "start", "size")
+    contexts = cut_contexts(docs, met.where("print is not null and first is null"))
     found = written(compare_contexts(contexts, length, shard_bytes), "repeats")
-    return settled.union(found).groupBy("doc", "tag").agg(
+    beside = met.where("first is not null").select("print", F.col("first").alias("of"), F.col("start").alias("place"), "row")
+    shared = found.withColumnRenamed("row", "of").join(beside, ["print", "of", "place"]).select("row", "start", "size")
+    return settled.union(found.select("row", "start", "size")).union(shared).groupBy("row").agg(
         F.collect_list(F.struct("start", "size")).alias("spans")
     )
 
@@ -423,8 +438,8 @@ def digests(docs: DataFrame, spans: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(
         "doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"),
-        _doc().alias("doc"), _tag().cast("int").alias("tag"),
-    ).join(spans, ["doc", "tag"], "left").select("doc_id", "text", "spans")
+        _row().alias("row"),
+    ).join(spans, "row", "left").select("doc_id", "text", "spans")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

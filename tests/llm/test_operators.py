@@ -401,3 +401,21 @@ def test_suffix_dedup_of_crowds_and_small_shards(spark, rows, crowd, shard):
     spans = suffix_dedup.repeated_spans(df, crowd=crowd, shard_bytes=shard)
     found = suffix_dedup.digests(df, spans)
     assert rows(found) == sorted(brute.suffix_dedup(docs), key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+def test_suffix_dedup_tells_texts_without_ids_apart(spark, rows):
+    """Many null ids with one header, which another document has after other words, and texts of one short hash."""
+    rng = random.Random(11)
+    header, passage = words(rng, 40), words(rng, 30)
+    docs = [(1, f"{words(rng, 9)} {header} {words(rng, 9)}"), (2, passage)]
+    docs += [(None, f"{header} {words(rng, 5 + i % 7)}") for i in range(40)]
+    tag = F.pmod(F.xxhash64("text"), F.lit(1 << 24)).alias("tag")
+    n = spark.range(20_000)
+    long = n.select(F.format_string(f"{passage} %d", "id").alias("text")).select(F.col("text").alias("a"), tag)
+    short = n.select(F.format_string("%d is not repeated anywhere", "id").alias("text")).select(F.col("text").alias("b"), tag)
+    pairs = long.join(short, "tag").select("a", "b").collect()
+    assert pairs
+    docs += [(None, t) for pair in pairs[:5] for t in pair]
+    df = frame(spark, docs, 5)
+    found = suffix_dedup.digests(df, suffix_dedup.repeated_spans(df))
+    assert rows(found) == sorted(brute.suffix_dedup(docs), key=lambda r: tuple((v is not None, str(v)) for v in r))
