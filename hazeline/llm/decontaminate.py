@@ -37,13 +37,18 @@ def exact_words(text: Column) -> Column:
     return F.regexp_extract_all(folded, F.lit(_WORD), 0)
 
 
+def _lowered(text: Column) -> Column:
+    """Lower case letter by letter; ``lower`` alone looks at the neighbours of a capital sigma."""
+    return F.lower(F.replace(text, F.lit("Σ"), F.lit("σ")))
+
+
 def loose_words(text: Column) -> Column:
     """The same words at the same places, lowered by the full alphabet.
 
     It is much faster. Words equal by ``exact_words`` are equal here too, so a search
     on these misses nothing, and its few finds are checked on the exact words.
     """
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_WORD), 0)
+    return F.regexp_extract_all(_lowered(F.coalesce(text, F.lit(""))), F.lit(_WORD), 0)
 
 
 def _bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -79,7 +84,7 @@ def rarest_terms(docs: DataFrame, windows: DataFrame, rarest: int = RAREST) -> D
     has are left out.
     """
     placed = windows.select("window", F.posexplode("words").alias("offset", "word")).withColumn(
-        "term", F.lower("word")
+        "term", _lowered(F.col("word"))
     )
     terms = written(placed.select("term").distinct(), "terms")
     counts = _tokens(docs).join(_bounded(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))

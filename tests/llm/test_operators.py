@@ -225,6 +225,15 @@ def test_windows_of_common_words_only(spark):
     ]
 
 
+def test_words_that_end_in_a_capital_sigma(spark):
+    docs = [(1, "x ΟΔΟΣ.Α β"), (2, "ΟΔΟΣ Α β"), (3, "οδος Α β")]
+    items = [(1, "ΟΔΟΣ Α β")]
+    found = decontaminate.scan(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    found = sorted((r["doc_id"], r["n_words"], r["n_hit"], len(r["items"])) for r in found.collect())
+    assert found == [r[:4] for r in brute.decontaminate(docs, items)]
+    assert [r[2] for r in found] == [3, 3, 0]
+
+
 def test_texts_that_begin_inside_a_window(spark):
     rng = random.Random(4)
     long, short = words(rng, 14).split(), words(rng, 4).split()
