@@ -7,6 +7,7 @@ that share a shingle, all windows of a text, all strings of a hundred bytes.
 from __future__ import annotations
 
 from hazeline.llm import curriculum, decontaminate, license_scan, quality_rules, sharding
+from hazeline.llm.oracle_conversations import CONVERSATIONS
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TEXT = "coalesce(text, '')"
@@ -368,4 +369,5 @@ ORACLE: dict[str, str] = {
     "op8_license_scans": LICENSES,
     "op9_quality_rules": RULES,
     "op10_suffix_array_dedup": SUFFIXES,
+    "op11_conversation_repair": CONVERSATIONS,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.llm import (
+    conversation_repair,
     curriculum,
     decontaminate,
     license_scan,
@@ -16,6 +17,7 @@ from hazeline.llm import (
     quality_rules,
     sharding,
     suffix_dedup,
+    whitening,
 )
 from hazeline.llm.oracle import ORACLE
 from hazeline.llm.store import table
@@ -121,3 +123,13 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return suffix_dedup.digests(docs, suffix_dedup.repeated_spans(docs))
+
+
+@register
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+@register
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

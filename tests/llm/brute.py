@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -208,3 +212,83 @@ def mix_targets(docs, repeats=3):
         if len(full) == len(names):
             break
     return {s: (size[s], float(repeats * size[s]) if s in full else share[s]) for s in names}
+
+
+BLANK = " \t\n\v\f\r"
+
+
+def damaged_conversations(rows):
+    """Rows after damage, by conversation and in order; conversations without rows too."""
+    shown = lambda v: " " if v is None else str(v)
+    convs = {}
+    for conv, turn, role, text in rows:
+        found = convs.setdefault(conv, [])
+        lot = zlib.crc32(f"{shown(conv)}:{shown(turn)}".encode()) % 20
+        role, text = "user" if lot == 4 else shown(role), shown(text)
+        text = "" if lot == 1 else re.sub("[.!?]", "", text) if lot == 2 else text
+        found += [(turn, role, text)] * {0: 0, 3: 2}.get(lot, 1)
+    for found in convs.values():
+        found.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).digest()))
+    return convs
+
+
+def repair_conversations(rows):
+    """By dynamic programming: the best edits that end in each state of the pattern."""
+    after, names = {"": "u", "s": "u", "u": "a", "a": "u"}, {"u": "user", "a": "assistant"}
+    legal = {("", "s"), ("", "u"), ("s", "u"), ("u", "a"), ("a", "u")}
+    out = []
+    for conv, found in damaged_conversations(rows).items():
+        seen, faults = set(), []
+        for _, role, text in found:
+            bare = text.strip(BLANK)
+            faults.append(
+                "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else ""
+            )
+            seen.add((role, text))
+
+        def relax(best, state, way):
+            if state not in best or way[:2] < best[state][:2]:
+                best[state] = way
+
+        def inserts(best):
+            best = dict(best)
+            for _ in range(2):
+                for state, (cost, audit, lines) in list(best.items()):
+                    into = after[state]
+                    relax(best, into, (cost + 5, audit + "I", (*lines, f"{names[into]}:")))
+            return best
+
+        best = {"": (0, "", ())}
+        for (_, role, text), fault in zip(found, faults, strict=True):
+            then = {}
+            for state, (cost, audit, lines) in best.items():
+                relax(then, state, (cost + 2, audit + "D", lines))
+            if fault not in ("blank", "duplicate"):
+                fine = 5 * (fault == "truncated")
+                for state, (cost, audit, lines) in inserts(best).items():
+                    if role == "" or (state, role[0]) in legal:
+                        relax(then, role[:1] or state, (cost + fine, audit + "K", (*lines, f"{role}:{text}")))
+                    into = after[state]
+                    relax(then, into, (cost + 1 + fine, audit + "R", (*lines, f"{names[into]}:{text}")))
+            best = then
+        cost, audit, lines = min((way for state, way in inserts(best).items() if state in ("", "a")), key=lambda w: w[:2])
+        turns = [t for t, _, _ in found if t is not None]
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(found, found[1:], strict=False))
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+        out.append((conv, gaps, *counts, illegal, cost, audit, sha("\n".join(lines))))
+    return out
+
+
+def whitened(vectors, components=8):
+    """n, deviation, the covariance's eigenvalues and each row's coordinates, from whole numbers."""
+    kept = [(i, v) for i, v in vectors if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    width = max((len(v) for _, v in kept), default=0)
+    x = [[math.floor(1024 * c) + 100_000 for c in [*v, *[0.0] * (width - len(v))]] for _, v in kept]
+    n, sums = len(x), [sum(column) for column in zip(*x, strict=True)]
+    apart = [[n * c - s for c, s in zip(row, sums, strict=True)] for row in x]
+    square = [[sum(r[i] * r[j] for r in apart) / n**3 for j in range(width)] for i in range(width)]
+    values, axes = np.linalg.eigh(np.array(square))
+    values, axes = values[::-1][:components], axes[:, ::-1][:, :components]
+    points = (np.array(apart, float) / n) @ axes / np.sqrt(values)
+    return [i for i, _ in kept], n, [sum(c * c for c in row) for row in apart], values / np.trace(square), points

@@ -23,6 +23,13 @@ RESULTS = {
     "op10_suffix_array_dedup": (brute.suffix_dedup, "doc_id n_bytes n_removed n_spans kept_sha256"),
 }
 
+#: Tables that only operators with tests of their own read.
+OTHERS = {
+    "conversations": "conv_id long, turn long, role string, text string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "pages": "page_id long, url string, html string",
+}
+
 
 def words(rng, n, vocabulary=400):
     return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
@@ -83,6 +90,8 @@ def place(spark, folder, docs, items=(), labels=()):
     spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(
         f"{folder}/labels.parquet"
     )
+    for name, columns in OTHERS.items():
+        spark.createDataFrame([], columns).write.parquet(f"{folder}/{name}.parquet")
     return folder
 
 
