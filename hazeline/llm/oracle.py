@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from hazeline.llm import curriculum, decontaminate, license_scan, quality_rules, sharding
 from hazeline.llm.oracle_conversations import CONVERSATIONS
+from hazeline.llm.oracle_pages import PAGES
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TEXT = "coalesce(text, '')"
@@ -370,4 +371,5 @@ ORACLE: dict[str, str] = {
     "op9_quality_rules": RULES,
     "op10_suffix_array_dedup": SUFFIXES,
     "op11_conversation_repair": CONVERSATIONS,
+    "op13_html_extraction": PAGES,
 }

@@ -9,6 +9,7 @@ from hazeline.llm import (
     conversation_repair,
     curriculum,
     decontaminate,
+    html_wrappers,
     license_scan,
     line_dedup,
     ngram_join,
@@ -133,3 +134,8 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract(table(spark, sf_dir, "pages"))

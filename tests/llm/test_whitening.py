@@ -30,7 +30,7 @@ def compare(got, rows, components=8):
     for (name, component), r in top.items():
         square, point = plain[name][0]
         if len(plain[name]) == 1:
-            assert r["deviation"] == square
+            assert r["deviation"] == (square if square < 1 << 63 else None)
             at = point[component - 1]
             signs[component - 1] = signs[component - 1] or round(r["whitened"] / at) if abs(at) > 0.1 else signs[component - 1]
             assert abs(r["whitened"]) == pytest.approx(abs(at), abs=1e-5)
@@ -49,7 +49,7 @@ def test_given_rows(spark):
 def test_odd_rows(spark):
     """Null, non-finite, short and repeated vectors, null and repeated ids, dimensions of unlike size."""
     rng = random.Random(4)
-    scale = [1e-3, 1.0, 50.0, 1e4, 1.0]
+    scale = [1e-3, 1.0, 50.0, 1e3, 1.0]
     rows = [(i, [rng.gauss(0, s) for s in scale]) for i in range(150)]
     rows += [(200 + i, [rng.gauss(0, s) for s in scale[: rng.randrange(6)]]) for i in range(20)]
     rows += [(300, None), (301, [1.0, None]), (302, [float("nan")]), (303, [float("inf"), 1.0]), (304, [])]
