@@ -64,10 +64,11 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values so that all bits depend on all bits."""
     h = h ^ (h >> _U(30))
-    h = h * _U(0xBF58476D1CE4E5B9)
-    h = h ^ (h >> _U(27))
-    h = h * _U(0x94D049BB133111EB)
-    return h ^ (h >> _U(31))
+    h *= _U(0xBF58476D1CE4E5B9)
+    h ^= h >> _U(27)
+    h *= _U(0x94D049BB133111EB)
+    h ^= h >> _U(31)
+    return h
 
 
 _powers = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
@@ -101,10 +102,34 @@ def prefix_sums(data: np.ndarray, folded: bool = False, second: bool = False) ->
 
 
 def stretch(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of the stretches from ``starts`` to ``ends`` (exclusive), wherever they lie."""
+    """Hashes of the stretches from ``starts`` to ``ends`` (exclusive), wherever they lie.
+
+    For stretches that may overlap, of under 1,024 bytes: from there on, powers of one base
+    let long patterns of two letters cancel out. ``own_hashes`` has no such limit.
+    """
     return mix((sums[ends] - sums[starts]) * inverse_powers(len(sums))[starts] + (ends - starts).astype(np.uint64))
 
 
+def own_hashes(chunk: Chunk, starts: np.ndarray, ends: np.ndarray, folded: bool = True, second: bool = False) -> np.ndarray:
+    """Hashes of stretches that follow one another without overlap.
+
+    Each byte counts by a mixed function of itself and its place in its stretch, so unlike
+    the powers of one base no pattern of two letters can cancel out. ``second`` gives an
+    independent hash of folded bytes; both together are 128 bits.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    begins = np.zeros(len(chunk.data), np.int64)
+    begins[: starts[0]] = starts[0]
+    begins[starts[0] :] = np.repeat(starts, np.diff(np.append(starts, len(chunk.data))))
+    place = np.arange(len(chunk.data), dtype=np.int64) - begins
+    values = (_SECOND if second else _FOLDED if folded else _VALUES)[chunk.data]
+    values += place.view(np.uint64) * _U(_BASE)
+    sums = np.zeros(len(chunk.data) + 1, np.uint64)
+    np.cumsum(mix(values), out=sums[1:])
+    return mix(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))
+
+
 def words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words between white space, and each text's first word (with a last bound)."""
     inside = ~_SPACE[chunk.data]
@@ -158,7 +183,7 @@ def code_points(chunk: Chunk) -> np.ndarray:
 
 
 def word_hashes(chunk: Chunk, starts: np.ndarray, ends: np.ndarray, folded: bool = True) -> np.ndarray:
-    return stretch(prefix_sums(chunk.data, folded), starts, ends)
+    return own_hashes(chunk, starts, ends, folded)
 
 
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:

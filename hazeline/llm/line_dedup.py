@@ -1,7 +1,8 @@
 """Line dedup: first occurrences streamed from range-partitioned line hashes.
 
-Each line that is long enough becomes a row of two hashes of its key, the document
-and the place. The rows are range-partitioned and sorted by hash, document and
+Each line that is long enough becomes a row of two hashes of its key, 128 bits in
+all, the document and the place. Lines count as equal by these hashes, which have no
+pattern that two lines could share; texts are not compared. The rows are range-partitioned and sorted by hash, document and
 place, so a line that a third of all documents share is cut over many partitions.
 Each partition is streamed once: the first document of a hash keeps the line, the
 others lose it. Where a hash goes on from the partition before, its first document
@@ -29,7 +30,7 @@ from hazeline.llm.store import set_checkpoint_dir, written
 #: Shorter keys, in code points, never lose a line.
 MIN_CHARS = 10
 
-_LINES = "hash long, more int, doc long, place int, n_lines int, row long"
+_LINES = "hash long, more long, doc long, place int, n_lines int, row long"
 #: Null ids form one document that comes after all others.
 _NO_ID = (1 << 63) - 1
 
@@ -55,12 +56,12 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 points = buffers.code_points(chunk)
                 long = np.flatnonzero(points[ends] - points[starts] >= min_chars)
                 text, starts, ends = text[long], starts[long], ends[long]
-                first = buffers.stretch(buffers.prefix_sums(chunk.data, folded=True), starts, ends)
-                second = buffers.stretch(buffers.prefix_sums(chunk.data, second=True), starts, ends)
+                first = buffers.own_hashes(chunk, starts, ends)
+                second = buffers.own_hashes(chunk, starts, ends, second=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(first.view(np.int64)),
-                        pa.array((second >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                        pa.array(second.view(np.int64)),
                         pa.array(doc[chunk.first + text]),
                         pa.array(place[long].astype(np.int32)),
                         pa.array(n_lines[text].astype(np.int32)),
@@ -110,7 +111,7 @@ def dropped_lines(lines: DataFrame) -> DataFrame:
 
     carried, key, first = {}, None, 0
     for end in sorted(
-        dealt.mapInArrow(summary, "part int, hash long, more int, doc long, one boolean").collect(),
+        dealt.mapInArrow(summary, "part int, hash long, more long, doc long, one boolean").collect(),
         key=lambda e: e["part"],
     ):
         if key is not None:
@@ -129,7 +130,7 @@ def dropped_lines(lines: DataFrame) -> DataFrame:
 
 
 _SUMMARY = pa.schema(
-    [("part", pa.int32()), ("hash", pa.int64()), ("more", pa.int32()), ("doc", pa.int64()), ("one", pa.bool_())]
+    [("part", pa.int32()), ("hash", pa.int64()), ("more", pa.int64()), ("doc", pa.int64()), ("one", pa.bool_())]
 )
 
 

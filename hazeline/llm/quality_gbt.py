@@ -97,9 +97,8 @@ def statistics(chunk: buffers.Chunk) -> np.ndarray:
     line_start = line_start[line_start < len(chunk.data)]
     line_end = np.append(line_start[1:], len(chunk.data))
     line_of = np.searchsorted(chunk.bounds, line_start, "right") - 1
-    sums = buffers.prefix_sums(chunk.data)
     lines = np.bincount(line_of, minlength=n)
-    kinds_of_line, _ = _distinct(line_of, buffers.stretch(sums, line_start, line_end), n)
+    kinds_of_line, _ = _distinct(line_of, buffers.own_hashes(chunk, line_start, line_end, folded=False), n)
     return np.column_stack(
         (
             kinds / np.maximum(lengths, 1)[:, None],

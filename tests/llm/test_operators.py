@@ -8,6 +8,7 @@ from fractions import Fraction
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -428,3 +429,33 @@ def test_suffix_dedup_tells_texts_without_ids_apart(spark, rows):
     df = frame(spark, docs, 5)
     found = suffix_dedup.digests(df, suffix_dedup.repeated_spans(df))
     assert rows(found) == sorted(brute.suffix_dedup(docs), key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+# hashes
+
+
+def thue_morse(n, letters="ab"):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 4096, 1 << 15])
+def test_patterns_of_two_letters_keep_their_hashes_apart(spark, rows, n):
+    """Powers of one base modulo 2 ** 64 take such a text and its mirror for one."""
+    pair = [thue_morse(n), thue_morse(n, "ba")]
+    found = line_dedup.keep_bitmaps(frame(spark, [(1, pair[0]), (2, pair[1]), (3, pair[1].upper() + " ")]))
+    assert [r["n_dropped"] for r in found.collect()] == [1]  # only the third, which repeats the second
+    links = rows(ngram_join.link_groups(frame(spark, list(enumerate(pair)))), "doc_id", "component_id")
+    assert links == [(0, 0), (1, 1)]
+    chunk = next(buffers.chunks(pa.array(["".join(pair)])))
+    for second in (False, True):
+        hashes = buffers.own_hashes(chunk, np.array([0, n]), np.array([n, 2 * n]), second=second)
+        assert hashes[0] != hashes[1]
+
+
+def test_own_hashes_follow_the_stretch_alone():
+    texts = ["one line here", "ONE line here", "another", "", "one line here"]
+    data = "__import__".join(texts).encode()
+    starts = np.cumsum([0, *(len(t) + 10 for t in texts[:-1])])
+    chunk = buffers.Chunk(0, np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    hashes = buffers.own_hashes(chunk, starts, starts + [len(t) for t in texts])
+    assert hashes[0] == hashes[1] == hashes[4] and len(set(hashes.tolist())) == 3
