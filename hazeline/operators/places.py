@@ -47,7 +47,11 @@ class Directory:
 
 def _attach(df: DataFrame, where: Directory, join) -> DataFrame:
     """Join the directory and fill what it does not know."""
-    df = join(df, where.by_sensor("latitude" in df.columns))
+    return fill_names(join(df, where.by_sensor("latitude" in df.columns)))
+
+
+def fill_names(df: DataFrame) -> DataFrame:
+    """Names for rows that met the directory, or for the directory itself."""
     state = F.coalesce(F.col("state"), F.lit(UNKNOWN))
     location_id = F.coalesce(F.col("location_id"), F.col("sensor_id"))
     unnamed = F.concat(F.lit("Location "), location_id.cast("string"))

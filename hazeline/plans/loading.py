@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from hazeline.operators import filters
 from hazeline.operators.places import Directory, attach_to_sensors, enrich
+from hazeline.operators.prefilter import keep_chosen_sensors
 from hazeline.sources.tables import scan_parameter
 
 
@@ -45,9 +46,17 @@ def select_places(df: DataFrame, selection: Selection) -> DataFrame:
     return filters.filter_city(filters.filter_state(df, selection.states), selection.cities)
 
 
+def select_at_scan(df: DataFrame, where: Directory, selection: Selection) -> DataFrame:
+    """The rows that a selection needs, cut where they are read; places are still to be checked."""
+    return keep_chosen_sensors(select_rows(df, selection), where, selection.states, selection.cities)
+
+
 def filter_all(df: DataFrame, where: Directory, selection: Selection) -> DataFrame:
-    """Enriched rows that pass date, state, city and threshold."""
-    return select_places(enrich(select_rows(df, selection), where), selection)
+    """Enriched rows that pass date, state, city and threshold.
+
+    Sensors elsewhere are left out by the scan, so only rows of chosen places are joined.
+    """
+    return select_places(enrich(select_at_scan(df, where, selection), where), selection)
 
 
 def sensor_metadata(facts: DataFrame, where: Directory) -> DataFrame:

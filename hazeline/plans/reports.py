@@ -22,7 +22,7 @@ from hazeline.operators.filters import filter_threshold
 from hazeline.operators.median import exact_median
 from hazeline.operators.partials import HIGH, LOW, ROWS, TOTAL, VALUES, mean, partials
 from hazeline.operators.places import Directory, attach_to_sensors
-from hazeline.plans.loading import Selection, filter_all, select_places, select_rows
+from hazeline.plans.loading import Selection, filter_all, select_at_scan, select_places, select_rows
 
 # From where a reading is an extreme event, and how many cities
 # the trend shows unless told otherwise.
@@ -43,6 +43,10 @@ CUBE_KEYS = ["calendar_month", "day_type", "category"]
 PLACE = ["location_id", "location_name", "state", "city", "latitude", "longitude"]
 
 
+def _derived(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumns({k: DERIVED[k]() for k in keys})
+
+
 @dataclass(frozen=True)
 class Scope:
     """Measurements, the directory of places, and what to report on.
@@ -59,8 +63,7 @@ class Scope:
 
     def rows(self, *keys: str) -> DataFrame:
         """Selected rows, by the filters rows can answer, with derived keys."""
-        selected = select_rows(self.df, self.selection)
-        return selected.withColumns({k: DERIVED[k]() for k in keys})
+        return _derived(select_rows(self.df, self.selection), keys)
 
     def _in_cube(self, keys) -> bool:
         return self.cube is not None and set(keys) <= set(self.cube.columns)
@@ -72,7 +75,7 @@ class Scope:
         """
         if self._in_cube(keys):
             return self.cube
-        rows = self.rows(*keys)
+        rows = _derived(select_at_scan(self.df, self.where, self.selection), keys)
         stored = [c for c in ("latitude", "longitude") if c in rows.columns]
         placed = attach_to_sensors(partials(rows, "sensor_id", *stored, *keys), self.where)
         return select_places(placed, self.selection)

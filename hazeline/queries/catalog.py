@@ -210,14 +210,14 @@ _PLACED = ["arrival", "sensor_id", "location_id", "state", "city", "value"]
 
 @query("filter_state")
 def _filter_state(spark, sf_dir) -> DataFrame:
-    rows = enrich(views.pm25(spark, sf_dir), views.places(spark, sf_dir))
-    return filters.filter_state(rows, ["ASIA", "Unknown"]).select(*_PLACED)
+    chosen = Selection(states=["ASIA", "Unknown"])
+    return filter_all(views.pm25(spark, sf_dir), views.places(spark, sf_dir), chosen).select(*_PLACED)
 
 
 @query("filter_city")
 def _filter_city(spark, sf_dir) -> DataFrame:
-    rows = enrich(views.pm25(spark, sf_dir), views.places(spark, sf_dir))
-    return filters.filter_city(rows, SELECTED_CITIES).select(*_PLACED)
+    chosen = Selection(cities=SELECTED_CITIES)
+    return filter_all(views.pm25(spark, sf_dir), views.places(spark, sf_dir), chosen).select(*_PLACED)
 
 
 @query("scenario_watch")

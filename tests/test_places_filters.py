@@ -178,3 +178,46 @@ def test_requested_locations(spark, where):
     known = filters.requested_locations(spark, None, where.locations)
     assert {r[0] for r in known.collect()} == {100, 200, 7}
     assert {r[0] for r in filters.requested_locations(spark, "5", where.locations).collect()} == {5}
+
+
+PLACED_ROWS = [(i, 1.0) for i in (1, 2, 3, 7, 8, 9, 100, 5000)] + [(None, 2.0)]
+CHOICES = [
+    dict(states=["A"]),
+    dict(states=["Unknown"]),
+    dict(states=["A", "Unknown"]),
+    dict(states=["nowhere"]),
+    dict(cities=["x"]),
+    dict(cities=["x", "Location 5000", "Location 3", "Location x"]),
+    dict(states=["B"], cities=["x", "Location 5000"]),
+    dict(states=["Unknown"], cities=["Unknown", "Location 9"]),
+    dict(cities=["Unknown"]),
+    dict(),
+]
+
+
+@pytest.mark.parametrize("listed", [10_000, 0])
+@pytest.mark.parametrize("choice", CHOICES, ids=str)
+def test_rows_are_cut_at_the_scan_and_none_is_lost(spark, choice, listed):
+    """Sensors the directory does not know, and rows without a sensor, pass where the choice takes them in."""
+    from hazeline.operators.places import enrich
+    from hazeline.operators.prefilter import keep_chosen_sensors
+
+    where = Directory(
+        spark.createDataFrame([(1, 100), (2, 200), (3, 300), (4, 100)], "sensor_id long, location_id long"),
+        spark.createDataFrame(
+            [(100, "A", "x"), (200, "B", "x"), (7, "A", None), (8, None, "z")],
+            "location_id long, state string, city string",
+        ),
+    )
+    rows = spark.createDataFrame(PLACED_ROWS, "sensor_id long, value double")
+    rows = rows.withColumn("datetime_utc", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"))
+
+    def chosen(df):
+        placed = filters.filter_state(enrich(df, where), choice.get("states"))
+        return sorted((str(r["sensor_id"]), r["state"], r["city"]) for r in filters.filter_city(placed, choice.get("cities")).collect())
+
+    kept = keep_chosen_sensors(rows, where, **choice, listed=listed)
+    assert kept.columns == rows.columns
+    assert chosen(kept) == chosen(rows)
+    if choice == CHOICES[0]:
+        assert {r["sensor_id"] for r in kept.collect()} == {1, 7, 100}

@@ -7,9 +7,9 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import types as T
 
-from hazeline.operators import filters, merge, places, sizing
+from hazeline.operators import filters, merge, places, prefilter, sizing
 from hazeline.plans import reports
-from hazeline.plans.loading import Selection, select_rows
+from hazeline.plans.loading import Selection, filter_all, select_rows
 from hazeline.plans.reports import Scope
 from hazeline.queries import views
 from hazeline.queries.catalog import REGISTRY
@@ -125,6 +125,35 @@ def test_merge_reads_only_the_times_of_the_batch(spark, tmp_path):
     assert batch_side.count("Exchange hashpartitioning(sensor_id") <= 2
 
 
+@pytest.mark.parametrize("limit", [sizing.BROADCAST_BYTES, -1])
+def test_other_sensors_are_cut_at_the_scan(spark, monkeypatch, limit):
+    """Whether places are broadcast or shuffled, the scan itself knows the chosen sensors."""
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", limit)
+    rows = filter_all(views.pm25(spark, SMALL), views.places(spark, SMALL), Selection(states=["ASIA"]))
+    text = plan(rows)
+    scans = re.findall(r"events.parquet.*?PushedFilters: \[(.*?)\], ReadSchema", text)
+    assert scans and all("In(user_id" in pushed or "user_id >=" in pushed for pushed in scans)
+
+
+@pytest.mark.parametrize("limit", [sizing.BROADCAST_BYTES, -1])
+def test_many_chosen_sensors_are_a_bit_map_above_the_scan(spark, monkeypatch, limit):
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(prefilter, "LISTED", 0)
+    rows = filter_all(views.pm25(spark, SMALL), views.places(spark, SMALL), Selection(states=["ASIA"]))
+    text = plan(rows)
+    for below in text.split("events.parquet")[:-1]:
+        path = below.split("\n")
+        above = [line for line in path if "getbit" in line or "Exchange hashpartitioning" in line]
+        assert "getbit" in above[-1]  # no exchange of rows between the scan and the bit map
+
+
+def test_reports_of_places_cut_rows_at_the_scan(spark):
+    scope = Scope(views.pm25(spark, SMALL), views.places(spark, SMALL), Selection(cities=["NATION_7"]))
+    for report in (reports.kpis, reports.trend_daily, reports.extreme_summary, reports.weekday_weekend):
+        pushed = re.findall(r"events.parquet.*?PushedFilters: \[(.*?)\], ReadSchema", plan(report(scope)))
+        assert pushed and all("user_id" in p.replace("IsNotNull(user_id)", "") for p in pushed)
+
+
 def test_month_filter_follows_the_dates(spark):
     df = spark.createDataFrame([], "datetime_utc timestamp_ntz, month string, value double")
     text = filters.filter_date(df, dt.date(2024, 1, 5), dt.date(2024, 3, 1))
