@@ -28,15 +28,22 @@ def new_rows(stored: DataFrame, distinct_batch: DataFrame, keys=None) -> DataFra
     return distinct_batch.join(stored.select(*keys), keys, "left_anti")
 
 
-def marked_rows(stored: DataFrame, batch: DataFrame, arrival, keys=None) -> DataFrame:
+def marked_rows(
+    stored: DataFrame, batch: DataFrame, arrival, keys=None, parts: int | None = None
+) -> DataFrame:
     """The first batch row of each key, with ``stored``: whether the table has the key.
 
-    The batch's keys are shuffled once, for the dedup and for the join.
+    The batch's keys are shuffled once, for the dedup and for the join. A stored table
+    that is bucketed by the keys into ``parts`` is not shuffled at all: the batch's first
+    rows are dealt to its buckets, and the result is dealt like the table.
     """
     keys = keys or KEY
     require(stored, keys, "stored table")
     known = stored.select(*keys).dropDuplicates(keys).withColumn("stored", F.lit(True))
-    marked = dedup_first(batch, arrival, keys).join(known, keys, "left")
+    first = dedup_first(batch, arrival, keys)
+    if parts is not None:
+        first, known = first.repartition(parts, *keys), known.hint("merge")
+    marked = first.join(known, keys, "left")
     return marked.withColumn("stored", F.col("stored").isNotNull())
 
 

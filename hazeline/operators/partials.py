@@ -17,20 +17,25 @@ ROWS, VALUES, TOTAL = "n_rows", "n_values", "value_total"
 LOW, HIGH = "value_min", "value_max"
 
 
+def measures() -> list:
+    """The partial aggregates of measurement rows."""
+    value = F.col("value")
+    return [
+        F.count(F.lit(1)).alias(ROWS),
+        F.count(value).alias(VALUES),
+        F.sum(value).alias(TOTAL),
+        F.min(value).alias(LOW),
+        F.max(value).alias(HIGH),
+    ]
+
+
 def partials(df: DataFrame, *keys: str) -> DataFrame:
     """Partial aggregates by keys, from measurements or from finer partials."""
     if TOTAL in df.columns:
         merged = [F.sum(c).alias(c) for c in (ROWS, VALUES, TOTAL)]
         merged += [F.min(LOW).alias(LOW), F.max(HIGH).alias(HIGH)]
     else:
-        value = F.col("value")
-        merged = [
-            F.count(F.lit(1)).alias(ROWS),
-            F.count(value).alias(VALUES),
-            F.sum(value).alias(TOTAL),
-            F.min(value).alias(LOW),
-            F.max(value).alias(HIGH),
-        ]
+        merged = measures()
     return df.groupBy(*keys).agg(*merged)
 
 

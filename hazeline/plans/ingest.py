@@ -7,10 +7,10 @@ import hashlib
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.functions.dates import month_key, utc_clock
+from hazeline.functions.dates import utc_clock
 from hazeline.functions.numbers import to_id, to_number
 from hazeline.operators.cleaning import in_range, is_unstorable, prepare_measurements
 from hazeline.operators.filters import filter_locations
@@ -27,7 +27,7 @@ from hazeline.sources.landing import (
     location_sensors,
     read_pages,
 )
-from hazeline.sources.tables import FactTable
+from hazeline.sources.tables import FactTable, month_ranges
 
 OK, BAD = "ok", "bad"
 
@@ -121,9 +121,10 @@ def ingest_batch(
     The cleaned batch is staged as a table first, one pass without a shuffle.
     From there on everything reads columns instead of JSON, and the months and
     times the batch touches are known: only stored keys between them are read
-    for the merge. The first row of each key is written with a mark whether the
-    table has the key; counts and accepted rows come from there, so they are
-    exact even if tasks ran twice. A batch is known by the files it was made of:
+    for the merge, where they lie, and only the batch is shuffled. The tasks that
+    write accepted rows also count them and the duplicates; those counts are part of
+    a task's result, so they are exact even if tasks ran twice, and nothing is read
+    again for them. A batch is known by the files it was made of:
     running it again replaces what it put in, and other files under its name are
     refused before anything is written. With ``sensors`` only their rows go in;
     the sensors are staged too, as several jobs read them. The staged folder
@@ -131,31 +132,28 @@ def ingest_batch(
     """
     source = source_of(pages)
     facts.claim(batch, source)
-    cleaned = clean_pages(pages, flavour, start, end)
+    seen = Observation()
+    cleaned = clean_pages(pages, flavour, start, end).observe(
+        seen,
+        F.count_if(F.col("status") == BAD).alias("bad"),
+        F.collect_set(F.when(F.col("status") == OK, F.date_format("datetime_utc", "yyyy-MM-dd"))).alias("days"),
+    )
     cleaned.write.mode("overwrite").partitionBy("status").parquet(f"{stage}/batch={batch}")
-    rows = staged_rows(spark, stage, batch, None)
-    good = rows.where(F.col("status") == OK)
-    # One row per status and calendar month.
-    found = rows.groupBy("status", month_key(F.col("datetime_utc")).alias("month"))
-    stamp = F.col("datetime_utc")
-    counts = found.agg(
-        F.count(F.lit(1)).alias("n"), F.min(stamp).alias("low"), F.max(stamp).alias("high")
-    ).collect()
-    quarantined = sum(row["n"] for row in counts if row["status"] == BAD)
-    touched = {r["month"]: (r["low"], r["high"]) for r in counts if r["status"] == OK}
+    good = staged_rows(spark, stage, batch)
+    quarantined = seen.get["bad"]
+    touched = month_ranges([dt.date.fromisoformat(day) for day in seen.get["days"]])
 
     if sensors is not None:
         located = f"{stage}/sensors/batch={batch}"
         sensor_coords(sensors, coords).write.mode("overwrite").parquet(located)
         known = spark.read.schema(LOCATED_SENSOR).parquet(located)
         good = with_coords(good, known, flavour).where("known")
-    stored = facts.read(touched, skip_batch=batch)
-    merged = f"{stage}/merged/batch={batch}"
-    marked = marked_rows(stored, good, ARRIVAL).select(*FACT.names, "stored")
-    marked.write.mode("overwrite").parquet(merged)
-    marked = spark.read.schema(marked.schema).parquet(merged)
-    duplicates = marked.where("stored").count()
-    inserted = facts.append(marked.where("not stored"), batch, source, as_of)
+    met = Observation()
+    with facts.dealt(touched, skip_batch=batch) as stored:
+        marked = marked_rows(stored, good, ARRIVAL, parts=facts.buckets)
+        marked = marked.observe(met, F.count_if("stored").alias("duplicates"))
+        inserted = facts.append(marked.where("not stored"), batch, source, as_of, dealt=True)
+    duplicates = met.get["duplicates"]
     return IngestStats(inserted + duplicates, inserted, duplicates, quarantined)
 
 

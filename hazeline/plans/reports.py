@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,11 +32,16 @@ TREND_CITIES = 5
 SITE = ["location_id", "location_name", "latitude", "longitude"]
 
 
+# Ranges of values for counts that bracket a median: about 4096 to each factor of e, some six
+# million between all doubles, however many rows there are. log1p never falls as values rise.
+BINS_A_FACTOR = 4096
+
 # Columns reports group by, made from a measurement row.
 DERIVED = {
     "calendar_month": lambda: F.month("datetime_utc"),
     "day_type": lambda: day_type(F.to_date("datetime_utc")),
     "category": lambda: categories.long_label(F.col("value")),
+    "bin": lambda: (F.signum("value") * F.floor(F.log1p(F.abs("value")) * BINS_A_FACTOR)).cast("int"),
 }
 CUBE_KEYS = ["calendar_month", "day_type", "category"]
 
@@ -43,6 +49,20 @@ CUBE_KEYS = ["calendar_month", "day_type", "category"]
 PLACE = ["location_id", "location_name", "state", "city", "latitude", "longitude"]
 
 
+@dataclass(frozen=True)
+class Parts:
+    """What one reading of the measurements leaves for every report; see ``plans.suite``.
+
+    Each holds partials: ``cube`` by place and CUBE_KEYS, ``days`` by place and date,
+    ``bins`` by day type and range of values, ``events`` by single extreme row.
+    """
+
+    cube: DataFrame
+    days: DataFrame
+    bins: DataFrame
+    events: DataFrame
+
+
 def _derived(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns({k: DERIVED[k]() for k in keys})
 
@@ -53,13 +73,14 @@ class Scope:
 
     ``cube`` are partials of everything selected by place and ``CUBE_KEYS``. If
     it is there, reports that can be merged from it read neither rows nor
-    lookups again.
+    lookups again. With ``parts`` none does.
     """
 
     df: DataFrame
     where: Directory
     selection: Selection = field(default_factory=Selection)
     cube: DataFrame | None = None
+    parts: Parts | None = None
 
     def rows(self, *keys: str) -> DataFrame:
         """Selected rows, by the filters rows can answer, with derived keys."""
@@ -215,7 +236,7 @@ def trend_daily(
     """
     # A sensor has about one row a day, so rows do not shrink by sensor and day.
     # They meet the lookups first, and shrink to the days of a city's sites.
-    placed = filter_all(scope.df, scope.where, scope.selection)
+    placed = scope.parts.days if scope.parts else filter_all(scope.df, scope.where, scope.selection)
     daily = partials(placed, "city", "location_name", "date")
     if selected:
         shown = daily.where(F.col("city").isin(list(selected)[:cities]))
@@ -257,9 +278,13 @@ def aqi_rollup(scope: Scope) -> DataFrame:
 
 def extreme_summary(scope: Scope, threshold: float = EXTREME_FROM) -> DataFrame:
     """How many locations and days reached the threshold, and the peak."""
-    extreme = filter_threshold(scope.df, threshold)
-    placed = filter_all(extreme, scope.where, scope.selection)
-    events = partials(placed, "location_id", "date")
+    if scope.parts:
+        # A location's day reached the threshold if its highest value did.
+        events = scope.parts.days.where(F.col(HIGH) >= threshold)
+    else:
+        extreme = filter_threshold(scope.df, threshold)
+        placed = filter_all(extreme, scope.where, scope.selection)
+        events = partials(placed, "location_id", "date")
     return events.agg(
         F.countDistinct("location_id").alias("num_locations"),
         F.countDistinct("date").alias("num_days"),
@@ -274,7 +299,12 @@ def extreme_top(scope: Scope, threshold: float = EXTREME_FROM, top_n: int = 10)
     rows never meets the directory.
     """
     order = [F.col("value").desc(), "datetime_utc", "sensor_id"]
-    if scope.selection.by_place:
+    if scope.parts and threshold >= EXTREME_FROM:
+        # Equal rows are one with a count: as many as are shown come out again.
+        events = filter_threshold(scope.parts.events, threshold).orderBy(*order).limit(top_n)
+        again = F.explode(F.sequence(F.lit(1), F.least(F.col(ROWS), F.lit(top_n)).cast("int")))
+        top = events.withColumn("_copy", again).orderBy(*order).limit(top_n)
+    elif scope.selection.by_place:
         rows = filter_all(filter_threshold(scope.df, threshold), scope.where, scope.selection)
         top = rows.orderBy(*order).limit(top_n)
     else:
@@ -291,8 +321,56 @@ def extreme_top(scope: Scope, threshold: float = EXTREME_FROM, top_n: int = 10)
     )
 
 
+def _medians_from_parts(scope: Scope) -> DataFrame:
+    """Exact median by day type.
+
+    The counts by range of values tell which ranges hold the middle ranks. A range with
+    one value only gives it at once; else the rows between its least and highest value are
+    read, and no others.
+    """
+    bins = scope.parts.bins.where(F.col(VALUES) > 0)
+    # A bounded number of rows by day type; see BINS_A_FACTOR.
+    upto = Window.partitionBy("day_type").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = bins.withColumn("upto", F.sum(VALUES).over(upto)).withColumn(
+        "total", F.sum(VALUES).over(Window.partitionBy("day_type"))
+    )
+    ranks = F.array(F.expr("(total + 1) div 2"), F.expr("total div 2 + 1"))
+    middle = ranked.select("*", F.posexplode(ranks).alias("which", "rank")).where(
+        (F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col(VALUES) < F.col("rank"))
+    )
+    rank = (F.col("rank") - F.col("upto") + F.col(VALUES)).alias("rank")
+    # Two ranks of two day types.
+    found = middle.select("day_type", "which", rank, LOW, HIGH).collect()
+    wanted = scope.df.sparkSession.createDataFrame(
+        found, f"day_type string, which int, rank long, {LOW} double, {HIGH} double"
+    )
+    settled = wanted.where(F.col(LOW) == F.col(HIGH)).select("day_type", F.col(LOW).alias("value"))
+    spans = {(row["day_type"], row[LOW], row[HIGH]) for row in found if row[LOW] < row[HIGH]}
+    if spans:
+        inside = [F.col("value").between(low, high) for _, low, high in sorted(spans)]
+        near = filter_all(scope.df.where(reduce(Column.__or__, inside)), scope.where, scope.selection)
+        counted = near.withColumn("day_type", DERIVED["day_type"]()).groupBy("day_type", "value").agg(F.count(F.lit(1)).alias("n"))
+        open_ = wanted.where(F.col(LOW) < F.col(HIGH))
+        # Four rows at most.
+        met = counted.join(F.broadcast(open_), "day_type").where(F.col("value").between(F.col(LOW), F.col(HIGH)))
+        within = Window.partitionBy("day_type", "which").orderBy("value")
+        within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        met = met.withColumn("upto", F.sum("n").over(within))
+        settled = settled.unionByName(
+            met.where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))).select("day_type", "value")
+        )
+    return settled.groupBy("day_type").agg((F.sum("value") / 2).alias("median"))
+
+
 def weekday_weekend(scope: Scope) -> DataFrame:
     """Mean, exact median, peak and count for weekdays and for weekends."""
+    if scope.parts:
+        figures = scope.by("day_type").select(
+            "day_type", mean().alias("mean"), F.col(HIGH).alias("max"), F.col(VALUES).alias("count")
+        )
+        # Two rows on either side.
+        joined = figures.join(F.broadcast(_medians_from_parts(scope)), "day_type", "left")
+        return joined.select("day_type", "mean", "median", "max", "count")
     typed = scope.rows("day_type")
     if scope.selection.by_place:
         # The median needs single values, so the rows themselves are selected.

@@ -24,7 +24,7 @@ from hazeline.plans import ingest, reports
 from hazeline.plans.daily import daily_summary
 from hazeline.plans.loading import Selection, filter_all, load_measurements, sensor_metadata
 from hazeline.plans.reports import Scope
-from hazeline.plans.suite import run_suite, with_cube
+from hazeline.plans.suite import run_suite, with_cube, with_parts
 from hazeline.queries import views
 from hazeline.queries.views import DAILY_KEY, with_date
 from hazeline.schemas import FACT, SIGNAL
@@ -399,6 +399,22 @@ def _map_from_cube(spark, sf_dir) -> DataFrame:
     return _six(sites, "avg_pm25", "radius")
 
 
+def _parts(spark: SparkSession, sf_dir: str, selection: Selection | None = None) -> Scope:
+    return with_parts(spark, _scope(spark, sf_dir, selection), work_dir(spark, "parts"))
+
+
+def _selected_parts(spark: SparkSession, sf_dir: str) -> Scope:
+    return _parts(spark, sf_dir, SELECTION)
+
+
+_report("trend_from_parts", reports.trend_daily, _parts, ["avg_pm25"])
+_report("extreme_from_parts", reports.extreme_summary, _parts)
+_report("extreme_top_from_parts", reports.extreme_top, _parts)
+_report("weekday_from_parts", reports.weekday_weekend, _parts, ["mean"])
+_report("weekday_selected_from_parts", reports.weekday_weekend, _selected_parts, ["mean"])
+_report("map_from_parts", reports.map_sites, _parts, ["avg_pm25", "radius"])
+
+
 @query("filter_all")
 def _filter_everything(spark, sf_dir) -> DataFrame:
     rows = filter_all(views.pm25(spark, sf_dir), views.places(spark, sf_dir), SELECTION)

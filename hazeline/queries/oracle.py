@@ -467,6 +467,16 @@ FROM m GROUP BY date, sensor_id, parameter""",
 }
 ORACLE["distribution_from_cube"] = ORACLE["distribution_selected"]
 ORACLE["map_from_cube"] = ORACLE["map_agg"]
+# Reports from the partials of one reading have the results of those from rows.
+for _name, _from_rows in {
+    "trend_from_parts": "trend_daily",
+    "extreme_from_parts": "extreme_summary",
+    "extreme_top_from_parts": "extreme_top10",
+    "weekday_from_parts": "weekday_weekend",
+    "weekday_selected_from_parts": "weekday_weekend_selected",
+    "map_from_parts": "map_agg",
+}.items():
+    ORACLE[_name] = ORACLE[_from_rows]
 
 
 # Reports of the suite: their SQL, the columns that are numbers, and those that are text.

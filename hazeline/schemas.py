@@ -129,10 +129,11 @@ STORED_FACT = T.StructType(
     ]
 )
 
-# What the fact table holds: a row per batch, write and month. A batch without
-# rows has one row without folder.
+# What a write put into the fact table: a row per month, and one without month that
+# keeps the batch's name, what it was made of, and how many rows it added.
 MANIFEST = T.StructType(
     [
+        T.StructField("number", T.LongType()),
         T.StructField("batch", T.StringType()),
         T.StructField("source", T.StringType()),
         T.StructField("attempt", T.StringType()),
@@ -141,6 +142,7 @@ MANIFEST = T.StructType(
         T.StructField("high", T.TimestampNTZType()),
         T.StructField("rows", T.LongType()),
         T.StructField("compacted", T.BooleanType()),
+        T.StructField("buckets", T.IntegerType()),
     ]
 )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import SparkSession
 
 
@@ -17,11 +19,15 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def last_version(spark: SparkSession, path: str) -> int:
     """The largest n of folders ``v=n`` below a path with a commit marker; 0 without any."""
-    names = [n for n in child_names(spark, path) if n.startswith("v=")]
-    for number in sorted((int(n.removeprefix("v=")) for n in names), reverse=True):
-        if exists(spark, f"{path}/v={number}/_SUCCESS"):
-            return number
-    return 0
+    return next(iter(versions(spark, path, "v")), 0)
+
+
+def versions(spark: SparkSession, path: str, kind: str) -> Iterator[int]:
+    """Each n of folders ``<kind>=n`` below a path with a commit marker, the largest first."""
+    names = [n for n in child_names(spark, path) if n.startswith(f"{kind}=")]
+    for number in sorted((int(n.partition("=")[2]) for n in names), reverse=True):
+        if exists(spark, f"{path}/{kind}={number}/_SUCCESS"):
+            yield number
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:

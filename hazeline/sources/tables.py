@@ -4,16 +4,23 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazeline.functions.dates import month_key
 from hazeline.functions.numbers import no_nan
-from hazeline.schemas import FACT, MANIFEST, SENSOR_METADATA, SIGNAL, STORED_FACT, require
-from hazeline.sources.files import last_version
+from hazeline.schemas import FACT, KEY, MANIFEST, SENSOR_METADATA, SIGNAL, STORED_FACT, require
+from hazeline.sources.files import last_version, versions
+
+# Files that a month of one batch is dealt to. Fit for small tables; a table that takes
+# tens of gigabytes a day wants some hundreds.
+BUCKETS = 8
 
 # The measurement columns that reports need.
 _REPORT_COLUMNS = [
@@ -63,22 +70,39 @@ class UsedBatchName(ValueError):
 
 
 class FactTable:
-    """Measurements below ``path/data``, in folders that ``path/manifest`` lists.
+    """Measurements below ``path/data``, in folders that ``path/log`` lists.
 
     Each write of a batch goes to a folder of its own, ``attempt=…/month=…``. Only
-    the next manifest makes it count, and takes the batch's earlier folders out, so
+    the next commit makes it count, and takes the batch's earlier folders out, so
     a retry adds nothing twice, a shorter rerun leaves no month behind, and a job
     that died leaves nothing readers see. A batch also keeps what its input was:
-    its name cannot be used for other input.
-
-    The manifest has one row per batch, attempt and month with the range of times,
-    so that a reader opens the folders it needs and lists no others. One writer at
-    a time may write.
+    its name cannot be used for other input. One writer at a time may write.
+
+    Rows are dealt to ``buckets`` files by a hash of the whole key, as Spark's own
+    bucketed tables are, so a merge reads stored keys where they lie and moves only
+    the batch, and a sensor with a third of all rows is spread like any other. Inside
+    a file rows are sorted by sensor and time, with a Bloom filter on the sensor, so a
+    reader of few sensors skips most row groups. The number of buckets is the table's
+    for good; later sessions take it from the log.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.spark, self.path, self.data = spark, path, f"{path}/data"
-        self.manifest = SnapshotTable(spark, f"{path}/manifest", MANIFEST)
+        self.log, self._buckets = CommitLog(spark, f"{path}/log"), buckets
+
+    @property
+    def buckets(self) -> int:
+        return next((entry.buckets for entry in self.log.entries()), self._buckets)
+
+    def _folders(
+        self, ranges: dict[str, tuple[dt.datetime, dt.datetime]] | None, skip_batch: str | None
+    ) -> list[tuple[str, str]]:
+        """Attempt and month of the folders a reader needs; of a write, one month may count and another not."""
+        held = [e for e in self.log.entries() if e.attempt and (skip_batch is None or e.batch != skip_batch)]
+        if ranges is not None:
+            spans = {month: (_naive(low), _naive(high)) for month, (low, high) in ranges.items()}
+            held = [e for e in held if e.month in spans and e.high >= spans[e.month][0] and e.low <= spans[e.month][1]]
+        return sorted({(e.attempt, e.month) for e in held})
 
     def read(
         self,
@@ -86,57 +110,64 @@ class FactTable:
         skip_batch: str | None = None,
     ) -> DataFrame:
         """Stored rows; with ``ranges``, by month, only those between two times."""
-        listed = self.manifest.read()
-        if skip_batch is not None:
-            listed = listed.where(F.col("batch") != skip_batch)
-        if ranges is not None:
-            inside = [
-                (F.col("month") == month) & (F.col("high") >= F.lit(low)) & (F.col("low") <= F.lit(high))
-                for month, (low, high) in ranges.items()
-            ]
-            listed = listed.where(reduce(Column.__or__, inside, F.lit(False)))
-        # One row per folder that is needed; of a write, a month may count and another not.
-        held = listed.where("attempt is not null").select("attempt", "month").distinct().collect()
+        held = self._folders(ranges, skip_batch)
         if not held:
             return self.spark.createDataFrame([], STORED_FACT)
-        folders = [f"{self.data}/attempt={a}/month={m}" for a, m in sorted(map(tuple, held))]
+        folders = [f"{self.data}/attempt={a}/month={m}" for a, m in held]
         reader = self.spark.read.schema(_WITH_ATTEMPT).option("basePath", self.data)
-        rows = reader.parquet(*folders).drop("attempt")
-        if skip_batch is not None:  # a compacted folder has rows of several batches
-            rows = rows.where(F.col("batch") != skip_batch)
-        if ranges is not None:
-            stamp = F.col("datetime_utc")
-            inside = [
-                (F.col("month") == month)
-                & stamp.between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz"))
-                for month, (low, high) in ranges.items()
+        return _between(reader.parquet(*folders).drop("attempt"), ranges, skip_batch)
+
+    @contextmanager
+    def dealt(
+        self,
+        ranges: dict[str, tuple[dt.datetime, dt.datetime]] | None = None,
+        skip_batch: str | None = None,
+    ) -> Iterator[DataFrame]:
+        """The rows of ``read`` as a bucketed table, which joins and groups by the key without a shuffle.
+
+        Only the catalog knows of buckets, so the folders are a table of it as long as the block runs.
+        """
+        held = self._folders(ranges, skip_batch)
+        if not held:
+            yield self.spark.createDataFrame([], STORED_FACT)
+            return
+        name = _scratch_name()
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _WITH_ATTEMPT.fields)
+        self.spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (month, attempt)"
+            f" CLUSTERED BY ({', '.join(KEY)}) INTO {self.buckets} BUCKETS LOCATION '{self.data}'"
+        )
+        try:
+            parts = [
+                f"PARTITION (month = '{m}', attempt = '{a}') LOCATION '{self.data}/attempt={a}/month={m}'" for a, m in held
             ]
-            lows, highs = zip(*ranges.values(), strict=True)
-            # The overall range is one that file statistics can answer.
-            rows = rows.where(
-                (stamp >= F.lit(min(lows)).cast("timestamp_ntz"))
-                & (stamp <= F.lit(max(highs)).cast("timestamp_ntz"))
-                & reduce(Column.__or__, inside)
-            )
-        return rows
+            for at in range(0, len(parts), 500):
+                self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(parts[at : at + 500])}")
+            yield _between(self.spark.table(name).drop("attempt"), ranges, skip_batch)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files are not the catalog's
 
     def claim(self, batch: str, source: str) -> None:
         """Refuse a batch name that stands for other input, or whose rows were compacted."""
-        held = self.manifest.read().where(F.col("batch") == batch)
-        # A few rows per batch.
-        rows = held.select("source", "compacted").distinct().collect()
-        if any(row["source"] != source for row in rows):
+        held = [e for e in self.log.entries() if e.batch == batch]
+        if any(e.source != source for e in held):
             raise UsedBatchName(f"batch {batch!r} holds other input already")
-        if any(row["compacted"] for row in rows):
+        if any(e.compacted for e in held):
             raise UsedBatchName(f"batch {batch!r} is compacted and cannot be replaced")
 
     def append(
-        self, rows: DataFrame, batch: str, source: str = "", as_of: dt.datetime | None = None
+        self,
+        rows: DataFrame,
+        batch: str,
+        source: str = "",
+        as_of: dt.datetime | None = None,
+        dealt: bool = False,
     ) -> int:
         """Write accepted rows as one batch, in place of what it held; returns their number.
 
-        ``source`` tells what the rows were made of. The rebalance gives each month
-        files of a fair size: a huge month is split over tasks, small ones share one.
+        ``source`` tells what the rows were made of. ``dealt`` rows are hashed by the key
+        into the table's buckets already. The number of rows and the days they cover are
+        observed by the writing tasks, once each however often a task ran.
         """
         require(rows, FACT.names, "accepted rows")
         self.claim(batch, source)
@@ -147,49 +178,159 @@ class FactTable:
             F.lit(batch).alias("batch"),
             month_key(F.col("datetime_utc")).alias("month"),
         )
-        entries = self._write(stored).withColumns(
-            {"source": F.lit(source), "compacted": F.lit(False)}
-        )
-        kept = self.manifest.read().where(F.col("batch") != batch)
-        self.manifest.replace(_with_mark(kept.unionByName(entries.select(*MANIFEST.names)), batch, source))
-        return self.rows_in_batch(batch)
-
-    def _write(self, stored: DataFrame) -> DataFrame:
-        """Write rows to a new folder and list it: one row per batch and month."""
-        attempt = uuid.uuid4().hex
-        folder = f"{self.data}/attempt={attempt}"
-        stored.hint("rebalance", F.col("month")).write.partitionBy("month").parquet(folder)
-        written = self.spark.read.schema(_WITH_ATTEMPT).option("basePath", self.data).parquet(folder)
-        return written.groupBy("batch", "attempt", "month").agg(
-            F.min("datetime_utc").alias("low"),
-            F.max("datetime_utc").alias("high"),
-            F.count(F.lit(1)).alias("rows"),
+        attempt, count, days = self._write(stored, dealt)
+        about = {"batch": batch, "source": source, "compacted": False, "buckets": self.buckets}
+        mark = Entry(rows=count, **about)
+        self.log.commit([mark, *_months(attempt, days, about)])
+        return count
+
+    def _write(self, stored: DataFrame, dealt: bool = False) -> tuple[str, int, list[dt.date]]:
+        """Write rows to a new folder; its name, the number of rows, and the days they are of."""
+        attempt, name, seen = uuid.uuid4().hex, _scratch_name(), Observation()
+        rows = stored if dealt else stored.repartition(self.buckets, *KEY)
+        rows = rows.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.date_format("datetime_utc", "yyyy-MM-dd")).alias("days")
         )
+        writer = rows.write.format("parquet").partitionBy("month").bucketBy(self.buckets, *KEY)
+        writer = writer.sortBy("sensor_id", "datetime_utc").option("parquet.bloom.filter.enabled#sensor_id", True)
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", True)
+        writer.option("path", f"{self.data}/attempt={attempt}").saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the files are not the catalog's
+        return attempt, seen.get["rows"], [dt.date.fromisoformat(day) for day in seen.get["days"]]
 
     def compact(self, months: list[str]) -> None:
         """Rewrite the named months into one folder.
 
-        Their batches can no longer be replaced, but their names stay taken.
+        Their batches can no longer be replaced, but their names stay taken. In the log
+        a compacted month is one entry, whatever batches it came from.
         """
-        listed = self.manifest.read()
-        inside = F.col("month").isin(months)
-        rows = self.read().where(inside).select(*_WITH_ATTEMPT.names[:-1])
-        sources = listed.where(inside).select("batch", "source").distinct()
-        entries = self._write(rows).join(sources, "batch").withColumn("compacted", F.lit(True))
-        kept = listed.where(~inside | F.col("month").isNull())
-        self.manifest.replace(kept.unionByName(entries.select(*MANIFEST.names)))
+        listed = self.log.entries()
+        rows = self.read().where(F.col("month").isin(months)).select(*_WITH_ATTEMPT.names[:-1])
+        attempt, _, days = self._write(rows)
+        inside = {e.batch for e in listed if e.month in months}
+        kept = [
+            e._replace(compacted=e.compacted or e.batch in inside) for e in listed if e.month is None or e.month not in months
+        ]
+        about = {"batch": None, "source": None, "compacted": True, "buckets": self.buckets}
+        self.log.replace([*kept, *_months(attempt, days, about)])
 
     def rows_in_batch(self, batch: str) -> int:
-        held = self.manifest.read().where(F.col("batch") == batch)
-        return held.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        return sum(e.rows for e in self.log.entries() if e.batch == batch and e.rows)
+
+
+class Entry(NamedTuple):
+    """A row of the log; see ``schemas.MANIFEST``."""
 
+    number: int | None = None
+    batch: str | None = None
+    source: str | None = None
+    attempt: str | None = None
+    month: str | None = None
+    low: dt.datetime | None = None
+    high: dt.datetime | None = None
+    rows: int | None = None
+    compacted: bool = False
+    buckets: int | None = None
 
-def _with_mark(entries: DataFrame, batch: str, source: str) -> DataFrame:
-    """The entries, and for a batch without rows one that keeps its name and input."""
-    spark = entries.sparkSession
-    mark = spark.createDataFrame([(batch, source, None, None, None, None, 0, False)], MANIFEST)
-    missing = mark.join(entries.where(F.col("batch") == batch).select("batch").limit(1), "batch", "left_anti")
-    return entries.unionByName(missing.select(*MANIFEST.names))
+
+class CommitLog:
+    """Commits of a table, each a small folder ``c=n``; every FOLD of them a whole state ``w=n``.
+
+    A reader takes the last whole state and the few commits after it, so neither a commit
+    nor a reader pays for all that came before. The last commit of a batch holds for it.
+    Entries pass the driver: one per batch, and per folder that is not compacted yet.
+    """
+
+    FOLD = 32
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._known: tuple[list[str], list[Entry]] | None = None
+
+    def _folders(self) -> list[str]:
+        whole = next(versions(self.spark, self.path, "w"), 0)
+        later = sorted(n for n in versions(self.spark, self.path, "c") if n > whole)
+        return [f"w={whole}"] * bool(whole) + [f"c={n}" for n in later]
+
+    def entries(self) -> list[Entry]:
+        """What holds now. Folders never change, so equal names mean equal entries."""
+        names = self._folders()
+        if self._known is None or self._known[0] != names:
+            paths = [f"{self.path}/{name}" for name in names]
+            rows = self.spark.read.schema(MANIFEST).parquet(*paths).collect() if paths else []
+            self._known = names, _in_force([Entry(*row) for row in rows])
+        return self._known[1]
+
+    def commit(self, entries: list[Entry]) -> None:
+        before, number = self.entries(), self._next()
+        self._write(f"c={number}", [e._replace(number=number) for e in entries])
+        after = _in_force([*before, *(e._replace(number=number) for e in entries)])
+        if number % self.FOLD == 0:
+            self._write(f"w={number}", after)
+        self._known = self._folders(), after
+
+    def replace(self, entries: list[Entry]) -> None:
+        """Make these the whole state."""
+        number = self._next()
+        self._write(f"w={number}", [e._replace(number=e.number or number) for e in entries])
+
+    def _next(self) -> int:
+        return 1 + max(next(versions(self.spark, self.path, kind), 0) for kind in "wc")
+
+    def _write(self, name: str, entries: list[Entry]) -> None:
+        rows = self.spark.createDataFrame(entries, MANIFEST).coalesce(1)
+        rows.write.mode("overwrite").parquet(f"{self.path}/{name}")
+
+
+def _in_force(entries: list[Entry]) -> list[Entry]:
+    last = {}
+    for e in entries:
+        last[e.batch] = max(last.get(e.batch, 0), e.number)
+    return [e for e in entries if e.batch is None or e.number == last[e.batch]]
+
+
+def _months(attempt: str, days: list[dt.date], about: dict) -> list[Entry]:
+    """An entry for each month with the first and the last moment of its days."""
+    spans = sorted(month_ranges(days).items())
+    return [Entry(attempt=attempt, month=month, low=low, high=high, **about) for month, (low, high) in spans]
+
+
+def month_ranges(days: list[dt.date]) -> dict[str, tuple[dt.datetime, dt.datetime]]:
+    """By month, the first and the last moment of the days in it."""
+    months = {}
+    for day in days:
+        months.setdefault(f"{day:%Y-%m}", []).append(day)
+    ends = dt.time.min, dt.time.max
+    return {m: (dt.datetime.combine(min(d), ends[0]), dt.datetime.combine(max(d), ends[1])) for m, d in months.items()}
+
+
+def _between(rows: DataFrame, ranges: dict | None, skip_batch: str | None) -> DataFrame:
+    """Rows between two times, by month, and of other batches."""
+    if skip_batch is not None:  # a compacted folder has rows of several batches
+        rows = rows.where(F.col("batch") != skip_batch)
+    if ranges is None:
+        return rows
+    stamp = F.col("datetime_utc")
+    inside = [
+        (F.col("month") == month)
+        & stamp.between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz"))
+        for month, (low, high) in ranges.items()
+    ]
+    lows, highs = zip(*ranges.values(), strict=True)
+    # The overall range is one that file statistics can answer.
+    return rows.where(
+        (stamp >= F.lit(min(lows)).cast("timestamp_ntz"))
+        & (stamp <= F.lit(max(highs)).cast("timestamp_ntz"))
+        & reduce(Column.__or__, inside)
+    )
+
+
+def _naive(stamp: dt.datetime) -> dt.datetime:
+    return stamp.replace(tzinfo=None)
+
+
+def _scratch_name() -> str:
+    return f"hazeline_{uuid.uuid4().hex}"
 
 
 # As the files have them, with both folder columns.
