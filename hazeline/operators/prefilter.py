@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from hazeline.operators.filters import filter_city, filter_state
 from hazeline.operators.places import UNKNOWN, Directory, fill_names
 
-# As many ids as a list may have; they pass the driver.
-LISTED = 10_000
+# As many ids as a list may have; they pass the driver, and each costs planning time.
+LISTED = 500
+# As many ids of other sensors as a broadcast may hold, some tens of megabytes.
+BROADCAST_IDS = 1_000_000
 # The bit map: so many words of 64 bits, some 5 MB when broadcast.
 WORDS = 1 << 17
 
@@ -37,8 +39,9 @@ def keep_chosen_sensors(
     """Rows of the sensors at the chosen places, and perhaps a few others.
 
     A sensor the directory does not know is at the place ``Unknown``, in the city
-    ``Location <its id>``. If the choice takes all of those in, what is known of the
-    others leaves rows out; where the others are more than ``listed``, nothing does.
+    ``Location <its id>``. If the choice takes all of those in, rows of known sensors
+    elsewhere are left out, by a list or by a broadcast of their ids; where those are
+    more than BROADCAST_IDS, nothing is.
     """
     if not states and not cities:
         return rows
@@ -47,15 +50,25 @@ def keep_chosen_sensors(
     named = fill_names(where.by_sensor(stored_coords=True))
     strangers = not states or UNKNOWN in states
     if strangers and not cities:
-        others = _few(named.where(~F.col("state").isin(list(states))), listed)
-        return rows.where(sensor.isNull() | ~sensor.isin(others)) if others else rows
+        others = named.where(~F.col("state").isin(list(states)) & sensor.isNotNull()).select("sensor_id")
+        few = _few(others, listed)
+        if few is not None:
+            return rows.where(sensor.isNull() | ~_listed(few)) if few else rows
+        if others.limit(BROADCAST_IDS + 1).count() > BROADCAST_IDS:
+            return rows
+        return rows.join(F.broadcast(others), "sensor_id", "left_anti")
     chosen = filter_city(filter_state(named, states), cities)
     own = [int(m[1]) for m in map(_OWN_NAME.fullmatch, cities) if m] if strangers else []
     without_id = sensor.isNull() if strangers and UNKNOWN in cities else F.lit(False)
     few = _few(chosen, listed)
     if few is not None:
-        return rows.where(sensor.isin([*few, *own]) | without_id)
-    return _in_bit_map(rows, chosen, sensor.isin(own) | without_id)
+        return rows.where(_listed([*few, *own]) | without_id)
+    return _in_bit_map(rows, chosen, _listed(own) | without_id)
+
+
+def _listed(ids: list[int]) -> Column:
+    """Whether the sensor is among these; as text, which is made faster than thousands of literals."""
+    return F.expr(f"sensor_id IN ({', '.join(f'{int(i)}L' for i in ids)})") if ids else F.lit(False)
 
 
 def _few(df: DataFrame, limit: int) -> list[int] | None:
