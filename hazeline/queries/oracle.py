@@ -460,13 +460,10 @@ FROM firsts WHERE rn = 1""",
     "stream_signal": """
 SELECT user_id AS sensor_id, max(ts) AS last_data_datetime_utc FROM events GROUP BY 1""",
     "stream_alerts": f"WITH {_M} SELECT {_ROW} FROM m WHERE value >= 150",
-    "stream_daily": f"""WITH {_M}
-SELECT date, sensor_id, parameter, count(value) AS n, {_MEAN} AS mean, min(value) AS min,
-       max(value) AS max, quantile_disc(value, 0.5) AS median_approx
-FROM m GROUP BY date, sensor_id, parameter""",
 }
 ORACLE["distribution_from_cube"] = ORACLE["distribution_selected"]
 ORACLE["map_from_cube"] = ORACLE["map_agg"]
+ORACLE["stream_daily"] = ORACLE["daily_summary"]
 # Reports from the partials of one reading have the results of those from rows.
 for _name, _from_rows in {
     "trend_from_parts": "trend_daily",

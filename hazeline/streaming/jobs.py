@@ -19,6 +19,8 @@ from hazeline.plans.reports import EXTREME_FROM
 from hazeline.schemas import KEY
 from hazeline.sources.landing import SCHEDULED
 from hazeline.sources.tables import FactTable, SnapshotTable
+from hazeline.streaming import daily
+from hazeline.streaming.daily import DailySink
 
 
 def start_ingest(
@@ -104,13 +106,13 @@ DAILY_KEYS = ("sensor_id", "parameter")
 
 
 def daily_stream(rows: DataFrame, delay: str = "2 days", keys=DAILY_KEYS) -> DataFrame:
-    """Daily figures by key. Rows later than ``delay`` are left out.
+    """Closed days by key, for sinks that only append. Rows later than ``delay`` are left out.
 
-    The median is the approximate one, whose state is bounded.
+    The median is the approximate one, whose state is bounded; ``start_daily`` has the exact one.
     """
     day = F.window("event_time", "1 day")
     watermarked = with_event_time(rows).withWatermark("event_time", delay)
-    daily = watermarked.groupBy(day, *keys).agg(
+    closed = watermarked.groupBy(day, *keys).agg(
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
         F.min("value").alias("min"),
@@ -118,11 +120,14 @@ def daily_stream(rows: DataFrame, delay: str = "2 days", keys=DAILY_KEYS) -> Dat
         F.percentile_approx("value", 0.5).alias("median_approx"),
     )
     start = F.to_date(F.col("window.start"))
-    return daily.select(
+    return closed.select(
         start.alias("date"), *keys, "n", "mean", "min", "max", "median_approx"
     )
 
 
+_SINKS: dict[str, tuple[DailySink, int]] = {}
+
+
 def start_daily(
     rows: DataFrame,
     path: str,
@@ -133,30 +138,31 @@ def start_daily(
 ) -> StreamingQuery:
     """Keep the daily figures below ``path`` up to date, open days included.
 
-    Each micro-batch writes the days it changed to a folder of its own, and
-    again the same if it runs again. ``read_daily`` has the last state of each.
+    They are those of the batch job, exact median and coverage too. Each micro-batch
+    rewrites the days it touches.
     """
-    figures = daily_stream(rows, delay, keys)
-
-    def update(changed: DataFrame, number: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/update={number}")
-
-    return _writer(figures, checkpoint, every).outputMode("update").foreachBatch(update).start()
+    sink = DailySink(rows.sparkSession, path, keys, delay)
+    before = sink.progress().late
+    query = _writer(rows, checkpoint, every).foreachBatch(sink.update).start()
+    _SINKS[str(query.id)] = sink, before
+    return query
 
 
 def read_daily(spark: SparkSession, path: str, keys=DAILY_KEYS) -> DataFrame:
     """The figures of each key and day as last updated."""
-    updates = spark.read.option("basePath", path).parquet(f"{path}/update=*")
-    figures = [c for c in updates.columns if c not in ("date", "update", *keys)]
-    last = updates.groupBy("date", *keys).agg(F.max_by(F.struct(*figures), "update").alias("last"))
-    return last.select("date", *keys, *[f"last.{c}" for c in figures])
+    return daily.read_daily(spark, path, keys)
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows a finished run left out as later than the watermark allows.
+    """Rows a run left out as later than the delay allows.
 
-    Rows of one key and task that come together count once.
+    Daily figures count them in their own table, each row once, however many micro-batches
+    there were. For other streams it is what Spark's last progress reports tell, where rows
+    of one key and task that come together count once.
     """
+    if str(query.id) in _SINKS:
+        sink, before = _SINKS[str(query.id)]
+        return sink.progress().late - before
     return sum(
         state["numRowsDroppedByWatermark"]
         for progress in query.recentProgress

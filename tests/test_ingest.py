@@ -3,16 +3,19 @@
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from hazeline.plans import ingest
+from hazeline.plans.daily import daily_summary
 from hazeline.schemas import SIGNAL
 from hazeline.sources.dimensions import read_sensor_map
 from hazeline.sources.landing import read_location_pages, read_page_stream, read_pages
 from hazeline.sources.tables import FactTable, SnapshotTable
 from hazeline.streaming import jobs
+from hazeline.streaming.daily import DailySink
 
 
 def result(day, value, name="pm25", month=1, **more):
@@ -269,6 +272,68 @@ def test_daily_stream_has_open_days_and_counts_late_rows(spark, folder):
     assert found == {1: 2, 2: 2, 3: 2, 7: 2, 8: 2, 9: 2} and late >= 1
 
 
+def readings(spark, data):
+    made = [(s, "pm25", dt.datetime(2024, 1, d, h), v) for s, d, h, v in data]
+    return spark.createDataFrame(made, "sensor_id long, parameter string, datetime_utc timestamp_ntz, value double")
+
+
+def test_daily_sink_equals_the_batch_job(spark, folder, rows):
+    """Whatever the micro-batches, ties, missing values and keys: the same figures, and no folder for each."""
+    rng = random.Random(2)
+    data = [
+        (rng.choice([1, 2, None]), rng.randrange(1, 6), rng.randrange(24), rng.choice([None, 1.5, rng.random(), 7.0]))
+        for _ in range(300)
+    ]
+    sink = DailySink(spark, folder, jobs.DAILY_KEYS, "30 days")
+    for number in range(10):
+        sink.update(readings(spark, data[number::10]), number)
+    got, want = jobs.read_daily(spark, folder), daily_summary(readings(spark, data))
+    figures = lambda df: [
+        tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+        for r in rows(df, "date", "sensor_id", "parameter", "value", "min", "max", "coverage_percent", "n", "median")
+    ]
+    assert figures(got) == figures(want)
+    assert len([d for d in os.listdir(f"{folder}/days") if "=" in d]) == 5
+    assert sink.progress().number == 9 and sink.progress().late == 0
+    assert {d for d in os.listdir(folder)} == {"days", "merged", "progress"}
+
+
+def test_daily_sink_counts_every_late_row(spark, folder):
+    sink = DailySink(spark, folder, jobs.DAILY_KEYS, "1 day")
+    for number, day in enumerate([5, 6, 20, 4, 19, 3]):
+        sink.update(readings(spark, [(s, day, 1, 1.0) for s in range(10)] * 2), number)
+    found = {r["date"].day: r["n"] for r in jobs.read_daily(spark, folder).collect()}
+    # Days 4 and 3 came after day 20; day 19 had not been closed for a whole day.
+    assert found == {5: 2, 6: 2, 19: 2, 20: 2}
+    assert sink.progress().late == 40
+
+
+@pytest.mark.parametrize("died", ["merged", "days"])
+def test_daily_sink_survives_a_death_between_its_writes(spark, folder, died, monkeypatch):
+    """The micro-batch runs again after its merged days, or its days too, were written."""
+    sink, first, second = DailySink(spark, folder, jobs.DAILY_KEYS), [(1, 2, 3, 4.0)], [(1, 2, 5, 6.0), (1, 3, 5, 6.0)]
+    sink.update(readings(spark, first), 0)
+
+    class Died(Exception):
+        pass
+
+    def die(*args, **kwargs):
+        raise Died
+
+    batch = readings(spark, second)
+    if died == "merged":
+        monkeypatch.setattr(type(batch), "hint", die)
+    else:
+        monkeypatch.setattr(type(spark), "createDataFrame", die)
+    with pytest.raises(Died):
+        sink.update(batch, 1)
+    monkeypatch.undo()
+    sink.update(readings(spark, second), 1)
+    sink.update(readings(spark, second), 1)  # done already
+    found = {r["date"].day: (r["n"], r["median"]) for r in jobs.read_daily(spark, folder).collect()}
+    assert found == {2: (2, 5.0), 3: (1, 6.0)}
+
+
 def test_dedup_stream_keeps_real_rows(spark, folder):
     stream = event_files(spark, folder, [1, 2])
     event_files(spark, folder, [2, 3])
