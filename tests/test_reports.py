@@ -286,3 +286,64 @@ def test_control_figures(spark):
     assert ranked["rank"] == 1 and best["location_id"] == ranked["location_id"]
     sites = reports._sites(pm25).orderBy(F.desc("avg_pm25")).first()
     assert (sites["location_id"], round(sites["avg_pm25"], 6), sites["max_pm25"]) == (119, 65.195333, 238.01)
+
+
+def parts_of(spark, folder, scope):
+    from hazeline.plans.suite import with_parts
+
+    return with_parts(spark, scope, f"{folder}/parts")
+
+
+def near_values(spark, counts, seed=4):
+    """Rows of weekdays and weekends whose values crowd in a few narrow ranges."""
+    import random
+
+    rng, data = random.Random(seed), []
+    for day, n in counts.items():
+        for i in range(n):
+            value = rng.choice([None, 35.0, 35.0 + rng.random() * 1e-4, 36 + rng.random() * 1e-4, -2.5, 200.0])
+            data.append((i % 7, dt.datetime(2024, 1, day, i % 24), value))
+    return spark.createDataFrame(data, "sensor_id long, datetime_utc timestamp_ntz, value double")
+
+
+@pytest.mark.parametrize("counts", [{3: 41, 6: 40}, {3: 1, 6: 2}, {4: 3}, {}], ids=str)
+def test_median_from_counts_of_ranges(spark, folder, rows, counts):
+    """Exact for odd and even counts, for middles in one range or two, and for equal values."""
+    where = Directory(
+        spark.createDataFrame([(1, 1)], "sensor_id long, location_id long"),
+        spark.createDataFrame([(1, "A", "x")], "location_id long, state string, city string"),
+    )
+    for seed in (4, 5, 6):
+        scope = reports.Scope(near_values(spark, counts, seed), where)
+        columns = ("day_type", "median", "max", "count")
+        got = rows(reports.weekday_weekend(parts_of(spark, f"{folder}/{seed}", scope)), *columns)
+        assert got == rows(reports.weekday_weekend(scope), *columns)
+
+
+def test_reports_from_parts_read_no_rows(spark, folder):
+    from conftest import SMALL
+
+    from hazeline.plans.suite import REPORTS
+    from hazeline.queries import views
+
+    scope = reports.Scope(views.pm25(spark, SMALL), views.places(spark, SMALL))
+    scoped = parts_of(spark, folder, scope)
+    for name, report in REPORTS.items():
+        text = report(scoped)._jdf.queryExecution().executedPlan().toString()
+        assert "events.parquet" not in text, name
+
+
+def test_equal_extreme_rows_are_all_shown(spark, folder, rows):
+    where = Directory(
+        spark.createDataFrame([], "sensor_id long, location_id long"),
+        spark.createDataFrame([], "location_id long, state string, city string"),
+    )
+    stamp = dt.datetime(2024, 1, 3, 4)
+    data = [(1, stamp, 300.0)] * 3 + [(2, stamp, 160.0)] * 2 + [(3, stamp, 149.9), (4, stamp, None)]
+    frame = spark.createDataFrame(data, "sensor_id long, datetime_utc timestamp_ntz, value double")
+    frame = frame.withColumns({"latitude": F.lit(1.0), "longitude": F.lit(2.0)})
+    scope = reports.Scope(frame, where)
+    scoped = parts_of(spark, folder, scope)
+    for top_n in (2, 4, 10):
+        assert rows(reports.extreme_top(scoped, top_n=top_n)) == rows(reports.extreme_top(scope, top_n=top_n))
+    assert rows(reports.extreme_summary(scoped)) == rows(reports.extreme_summary(scope)) == [(2, 1, 300.0)]
