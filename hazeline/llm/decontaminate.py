@@ -26,6 +26,8 @@ RAREST = 3
 SLACK = 5
 #: Longer lists of terms or windows are not broadcast.
 BROADCAST_ROWS = 500_000
+#: And so many bytes, as JSON.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 _WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,8 +53,11 @@ def loose_words(text: Column) -> Column:
     return F.regexp_extract_all(_lowered(F.coalesce(text, F.lit(""))), F.lit(_WORD), 0)
 
 
-def _bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def _bounded(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast if the rows are few and, as text, small; else as it is."""
+    length = F.octet_length(F.to_json(F.struct("*")))
+    found = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(length), F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if found["n"] <= limit and found["size"] <= size else df
 
 
 def benchmark_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -98,9 +103,13 @@ def rarest_terms(docs: DataFrame, windows: DataFrame, rarest: int = RAREST) -> D
 
 
 def store_postings(docs: DataFrame, picks: DataFrame) -> DataFrame:
-    """row, term, place of every rare term in ``docs``, written."""
+    """row, term, place of every rare term in ``docs``, written.
+
+    Repeated rows share ``row`` and have their postings once, dropped in the reading tasks
+    first, so no list grows with them.
+    """
     terms = picks.select(F.explode("rare").alias("r")).select("r.term").distinct()
-    return written(_tokens(docs).join(_bounded(terms), "term").select("row", "term", "place"), "postings")
+    return written(_tokens(docs).join(_bounded(terms), "term").select("row", "term", "place").distinct(), "postings")
 
 
 def intersect(postings: DataFrame, picks: DataFrame, rarest: int = RAREST, slack: int = SLACK) -> DataFrame:
