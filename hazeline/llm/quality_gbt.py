@@ -198,7 +198,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -
     """Learn ``labels.quality`` from the texts of at most ``max_rows`` labelled rows.
 
     Rows that are held out, or lack an id or a label, are left out. Of several labels
-    of an id the largest holds. The sample is broadcast; its size is the parameter.
+    of an id the largest holds, of several texts the one with the least statistics, so
+    an id is one row however often it stands. The sample is broadcast and its statistics
+    come to the driver; the parameter bounds both.
     """
     known = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     sample = (
@@ -216,7 +218,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -
 
     kind = rows.schema["doc_id"].dataType
     schema = T.StructType().add("doc_id", kind).add("y", "double").add("x", T.ArrayType(T.DoubleType()))
-    found = sorted(rows.mapInArrow(count, schema).collect(), key=lambda r: (r["doc_id"], r["y"], r["x"]))
+    by_id = rows.mapInArrow(count, schema).groupBy("doc_id").agg(F.max("y").alias("y"), F.min("x").alias("x"))
+    found = sorted(by_id.collect(), key=lambda r: r["doc_id"])
     x = np.array([r["x"] for r in found], float).reshape(len(found), len(FEATURES))
     return fit_trees(x, np.array([r["y"] for r in found], float))
 
