@@ -138,13 +138,14 @@ def mix(
     max_repeats: int = MAX_REPEATS,
     rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, position, row, one row per row of ``docs``.
+    """doc_id, source, size, source_size, target, taken, position, row and positions, one row per row of ``docs``.
 
     ``taken`` are the words the mix takes, repeats counted: the overlap of the
     document's place in the source's line with the first ``target`` words, the
     line starting again when it ends. ``position`` is the number of words that all
     sources have asked for when the document first comes up; null if it never
-    does; ``row`` is ``row_key``. Rows are range-sorted by position. Null texts and empty texts have size
+    does. ``positions`` has that number for each time it comes up, a last part included.
+    ``row`` is ``row_key``. Rows are range-sorted by position. Null texts and empty texts have size
     0 and take nothing; a null source is a source of its own, the last; repeated
     rows are documents of their own; an empty table gives an empty table. Slopes
     lie above -1 and below 1.
@@ -165,31 +166,37 @@ def mix(
         F.coalesce(F.sum("target"), F.lit(0.0)).alias("words"),
         F.coalesce(F.sum(F.col("target") * _slope(F.col("rank"), slopes)), F.lit(0.0)).alias("tilt"),
     ).first()
-    at = time_of(F.col("start"), F.col("target"), _slope(F.col("rank"), slopes))
-    moment = demand["words"] * F.col("at") + demand["tilt"] * (F.col("at") * F.col("at") - F.col("at"))
-    placed = rows.withColumn("at", at)
-    return placed.select(
+    def moment(words: Column) -> Column:
+        at = time_of(words, F.col("target"), _slope(F.col("rank"), slopes))
+        return F.transform(F.array(at), lambda t: demand["words"] * t + demand["tilt"] * (t * t - t))[0]
+
+    times = (rounds + F.when(part > 0, 1).otherwise(0)).cast("int")
+    every = F.transform(F.sequence(F.lit(0), times - 1), lambda k: moment(F.col("start") + k * F.col("source_size")))
+    none = F.array().cast("array<double>")
+    return rows.select(
         "doc_id",
         "source",
         "size",
         "source_size",
         "target",
         "taken",
-        F.when(F.col("taken") > 0, moment).alias("position"),
+        F.when(F.col("taken") > 0, moment(F.col("start"))).alias("position"),
         "row",
+        F.when((F.col("taken") > 0) & (times > 0), every).otherwise(none).alias("positions"),
     ).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` as often as ``mix`` takes them, to the nearest whole number.
+    """The rows of ``docs`` as often as ``mix`` takes them, in the order of their training positions.
 
-    A document of which less than half is taken goes. Equal rows are read as often
-    as all of them together.
+    Each time a document comes up it has a row, at that time's position; a last part
+    counts if it is half of the document at least, so one of which less is taken goes. The
+    rows are range-sorted by position. Equal rows are read as often as all of them together,
+    each time at its own position.
     """
     copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    taken = mix(docs, **settings).groupBy(F.col("row").alias("__row"))
-    taken = taken.agg(F.sum(copies).cast("int").alias("__copies")).where("__copies > 0")
+    taken = mix(docs, **settings).select(
+        F.col("row").alias("__row"), F.explode(F.slice("positions", F.lit(1), copies)).alias("__position")
+    )
     once = docs.withColumn("__row", row_key()).dropDuplicates(["__row"])
-    rows = once.join(taken, "__row")
-    again = F.explode(F.sequence(F.lit(1), F.col("__copies")))
-    return rows.withColumn("__copy", again).select(*docs.columns)
+    return once.join(taken, "__row").orderBy("__position", "__row").select(*docs.columns)

@@ -43,7 +43,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = curriculum.mix(table(spark, sf_dir, "documents")).drop("row")
+    found = curriculum.mix(table(spark, sf_dir, "documents")).drop("row", "positions")
     return found.withColumn("target", F.round("target", 6)).withColumn("position", F.round("position", 3))
 
 

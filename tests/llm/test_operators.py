@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import random
+import re
 import statistics
+import zlib
+from collections import Counter
 from fractions import Fraction
 
 import brute
@@ -459,3 +462,113 @@ def test_own_hashes_follow_the_stretch_alone():
     chunk = buffers.Chunk(0, np.frombuffer(data, np.uint8), np.array([0, len(data)]))
     hashes = buffers.own_hashes(chunk, starts, starts + [len(t) for t in texts])
     assert hashes[0] == hashes[1] == hashes[4] and len(set(hashes.tolist())) == 3
+
+
+# repeated rows, plain versions
+
+
+def test_repeated_rows_have_their_postings_once(spark):
+    item = words(random.Random(1), 12)
+    docs = frame(spark, [(1, f"before {item} after")] * 300 + [(None, f"{item} again")] * 300 + [(2, "clean text")])
+    windows = decontaminate.benchmark_windows(spark.createDataFrame([(7, item)], "item_id long, text string"))
+    picks = decontaminate.rarest_terms(docs, windows)
+    postings = decontaminate.store_postings(docs, picks)
+    assert postings.count() == postings.distinct().count() <= 2 * 3 * windows.count()
+    found = decontaminate.scan(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert found.where("n_hit = 12").count() == 600 and found.count() == 601
+
+
+def test_broadcasts_are_bounded_in_bytes_too(spark):
+    few = spark.createDataFrame([("x" * 1000,)] * 10, "a string")
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(decontaminate._bounded(few))
+    assert not hinted(decontaminate._bounded(few, size=5000)) and not hinted(decontaminate._bounded(few, limit=9))
+
+
+def test_one_labelled_id_with_a_third_of_the_rows_is_one_training_row(spark, monkeypatch):
+    rng = random.Random(5)
+    docs = frame(spark, [(1, words(rng, 30)) for _ in range(500)] + [(i, words(rng, 30)) for i in range(2, 1000)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 400)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality_gbt, "fit_trees", lambda x, y: seen.append((x, y)))
+    quality_gbt.fit(docs, labels)
+    x, y = seen[0]
+    known = [i for i in range(1, 400) if zlib.crc32(str(i).encode()) % 5]
+    assert len(x) == len(y) == len(known) and y.tolist() == [i % 2 for i in known]
+
+
+def plain_statistics(text):
+    """The classifier's statistics of one text, counted one by one."""
+    data, spaced = text.encode(), re.findall(r"[^\x20\x09-\x0D]+", text)
+    kinds = [0] * 9
+    for b in data:
+        c = chr(b)
+        kinds[
+            8 if b >= 128 else 0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if c.isdigit() else 4 if c == "\n"
+            else 3 if c in " \t\v\f\r" else 5 if c in "#*$%&|<>" else 6 if c in "!?" else 7
+        ] += 1
+    sizes = [len(w.encode()) for w in spaced]
+    folded = [w.translate(brute.LOWER) for w in spaced]
+    n, some = len(spaced), max(len(spaced), 1)
+    grams = [tuple(folded[i : i + 3]) for i in range(n - 2)]
+    lines = [line for line in re.findall(r"[^\n]*\n|[^\n]+\Z", text)]
+    counts = Counter(folded)
+    return [
+        *[k / max(len(data), 1) for k in kinds],
+        np.log1p(len(data)),
+        np.log1p(n),
+        sum(sizes) / some,
+        float(np.std(sizes)) if sizes else 0.0,
+        sum(s > 15 for s in sizes) / some,
+        sum(s < 3 for s in sizes) / some,
+        len(counts) / some,
+        max(counts.values(), default=0) / some,
+        1 - len(set(grams)) / len(grams) if grams else 0.0,
+        n / max(len(lines), 1),
+        1 - len(set(lines)) / len(lines) if lines else 0.0,
+    ]
+
+
+def test_classifier_statistics_and_trees_against_plain_ones():
+    rng = random.Random(6)
+    texts = ["", " ", "one", "One two\nOne two\nThree!\n", "é ü #*$ 12 a b a b a b", words(rng, 80, 20), "x\n\nx\n\n", words(rng, 300)]
+    got = np.concatenate([quality_gbt.statistics(c) for c in buffers.chunks(pa.array(texts), 64)])
+    assert np.allclose(got, [plain_statistics(t) for t in texts])
+    x = np.random.default_rng(1).normal(size=(400, len(quality_gbt.FEATURES)))
+    model = quality_gbt.fit_trees(x, (x[:, 3] + x[:, 7] > 0).astype(float))
+
+    def walk(row):
+        total = model.prior
+        for feature, cut, leaf in zip(model.feature, model.cut, model.leaf, strict=True):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + 1 + int(row[feature[node]] > cut[node])
+            total += leaf[node - len(feature)]
+        return 1 / (1 + np.exp(-total))
+
+    assert np.allclose(model.score(x), [walk(row) for row in x])
+    assert ((model.score(x) > 0.5) == (x[:, 3] + x[:, 7] > 0)).mean() > 0.9
+
+
+def test_each_take_has_its_own_position(spark):
+    """Rows come in the order of all takes' positions, repeats at theirs."""
+    rng = random.Random(7)
+    rows = [(i, words(rng, rng.randrange(5, 40)), "abc"[i % 3] if i % 7 else "c") for i in range(200)] + [(900, words(rng, 9), "a")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = curriculum.mix(docs).collect()
+    takes = []
+    for r in found:
+        assert r["positions"] == sorted(r["positions"]) and (r["positions"][:1] or [None])[0] == r["position"]
+        assert len(r["positions"]) == -(-r["taken"] // r["size"])
+        takes += [(p, r["doc_id"]) for p in r["positions"][: round(r["taken"] / r["size"] + 1e-9)]]
+    order = [r["doc_id"] for r in curriculum.mixed(docs).collect()]
+    assert Counter(order) == Counter(d for _, d in takes)
+    place = {}
+    for p, d in takes:
+        place.setdefault(d, []).append(p)
+    met = Counter()
+    positions = []
+    for d in order:
+        positions.append(sorted(place[d])[met[d]])
+        met[d] += 1
+    assert positions == sorted(positions)
