@@ -4,12 +4,14 @@ All rolling word k-grams of the documents are joined with the k-grams of license
 templates. A hit at word p of a document and word t of a template votes for the
 offset p - t: hits of one passage lie on one diagonal, or on neighbouring ones
 where a few words were put in or left out. Votes are summed by diagonal,
-neighbouring diagonals merge, and the merged span is verified: it must cover most
-of the template within little more than the template's length.
+neighbouring diagonals merge, and the merged span is verified: of its hits, the longest
+run that goes forward in the passage and in the template at once counts, each place of
+the template once. It must cover most of the template within little more than the
+template's length. So repeated or shuffled words of a template are no passage.
 
 Beside the templates stand short base phrases whose places are listed exactly.
-Only built-in functions are used. The templates are a fixed list, so the broadcast
-side has a fixed size.
+Only built-in functions are used. Templates are short wordings and whole headers; they
+are broadcast behind a check of their size.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazeline.llm.license_texts import WHOLE
+
 #: Phrases and their labels.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -28,6 +32,7 @@ PHRASES = {
 }
 #: Wordings by which works are commonly put under a license.
 TEMPLATES = [
+    *WHOLE,
     ("gpl", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the"
             " gnu general public license as published by the free software foundation"),
@@ -46,6 +51,8 @@ TEMPLATES = [
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
+#: Templates of so many characters at most are broadcast.
+BROADCAST_CHARS = 4 * 1024 * 1024
 GRAM = 3
 #: Offsets that differ by no more than this belong to one passage.
 SLACK = 3
@@ -106,30 +113,55 @@ def find_spans(
         "template", "label", F.posexplode(_grams(F.split("wording", " "), k)).alias("at", "gram")
     ).withColumn("grams", F.count(F.lit(1)).over(Window.partitionBy("template")))
     rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", _words(F.col("text")).alias("words"))
+    if sum(len(text) for _, text in templates) <= BROADCAST_CHARS:
+        grams = F.broadcast(grams)
     hits = (
         rows.select("row", "doc_id", F.posexplode(_grams(F.col("words"), k)).alias("place", "gram"))
-        .join(F.broadcast(grams), "gram")
+        .join(grams, "gram")
         .withColumn("diagonal", F.col("place") - F.col("at"))
     )
     key = ["row", "doc_id", "template"]
     votes = hits.groupBy(*key, "label", "grams", "diagonal").agg(
-        F.count_distinct("at").alias("votes"), F.min("place").alias("first"), F.max("place").alias("last")
+        F.collect_set("at").alias("ats"), F.min("place").alias("first"), F.max("place").alias("last")
     )
     along = Window.partitionBy(*key).orderBy("diagonal")
     fresh = F.col("diagonal") - F.lag("diagonal").over(along) > slack
     passage = F.sum(F.when(fresh, 1).otherwise(0)).over(along)
+    hit = F.transform("ats", lambda at: F.struct(at.alias("at"), (-at - F.col("diagonal")).alias("back")))
     merged = (
         votes.withColumn("passage", passage)
         .groupBy(*key, "label", "grams", "passage")
-        .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), (F.max("last") + k - 1).alias("last"))
+        .agg(
+            F.sort_array(F.flatten(F.collect_list(hit))).alias("hits"),
+            F.min("first").alias("first"),
+            (F.max("last") + k - 1).alias("last"),
+        )
     )
     room = F.col("grams") + k - 1 + 2 * slack
-    cover = F.least(F.col("votes") / F.col("grams"), F.lit(1.0))
-    return merged.where((cover >= min_cover) & (F.col("last") - F.col("first") < room)).select(
-        "row", "doc_id", "label", "first", "last", cover.alias("cover")
+    near = merged.where((F.size("hits") >= min_cover * F.col("grams")) & (F.col("last") - F.col("first") < room))
+    cover = _forward(F.col("hits")) / F.col("grams")
+    return near.withColumn("cover", cover).where(F.col("cover") >= min_cover).select(
+        "row", "doc_id", "label", "first", "last", "cover"
     )
 
 
+def _forward(hits: Column) -> Column:
+    """The most hits that go forward in the passage and in the template at once.
+
+    ``hits`` come by place in the template and, of one place, from the last in the text on,
+    so a run of rising places in the text takes each place of the template once. The state
+    holds the least end of a run of each length.
+    """
+    none = F.array().cast("array<int>")
+
+    def step(ends: Column, hit: Column) -> Column:
+        place = (-hit["back"]).cast("int")
+        below = F.size(F.filter(ends, lambda e: e < place))
+        return F.concat(F.slice(ends, F.lit(1), below), F.array(place), F.slice(ends, below + 2, F.size(ends)))
+
+    return F.size(F.aggregate(hits, none, step))
+
+
 def scan(
     docs: DataFrame,
     phrases: dict[str, str] = PHRASES,

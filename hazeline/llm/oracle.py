@@ -235,12 +235,16 @@ passages AS (
     SELECT *, count(*) FILTER (fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS passage FROM marked
 ),
 merged AS (
-    SELECT doc_id, label, grams, sum(votes) AS votes, min(first) AS first, max(last) + {_K - 1} AS last
-    FROM passages GROUP BY doc_id, template, label, grams, passage
+    SELECT h.doc_id, h.label, h.grams, min(place) AS first, max(place) + {_K - 1} AS last,
+           len(list_reduce(list([place] ORDER BY spot, place DESC),
+                           lambda ends, p: list_filter(ends, lambda e: e < p[1]) || p
+                                           || ends[len(list_filter(ends, lambda e: e < p[1])) + 2:])) AS run
+    FROM hits h JOIN passages d ON h.doc_id = d.doc_id AND h.template = d.template AND place - spot = diagonal
+    GROUP BY h.doc_id, h.template, h.label, h.grams, passage
 ),
 spans AS (
-    SELECT doc_id, label, least(votes / grams, 1.0) AS cover FROM merged
-    WHERE votes / grams >= {license_scan.MIN_COVER} AND last - first < grams + {_K - 1 + 2 * _SLACK}
+    SELECT doc_id, label, run / grams AS cover FROM merged
+    WHERE run / grams >= {license_scan.MIN_COVER} AND last - first < grams + {_K - 1 + 2 * _SLACK}
 ),
 base AS (
     SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
