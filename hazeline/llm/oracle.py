@@ -347,16 +347,27 @@ shares AS (
     FROM counts
 ),
 means AS (
-    SELECT lang, [{", ".join(f"round(avg(p[{i}]), 9)" for i in range(1, _BINS + 1))}] AS q,
+    SELECT lang, grouping(lang) AS whole, count(*) AS good,
+           [{", ".join(f"round(avg(p[{i}]), 9)" for i in range(1, _BINS + 1))}] AS q,
            [{", ".join(f"round(avg(u[{i}]), 9)" for i in range(1, _SLOTS + 1))}] AS v
-    FROM shares WHERE NOT base_failed GROUP BY lang HAVING count(*) >= {quality_rules.MIN_REFERENCE}
+    FROM shares WHERE NOT base_failed GROUP BY GROUPING SETS ((lang), ())
+),
+shared AS (SELECT good, q, v FROM means WHERE whole = 1 AND good > 0),
+refs AS (
+    SELECT l.lang,
+           CASE WHEN m.good > 0 THEN [round((m.q[i] * m.good + s.q[i] * {quality_rules.PRIOR}) / (m.good + {quality_rules.PRIOR}), 9)
+                                      FOR i IN range(1, {_BINS + 1})] ELSE s.q END AS q,
+           CASE WHEN m.good > 0 THEN [round((m.v[i] * m.good + s.v[i] * {quality_rules.PRIOR}) / (m.good + {quality_rules.PRIOR}), 9)
+                                      FOR i IN range(1, {_SLOTS + 1})] ELSE s.v END AS v
+    FROM (SELECT DISTINCT lang FROM shares) l CROSS JOIN shared s
+    LEFT JOIN means m ON m.whole = 0 AND m.lang IS NOT DISTINCT FROM l.lang
 ),
 judged AS (
     SELECT s.*,
            CASE WHEN n_words >= {quality_rules.MIN_WORDS_CLASSES} AND q IS NOT NULL THEN {_distance("p", "q", _BINS)} END AS a,
            CASE WHEN n_words >= {quality_rules.MIN_WORDS_COMMON} AND len(common) > 0 AND v IS NOT NULL
                 THEN {_distance("u", "v", _SLOTS)} END AS b
-    FROM shares s LEFT JOIN means m ON s.lang IS NOT DISTINCT FROM m.lang
+    FROM shares s LEFT JOIN refs m ON s.lang IS NOT DISTINCT FROM m.lang
 )
 SELECT doc_id, n_words, word_chars, n_symbol::BIGINT AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
        round(a, 6) AS class_distance, round(b, 6) AS common_distance,

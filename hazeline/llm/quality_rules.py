@@ -5,7 +5,10 @@ The method compares a document's histogram of character classes and its histogra
 of common words with references of its language by the Jensen-Shannon distance.
 References are means over all documents of a language that pass the base rules, so
 they are learned from the whole corpus; a histogram is only judged when enough
-words stand behind it.
+words stand behind it. The mean over all languages counts in each language's reference
+as if it were PRIOR documents more, so a language with few documents, or an unknown one, is
+judged by what all languages have in common, and no number of documents turns the
+judgement on or off.
 
 Only built-in functions are used. Counts of a document are taken in one pass and
 written; references and verdicts read the counts, not the texts.
@@ -22,8 +25,8 @@ MIN_WORDS = 50
 #: Histograms of fewer words are not judged.
 MIN_WORDS_CLASSES = 50
 MIN_WORDS_COMMON = 200
-#: Languages with fewer good documents have no reference, and their documents are not judged.
-MIN_REFERENCE = 20
+#: As many documents of its own outweigh what a language's reference takes from all languages.
+PRIOR = 20
 #: Largest distances (0 to 1) that still pass.
 MAX_CLASS_DISTANCE = 0.32
 MAX_COMMON_DISTANCE = 0.27
@@ -157,12 +160,22 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda total, x: total + x), F.lit(0.0)))
 
 
+def _means(rows) -> DataFrame:
+    """good, classes and usual: the number of documents and the means of their histograms."""
+    bins = len(CLASSES) + 2
+    return rows.agg(
+        F.count(F.lit(1)).alias("good"),
+        F.array(*[F.round(F.avg(F.get("classes", F.lit(i))), 9) for i in range(bins)]).alias("classes"),
+        F.array(*[F.round(F.avg(F.get("usual", F.lit(i))), 9) for i in range(_SLOTS + 1)]).alias("usual"),
+    )
+
+
 def apply_rules(
     docs: DataFrame,
     min_words: int = MIN_WORDS,
     min_words_classes: int = MIN_WORDS_CLASSES,
     min_words_common: int = MIN_WORDS_COMMON,
-    min_reference: int = MIN_REFERENCE,
+    prior: int = PRIOR,
     max_class_distance: float = MAX_CLASS_DISTANCE,
     max_common_distance: float = MAX_COMMON_DISTANCE,
 ) -> DataFrame:
@@ -170,7 +183,8 @@ def apply_rules(
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, class_distance, common_distance, kept. A distance is null where the
-    guards leave it out, which never rejects. Null and empty texts have no words and
+    guards leave it out, which never rejects, and everywhere if no document of the table
+    passes the base rules. Null and empty texts have no words and
     fail the base rules; a null or unknown language forms a group like any other and
     has no common words; repeated rows are judged alike; an empty table gives an
     empty table.
@@ -179,23 +193,25 @@ def apply_rules(
         "base_failed",
         (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
     )
-    bins = len(CLASSES) + 2
-    reference = (
-        counts.where(~F.col("base_failed"))
-        .groupBy(F.col("lang").alias("of"))
-        .agg(
-            F.count(F.lit(1)).alias("good"),
-            F.array(*[F.round(F.avg(F.get("classes", F.lit(i))), 9) for i in range(bins)]).alias("classes_of"),
-            F.array(*[F.round(F.avg(F.get("usual", F.lit(i))), 9) for i in range(_SLOTS + 1)]).alias("usual_of"),
-        )
-        .where(F.col("good") >= min_reference)
-    )
-    judged = counts.join(reference, F.col("lang").eqNullSafe(F.col("of")), "left")
+    good = counts.where(~F.col("base_failed"))
+    # One row; and one row per language.
+    shared, by_lang = _means(good.groupBy()).first(), _means(good.groupBy(F.col("lang").alias("of")))
+    weight = F.coalesce(F.col("good"), F.lit(0))
+
+    def mixed(name: str) -> Column:
+        common = F.array(*[F.lit(v).cast("double") for v in shared[name]])
+        summed = F.zip_with(name, common, lambda a, b: F.round((a * weight + b * prior) / (weight + prior), 9))
+        return F.when(weight > 0, summed).otherwise(common).alias(f"{name}_of")
+
+    known = counts.select(F.col("lang").alias("spoken")).distinct().join(by_lang, F.col("spoken").eqNullSafe(F.col("of")), "left")
+    some = F.lit(shared["good"] > 0).alias("has_reference")
+    reference = known.select("spoken", some, mixed("classes"), mixed("usual"))
+    judged = counts.join(reference, F.col("lang").eqNullSafe(F.col("spoken")), "left")
     class_distance = F.when(
-        (F.col("n_words") >= min_words_classes) & F.col("good").isNotNull(), distance(F.col("classes"), F.col("classes_of"))
+        (F.col("n_words") >= min_words_classes) & F.col("has_reference"), distance(F.col("classes"), F.col("classes_of"))
     )
     common_distance = F.when(
-        (F.col("n_words") >= min_words_common) & F.col("good").isNotNull() & (F.size("common") > 0),
+        (F.col("n_words") >= min_words_common) & F.col("has_reference") & (F.size("common") > 0),
         distance(F.col("usual"), F.col("usual_of")),
     )
     far = (F.coalesce(F.col("class_distance"), F.lit(0.0)) > max_class_distance) | (

@@ -627,3 +627,29 @@ def test_each_take_has_its_own_position(spark):
         positions.append(sorted(place[d])[met[d]])
         met[d] += 1
     assert positions == sorted(positions)
+
+
+def test_a_verdict_does_not_hang_on_the_size_of_the_table(spark):
+    """Languages with few documents are judged, by what all languages have in common."""
+    rng = random.Random(9)
+
+    def text(listed, n=260):
+        return " ".join(rng.choice(listed) if rng.random() < 0.4 else f"{rng.choice(['lor', 'ipsu', 'dolo'])}{chr(97 + rng.randrange(26))}" for _ in range(n))
+
+    def table(copies):
+        rows = [(i, text(quality_rules.COMMON[lang]), lang) for lang in ("en", "fr", "de") for i in range(copies)]
+        return spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+
+    odd = [
+        (9001, text(quality_rules.COMMON["es"]), "es"),
+        (9002, text(["AND", "OR"]).upper() + " 123 456 !!" * 60, "en"),
+        (9003, text(quality_rules.COMMON["en"]), "en"),
+        (9004, " ".join(f"{i}" for i in range(1000, 1300)), None),
+        (9005, "Kurz und gut. " * 30 + text(quality_rules.COMMON["de"], 200), "xx"),
+    ]
+    verdicts = []
+    for copies in (15, 1500):
+        found = quality_rules.apply_rules(table(copies)).where("doc_id > 9000").orderBy("doc_id").collect()
+        assert all(r["class_distance"] is not None for r in found)
+        verdicts.append([r["kept"] for r in found])
+    assert verdicts[0] == verdicts[1] == [True, False, True, False, True]
