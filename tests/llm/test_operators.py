@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import statistics
+import time
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -332,6 +333,80 @@ def test_assigned_secrets_are_added(spark):
     assert all(found[300 + i] == [] for i in range(50))
 
 
+def announced(rng, i):
+    """Local phone numbers and numbers like those of social security, nearly all of them announced."""
+    local, ssn = f"({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}", f"{rng.randrange(100, 899)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}"
+    start = f"{words(rng, 9)} mail{i}@host.example.com "
+    middle = f"Phone: {local}" if i % 40 else f"we met {local}"
+    return f"{start}{middle} {words(rng, 5)} {'SSN: ' if i % 30 else 'with '}{ssn} {words(rng, 5)} {rng.randrange(10**7, 10**8)}", local, ssn
+
+
+def test_numbers_beside_base_spans_are_added(spark):
+    """Formats that mostly come announced are found unannounced too; plain numbers stay."""
+    rng = random.Random(3)
+    made = [announced(rng, i) for i in range(400)]
+    found = {r["doc_id"]: r for r in pii.find(frame(spark, [(i, t) for i, (t, _, _) in enumerate(made)])).collect()}
+    for i, (text, local, ssn) in enumerate(made):
+        spans = [(s["kind"], text[s["start"] : s["end"]]) for s in found[i]["spans"]]
+        assert spans == [("email", f"mail{i}@host.example.com"), ("number", local), ("number", ssn)]
+
+
+def plain_added(text, chosen):
+    """Chosen proposals that touch no base span, first come first, by comparing all with all."""
+    kept = []
+    for start, end, kind in sorted(chosen, key=lambda c: (c[0], -c[1])):
+        if all(end <= s or start >= e for s, e, _ in kept):
+            kept.append((start, end, kind))
+    return kept
+
+
+def test_added_spans_against_plain_sweeps(spark, monkeypatch):
+    """With every proposal good enough, what is added follows from comparing all spans with all."""
+    rng = random.Random(12)
+    pieces = ["a@b.de", "x..y@host.", "1.2.3.4", "1.2.3.4.5.6", "+1 (017) 555-7713", "(555) 123-4567", "4111 1111 1111 1111",
+              "12:34:56:78", "deadbeef" * 3 + "1", "555-12-3456.7", "müller@straße.de", "word", ",", "é 10.0.0.1:80:90:99"]
+    docs = [(i, " ".join(rng.choice(pieces) for _ in range(rng.randrange(40)))) for i in range(120)]
+    docs += [(500, None), (501, ""), (502, " ".join(pieces) * 40)]
+    monkeypatch.setattr(pii, "thresholds", lambda *a: [-1e9] * len(pii.PROPOSALS))
+    found = {r["doc_id"]: r for r in pii.find(frame(spark, docs)).collect()}
+    patterns = {k: re.compile(p.replace("\\G", "(?!)")) for k, p in pii.PROPOSALS.items()}
+    for i, text in docs:
+        text = text or ""
+        base = [(s["start"], s["end"]) for s in found[i]["base"]]
+        proposed = [(m.start(), m.end(), k) for k, p in patterns.items() for m in p.finditer(text)]
+        proposed = [
+            (s, e, k) for s, e, k in proposed
+            if (k != "secret" or re.search("[0-9]", text[s:e])) and (k != "number" or len(re.sub("[^0-9]", "", text[s:e])) >= 7)
+        ]
+        apart = [(s, e, k) for s, e, k in proposed if all(e <= b or s >= c for b, c in base)]
+        added = sorted((s["start"], s["end"], s["kind"]) for s in found[i]["spans"] if s["kind"] in pii.PROPOSALS)
+        assert added == sorted(plain_added(text, apart)), i
+
+
+def test_many_matches_of_one_text_take_seconds(spark):
+    """A megabyte with some 80,000 matches."""
+    text = "".join(f"10.{i % 250}.{i % 7}.{i % 9} {i * 7919:09d} " for i in range(45_000))
+    started = time.perf_counter()
+    row = pii.find(frame(spark, [(1, text)], 1)).first()
+    assert len(row["base"]) == 45_000 and time.perf_counter() - started < 120
+
+
+def test_spans_do_not_hang_on_the_size_of_the_table(spark):
+    rng = random.Random(6)
+
+    def table(n):
+        made = random.Random(1)
+        docs = [(i, f'{words(made, 9)} api_key = "{made.getrandbits(128):032x}" {words(made, 9)}') for i in range(0, n, 2)]
+        return docs + [(i, f"{words(made, 9)} call (555) 010-{made.randrange(1000, 9999)} {words(made, 9)}") for i in range(1, n, 2)]
+
+    probe = (99_999, f"{words(rng, 5)} key = {'0a1b2c3d' * 4} {words(rng, 5)} and (555) 010-7777 too")
+    seen = []
+    for n in (50, 5000):
+        row = pii.find(frame(spark, [*table(n), probe])).where("doc_id = 99999").first()
+        seen.append([(s["kind"], s["start"], s["end"]) for s in row["spans"]])
+    assert seen[0] == seen[1] and [k for k, _, _ in seen[0]] == ["secret", "number"]
+
+
 def test_trees_and_their_expression_agree(spark):
     rng = np.random.default_rng(3)
     x = np.column_stack([rng.integers(0, n, 300) for n in pii.FEATURES.values()])
