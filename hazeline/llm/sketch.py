@@ -8,8 +8,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 CELL_BITS, PART_BITS = 22, 16
+#: Tasks whose counts are added up by one task.
+GROUP = 256
 _U = np.uint64
 
 
@@ -40,7 +43,11 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def summed(parts: DataFrame) -> np.ndarray:
-    """The sum of all tasks' parts (part int, counts binary); a part streams through one task."""
+    """The sum of all tasks' parts (part int, counts binary).
+
+    A part is added up in two steps, first over GROUP tasks at a time, so no task streams
+    what all tasks have made.
+    """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -54,8 +61,11 @@ def summed(parts: DataFrame) -> np.ndarray:
         )
 
     total = np.zeros((1 << (CELL_BITS - PART_BITS), 1 << PART_BITS), np.int64)
-    dealt = parts.select("part", "counts").repartition(len(total), "part")
-    for row in dealt.mapInArrow(add, "part int, counts binary").collect():
+    schema = "part int, counts binary"
+    group = F.floor(F.spark_partition_id() / GROUP)
+    few = parts.select("part", "counts", group.alias("group")).repartition("part", "group")
+    dealt = few.select("part", "counts").mapInArrow(add, schema).repartition(len(total), "part")
+    for row in dealt.mapInArrow(add, schema).collect():
         total[row["part"]] = _unpacked(bytes(row["counts"]))
     return total.ravel()
 

@@ -282,13 +282,22 @@ def meet(rows: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def cut_contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """print, doc, row, start, bytes of the contexts in ``wanted``."""
+    """print, doc, row, start, bytes of the contexts in ``wanted``.
+
+    Repeated rows share ``row`` and their contexts: a task cuts them once for each batch, and
+    ``compare_contexts`` takes them once.
+    """
     asked = wanted.groupBy("row").agg(F.collect_list(F.struct("print", "start", "size")).alias("cuts"))
     texts = docs.select(_doc().alias("doc"), _row().alias("row"), F.col("text").cast("binary").alias("text"))
     rows = texts.join(asked, "row").select("doc", "row", "text", "cuts")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = np.zeros(0, np.int64)
         for batch in batches:
+            names = batch.column(1).to_numpy()
+            _, once = np.unique(names, return_index=True)
+            once = np.sort(once[~np.isin(names[once], before)])
+            batch, before = batch.take(pa.array(once)), names
             cuts = batch.column(3)
             counts = np.diff(cuts.offsets.to_numpy())
             print_, start, size = (cuts.flatten().field(i).to_numpy() for i in range(3))
@@ -346,7 +355,21 @@ def compare_contexts(contexts: DataFrame, length: int = LENGTH, shard_bytes: int
     ``place`` is where the context begins.
     """
     parts = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = contexts.repartition(parts, "print").sortWithinPartitions("print")
+    dealt = contexts.repartition(parts, "print").sortWithinPartitions("print", "row", "start")
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Contexts of repeated rows once; they lie side by side."""
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = np.column_stack([batch.column(c).to_numpy() for c in ("print", "row", "start")])
+            new = np.ones(len(names), bool)
+            new[1:] = (names[1:] != names[:-1]).any(axis=1)
+            new[0] = last is None or (names[0] != last).any()
+            last = names[-1]
+            if new.any():
+                yield batch if new.all() else batch.filter(pa.array(new))
 
     def solve(batch: pa.Table) -> pa.RecordBatch:
         batch = batch.combine_chunks()
@@ -373,7 +396,7 @@ def compare_contexts(contexts: DataFrame, length: int = LENGTH, shard_bytes: int
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
-        for batch in batches:
+        for batch in distinct(batches):
             print_ = batch.column(0).to_numpy()
             lengths = np.cumsum(pa.compute.binary_length(batch.column(4)).to_numpy())
             low = 0

@@ -728,3 +728,22 @@ def test_a_verdict_does_not_hang_on_the_size_of_the_table(spark):
         assert all(r["class_distance"] is not None for r in found)
         verdicts.append([r["kept"] for r in found])
     assert verdicts[0] == verdicts[1] == [True, False, True, False, True]
+
+
+def test_repeated_rows_do_not_multiply_contexts(spark):
+    """Equal rows share their contexts, so a group to compare does not grow with them."""
+    rng = random.Random(13)
+    shared = words(rng, 60)
+    text = f"{words(rng, 80)} {shared} {words(rng, 80)}"
+    other = f"{words(rng, 50)} {shared} {words(rng, 50)}"
+    docs = frame(spark, [(None, text)] * 2000 + [(1, other)] + [(2, words(rng, 200))])
+    wanted = spark.createDataFrame(
+        [(1, r[0], 0, 150) for r in docs.where("doc_id is null").select(suffix_dedup._row()).distinct().collect()],
+        "print long, row long, start long, size long",
+    )
+    cut = suffix_dedup.cut_contexts(docs, wanted)
+    assert cut.count() <= cut.rdd.getNumPartitions()
+    found = suffix_dedup.digests(docs, suffix_dedup.repeated_spans(docs)).collect()
+    plain = brute.suffix_dedup([(None, text), (1, other), (2, "")])
+    assert {r["n_removed"] for r in found if r["doc_id"] is None} == {plain[0][2]} and plain[0][2] > 0
+    assert len(found) == 2002
