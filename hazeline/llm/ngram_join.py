@@ -22,6 +22,7 @@ much is shuffled.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
@@ -47,6 +48,8 @@ BLOCK_SHINGLES = 1 << 18
 BLOCK_CLASSES = 4096
 #: Columns of the matrix slice that a block comparison holds.
 SLICE = 2048
+#: Tasks that the rows of one crowded token are spread over where they meet its figures.
+SALTS = 16
 #: Rows of the matrix that a block comparison holds, besides a bit map of the links.
 BAND = 512
 #: Shingles that are not frequent are cut into so many fragments; frequent ones are one more.
@@ -392,14 +395,41 @@ def _similar(left: list[np.ndarray], right: list[np.ndarray], p: int, q: int) ->
     return linked
 
 
-def _blocks(crowded: DataFrame) -> DataFrame:
-    """token, cls, i, j, x: the classes of each token for each pair of blocks, i <= j; x is the own block."""
+def _by_token(crowded: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of crowded tokens with what ``found`` has for their token.
+
+    A token may have a third of all rows; they are spread over SALTS tasks, each with a copy
+    of the token's one row, of which there are far fewer.
+    """
+    salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    copies = found.withColumn("salt", salt)
+    salted = crowded.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, ["token", "salt"]).drop("salt")
+
+
+def _blocks(crowded: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
+    """token, cls, i, j, x: the classes of each token for each pair of blocks, i <= j; x is the own block.
+
+    Sets of which one is smaller than the threshold's part of the other are never similar. So the
+    classes of a token fall into bands of set size, each by that factor wider than the one
+    before, and only blocks of the same band or of neighbouring bands meet. Blocks are
+    numbered band by band.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(1 / threshold) + 1e-9).cast("int")
+    banded = crowded.withColumn("band", band)
     count = F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_CLASSES)
-    sizes = crowded.groupBy("token").agg(F.ceil(count).cast("int").alias("blocks"))
+    per_band = banded.groupBy("token", "band").agg(F.ceil(count).cast("int").alias("blocks"))
+    # A few dozen bands for each token, as they grow by a factor.
+    listed = per_band.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("band", "blocks"))).alias("bands"))
+    before = lambda limit: F.aggregate(
+        F.filter("bands", lambda b: b["band"] < limit), F.lit(0), lambda total, b: total + b["blocks"]
+    )
+    placed = _by_token(banded, listed)
+    mine = F.filter("bands", lambda b: b["band"] == F.col("band"))[0]["blocks"]
+    low, high = before(F.col("band") - 1), before(F.col("band") + 2)
     return (
-        crowded.join(sizes, "token")
-        .withColumn("x", F.pmod(F.xxhash64("cls", "token"), F.col("blocks")).cast("int"))
-        .withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed.withColumn("x", before(F.col("band")) + F.pmod(F.xxhash64("cls", "token"), mine).cast("int"))
+        .withColumn("y", F.explode(F.sequence(low, high - 1)))
         .select("token", "cls", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x")
     )
 
@@ -411,19 +441,19 @@ def block_links(
 
     Shingles of one passage crowd the same classes. Each shingle is led by the smallest
     crowded shingle that any of its classes has, and classes meet under their leaders.
-    The classes of a leader are dealt into blocks by hash, so that a block is bounded
-    in shingles and in classes; each pair of blocks is a group of its own, compared
-    as matrices band by band of classes and slice by slice of the global order.
+    The classes of a leader are dealt into blocks by set size and hash, so that a block is
+    bounded in shingles and in classes; each pair of blocks whose sizes allow links is a
+    group of its own, compared as matrices row band by row band and slice by slice of the
+    global order.
     """
     p, q = threshold.numerator, threshold.denominator
     least = crowded.groupBy("cls").agg(F.min("token").alias("least"))
     leaders = crowded.join(least, "cls").groupBy("token").agg(F.min("least").alias("leader"))
-    crowded = (
-        crowded.join(leaders, "token").select(F.col("leader").alias("token"), "cls", "n").dropDuplicates(["token", "cls"])
-    )
+    led = _by_token(crowded, leaders).select(F.col("leader").alias("token"), "cls", "n")
+    crowded = led.dropDuplicates(["token", "cls"])
     crowded = written(crowded, "led")
     sets = fragments(docs, crowded.select("cls"), ranks, None, k).select("cls", "shingles")
-    rows = _blocks(crowded).join(sets, "cls")
+    rows = _blocks(crowded, threshold).join(sets, "cls")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("cls")

@@ -154,6 +154,28 @@ def test_blocks_of_many_short_near_copies(spark):
     assert len(groups) == 6 and max(r["count"] for r in groups) < 2 * 1.1 * ngram_join.BLOCK_CLASSES
 
 
+def test_blocks_of_unlike_sizes_do_not_meet(spark, monkeypatch):
+    """A class is copied for the blocks of its band and the next ones, however many others there are."""
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 20)
+    sizes = [round(10 * 1.25**band) for band in range(24)]
+    rows = [(7, 1000 * band + i, n) for band, n in enumerate(sizes) for i in range(40)]
+    crowded = spark.createDataFrame(rows, "token long, cls long, n int")
+    blocks = ngram_join._blocks(crowded)
+    copies = [r["count"] for r in blocks.groupBy("cls").count().collect()]
+    total = blocks.select("i").union(blocks.select("j")).distinct().count()
+    assert total >= 48 and max(copies) <= 2 * 4 + 1 and len(copies) == len(rows)
+    # Any two classes whose sizes allow a link meet in one group.
+    met = {}
+    for r in blocks.collect():
+        met.setdefault((r["i"], r["j"]), set()).add(r["cls"])
+    pairs = {frozenset((a, b)) for group in met.values() for a in group for b in group}
+    rng, size = random.Random(2), {c: n for _, c, n in rows}
+    for _ in range(3000):
+        a, b = rng.choice(rows)[1], rng.choice(rows)[1]
+        if min(size[a], size[b]) >= 0.8 * max(size[a], size[b]):
+            assert frozenset((a, b)) in pairs
+
+
 def test_rectangles_of_blocks(monkeypatch):
     monkeypatch.setattr(ngram_join, "BAND", 7)
     monkeypatch.setattr(ngram_join, "SLICE", 5)
