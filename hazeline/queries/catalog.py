@@ -671,6 +671,26 @@ def _stream_dedup(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+@query("stream_first")
+def _stream_first(spark, sf_dir) -> DataFrame:
+    """Every row sent again with another value, the odd ones as having arrived before."""
+    base = work_dir(spark, "first")
+    odd = F.col("arrival") % 2 == 1
+    rows = views.event_stream(spark, sf_dir).select(*ROW)
+    again = views.event_stream(spark, sf_dir).select(*ROW).withColumns(
+        {"arrival": F.col("arrival") + F.when(odd, -1_000_000_000).otherwise(1_000_000_000), "value": F.col("value") + 1}
+    )
+    beats = f"{base}/beats"
+    jobs.heartbeat(spark, dt.datetime(2000, 1, 1), rows.schema).write.parquet(beats)
+    sent = rows.unionByName(again).unionByName(spark.readStream.schema(rows.schema).parquet(beats))
+    for _ in range(2):
+        first = jobs.first_stream(sent, ["arrival"])
+        jobs.start_to_parquet(first, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+        # All rows are in: time moves on, and what is still open is settled.
+        jobs.heartbeat(spark, dt.datetime(2100, 1, 1), rows.schema).write.mode("append").parquet(beats)
+    return spark.read.schema(rows.schema).parquet(f"{base}/out")
+
+
 @query("stream_signal")
 def _stream_signal(spark, sf_dir) -> DataFrame:
     base = work_dir(spark, "signal")

@@ -457,6 +457,14 @@ SELECT sensor_id, 'pm25' AS parameter, datetime_utc, datetime_local, value, unit
        coverage_percent, min, max, median, latitude, longitude
 FROM firsts WHERE rn = 1""",
     "stream_dedup": f"WITH {_M} SELECT {_ROW} FROM m",
+    "stream_first": f"""WITH {_M},
+sent AS (
+  SELECT {_ROW} FROM m
+  UNION ALL
+  SELECT arrival + CASE WHEN arrival % 2 = 1 THEN -1000000000 ELSE 1000000000 END, sensor_id, parameter, datetime_utc, value + 1
+  FROM m)
+SELECT {_ROW} FROM sent
+QUALIFY row_number() OVER (PARTITION BY sensor_id, parameter, datetime_utc ORDER BY arrival) = 1""",
     "stream_signal": """
 SELECT user_id AS sensor_id, max(ts) AS last_data_datetime_utc FROM events GROUP BY 1""",
     "stream_alerts": f"WITH {_M} SELECT {_ROW} FROM m WHERE value >= 150",

@@ -98,6 +98,33 @@ def dedup_stream(rows: DataFrame, delay: str = "2 days") -> DataFrame:
     )
 
 
+def first_stream(
+    rows: DataFrame, arrival: list[str], delay: str = "2 days", keys: list[str] = KEY
+) -> DataFrame:
+    """The first row to arrive of each key, as the batch dedup has it, whatever order rows come in.
+
+    A key is settled, and put out once, when the watermark has passed its time; rows that
+    come later are left out. State is one row for each open key. Keys within ``delay`` of the
+    latest time stay open until a later time comes; a source that may fall silent sends
+    rows without a sensor (``heartbeat``) to move time on, which are not put out.
+    """
+    others = [c for c in rows.columns if c not in keys]
+    timed = with_event_time(rows).withWatermark("event_time", delay)
+    group = ["event_time", *[k for k in keys if k != "datetime_utc"]]
+    # Told by an aggregate, as a filter on a key would sink below the watermark and take beats with it.
+    real = F.max(F.col("sensor_id").isNotNull()).alias("real")
+    first = timed.groupBy(*group).agg(F.min_by(F.struct(*others), F.struct(*arrival)).alias("first"), real)
+    settled = first.where("real").withColumn("datetime_utc", F.col("event_time").cast("timestamp_ntz"))
+    return settled.select(*[F.col(f"first.{c}") if c in others else F.col(c) for c in rows.columns])
+
+
+def heartbeat(spark: SparkSession, stamp: dt.datetime, schema) -> DataFrame:
+    """One row that holds a time and nothing else."""
+    return spark.createDataFrame([(stamp,)], "datetime_utc timestamp_ntz").select(
+        *[(F.col(f.name) if f.name == "datetime_utc" else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+
+
 def alerts(rows: DataFrame, threshold: float = EXTREME_FROM) -> DataFrame:
     return filter_threshold(rows, threshold)
 

@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from hazeline.operators.cleaning import dedup_first
 from hazeline.plans import ingest
 from hazeline.plans.daily import daily_summary
 from hazeline.schemas import SIGNAL
@@ -334,6 +335,24 @@ def test_daily_sink_survives_a_death_between_its_writes(spark, folder, died, mon
     assert found == {2: (2, 5.0), 3: (1, 6.0)}
 
 
+def test_first_stream_equals_the_batch_dedup(spark, folder, rows):
+    """Whatever micro-batches they come in, the first to have arrived of each key, and each key once."""
+    rng = random.Random(4)
+    schema = "arrival long, sensor_id long, parameter string, datetime_utc timestamp_ntz, value double"
+    data = [
+        (i, rng.randrange(3), rng.choice(["pm25", None]), dt.datetime(2024, 1, 1 + i // 40, rng.randrange(24)), rng.choice([None, rng.random()]))
+        for i in rng.sample(range(200), 200)
+    ]
+    made = spark.createDataFrame(data, schema)
+    os.makedirs(f"{folder}/in")
+    stream = spark.readStream.schema(made.schema).parquet(f"{folder}/in")
+    for part in (data[:80], data[80:150], data[150:], None):
+        sent = jobs.heartbeat(spark, dt.datetime(2030, 1, 1), made.schema) if part is None else spark.createDataFrame(part, schema)
+        sent.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        got = drain(spark, jobs.first_stream(stream, ["arrival"], "20 days"), folder)
+    assert rows(got) == rows(dedup_first(made, ["arrival"]).select(*made.columns))
+
+
 def test_dedup_stream_keeps_real_rows(spark, folder):
     stream = event_files(spark, folder, [1, 2])
     event_files(spark, folder, [2, 3])
