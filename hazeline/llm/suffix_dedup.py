@@ -40,6 +40,8 @@ LENGTH = 100
 GRAM = 32
 #: Above so many occurrences, beyond chance, windows are dealt one by one.
 CROWD = 50_000
+#: A longer text is read in pieces of this size.
+PIECE_BYTES = 1 << 20
 #: Bytes of context that one suffix array holds about.
 SHARD_BYTES = 1 << 20
 
@@ -105,13 +107,29 @@ def _singles(chunk: buffers.Chunk, start: np.ndarray, length: int) -> tuple[np.n
     return first, buffers.stretch(buffers.prefix_sums(chunk.data, second=True), start, start + length)
 
 
+def _pieces(column: pa.Array, length: int) -> Iterator[tuple[buffers.Chunk, int]]:
+    """The column's chunks, a very long text in pieces, with the place where a piece begins.
+
+    Pieces overlap by all but one byte of a window, so each window is in one of them. What a
+    window chooses hangs on the window alone; a run of windows that is cut becomes two.
+    """
+    for chunk in buffers.chunks(column):
+        n = len(chunk.data)
+        if len(chunk) > 1 or n <= 2 * PIECE_BYTES:
+            yield chunk, 0
+            continue
+        for low in range(0, n - length + 1, PIECE_BYTES):
+            data = chunk.data[low : low + PIECE_BYTES + length - 1]
+            yield buffers.Chunk(chunk.first, data, np.array([0, len(data)])), low
+
+
 def crowded_cells(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> np.ndarray:
     """Cells of fingerprints with very many contexts, whole copies in a chunk counted once."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.empty()
         for batch in batches:
-            for chunk in buffers.chunks(batch.column(0)):
+            for chunk, _ in _pieces(batch.column(0), length):
                 *_, print_, context = choose(chunk, length, gram)
                 _, once = np.unique(context, return_index=True)
                 sketch.count(counts, print_[once])
@@ -145,7 +163,7 @@ def occurrences(docs: DataFrame, crowded: np.ndarray, length: int = LENGTH, gram
         hot = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
         for batch in batches:
             doc, row = (batch.column(i).to_numpy() for i in (0, 1))
-            for chunk in buffers.chunks(batch.column(2)):
+            for chunk, low in _pieces(batch.column(2), length):
                 text, start, count, print_, context = choose(chunk, length, gram)
                 crowd = hot[sketch.cells_of(print_)]
                 if crowd.any():
@@ -155,7 +173,7 @@ def occurrences(docs: DataFrame, crowded: np.ndarray, length: int = LENGTH, gram
                     text, start = (np.append(x[~crowd], y) for x, y in ((text, text[crowd][owner]), (start, one)))
                     count = np.append(count[~crowd], np.ones(len(one), np.int64))
                     print_, context = np.append(print_[~crowd], a), np.append(context[~crowd], b)
-                id_, local = doc[chunk.first + text], start - chunk.bounds[text]
+                id_, local = doc[chunk.first + text], start - chunk.bounds[text] + low
                 named = row[chunk.first + text]
                 place = (local << _COUNT_BITS) | count
                 order = np.lexsort((local, id_, context, print_))
@@ -304,23 +322,29 @@ def cut_contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for chunk in buffers.chunks(batch.column(2), 1 << 20):
                 low, high = counts[: chunk.first].sum(), counts[: chunk.first + len(chunk)].sum()
                 owner = np.repeat(np.arange(len(chunk)), counts[chunk.first : chunk.first + len(chunk)])
-                at = chunk.bounds[owner] + start[low:high]
-                piece, inner = buffers.within(size[low:high])
-                data = chunk.data[at[piece] + inner]
-                offsets = np.append(0, np.cumsum(size[low:high])).astype(np.int32)
-                at_row = pa.array(chunk.first + owner)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(print_[low:high]),
-                        batch.column(0).take(at_row),
-                        batch.column(1).take(at_row),
-                        pa.array(start[low:high]),
-                        pa.BinaryArray.from_buffers(
-                            pa.binary(), len(owner), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
-                        ),
-                    ],
-                    ["print", "doc", "row", "start", "bytes"],
-                )
+                upto = np.cumsum(size[low:high])
+                # As many contexts at a time as make about a piece.
+                for at_once in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(upto // PIECE_BYTES)) + 1):
+                    mine = low + at_once
+                    at = chunk.bounds[owner[at_once]] + start[mine]
+                    piece, inner = buffers.within(size[mine])
+                    data = chunk.data[at[piece] + inner]
+                    offsets = np.append(0, np.cumsum(size[mine])).astype(np.int32)
+                    at_row = pa.array(chunk.first + owner[at_once])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(print_[mine]),
+                            batch.column(0).take(at_row),
+                            batch.column(1).take(at_row),
+                            pa.array(start[mine]),
+                            pa.BinaryArray.from_buffers(
+                                pa.binary(),
+                                len(mine),
+                                [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))],
+                            ),
+                        ],
+                        ["print", "doc", "row", "start", "bytes"],
+                    )
 
     return rows.mapInArrow(read, "print long, doc long, row long, start long, bytes binary")
 

@@ -769,3 +769,30 @@ def test_repeated_rows_do_not_multiply_contexts(spark):
     plain = brute.suffix_dedup([(None, text), (1, other), (2, "")])
     assert {r["n_removed"] for r in found if r["doc_id"] is None} == {plain[0][2]} and plain[0][2] > 0
     assert len(found) == 2002
+
+
+@pytest.mark.parametrize("piece", [150, 1000])
+def test_long_texts_in_pieces(spark, monkeypatch, piece):
+    """Texts read in overlapping pieces lose the same bytes."""
+    rng = random.Random(14)
+    shared = [words(rng, 40) for _ in range(5)]
+    texts = [" ".join(rng.choice([*shared, words(rng, 10), "ab" * 90]) for _ in range(rng.randrange(30))) for _ in range(12)]
+    docs = [*enumerate(texts), (100, texts[3]), (None, texts[4]), (None, texts[4] + shared[0])]
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", piece)
+    frame_ = frame(spark, docs, 3)
+    got = suffix_dedup.digests(frame_, suffix_dedup.repeated_spans(frame_)).collect()
+    key = lambda rows: sorted(map(tuple, rows), key=str)
+    assert key(got) == key(brute.suffix_dedup(docs))
+
+
+def test_a_very_long_text_stays_within_memory():
+    """Choosing places in 40 MB holds arrays for a piece, not for the text."""
+    import tracemalloc
+
+    text = np.random.default_rng(1).integers(97, 123, 40_000_000, dtype=np.uint8).tobytes()
+    column = pa.array([text], pa.binary())
+    tracemalloc.start()
+    runs = sum(len(suffix_dedup.choose(chunk)[0]) for chunk, _ in suffix_dedup._pieces(column, 100))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert runs > 40_000_000 / 100 and peak < 500_000_000
