@@ -36,7 +36,7 @@ from hazeline.sources.landing import (
     read_page_stream,
     read_sensor_pages,
 )
-from hazeline.sources.tables import FactTable, SnapshotTable, ensure_tables, scan_parameter
+from hazeline.sources.tables import BUCKETS, FactTable, SnapshotTable, ensure_tables, scan_parameter
 from hazeline.streaming import jobs
 
 
@@ -53,6 +53,7 @@ def _arguments() -> argparse.ArgumentParser:
     parser.add_argument("--root", required=True, help="folder of the tables")
     parser.add_argument("--locations", help="CSV of State,Code,City")
     parser.add_argument("--coords", help="CSV of location_id,latitude,longitude")
+    parser.add_argument("--buckets", type=int, default=BUCKETS, help="files a month, when the fact table is new")
     sub = parser.add_subparsers(dest="job", required=True)
     sub.add_parser("create-tables", help="create the catalog tables that are missing")
     for name in ("scheduled", "backfill", "stream"):
@@ -155,7 +156,7 @@ def _now() -> dt.datetime:
 def main(argv: list[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
     spark = tune(SparkSession.builder.appName(f"hazeline {args.job}").getOrCreate())
-    facts = FactTable(spark, f"{args.root}/sensor_data")
+    facts = FactTable(spark, f"{args.root}/sensor_data", args.buckets)
     if args.job == "create-tables":
         print("\n".join(ensure_tables(spark, args.root)))
     elif args.job in ("scheduled", "backfill", "stream"):
