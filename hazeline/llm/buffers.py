@@ -110,6 +110,16 @@ def stretch(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return mix((sums[ends] - sums[starts]) * inverse_powers(len(sums))[starts] + (ends - starts).astype(np.uint64))
 
 
+_ramps = [np.zeros(1, np.uint64)]
+
+
+def _ramp(n: int) -> np.ndarray:
+    """0, 1, 2, ... times an odd number, modulo 2 ** 64."""
+    if len(_ramps[0]) < n:
+        _ramps[0] = np.arange(max(n, 2 * len(_ramps[0])), dtype=np.uint64) * _U(_BASE)
+    return _ramps[0][:n]
+
+
 def own_hashes(chunk: Chunk, starts: np.ndarray, ends: np.ndarray, folded: bool = True, second: bool = False) -> np.ndarray:
     """Hashes of stretches that follow one another without overlap.
 
@@ -119,14 +129,15 @@ def own_hashes(chunk: Chunk, starts: np.ndarray, ends: np.ndarray, folded: bool
     """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    begins = np.zeros(len(chunk.data), np.int64)
-    begins[: starts[0]] = starts[0]
-    begins[starts[0] :] = np.repeat(starts, np.diff(np.append(starts, len(chunk.data))))
-    place = np.arange(len(chunk.data), dtype=np.int64) - begins
-    values = (_SECOND if second else _FOLDED if folded else _VALUES)[chunk.data]
-    values += place.view(np.uint64) * _U(_BASE)
-    sums = np.zeros(len(chunk.data) + 1, np.uint64)
-    np.cumsum(mix(values), out=sums[1:])
+    n = len(chunk.data)
+    values, ramp = (_SECOND if second else _FOLDED if folded else _VALUES)[chunk.data], _ramp(n)
+    values += ramp
+    values[starts[0] :] -= np.repeat(ramp[starts], np.diff(np.append(starts, n)))  # by place in the stretch
+    values ^= values >> _U(32)
+    values *= _U(0xBF58476D1CE4E5B9)
+    values ^= values >> _U(29)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
     return mix(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))
 
 
