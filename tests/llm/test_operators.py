@@ -532,8 +532,9 @@ def test_odd_documents_fail_and_guards_hold(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     found = {r["doc_id"]: r for r in quality_rules.apply_rules(df).collect()}
     assert all(found[i]["kept"] for i in range(40)) and not found[100]["kept"]
-    # A language without a reference is not judged by distance.
-    assert found[101]["class_distance"] is None and found[101]["kept"] and not found[102]["kept"]
+    # A language with one document is judged too, by what all languages have in common.
+    assert found[101]["class_distance"] > quality_rules.MAX_CLASS_DISTANCE and not found[101]["kept"]
+    assert found[102]["class_distance"] is None and not found[102]["kept"]
 
 
 # suffix arrays
