@@ -196,17 +196,18 @@ def apply_rules(
     good = counts.where(~F.col("base_failed"))
     # One row; and one row per language.
     shared, by_lang = _means(good.groupBy()).first(), _means(good.groupBy(F.col("lang").alias("of")))
-    weight = F.coalesce(F.col("good"), F.lit(0))
+    common = {name: F.array(*[F.lit(v).cast("double") for v in shared[name]]) for name in ("classes", "usual")}
 
     def mixed(name: str) -> Column:
-        common = F.array(*[F.lit(v).cast("double") for v in shared[name]])
-        summed = F.zip_with(name, common, lambda a, b: F.round((a * weight + b * prior) / (weight + prior), 9))
-        return F.when(weight > 0, summed).otherwise(common).alias(f"{name}_of")
-
-    known = counts.select(F.col("lang").alias("spoken")).distinct().join(by_lang, F.col("spoken").eqNullSafe(F.col("of")), "left")
-    some = F.lit(shared["good"] > 0).alias("has_reference")
-    reference = known.select("spoken", some, mixed("classes"), mixed("usual"))
-    judged = counts.join(reference, F.col("lang").eqNullSafe(F.col("spoken")), "left")
+        summed = F.zip_with(
+            name, common[name], lambda a, b: F.round((a * F.col("good") + b * prior) / (F.col("good") + prior), 9)
+        )
+        return summed.alias(f"{name}_of")
+
+    # Languages without a good document take what all have.
+    judged = counts.join(by_lang.select("of", mixed("classes"), mixed("usual")), F.col("lang").eqNullSafe(F.col("of")), "left")
+    judged = judged.withColumns({f"{name}_of": F.coalesce(f"{name}_of", common[name]) for name in common})
+    judged = judged.withColumn("has_reference", F.lit(shared["good"] > 0))
     class_distance = F.when(
         (F.col("n_words") >= min_words_classes) & F.col("has_reference"), distance(F.col("classes"), F.col("classes_of"))
     )
