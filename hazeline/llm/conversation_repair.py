@@ -38,10 +38,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from hazeline.llm.store import set_checkpoint_dir, written
+from hazeline.llm.store import written
 
 #: Rows of a conversation that are searched at a time, without those that must go.
-SEGMENT = 256
+SEGMENT = 64
 
 DELETE, INSERT, REROLE, TRUNCATED = 2, 5, 1, 5
 #: Faults of a row; the first that holds, from the highest.
@@ -266,7 +266,6 @@ def _segment_schema(conv: T.DataType) -> T.StructType:
 
 def segments(rows: DataFrame) -> DataFrame:
     """Conversations as pieces of sorted rows; ``open`` ones may not be whole conversations."""
-    set_checkpoint_dir(rows.sparkSession)
     order = ["conv", "turn", "role", "hash"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)

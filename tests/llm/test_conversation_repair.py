@@ -43,7 +43,7 @@ def ordered(rows):
     return sorted(map(tuple, rows), key=str)
 
 
-@pytest.mark.parametrize("segment", [256, 17, 2])
+@pytest.mark.parametrize("segment", [256, 64, 17, 2])
 def test_odd_rows(odd, monkeypatch, segment):
     """Pieces of any length give the whole conversation's answer."""
     monkeypatch.setattr(cr, "SEGMENT", segment)
