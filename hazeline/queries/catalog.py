@@ -34,6 +34,7 @@ from hazeline.sources.exports import (
     build_sensor_map,
     export_by_sensor,
     export_counts,
+    read_export,
     write_sensor_map,
 )
 from hazeline.sources.landing import (
@@ -135,10 +136,9 @@ def _scan_parameter_pm25(spark, sf_dir) -> DataFrame:
 def _export_counts_by_sensor(spark, sf_dir) -> DataFrame:
     """Counted over the files of the export."""
     out = work_dir(spark, "export")
-    export_by_sensor(views.pm25(spark, sf_dir), out)
-    exported = spark.read.option("header", True).option("basePath", out).csv(out)
-    exported = exported.select(F.col("sensor_id").cast("long").alias("sensor_id"))
-    return export_counts(views.sensor_map(spark, sf_dir), exported)
+    rows = views.pm25(spark, sf_dir)
+    export_by_sensor(rows, out)
+    return export_counts(views.sensor_map(spark, sf_dir), read_export(spark, out, rows.schema))
 
 
 def _landed_sensors(spark, sf_dir, only_pm25: bool = True) -> DataFrame:

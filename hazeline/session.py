@@ -14,13 +14,15 @@ def tune(spark: SparkSession) -> SparkSession:
     """Pin what results depend on: UTC clocks; adaptive plans for skew.
 
     Streaming state goes to local disk rather than the heap, so that it may
-    outgrow memory. Shuffle partitions and broadcast limits stay as the cluster
+    outgrow memory. Folders are listed by some hundred tasks rather than by one
+    task each, thousands of them. Shuffle partitions and broadcast limits stay as the cluster
     sets them.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ON_DISK_STATE)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "256")
     return spark
 
 

@@ -35,3 +35,22 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(target):
         return []
     return [status.getPath().getName() for status in fs.listStatus(target)]
+
+
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The path as any process of a mounted disk knows it; None on another file system."""
+    fs, target = _file_system(spark, path)
+    return fs.makeQualified(target).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
+def clear_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder, whatever was there."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+    fs.mkdirs(target)
+
+
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """The marker of a finished write."""
+    fs, target = _file_system(spark, f"{path}/_SUCCESS")
+    fs.create(target, True).close()

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from hazeline.operators.cleaning import is_unstorable, prepare_measurements
 from hazeline.schemas import FACT, SIGNAL
-from hazeline.sources import relational
+from hazeline.sources import exports, relational
 from hazeline.sources.dimensions import read_coords, read_locations, read_sensor_map
 from hazeline.sources.exports import (
     build_sensor_map,
     export_by_sensor,
     export_counts,
+    read_export,
     write_sensor_map,
 )
 from hazeline.sources.landing import (
@@ -196,6 +197,77 @@ def test_export_by_sensor(spark, folder):
     assert tuple(export_counts(asked, df).first()) == (2, 1, 3)
 
 
+def _exported(path):
+    """Sorted lines of all files by folder; a file without its header fails."""
+    found = {}
+    for folder in (d for d in os.listdir(path) if "=" in d):
+        lines = found[folder] = []
+        for name in (n for n in os.listdir(f"{path}/{folder}") if not n.startswith(".")):
+            with open(f"{path}/{folder}/{name}", newline="") as file:
+                header, *rest = file.read().split("\n")
+            assert header == '"a,b",n,at,d' and rest.pop() == ""
+            lines += rest
+        lines.sort()
+    return found
+
+
+def test_export_is_what_spark_writes(spark, folder):
+    at, day = dt.datetime(2024, 1, 1, 2, 3, 4, 5000), dt.date(2024, 2, 3)
+    texts = ["x", "", None, ' a "b", c ', "two\nlines", "back\\slash", "µg", "#", "\r\t"]
+    sensors = ["7", None, "a/b=c%d", "e f:g[h]^{i}*", "ü'?\"#\x01\x7f\\"]
+    rows = [(s, t, float(i) * 1e9, at, day) for s in sensors for i, t in enumerate(texts)]
+    rows += [("8", None, None, None, None), ("8", None, float("nan"), at, None)]
+    schema = "sensor_id string, `a,b` string, n double, at timestamp_ntz, d date"
+    df = spark.createDataFrame(rows, schema)
+    df.write.option("header", True).partitionBy("sensor_id").csv(f"{folder}/spark")
+    export_by_sensor(df, f"{folder}/own")
+    assert _exported(f"{folder}/own") == _exported(f"{folder}/spark")
+    assert os.path.exists(f"{folder}/own/_SUCCESS")
+    one = spark.createDataFrame([(1, None), (1, ""), (2, "x")], "sensor_id long, t string")
+    one.write.option("header", True).partitionBy("sensor_id").csv(f"{folder}/spark1")
+    export_by_sensor(one, f"{folder}/own")
+    back = [spark.read.option("header", True).csv(f"{folder}/{p}") for p in ("spark1", "own")]
+    assert sorted(map(str, back[0].collect())) == sorted(map(str, back[1].collect()))
+
+
+def test_export_makes_one_file_a_sensor_and_no_other(spark, folder):
+    """Checksums and folders made by Hadoop cost a process each."""
+    df = facts(spark, [(i % 40, dt.datetime(2024, 1, 1 + i % 9), float(i)) for i in range(400)])
+    export_by_sensor(df, f"file:{folder}/csv")
+    for i in range(40):
+        [name] = os.listdir(f"{folder}/csv/sensor_id={i}")
+        assert re.fullmatch(r"part-.*\.csv", name)
+
+
+def test_export_splits_large_sensors(spark, folder, monkeypatch):
+    monkeypatch.setattr(exports, "ROWS_PER_FILE", 2)
+    df = facts(spark, [(i % 2, dt.datetime(2024, 1, 1 + i), float(i)) for i in range(10)])
+    export_by_sensor(df, f"{folder}/csv")
+    assert [len(os.listdir(f"{folder}/csv/sensor_id={i}")) for i in range(2)] == [3, 3]
+    back = read_export(spark, f"{folder}/csv", df.schema)
+    assert sorted(r["value"] for r in back.collect()) == [float(i) for i in range(10)]
+    assert back.schema["sensor_id"].dataType == df.schema["sensor_id"].dataType
+
+
+def test_export_without_rows(spark, folder):
+    df = facts(spark, [(1, dt.datetime(2024, 1, 1), 1.0)]).where("false")
+    export_by_sensor(df, f"{folder}/csv")
+    asked = spark.createDataFrame([(0,), (1,)], "sensor_id long")
+    assert tuple(export_counts(asked, read_export(spark, f"{folder}/csv", df.schema)).first()) == (0, 2, 2)
+
+
+def test_export_is_read_with_few_tasks(spark, folder):
+    """Folders are listed once, and not by a task each."""
+    df = facts(spark, [(i, dt.datetime(2024, 1, 1), 1.0) for i in range(300)])
+    export_by_sensor(df, f"{folder}/csv")
+    spark.sparkContext.setJobGroup("reading", "")
+    back = read_export(spark, f"{folder}/csv", df.schema)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("reading")
+    spark.sparkContext.setJobGroup("other", "")
+    assert len(jobs) <= 1
+    assert back.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_sensor_map_sink(spark, folder, rows):
     listed = spark.createDataFrame(
         [(2, 20, 1), (1, 10, 2), (2, 21, 3)], "sensor_id long, location_id long, n int"
