@@ -38,6 +38,8 @@ from hazeline.llm.components import components
 from hazeline.llm.store import written
 
 WORDS = 5
+#: Texts are read in pieces of so many bytes; larger ones take more memory and no less time.
+CHUNK_BYTES = 1 << 18
 #: Similarity as a fraction: shared shingles of all shingles of both.
 THRESHOLD = Fraction(80, 100)
 #: A shingle with more classes in its prefix bucket is compared in blocks.
@@ -128,7 +130,7 @@ def class_table(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, np.ndarray]
         ids, seen = None, set()
         for batch in batches:
             ids = batch.column(0).type
-            for chunk in buffers.chunks(batch.column(2)):
+            for chunk in buffers.chunks(batch.column(2), CHUNK_BYTES):
                 sets, classes = shingle_sets(chunk, k)
                 new = [sets[i] for i in _fresh(classes, seen)]
                 if new:
@@ -179,7 +181,7 @@ def prefix_table(docs: DataFrame, ranks: np.ndarray, threshold: Fraction, k: int
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, seen = np.frombuffer(zlib.decompress(packed), np.uint8), set()
         for batch in batches:
-            for chunk in buffers.chunks(batch.column(0)):
+            for chunk in buffers.chunks(batch.column(0), CHUNK_BYTES):
                 sets, classes = shingle_sets(chunk, k)
                 new = _fresh(classes, seen)
                 sizes = np.array([len(sets[i]) for i in new], np.int64)
@@ -269,7 +271,7 @@ def fragments(
         ranks, seen = np.frombuffer(zlib.decompress(packed), np.uint8), set()
         bits = np.frombuffer(zlib.decompress(wanted), np.int64).view(np.uint64)
         for batch in batches:
-            for chunk in buffers.chunks(batch.column(0)):
+            for chunk in buffers.chunks(batch.column(0), CHUNK_BYTES):
                 sets, classes = shingle_sets(chunk, k)
                 at = classes.view(np.uint64) >> _U(64 - _FILTER_BITS)
                 asked = (bits[(at >> _U(6)).astype(np.int64)] >> (at & _U(63))) & _U(1)

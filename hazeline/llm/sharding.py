@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import hashlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: At least a hundred slots a shard keep the shares within one per cent.
 TABLE_SIZE = 4099
@@ -74,9 +76,11 @@ def assign_shards(
     Equal keys share a shard, rows are never dropped or merged, an empty table
     gives an empty table. Key order and partitioning do not matter.
     """
+    # From Arrow it is a local table; from tuples, tasks would start Python workers to read it.
+    owned = [shards[owner] for owner in fill_table(shards, size)]
     owners = df.sparkSession.createDataFrame(
-        [(slot, shards[owner]) for slot, owner in enumerate(fill_table(shards, size))],
-        "slot int, shard string",
+        pa.table({"slot": pa.array(range(len(owned)), pa.int32()), "shard": pa.array(owned, pa.string())}),
+        T.StructType().add("slot", "integer").add("shard", "string"),
     )
     rows = df.drop("slot", "shard").withColumn("slot", slot_of(df[key], size))
     return rows.join(F.broadcast(owners), "slot").select(*rows.columns, "shard")

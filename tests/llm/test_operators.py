@@ -52,6 +52,11 @@ def family(seed=3, size=150, length=120):
 # sharding
 
 
+def test_table_reaches_the_plan_without_python_tasks(spark):
+    plan = sharding.assign_shards(frame(spark, [(1, "a")]))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("LogicalRDD") == 1 and plan.count("LocalRelation") == 1  # the row's own, the table
+
+
 def test_table_is_even_and_steady():
     table = sharding.fill_table()
     counts = np.bincount(table)
@@ -320,6 +325,47 @@ def test_scores_without_labels_and_with_one_class(spark):
     assert all(r["score"] > 0.5 for r in quality_gbt.classify(docs, one).collect())
 
 
+def metrics(node, name):
+    """A metric summed over a plan that has run."""
+    nodes, total = [node], 0
+    while nodes:
+        node = nodes.pop()
+        if node.metrics().contains(name):
+            total += node.metrics().apply(name).value()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_accepted_rows_send_each_text_once_and_get_a_score_back(spark, folder):
+    rng = random.Random(14)
+    texts = [(i, words(rng, 60) if i % 2 else "### $$$ | &&& " * 20 + words(rng, 5)) for i in range(1000)]
+    frame(spark, [*texts, (None, None), (7, "")]).write.parquet(f"{folder}/docs")
+    docs = spark.read.parquet(f"{folder}/docs")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1000)], "doc_id long, quality int, toxic int")
+    rows = quality_gbt.accepted(docs, labels)
+    assert rows.schema == docs.schema
+    found = rows.collect()
+    scored = quality_gbt.score(docs, quality_gbt.fit(docs, labels)).collect()
+    told = [(r["doc_id"], r["text"]) for r in scored if r["score"] >= quality_gbt.THRESHOLD]
+    by = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(map(tuple, found), key=by) == sorted(told, key=by) and 400 < len(found) < 700
+    size = sum(len(t) for _, t in texts)
+    plan = rows._jdf.queryExecution().executedPlan()
+    assert size <= metrics(plan, "pythonDataSent") < 1.5 * size
+    assert 0 < metrics(plan, "pythonDataReceived") < 0.2 * size
+
+
+def test_classifier_and_join_hold_small_pieces_of_a_batch():
+    texts = pa.array(["some words of a text " * 100] * 2000)
+    want = np.concatenate([quality_gbt.statistics(c) for c in buffers.chunks(texts)])
+    sizes, chunks = [], buffers.chunks
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(buffers, "chunks", lambda *a: (sizes.append(len(c.data)) or c for c in chunks(*a)))
+        assert np.array_equal(quality_gbt._features_of(texts), want)
+    assert max(sizes) <= 1 << 18 and ngram_join.CHUNK_BYTES <= 1 << 18
+
+
 def test_statistics_follow_their_names():
     import pyarrow as pa
 
