@@ -3,7 +3,9 @@
 A text's set are its distinct five-word shingles. All shingles stand in one global
 order: rare before frequent, by a sketch of counts of a fixed size, then by hash.
 Any one order gives right results; this one keeps frequent shingles out of the
-prefixes.
+prefixes. A cell of the sketch holds more shingles the larger the table is, so cells
+at the level of chance are in order of their counts, too: a shingle that a hundred
+texts have by chance is rarely in a cell with few.
 
 1. Texts with equal sets are one class from the start, so exact copies of a text
    meet no join.
@@ -11,13 +13,16 @@ prefixes.
    depend on size and threshold only. Prefix shingles are joined to candidate pairs.
    A shingle that many classes have in their prefix makes no pairs: its classes are
    dealt out in blocks, and tasks compare two blocks at a time.
-3. The order is cut into fragments, and each set with it. The overlap of a pair is
+3. A class has a map of bits, one or two for each of its shingles. The bits in which two
+   maps differ bound what two sets can share, and rule out most pairs that met by
+   chance before a set is copied for them.
+   The order is cut into fragments, and each set with it. The overlap of a pair is
    counted fragment by fragment and summed. Pairs that the first fragment already
    rules out go no further. Blocks do the same with slices of a matrix.
 4. Links between classes are merged into components.
 
-Nothing is capped or sampled: the sketch and the filter of classes only decide how
-much is shuffled.
+Nothing is capped or sampled: the sketch, the maps and the filter of classes only decide
+how much is shuffled.
 """
 
 from __future__ import annotations
@@ -60,8 +65,12 @@ FRAGMENTS = 4
 _U = np.uint64
 _RANK_BITS, _FILTER_BITS = 5, 23
 _HASH_BITS = 64 - _RANK_BITS
+#: Ranks of cells at the level of chance, each with about as many shingles; a multiple of FRAGMENTS.
+_CHANCE_RANKS = 8
+#: Rank of a cell above chance, besides the logarithm of what stands above the mean, which is 5 at least.
+_ABOVE = _CHANCE_RANKS - 5
 #: Prefix buckets of shingles above this count, by the sketch, are dealt out by class as well.
-_SALT_RANK = 17
+_SALT_RANK = 17 + _ABOVE
 
 
 def shingle_sets(chunk: buffers.Chunk, k: int = WORDS) -> tuple[list[np.ndarray], np.ndarray]:
@@ -116,32 +125,67 @@ def _fresh(classes: np.ndarray, seen: set[int]) -> list[int]:
     return out
 
 
+def cell_ranks(counts: np.ndarray) -> np.ndarray:
+    """The rank of each cell of hashes by its count.
+
+    Cells at the level of chance are cut by count into ranks of about as many shingles; what
+    stands above chance follows by its logarithm.
+    """
+    crowded = sketch.above_chance(counts, 16)
+    by_count = np.bincount(counts[~crowded])
+    below = np.cumsum(by_count * np.arange(len(by_count)))  # shingles in cells of at most each count
+    level = np.append(0, below[:-1]) * _CHANCE_RANKS // (below[-1] + 1)
+    ranks = np.ceil(np.log2(np.maximum(counts - counts.mean(), 2))) + _ABOVE
+    ranks[~crowded] = level[counts[~crowded]]
+    return np.minimum(ranks, (1 << _RANK_BITS) - 1).astype(np.uint8)
+
+
+def bit_maps(sets: list[np.ndarray]) -> pa.Array:
+    """Of each set a map of bits, by the last bits of its shingles: whether an odd number of them fall there.
+
+    A map has the next power of two bits, 64 at least. Halves of a map, one flipped where
+    the other is set, are the map of half the size.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    bits = np.array([max(64, 1 << (n - 1).bit_length()) if n else 0 for n in sizes.tolist()], np.int64)
+    offsets = np.append(0, np.cumsum(bits))
+    shingles = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    place = (shingles & (np.repeat(bits, sizes) - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(place + np.repeat(offsets[:-1], sizes), minlength=int(offsets[-1])) & 1
+    words = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array((offsets // 64).astype(np.int32)), pa.array(words))
+
+
 def class_table(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, row, n_shingles, cls for each row of ``docs``; and the rank of each cell of hashes.
+    """doc_id, row, n_shingles, cls, bits for each row of ``docs``; and the rank of each cell of hashes.
 
-    The ranks come from counts over all texts (copies within a task once): 0 at the
-    level of chance, else the logarithm of what stands above it.
+    The ranks come from counts over all texts (copies within a task once). ``bits`` are the map
+    of the row's set, null where the task has had the class before.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.empty()
-        names = ["doc_id", "row", "n_shingles", "cls", "part", "counts"]
+        names = ["doc_id", "row", "n_shingles", "cls", "bits", "part", "counts"]
         ids, seen = None, set()
         for batch in batches:
             ids = batch.column(0).type
             for chunk in buffers.chunks(batch.column(2), CHUNK_BYTES):
                 sets, classes = shingle_sets(chunk, k)
-                new = [sets[i] for i in _fresh(classes, seen)]
+                new = _fresh(classes, seen)
                 if new:
-                    sketch.count(counts, np.concatenate(new))
+                    sketch.count(counts, np.concatenate([sets[i] for i in new]))
                 n = len(chunk)
+                at = np.full(n, -1)
+                at[new] = np.arange(len(new))
+                maps = bit_maps([sets[i] for i in new]).take(pa.array(at, mask=at < 0))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(chunk.first, n),
                         batch.column(1).slice(chunk.first, n),
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array(classes),
+                        maps,
                         pa.nulls(n, pa.int32()),
                         pa.nulls(n, pa.binary()),
                     ],
@@ -152,22 +196,19 @@ def class_table(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, np.ndarray]
             packed = sketch.packed(counts)
             n = len(packed)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, ids), *[pa.nulls(n, pa.int64())] * 3,
+                [pa.nulls(n, ids), *[pa.nulls(n, pa.int64())] * 3, pa.nulls(n, pa.list_(pa.int64())),
                  pa.array(range(n), pa.int32()), pa.array(packed, pa.binary())],
                 names,
             )
 
     both = written(
         docs.select("doc_id", F.xxhash64("doc_id", "text"), "text").mapInArrow(
-            read, f"doc_id {kind}, row long, n_shingles long, cls long, part int, counts binary"
+            read, f"doc_id {kind}, row long, n_shingles long, cls long, bits array<long>, part int, counts binary"
         ),
         "classes",
     )
     counts = sketch.summed(both.where("part is not null"))
-    ranks = np.ceil(np.log2(np.maximum(counts - counts.mean(), 2)))
-    ranks = np.where(sketch.above_chance(counts, 16), ranks, 0)
-    classes = both.where("part is null").select("doc_id", "row", "n_shingles", "cls")
-    return classes, np.minimum(ranks, (1 << _RANK_BITS) - 1).astype(np.uint8)
+    return both.where("part is null").drop("part", "counts"), cell_ranks(counts)
 
 
 def prefix_table(docs: DataFrame, ranks: np.ndarray, threshold: Fraction, k: int = WORDS) -> DataFrame:
@@ -244,6 +285,35 @@ def candidate_pairs(prefixes: DataFrame, threshold: Fraction) -> DataFrame:
     return pairs.select("p.*").dropDuplicates(["a", "b"])
 
 
+def _differing(x: Column, y: Column) -> Column:
+    """In how many bits two maps differ, the longer one folded to the size of the other."""
+
+    def folded(z: Column, other: Column) -> Column:
+        half = (F.size(z) / 2).cast("int")
+        halves = F.zip_with(F.slice(z, 1, half), F.slice(z, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(z) > F.size(other), halves).otherwise(z)
+
+    bits = F.zip_with(folded(x, y), folded(y, x), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    return F.aggregate(bits, F.lit(0), lambda total, b: total + b)
+
+
+def likely_pairs(pairs: DataFrame, classes: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs that the maps of bits of their classes don't rule out.
+
+    Each shingle that only one of two sets has changes one bit, so they have at least as many as
+    bits differ. Sizes that allow a link are within a factor of two where the threshold is a
+    half or more, so one fold will do; below it nothing is ruled out.
+    """
+    if threshold < Fraction(1, 2):
+        return pairs
+    maps = classes.where("bits is not null").groupBy("cls").agg(F.first("bits").alias("bits"))
+    left = pairs.join(maps.select(F.col("cls").alias("a"), F.col("bits").alias("x")), "a")
+    both = left.join(maps.select(F.col("cls").alias("b"), F.col("bits").alias("y")), "b")
+    most = F.floor((F.col("n_a") + F.col("n_b") - _differing(F.col("x"), F.col("y"))) / 2)
+    possible = both.withColumn("shared", most).where(_required(threshold, F.col("n_a"), F.col("n_b")))
+    return possible.select("a", "b", "n_a", "n_b")
+
+
 def _class_filter(classes: DataFrame) -> bytes:
     """A set of bits by the first bits of the classes, of a fixed size whatever their number."""
     bit = F.shiftrightunsigned("cls", 64 - _FILTER_BITS)
@@ -265,7 +335,7 @@ def fragments(
     classes may come too. Rows are partitioned by class and fragment.
     """
     packed, wanted = zlib.compress(ranks.tobytes()), _class_filter(classes)
-    shift = _U(_HASH_BITS - (FRAGMENTS - 1).bit_length())
+    shift = _U(_HASH_BITS + (_CHANCE_RANKS // FRAGMENTS - 1).bit_length())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, seen = np.frombuffer(zlib.decompress(packed), np.uint8), set()
@@ -481,9 +551,11 @@ def link_groups(docs: DataFrame, threshold: Fraction = THRESHOLD, k: int = WORDS
     it has no other. Repeated rows link with each other; an empty table gives an
     empty table.
     """
-    rows, ranks = class_table(docs, k)
+    classes, ranks = class_table(docs, k)
+    rows = classes.drop("bits")
     prefixes = written(prefix_table(docs, ranks, threshold, k), "prefixes")
     pairs = written(candidate_pairs(prefixes.where(F.col("met") <= PAIR_BUCKET), threshold), "pairs")
+    pairs = written(likely_pairs(pairs, classes, threshold), "likely")
     links = verified(docs, pairs, ranks, threshold, k).select("a", "b")
     crowded = prefixes.where(F.col("met") > PAIR_BUCKET)
     if not crowded.isEmpty():

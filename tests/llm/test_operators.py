@@ -31,6 +31,7 @@ from hazeline.llm import (
     suffixes,
 )
 from hazeline.llm.components import components
+from hazeline.llm.store import written
 
 
 def words(rng, n, vocabulary=100_000):
@@ -147,6 +148,78 @@ def test_join_by_pairs_and_by_blocks(spark, rows, monkeypatch, bucket, block):
     )
 
 
+def test_shingles_that_meet_by_chance_make_no_pairs(spark, monkeypatch):
+    """Passages of two dozen texts each, too few to stand above chance, stay out of the prefixes."""
+    rng, asked = random.Random(4), []
+    common = [words(rng, 5) for _ in range(120)]
+    docs = []
+    for i in range(200):
+        shared = " ".join(f"{p} {words(rng, 3)}" for p in rng.sample(common, 12))
+        docs.append((i, f"{shared} {words(rng, 160)}"))
+    docs += [(1000 + i, f"{t} end") for i, t in docs[:5]]
+    verified = ngram_join.verified
+
+    def counted(docs, pairs, *rest):
+        asked.extend(pairs.collect())
+        return verified(docs, pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    monkeypatch.setattr(ngram_join.sketch, "above_chance", lambda counts, least: np.zeros(len(counts), bool))
+    found = ngram_join.link_groups(frame(spark, docs)).collect()
+    assert sum(r["component_id"] != r["doc_id"] for r in found) == 5 and len(asked) == 5
+
+
+def test_chance_cells_are_in_order_of_their_counts():
+    counts = np.random.default_rng(6).poisson(280, 1 << 22)
+    counts[:1000] += 100  # by far too few to stand above chance
+    counts[1000] += 4000
+    ranks = ngram_join.cell_ranks(counts)
+    assert ranks[:1000].min() >= ngram_join._CHANCE_RANKS // 2 and ranks[1000] == 12 + ngram_join._ABOVE
+    below = ranks < ngram_join._CHANCE_RANKS
+    shares = np.bincount(ranks[below], counts[below]) / counts[below].sum()
+    assert len(shares) == ngram_join._CHANCE_RANKS and shares.min() > 0.08 and shares.max() < 0.18
+    assert not ngram_join.cell_ranks(np.zeros(1 << 22, np.int64)).any()
+
+
+def test_maps_of_bits_rule_out_only_what_is_unlike(spark):
+    rng, gen = random.Random(7), np.random.default_rng(7)
+    sets, pairs = {}, []
+    for i in range(400):
+        n = rng.choice([1, 3, 40, 64, 65, 120, 129, 700])
+        x = gen.integers(0, 1 << 63, n, dtype=np.uint64)
+        keep = x[gen.random(n) < rng.choice([0, 0.5, 0.85, 0.95, 1])]
+        fresh = max(rng.choice([n - len(keep), n // 8]), int(len(keep) == 0))
+        y = np.concatenate([keep, gen.integers(0, 1 << 63, fresh, dtype=np.uint64)])
+        (a, x), (b, y) = sorted([(2 * i, x), (2 * i + 1, y)], key=lambda s: len(s[1]))
+        sets |= {a: x, b: y}
+        if 5 * len(x) >= 4 * len(y):
+            pairs.append((a, b, len(x), len(y)))
+    maps = ngram_join.bit_maps(list(sets.values())).to_pylist()
+    classes = spark.createDataFrame(list(zip(sets, maps, strict=True)), "cls long, bits array<long>")
+    found = ngram_join.likely_pairs(spark.createDataFrame(pairs, "a long, b long, n_a int, n_b int"), classes, Fraction(4, 5))
+    found = {(r["a"], r["b"]) for r in found.collect()}
+    shared = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a, b, *_ in pairs}
+    similar = {(a, b) for a, b, m, n in pairs if 9 * shared[a, b] >= 4 * (m + n)}
+    unlike = {(a, b) for a, b, m, n in pairs if 2 * shared[a, b] <= m and m >= 40}
+    assert similar <= found and not unlike & found and len(similar) > 50 and len(unlike) > 20
+
+
+def test_written_rows_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return set(re.findall(r"shuffle_\d+", str(disk.getAllFiles().mkString(" "))))
+
+    before = shuffled()
+    found = written(spark.range(1000, numPartitions=4).groupBy((F.col("id") % 7).alias("k")).count(), "test")
+    assert found.count() == 7
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.2)
+    assert len(left) <= 1  # of the count above
+
+
 def test_blocks_of_many_short_near_copies(spark):
     """Sets so small that a block's shingles do not bound its classes."""
     rng = random.Random(9)
